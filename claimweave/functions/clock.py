@@ -26,9 +26,14 @@ def problem(c: Column) -> Column:
     )
 
 
+def seconds(c: Column) -> Column:
+    """Seconds of an offset known to be valid."""
+    return part(c, 0) * 3600 + part(c, 1) * 60 + part(c, 2)
+
+
 def to_seconds(c: Column) -> Column:
     """Seconds of a valid offset, NULL otherwise."""
-    return F.when(problem(c).isNull(), part(c, 0) * 3600 + part(c, 1) * 60 + part(c, 2))
+    return F.when(problem(c).isNull(), seconds(c))
 
 
 def render(seconds: Column) -> Column:

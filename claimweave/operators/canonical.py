@@ -6,15 +6,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from claimweave.functions.ordered import pages
+from claimweave.functions.settle import settled
 from claimweave.functions.text import norm_text
 from claimweave.params import DEFAULT, Params
 
 
 def normalized(beliefs: DataFrame, params: Params = DEFAULT) -> DataFrame:
     """Add the normal form of the text and its hash."""
-    return beliefs.withColumn("norm_text", norm_text(F.col("belief_text"), params)).withColumn(
-        "norm_hash", F.md5("norm_text")
-    )
+    formed = settled(beliefs, {"norm_text": norm_text(F.col("belief_text"), params)})
+    return settled(formed, {"norm_hash": F.md5("norm_text")})
 
 
 def exact_groups(normal: DataFrame) -> DataFrame:

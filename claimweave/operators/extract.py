@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from claimweave import fixed
 from claimweave.functions.ids import content_id
 from claimweave.functions.ordered import blocks, numbered
+from claimweave.functions.settle import settled
 from claimweave.functions.text import blank, strip
 from claimweave.params import DEFAULT, Params
 
@@ -100,11 +101,11 @@ def _is(c: Column, kind: str) -> Column:
 
 def read_responses(answers: DataFrame) -> DataFrame:
     """Parse each response once: ``root`` as VARIANT and whether it is usable."""
-    parsed = answers.withColumn("_root", F.try_parse_json("response"))
-    listed = F.try_variant_get("_root", "$.beliefs", "variant")
+    parsed = settled(answers, {"_root": F.try_parse_json("response")})
+    parsed = settled(parsed, {"_listed": F.try_variant_get("_root", "$.beliefs", "variant")})
     has_error = F.col("error").isNotNull() if "error" in answers.columns else F.lit(False)
     usable = _is(F.col("_root"), "OBJECT") & (F.col("_listed").isNull() | _is(F.col("_listed"), "ARRAY"))
-    return parsed.withColumn("_listed", listed).withColumn("_usable", usable & ~has_error)
+    return settled(parsed, {"_usable": F.coalesce(usable & ~has_error, F.lit(False))})
 
 
 def parse_beliefs(answers: DataFrame, utterances: DataFrame) -> DataFrame:
@@ -124,7 +125,8 @@ def parse_beliefs(answers: DataFrame, utterances: DataFrame) -> DataFrame:
         return F.when(_is(field(name), "STRING"), strip(F.try_variant_get("_e", f"$.{name}", "string")))
 
     said = utterances.select("utterance_id", "text")
-    rows = items.join(said, "utterance_id").withColumns(
+    rows = settled(
+        items.join(said, "utterance_id"),
         {
             "ordinal": F.col("_pos") + 1,
             "belief_text": text_of("belief_text"),
@@ -134,7 +136,7 @@ def parse_beliefs(answers: DataFrame, utterances: DataFrame) -> DataFrame:
             "extraction_flags": F.when(
                 field("extraction_flags").isNull(), F.create_map().cast("map<string,boolean>")
             ).otherwise(F.try_variant_get("_e", "$.extraction_flags", "map<string,boolean>")),
-        }
+        },
     )
     values = F.map_values("extraction_flags")
     problem = (
@@ -151,8 +153,9 @@ def parse_beliefs(answers: DataFrame, utterances: DataFrame) -> DataFrame:
             "extraction_flags",
         )
     )
-    return rows.select(
-        content_id("utterance_id", "ordinal").alias("belief_id"),
+    judged = settled(rows, {"belief_id": content_id("utterance_id", "ordinal"), "problem": problem})
+    return judged.select(
+        "belief_id",
         "utterance_id",
         "ordinal",
         "belief_text",
@@ -160,7 +163,7 @@ def parse_beliefs(answers: DataFrame, utterances: DataFrame) -> DataFrame:
         "original_quote",
         "context",
         "extraction_flags",
-        problem.alias("problem"),
+        "problem",
     )
 
 
@@ -176,7 +179,7 @@ def failures(answers: DataFrame) -> DataFrame:
     """Responses that give no list of beliefs, with the caller's error if there is one."""
     read = read_responses(answers)
     given = F.col("error") if "error" in answers.columns else F.lit(None).cast("string")
-    return read.filter(~F.coalesce("_usable", F.lit(False))).select(
+    return read.filter(~F.col("_usable")).select(
         "utterance_id", F.coalesce(given, F.lit("unusable response")).alias("message")
     )
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from claimweave.functions import clock
 from claimweave.functions.ids import content_id
 from claimweave.functions.ordered import blocks, numbered, running
+from claimweave.functions.settle import settled
 from claimweave.functions.text import strip
 
 
@@ -17,25 +18,33 @@ def parse_lines(lines: DataFrame) -> DataFrame:
     One pass, no shuffle.  ``error`` is NULL for accepted lines; the order of
     the rules is number of parts, speaker, start, end, start before end, text.
     """
-    body = strip(F.col("line"))
-    parts = F.split(F.col("_body"), r"\|", -1)
-    cut = lines.withColumn("_body", body).filter(F.length("_body") > 0).withColumn("_parts", parts)
+    body = settled(lines, {"_body": strip(F.col("line"))}).filter(F.length("_body") > 0)
+    cut = settled(body, {"_parts": F.split("_body", r"\|", -1)})
 
     def piece(i: int) -> Column:
         return strip(F.get("_parts", F.lit(i)))
 
-    cut = cut.withColumns(
+    start, end = F.col("timestamp_start"), F.col("timestamp_end")
+    cut = settled(
+        cut,
         {
             "n_parts": F.size("_parts"),
             "speaker": piece(0),
             "timestamp_start": piece(1),
             "timestamp_end": piece(2),
             "text": piece(3),
-        }
+        },
+    )
+    cut = settled(cut, {"_bad_start": clock.problem(start), "_bad_end": clock.problem(end)})
+    cut = settled(
+        cut,
+        {
+            "start_s": F.when(F.col("_bad_start").isNull(), clock.seconds(start)),
+            "end_s": F.when(F.col("_bad_end").isNull(), clock.seconds(end)),
+        },
     )
-    start, end = F.col("timestamp_start"), F.col("timestamp_end")
     order = F.when(
-        clock.to_seconds(start) >= clock.to_seconds(end),
+        F.col("start_s") >= F.col("end_s"),
         F.concat(F.lit("Start time "), start, F.lit(" must be before end time "), end),
     )
     # The wording of each rejection.
@@ -45,14 +54,14 @@ def parse_lines(lines: DataFrame) -> DataFrame:
             F.concat(F.lit("Invalid line format. Expected 4 parts, got "), F.col("n_parts").cast("string")),
         ),
         F.when(F.length("speaker") == 0, F.lit("Speaker cannot be empty")),
-        clock.problem(start),
-        clock.problem(end),
+        F.col("_bad_start"),
+        F.col("_bad_end"),
         order,
         F.when(F.length("text") == 0, F.lit("Utterance text cannot be empty")),
     )
-    return cut.withColumn(
-        "error", F.when(reason.isNotNull(), F.concat(F.lit("Line "), F.col("line_no").cast("string"), F.lit(": "), reason))
-    ).drop("_body", "_parts")
+    cut = settled(cut, {"_reason": reason})
+    numbered_reason = F.concat(F.lit("Line "), F.col("line_no").cast("string"), F.lit(": "), F.col("_reason"))
+    return cut.withColumn("error", numbered_reason).drop("_body", "_parts", "_bad_start", "_bad_end", "_reason")
 
 
 def accepted(parsed: DataFrame) -> DataFrame:
@@ -62,8 +71,8 @@ def accepted(parsed: DataFrame) -> DataFrame:
         "episode_id",
         "episode_seq",
         "speaker",
-        clock.to_seconds(F.col("timestamp_start")).alias("start_s"),
-        clock.to_seconds(F.col("timestamp_end")).alias("end_s"),
+        "start_s",
+        "end_s",
         "timestamp_start",
         "timestamp_end",
         "line_no",

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from claimweave.functions.ids import content_id
+from claimweave.functions.settle import settled
 from claimweave.functions.text import sentences, strip
 
 
@@ -15,7 +16,7 @@ def split_sentences(utterances: DataFrame) -> DataFrame:
     A row-local explode: no shuffle, speaker, times and link are kept.
     """
     pieces = F.col("_pieces")
-    cut = utterances.withColumn("_pieces", sentences(F.col("text")))
+    cut = settled(utterances, {"_pieces": sentences(F.col("text"))})
     several = F.size(pieces) > 1
     rows = cut.withColumn("parent_id", F.col("utterance_id")).select(
         *[c for c in cut.columns if c not in ("_pieces", "text", "sentence_no")],
@@ -24,12 +25,13 @@ def split_sentences(utterances: DataFrame) -> DataFrame:
         F.posexplode(F.when(several, pieces).otherwise(F.array("text"))).alias("_pos", "_text"),
     )
     number = F.when(F.col("_several"), F.col("_pos") + 1).otherwise(F.lit(0)).cast("int")
-    return rows.withColumns(
+    return settled(
+        rows.drop("utterance_id"),
         {
             "sentence_no": number,
             "text": F.when(F.col("_several"), strip(F.col("_text"))).otherwise(F.col("_text")),
             "utterance_id": F.when(F.col("_several"), content_id(F.col("parent_id"), number)).otherwise(F.col("parent_id")),
-        }
+        },
     ).drop("_several", "_pos", "_text")
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimweave import fixed
-from claimweave.functions import clock
+
 from claimweave.functions.ids import content_id, hash16
 from claimweave.functions.ordered import blocks
 from claimweave.functions.text import norm_tokens, strip
@@ -265,7 +265,7 @@ def b3_durations(t: Inputs) -> DataFrame:
 def b4_repaired_starts(t: Inputs) -> DataFrame:
     """Every rejected line counts as one without a start."""
     rows = t.chain.parsed.select(
-        "episode_id", "line_no", F.when(F.col("error").isNull(), clock.to_seconds(F.col("timestamp_start"))).alias("start_s")
+        "episode_id", "line_no", F.when(F.col("error").isNull(), F.col("start_s")).alias("start_s")
     )
     return ingest.repair_starts(rows).select("episode_id", "line_no", "start_filled_s", "repaired")
 

@@ -16,6 +16,7 @@ from claimweave import fixed
 from claimweave.functions import clock
 from claimweave.functions.ids import hash16
 from claimweave.functions.ordered import running
+from claimweave.functions.settle import settled
 from claimweave.functions.text import one_space
 
 
@@ -29,14 +30,22 @@ def episode_name(n: Column) -> Column:
 
 def transcript_lines(conversations: DataFrame) -> DataFrame:
     """Conversation turns as lines ``SPEAKER | start | end | text``."""
-    start, end = clock.render(F.col("turn") * 60), clock.render(F.col("turn") * 60 + 30)
-    kind = (F.col("conv_id") * 7 + F.col("turn")) % 23
-    who, said = F.upper("role"), F.regexp_replace("text", r"\s+", " ")
+    start, end, kind, who, said = (F.col(c) for c in ("_start", "_end", "_kind", "_who", "_said"))
+    turns = settled(
+        conversations,
+        {
+            "_start": clock.render(F.col("turn") * 60),
+            "_end": clock.render(F.col("turn") * 60 + 30),
+            "_kind": (F.col("conv_id") * 7 + F.col("turn")) % 23,
+            "_who": F.upper("role"),
+            "_said": F.regexp_replace("text", r"\s+", " "),
+        },
+    )
 
     def line(*parts: Column) -> Column:
         return F.concat_ws(" | ", *parts)
 
-    return conversations.select(
+    return turns.select(
         episode_name(F.col("conv_id")).alias("episode_id"),
         F.col("conv_id").alias("episode_seq"),
         (F.col("turn") + 1).alias("line_no"),
@@ -56,9 +65,7 @@ def _flag(n: Column) -> Column:
     return F.element_at(F.array(*[F.lit(f) for f in fixed.FLAGS]), (n + 1).cast("int"))
 
 
-def _claim_json(utterance_id: Column, words: Column, ordinal: Column) -> Column:
-    h = hash16(F.concat_ws("|", utterance_id, ordinal.cast("string")))
-    pair = F.array_join(F.slice(words, 2 * ordinal - 1, 2), " ")
+def _claim_json(pair: Column, h: Column) -> Column:
     text = F.concat(F.when(h % 13 == 0, "not ").otherwise(""), pair)
     number = F.format_string("%.2f", F.when(h % 10 == 9, 1.5).otherwise((h % 101) / 100.0))
     one, two = _flag(h % 11), _flag(F.floor(h / 11) % 11)
@@ -81,24 +88,27 @@ def _claim_json(utterance_id: Column, words: Column, ordinal: Column) -> Column:
     )
 
 
-def response_json(utterance_id: Column, text: Column) -> Column:
+def responses(utterances: DataFrame) -> DataFrame:
     """What a stand-in model answers: one claim per pair of words, over the whole text."""
-    whole = hash16(utterance_id)
-    words = F.split(one_space(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}\s]", " ")), " ")
-    claims = F.transform(
-        F.sequence(F.lit(1), F.ceil(F.size(words) / 2).cast("int")), lambda o: _claim_json(utterance_id, words, o)
+    words = F.split(one_space(F.regexp_replace(F.lower("text"), r"[^\p{L}\p{N}\s]", " ")), " ")
+    rows = settled(utterances.select("utterance_id", "text"), {"_w": words, "_h": hash16(F.col("utterance_id"))})
+    pairs = F.transform(
+        F.sequence(F.lit(1), F.ceil(F.size("_w") / 2).cast("int")),
+        lambda o: F.struct(
+            F.array_join(F.slice("_w", 2 * o - 1, 2), " ").alias("pair"),
+            hash16(F.concat_ws("|", "utterance_id", o.cast("string"))).alias("h"),
+        ),
     )
-    return (
+    claims = F.transform(pairs, lambda p: _claim_json(p["pair"], p["h"]))
+    whole = F.col("_h")
+    answer = (
         F.when(whole % 97 == 0, "{not json")
         .when(whole % 10 == 8, '{"beliefs": []}')
         .when(whole % 89 == 1, '{"note": "nothing found"}')
         .when(whole % 83 == 2, "[1]")
         .otherwise(F.concat(F.lit('{"beliefs": ['), F.array_join(claims, ", "), F.lit("]}")))
     )
-
-
-def responses(utterances: DataFrame) -> DataFrame:
-    return utterances.select("utterance_id", response_json(F.col("utterance_id"), F.col("text")).alias("response"))
+    return settled(rows, {"response": answer}).select("utterance_id", "response")
 
 
 def calls(events: DataFrame) -> DataFrame:
