@@ -7,33 +7,50 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from claimweave.functions.settle import settled
+
 
 def dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, p: s + p)
 
 
 def unit(v: Column) -> Column:
-    """The vector at length 1; a zero vector stays as it is."""
+    """The vector at length 1; a zero vector stays as it is.
+
+    The length sits in a one-element array, so it is taken once per vector and not
+    once per element.
+    """
     v = v.cast("array<double>")
-    length = F.sqrt(dot(v, v))
-    return F.when(length > 0, F.transform(v, lambda x: x / length)).otherwise(v)
+    bound = F.array(F.struct(v.alias("v"), F.sqrt(dot(v, v)).alias("n")))
+    scaled = F.transform(
+        bound, lambda b: F.when(b["n"] > 0, F.transform(b["v"], lambda x: x / b["n"])).otherwise(b["v"])
+    )
+    return F.get(scaled, F.lit(0))
 
 
-def token_vector(words: Column, dims: int = 64) -> Column:
-    """Default text embedding: each word adds +1 or -1 at a place given by its md5."""
-    hashed = F.transform(words, lambda w: F.conv(F.substring(F.md5(w), 1, 4), 16, 10).cast("int"))
+def direction(v: Column) -> Column:
+    """The unit vector without its last bits, so that copies become equal."""
+    return F.transform(unit(v), lambda x: F.round(x, 12) + 0.0)
+
+
+def with_token_vector(rows: DataFrame, words: Column, name: str = "embedding", dims: int = 64) -> DataFrame:
+    """Default text embedding: each word adds +1 or -1 at a place given by its md5; unit length."""
+    hashed = settled(
+        rows, {"_hashed": F.transform(words, lambda w: F.conv(F.substring(F.md5(w), 1, 4), 16, 10).cast("int"))}
+    )
     places = F.transform(
         F.sequence(F.lit(0), F.lit(dims - 1)),
         lambda d: F.aggregate(
-            hashed,
+            F.filter("_hashed", lambda h: h % dims == d),
             F.lit(0.0),
-            lambda s, h: s + F.when(h % dims == d, F.when(F.floor(h / dims) % 2 == 0, 1.0).otherwise(-1.0)).otherwise(0.0),
+            lambda s, h: s + F.when(F.floor(h / dims) % 2 == 0, 1.0).otherwise(-1.0),
         ),
     )
-    return unit(places)
+    raw = settled(hashed, {"_raw": places})
+    return settled(raw, {name: unit(F.col("_raw"))}).drop("_hashed", "_raw")
 
 
 def key_plan(rows: int, similarity: float, miss: float) -> tuple[int, int]:

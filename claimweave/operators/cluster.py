@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from claimweave.functions.ordered import pages
-from claimweave.functions.vectors import dot, unit
+from claimweave.functions.settle import settled
+from claimweave.functions.vectors import direction, dot, unit
 from claimweave.operators.groups import components, with_singletons
 from claimweave.operators.similar import nearest_above, similar_pairs
 from claimweave.params import DEFAULT, Params
@@ -20,8 +21,7 @@ def close_pairs(vectors: DataFrame, distance: float, params: Params = DEFAULT) -
 
 def _copies(vectors: DataFrame) -> DataFrame:
     """canonical_id -> smallest canonical_id with the same vector."""
-    rounded = F.transform(unit(F.col("embedding")), lambda x: F.round(x, 12) + 0.0)
-    v = vectors.select("canonical_id", rounded.alias("v"))
+    v = settled(vectors.select("canonical_id", "embedding"), {"v": direction(F.col("embedding"))})
     return v.join(v.groupBy("v").agg(F.min("canonical_id").alias("vector_id")), "v").select("canonical_id", "vector_id")
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from claimweave import fixed
 from claimweave.functions.ordered import pages
+from claimweave.functions.settle import settled
 from claimweave.operators.similar import nearest_above
 from claimweave.params import DEFAULT, Params
 
@@ -62,8 +63,8 @@ def parents(tiered: DataFrame, centres: DataFrame, params: Params = DEFAULT) ->
     """
     rows = tiered.join(centres, "cluster_id")
     present = tiered.agg(F.collect_set("tier_ord").alias("p")).scalar()
-    target = F.array_max(F.filter(present, lambda o: o < F.col("tier_ord")))
-    children = rows.select("cluster_id", F.col("centroid").alias("embedding"), target.alias("tier")).filter("tier IS NOT NULL")
+    target = F.array_max(F.filter("_present", lambda o: o < F.col("tier_ord")))
+    children = settled(rows, {"_present": present}).select("cluster_id", F.col("centroid").alias("embedding"), target.alias("tier")).filter("tier IS NOT NULL")
     above = rows.select(F.col("cluster_id").alias("parent_id"), F.col("centroid").alias("embedding"), F.col("tier_ord").alias("tier"))
     found = nearest_above(
         children, above, "cluster_id", "parent_id", params.parent_similarity, at_least=True, same="tier", params=params

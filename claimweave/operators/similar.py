@@ -11,21 +11,21 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from claimweave.functions.settle import settled
 from claimweave.functions.text import content_words, negation_parity
-from claimweave.functions.vectors import dot, key_plan, sign_keys, token_vector, unit
+from claimweave.functions.vectors import direction, dot, key_plan, sign_keys, with_token_vector
 from claimweave.params import DEFAULT, Params
 
 
 def embed_text(rows: DataFrame, words: Column, dims: int = 64) -> DataFrame:
     """Default embedding; a user's own model goes through ``extract.call_model``."""
-    return rows.withColumn("embedding", token_vector(words, dims))
+    return with_token_vector(rows, words, "embedding", dims)
 
 
 def fold_copies(vectors: DataFrame, key: str) -> DataFrame:
     """One row per distinct direction: smallest id and number of copies."""
-    # rounding to 12 digits joins vectors that differ by the last bits only
-    rounded = F.transform(unit(F.col("embedding")), lambda x: F.round(x, 12) + 0.0)
-    return vectors.select(key, rounded.alias("v")).groupBy("v").agg(F.min(key).alias("id"), F.count(F.lit(1)).alias("copies"))
+    rows = settled(vectors.select(key, "embedding"), {"v": direction(F.col("embedding"))})
+    return rows.groupBy("v").agg(F.min(key).alias("id"), F.count(F.lit(1)).alias("copies"))
 
 
 def _keyed(vectors: DataFrame, plan: tuple[int, int], seed: int) -> DataFrame:
@@ -87,8 +87,7 @@ def nearest_above(
     group = [F.coalesce(F.col(same).cast("string"), F.lit(""))] if same else [F.lit("")]
 
     def fold(side: DataFrame, key: str) -> DataFrame:
-        rounded = F.transform(unit(F.col("embedding")), lambda x: F.round(x, 12) + 0.0)
-        return side.select(key, rounded.alias("v"), group[0].alias("g"))
+        return settled(side, {"v": direction(F.col("embedding"))}).select(key, "v", group[0].alias("g"))
 
     q_rows = fold(queries, query_id)
     b = fold(base, base_id).groupBy("v", "g").agg(F.min(base_id).alias("id"))

@@ -17,6 +17,7 @@ from claimweave.operators import canonical, contradict, drift, extract, ingest,
 from claimweave.operators.similar import fuzzy_pairs
 from claimweave.operators.groups import components
 from claimweave.params import DEFAULT, Params
+from claimweave.session import durable
 
 
 @dataclass(frozen=True)
@@ -27,6 +28,7 @@ class Conversations:
     answer: object
     params: Params = DEFAULT
     run_date: str = "2024-01-01"
+    keep: bool = False  # write the mentions once, when several steps read them
 
     @cached_property
     def parsed(self) -> DataFrame:
@@ -71,7 +73,8 @@ class Conversations:
     @cached_property
     def mentions(self) -> DataFrame:
         """Beliefs with canonical id (hash of the normal form), episode and speaker."""
-        return canonical.mentions(self.normal, self.atomic)
+        rows = canonical.mentions(self.normal, self.atomic)
+        return durable(rows) if self.keep else rows
 
     @cached_property
     def canonicals(self) -> DataFrame:

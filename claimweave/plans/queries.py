@@ -8,6 +8,7 @@ the given tables inside the same Spark plan.
 from __future__ import annotations
 
 import uuid
+from functools import cached_property
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -69,10 +70,15 @@ class Inputs:
     def lines(self) -> DataFrame:
         return tables.transcript_lines(self.table("conversations"))
 
-    @property
+    @cached_property
     def chain(self) -> Conversations:
         return Conversations(self.lines, tables.responses, PARAMS, RUN_DATE)
 
+    @cached_property
+    def kept(self) -> Conversations:
+        """The same with the mentions written once, for queries that read them several times."""
+        return Conversations(self.lines, tables.responses, PARAMS, RUN_DATE, keep=True)
+
     @property
     def calls(self) -> DataFrame:
         return tables.calls(self.table("events"))
@@ -143,7 +149,7 @@ def a3_a4_snapshot_round_trip(t: Inputs) -> DataFrame:
     """Utterances saved as a phase snapshot, saved again by a second run, and loaded."""
     folder, rows = t.scratch(), t.chain.utterances
     snapshots.save(rows, folder, "utterances", "first", "2024-01-01 00:00:00")
-    snapshots.save(rows.withColumn("text", F.upper("text")), folder, "utterances", "second", "2024-01-02 00:00:00")
+    snapshots.save(rows.withColumn("text", F.concat("text", F.lit("!"))), folder, "utterances", "second", "2024-01-02 00:00:00")
     back = snapshots.load(t.spark, folder, "utterances")
     return back.select("utterance_id", "episode_id", "speaker", "start_s", "end_s", F.md5("text").alias("text_md5"))
 
@@ -167,7 +173,7 @@ def a6_expired(t: Inputs) -> DataFrame:
 def a7_registry_round_trip(t: Inputs) -> DataFrame:
     """A registry built from all mentions, written as a version and read back."""
     folder = t.scratch()
-    built = registry_streams.merge_batch(stores.empty_registry(t.spark), durable(t.chain.mentions))
+    built = registry_streams.merge_batch(stores.empty_registry(t.spark), durable(t.kept.mentions))
     stores.save_registry(built, folder, 0)
     back = stores.load_registry(t.spark, folder)
     counted = [df.agg(F.lit(name).alias("part"), F.count(F.lit(1)).alias("n")) for name, df in back.items()]
@@ -216,7 +222,7 @@ def a10_matrix_json(t: Inputs) -> DataFrame:
 @query
 def a11_contradiction_report(t: Inputs) -> DataFrame:
     """Contradictions with their episodes written as JSON lines and read back."""
-    folder, c = t.scratch(), t.chain
+    folder, c = t.scratch(), t.kept
     mentions = durable(c.mentions)
     found = durable(contradict.contradictions(contradict.certain(c.opposed, PARAMS), mentions))
     lists = contradict.episode_lists(contradict.where_held(found, mentions), PARAMS)
@@ -232,7 +238,7 @@ def a12_belief_preview(t: Inputs) -> DataFrame:
 
 @query
 def a12_contradiction_preview(t: Inputs) -> DataFrame:
-    c = t.chain
+    c = t.kept
     return previews.contradiction_preview(c.contradictions, c.canonicals)
 
 
@@ -309,7 +315,7 @@ def b6_contract_violations(t: Inputs) -> DataFrame:
 @query
 def b6_result_contracts(t: Inputs) -> DataFrame:
     """Cells, drift, contradictions and reports against their rules: number of violations per entity."""
-    c = t.chain
+    c = t.kept
     cell_id = c.cells.withColumn("id", F.concat_ws("-", "episode_id", "canonical_id"))
     parts = [
         contracts.violations(cell_id, "weight", "id", contracts.weight_rules()),
@@ -469,14 +475,14 @@ def _literal_alias(mentions: DataFrame) -> DataFrame:
 
 @query
 def e2_alias_lookup(t: Inputs) -> DataFrame:
-    old, new = t.halves(t.chain.mentions)
+    old, new = t.halves(t.kept.mentions)
     aliases = registry.latest(_literal_alias(old), ["alias_text"], "seq")
     return registry.find_by_text(new, aliases).select("belief_id", "alias_canonical_id")
 
 
 @query
 def e3_alias_upsert(t: Inputs) -> DataFrame:
-    old, new = t.halves(t.chain.mentions)
+    old, new = t.halves(t.kept.mentions)
     return registry.upsert_aliases(_literal_alias(old), _literal_alias(new))
 
 
@@ -485,7 +491,7 @@ def e4_canonical_upsert(t: Inputs) -> DataFrame:
     def entries(m: DataFrame) -> DataFrame:
         return m.select("canonical_id", F.col("belief_text").alias("canonical_text"), "belief_id", F.col("episode_seq").alias("seq"))
 
-    old, new = t.halves(t.chain.mentions)
+    old, new = t.halves(t.kept.mentions)
     return registry.upsert(entries(old), entries(new), ["canonical_id"], "seq")
 
 
@@ -494,7 +500,7 @@ def e5_history(t: Inputs) -> DataFrame:
     def rows(m: DataFrame) -> DataFrame:
         return m.select("canonical_id", "episode_id", F.col("episode_seq").alias("seq"))
 
-    old, new = t.halves(t.chain.mentions)
+    old, new = t.halves(t.kept.mentions)
     return registry.append_history(rows(old), rows(new))
 
 
@@ -512,7 +518,7 @@ def _text_vectors(rows: DataFrame) -> DataFrame:
 @query
 def e6_embedding_cache(t: Inputs) -> DataFrame:
     """Canonicals of the later half: embedding cached by the earlier half, or newly made."""
-    old, new = t.halves(t.chain.mentions)
+    old, new = t.halves(t.kept.mentions)
     cache = _text_vectors(canonical.summaries(old))
     wanted = canonical.summaries(new).select("canonical_id", "canonical_text")
     made = _text_vectors(registry.missing_embeddings(wanted, cache))
@@ -589,7 +595,7 @@ _MERGED = ["canonical_id", "mentions", "first_seq", "first_seen_episode", "last_
 @query
 def e14_incremental_merge(t: Inputs) -> DataFrame:
     """Canonicals of the later half merged into those of the earlier half; stored texts stay."""
-    old, new = t.halves(t.chain.mentions)
+    old, new = t.halves(t.kept.mentions)
     merged = registry.merge_canonicals(
         canonical.summaries(old).drop("norm_text"), canonical.summaries(new).drop("norm_text")
     )
@@ -619,7 +625,7 @@ def _rephrasing_model(frame: pd.DataFrame) -> pd.DataFrame:
 
 def _mismatched(t: Inputs) -> DataFrame:
     """Later beliefs whose text names another canonical than their nearest embedding."""
-    old, new = t.halves(t.chain.mentions)
+    old, new = t.halves(t.kept.mentions)
     stored = canonical.summaries(old)
     base = similar.embed_text(stored, norm_tokens(F.col("canonical_text"), PARAMS)).select("canonical_id", "embedding")
     asked = similar.embed_text(new.select("belief_id", "belief_text"), norm_tokens(F.col("belief_text"), PARAMS))
@@ -646,7 +652,7 @@ def e17_rebuilt_registry(t: Inputs) -> DataFrame:
 
 
 def _vectors(t: Inputs) -> DataFrame:
-    return tables.canonical_vectors(t.chain.canonicals, t.table("embeddings"))
+    return tables.canonical_vectors(t.kept.canonicals, t.table("embeddings"))
 
 
 @query
@@ -668,7 +674,7 @@ def f1_given_vectors(t: Inputs) -> DataFrame:
 
 def _split_clusters(t: Inputs) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Clusters of the canonicals first seen in the earlier half; vectors of those and of the rest."""
-    c = t.chain
+    c = t.kept
     old, new = t.halves(c.canonicals.withColumn("episode_seq", F.col("first_seq")))
     given = t.table("embeddings")
     known, fresh = durable(tables.canonical_vectors(old, given)), durable(tables.canonical_vectors(new, given))
@@ -708,7 +714,7 @@ def f4_merged(t: Inputs) -> DataFrame:
 
 @query
 def f5_clusters(t: Inputs) -> DataFrame:
-    return cluster.assemble(_linked(t)[0], t.chain.canonicals)
+    return cluster.assemble(_linked(t)[0], t.kept.canonicals)
 
 
 @query
@@ -722,7 +728,7 @@ def f5_centroids(t: Inputs) -> DataFrame:
 @query
 def f5_member_lists(t: Inputs) -> DataFrame:
     membership, _ = _linked(t)
-    return cluster.member_lists(membership, canonical.members(t.chain.mentions), PARAMS).select(
+    return cluster.member_lists(membership, canonical.members(t.kept.mentions), PARAMS).select(
         "cluster_id", "page_no", F.md5(join_list("source_utterance_ids")).alias("utterances_md5"),
         F.size("canonical_ids").alias("n_members"),
     )
@@ -731,7 +737,7 @@ def f5_member_lists(t: Inputs) -> DataFrame:
 @query
 def f6_names(t: Inputs) -> DataFrame:
     membership, v = _linked(t)
-    return cluster.names(membership, v, t.chain.canonicals, cluster.centroids(membership, v))
+    return cluster.names(membership, v, t.kept.canonicals, cluster.centroids(membership, v))
 
 
 @query
@@ -757,7 +763,7 @@ def f9_metrics(t: Inputs) -> DataFrame:
 
 
 def _flag_counts(t: Inputs, membership: DataFrame) -> DataFrame:
-    flagged = membership.join(t.chain.mentions.select("canonical_id", "extraction_flags"), "canonical_id")
+    flagged = membership.join(t.kept.mentions.select("canonical_id", "extraction_flags"), "canonical_id")
     return ontology.flag_counts(flagged)
 
 
@@ -810,7 +816,7 @@ def g5_tree(t: Inputs) -> DataFrame:
 
 @query
 def g6_trace(t: Inputs) -> DataFrame:
-    return ontology.trace(_linked(t)[0], t.chain.mentions).select(
+    return ontology.trace(_linked(t)[0], t.kept.mentions).select(
         "cluster_id", "canonical_id", "belief_id", "utterance_id", "episode_id", "speaker"
     )
 
@@ -818,7 +824,7 @@ def g6_trace(t: Inputs) -> DataFrame:
 @query
 def g6_node_sources(t: Inputs) -> DataFrame:
     nodes, membership = _nodes(t)
-    sources = ontology.rolled_up(ontology.tree(nodes), ontology.trace(membership, t.chain.mentions))
+    sources = ontology.rolled_up(ontology.tree(nodes), ontology.trace(membership, t.kept.mentions))
     return sources.groupBy("node_id").agg(F.count(F.lit(1)).alias("sources"), F.min("utterance_id").alias("first_utterance"))
 
 
@@ -835,7 +841,7 @@ def a11_ontology_report(t: Inputs) -> DataFrame:
     folder = t.scratch()
     nodes, membership = _nodes(t)
     tree = ontology.tree(nodes)
-    sources = ontology.rolled_up(tree, ontology.trace(membership, t.chain.mentions))
+    sources = ontology.rolled_up(tree, ontology.trace(membership, t.kept.mentions))
     stores.write_json(tree.join(ontology.source_lists(sources, PARAMS), tree["cluster_id"] == F.col("node_id")), folder)
     back = t.spark.read.schema(
         "node_id string, ontology_level string, depth int, page_no bigint, source_utterance_ids array<string>"
@@ -861,7 +867,7 @@ def h1_weights(t: Inputs) -> DataFrame:
 @query
 def h2_dense_matrix(t: Inputs) -> DataFrame:
     """The dense matrix summed up per episode: cells, absent cells, mentions, conviction."""
-    c = t.chain
+    c = t.kept
     rows = matrix.dense_blocks(c.episodes, c.cells, PARAMS).select("episode_id", F.explode("weights").alias("w"))
     return rows.groupBy("episode_id").agg(
         F.count(F.lit(1)).alias("cells"),
@@ -874,7 +880,7 @@ def h2_dense_matrix(t: Inputs) -> DataFrame:
 @query
 def h3_cell_lookup(t: Inputs) -> DataFrame:
     """For every cell, the cell of the same canonical one episode later; NULL where absent."""
-    cells = t.chain.cells
+    cells = t.kept.cells
     asked = cells.select(tables.episode_name(F.col("episode_seq") + 1).alias("episode_id"), "canonical_id")
     return _rounded_cells(matrix.lookup(asked, cells))
 
@@ -882,14 +888,14 @@ def h3_cell_lookup(t: Inputs) -> DataFrame:
 @query
 def h4_cell_upsert(t: Inputs) -> DataFrame:
     """All cells, then a second writing of those with one mention, which wins."""
-    cells = t.chain.cells.withColumn("seq", F.lit(1))
+    cells = t.kept.cells.withColumn("seq", F.lit(1))
     new = cells.filter("frequency = 1").withColumns({"conviction_avg": F.lit(0.5), "seq": F.lit(2)})
     return matrix.upsert_cells(cells, new).select("episode_id", "canonical_id", r6("conviction_avg").alias("conviction_avg"), "frequency", "seq")
 
 
 @query
 def h5_dimensions(t: Inputs) -> DataFrame:
-    return matrix.dimensions(t.chain.cells, t.chain.episodes)
+    return matrix.dimensions(t.kept.cells, t.kept.episodes)
 
 
 # --- I: drift ---------------------------------------------------------------------------
@@ -904,7 +910,7 @@ def _drift_rows(rows: DataFrame) -> DataFrame:
 
 
 def _plain_drift(t: Inputs) -> DataFrame:
-    return drift.events(t.chain.cells, t.chain.episodes, None, PARAMS)
+    return drift.events(t.kept.cells, t.kept.episodes, None, PARAMS)
 
 
 @query
@@ -929,17 +935,17 @@ def i4_weakening(t: Inputs) -> DataFrame:
 
 @query
 def i5_reversals(t: Inputs) -> DataFrame:
-    return _drift_rows(t.chain.drift.filter("drift_type = 'reversal'"))
+    return _drift_rows(t.kept.drift.filter("drift_type = 'reversal'"))
 
 
 @query
 def i6_all_drift(t: Inputs) -> DataFrame:
-    return _drift_rows(t.chain.drift)
+    return _drift_rows(t.kept.drift)
 
 
 @query
 def i7_drift_counts(t: Inputs) -> DataFrame:
-    return drift.counts(t.chain.drift)
+    return drift.counts(t.kept.drift)
 
 
 @query
@@ -954,22 +960,22 @@ def i7_timeline(t: Inputs) -> DataFrame:
 
 @query
 def j1_j2_candidates(t: Inputs) -> DataFrame:
-    return t.chain.opposed.select("a", "b", r6("score").alias("score"))
+    return t.kept.opposed.select("a", "b", r6("score").alias("score"))
 
 
 @query
 def j3_certain_pairs(t: Inputs) -> DataFrame:
-    return contradict.certain(t.chain.opposed, PARAMS).select("a", "b", r6("score").alias("score"))
+    return contradict.certain(t.kept.opposed, PARAMS).select("a", "b", r6("score").alias("score"))
 
 
 @query
 def j4_j5_contradictions(t: Inputs) -> DataFrame:
-    return t.chain.contradictions.withColumn("opposition_score", r6("opposition_score"))
+    return t.kept.contradictions.withColumn("opposition_score", r6("opposition_score"))
 
 
 @query
 def j4_episode_lists(t: Inputs) -> DataFrame:
-    c = t.chain
+    c = t.kept
     lists = contradict.episode_lists(contradict.where_held(c.contradictions, c.mentions), PARAMS)
     return lists.select("contradiction_id", "page_no", join_list(F.array_sort("episode_ids")).alias("episode_ids"))
 
@@ -981,7 +987,7 @@ def _verdict_model(frame: pd.DataFrame) -> pd.DataFrame:
 @query
 def j6_verified(t: Inputs) -> DataFrame:
     """Pairs of the ambiguous band go to a model; the ones it confirms join the certain pairs."""
-    pairs = t.chain.opposed
+    pairs = t.kept.opposed
     verdicts = extract.call_model(
         contradict.ambiguous(pairs, PARAMS), _verdict_model, "a string, b string, opposed boolean, error string"
     )
@@ -990,24 +996,24 @@ def j6_verified(t: Inputs) -> DataFrame:
 
 @query
 def j7_counts_by_type(t: Inputs) -> DataFrame:
-    return contradict.counts_by_type(t.chain.contradictions)
+    return contradict.counts_by_type(t.kept.contradictions)
 
 
 @query
 def j7_counts_by_speakers(t: Inputs) -> DataFrame:
-    return contradict.counts_by_speakers(t.chain.contradictions)
+    return contradict.counts_by_speakers(t.kept.contradictions)
 
 
 @query
 def j7_counts_by_episode(t: Inputs) -> DataFrame:
-    c = t.chain
+    c = t.kept
     return contradict.counts_by_episode(contradict.where_held(c.contradictions, c.mentions))
 
 
 @query
 def j8_speaker_comparison(t: Inputs) -> DataFrame:
     """Every speaker against every later one, by the speakers that occur."""
-    c = t.chain
+    c = t.kept
     names = c.mentions.agg(F.array_sort(F.collect_set("speaker")).alias("s"))
     pairs = names.select("s", F.explode("s").alias("speaker_1")).select("speaker_1", F.explode("s").alias("speaker_2"))
     return contradict.compare_speakers(c.mentions, pairs.filter("speaker_1 < speaker_2"))
@@ -1015,7 +1021,7 @@ def j8_speaker_comparison(t: Inputs) -> DataFrame:
 
 @query
 def j8_shared_and_own(t: Inputs) -> DataFrame:
-    m = t.chain.mentions
+    m = t.kept.mentions
     shared = contradict.shared_claims(m, "USER", "ASSISTANT").withColumn("held_by", F.lit("both"))
     return shared.unionByName(contradict.own_claims(m, "USER", "ASSISTANT").withColumn("held_by", F.lit("USER")))
 
@@ -1179,7 +1185,7 @@ def _event_stream(t: Inputs) -> DataFrame:
 def _simple_calls(events: DataFrame) -> DataFrame:
     """Row-local call log, as a stream cannot look back over all events of a caller."""
     return events.select(
-        F.col("event_id").alias("call_id"), F.col("user_id").alias("caller"), "ts",
+        F.col("event_id").alias("call_id"), F.col("user_id").alias("caller"), F.col("ts").cast("timestamp").alias("ts"),
         F.floor(F.col("value") * 10).cast("bigint").alias("tokens"), (F.col("value") / 100).alias("latency"),
         (F.col("event_type") != "error").alias("success"),
         F.when(F.col("event_type") == "error", (F.col("event_id") % 4 + 1).cast("int")).otherwise(1).alias("attempt"),

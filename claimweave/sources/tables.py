@@ -122,7 +122,7 @@ def calls(events: DataFrame) -> DataFrame:
         F.col("event_id").alias("call_id"),
         F.col("user_id").alias("caller"),
         episode_name(F.col("user_id")).alias("episode_id"),
-        "ts",
+        F.col("ts").cast("timestamp").alias("ts"),
         F.floor(F.col("value") * 10).cast("bigint").alias("tokens"),
         (F.col("value") / 100).alias("latency"),
         (~failed).alias("success"),

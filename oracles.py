@@ -40,7 +40,10 @@ def compose(needs: list[str], sql: str) -> str:
         body = CTES[n][1].strip()
         # a recursive CTE brings its own column list and clause
         parts.append(body if body.startswith(f"{n}(") else f"{n} AS (\n{body}\n)")
-    return "WITH RECURSIVE " + ",\n".join(parts) + "\n" + sql.strip()
+    sql = sql.strip()
+    if sql.startswith("WITH"):
+        sql = f"SELECT * FROM (\n{sql}\n)"
+    return "WITH RECURSIVE " + ",\n".join(parts) + "\n" + sql
 
 
 def quoted(s: str) -> str:
@@ -198,7 +201,7 @@ oracle("a1_transcript_lines", "lines", "SELECT * FROM lines")
 oracle("a2_episodes", "episodes", """
 SELECT episode_id, episode_seq, episode_id AS title, '2024-01-01' AS date, episode_id||'.txt' AS transcript_path FROM episodes
 """)
-oracle("a3_a4_snapshot_round_trip", "utts", "SELECT utterance_id, episode_id, speaker, start_s, end_s, md5(upper(text)) AS text_md5 FROM utts")
+oracle("a3_a4_snapshot_round_trip", "utts", "SELECT utterance_id, episode_id, speaker, start_s, end_s, md5(text||'!') AS text_md5 FROM utts")
 oracle("a5_resume_points", "manifest episodes", f"""
 SELECT episode_id, {_PHASES}[n] AS last_phase, {_PHASES}[n+1] AS next_phase
 FROM (SELECT e.episode_id, coalesce(max(m.ord)+1, 0)::int AS n FROM episodes e LEFT JOIN manifest m USING (episode_id) GROUP BY 1)
@@ -219,7 +222,7 @@ UNION ALL SELECT 'history', count(*) FROM (SELECT DISTINCT canonical_id, episode
 # quality events
 cte("where_", "sents", "SELECT utterance_id, episode_id, line_no FROM sents")
 cte("base_events", "parsed usable read where_", """
-SELECT episode_id, 'parsing_error' AS kind, line_no::bigint AS at, error AS message FROM parsed WHERE error IS NOT NULL
+SELECT episode_id, 'parsing_error' AS kind, line_no::bigint AS pos, error AS message FROM parsed WHERE error IS NOT NULL
 UNION ALL SELECT episode_id, 'api_error', line_no, 'unusable response' FROM usable JOIN where_ USING (utterance_id) WHERE NOT ok
 UNION ALL SELECT episode_id, 'malformed', 0, NULL FROM read JOIN where_ USING (utterance_id) WHERE problem IS NOT NULL
 """)
@@ -260,7 +263,7 @@ SELECT episode_id, sum(d) AS execution_time_seconds FROM (
 
 
 def messages_of(src: str) -> str:
-    return f"SELECT episode_id, kind, string_agg(message, ';' ORDER BY at, message) AS messages, count(*) AS n FROM {src} WHERE message IS NOT NULL GROUP BY 1, 2"
+    return f"SELECT episode_id, kind, string_agg(message, ';' ORDER BY pos, message) AS messages, count(*) AS n FROM {src} WHERE message IS NOT NULL GROUP BY 1, 2"
 
 
 oracle("a8_report_round_trip", "base_scores base_events", """
