@@ -59,14 +59,15 @@ def key_plan(rows: int, similarity: float, miss: float) -> tuple[int, int]:
     A random hyperplane separates two vectors with chance angle/pi, so a pair on
     the threshold shares one key of b bits with chance (1 - angle/pi)^b.  The
     number of keys keeps the chance of sharing none below ``miss``; the number
-    of bits is the one with the least shuffled rows plus checked pairs.
+    of bits is the one with the least shuffled rows plus checked pairs, where moving
+    a row costs about as much as checking two thousand pairs.
     """
     agree = 1.0 - math.acos(max(-1.0, min(1.0, similarity))) / math.pi
 
     def keys(bits: int) -> int:
         return max(1, math.ceil(math.log(miss) / math.log1p(-min(agree**bits, 1 - 1e-12))))
 
-    bits = min(range(4, 33), key=lambda b: keys(b) * (50.0 + rows / 2.0**b))
+    bits = min(range(2, 33), key=lambda b: keys(b) * (2000.0 + rows / 2.0**b))
     return bits, keys(bits)
 
 

@@ -16,7 +16,7 @@ from claimweave.params import DEFAULT, Params
 def close_pairs(vectors: DataFrame, distance: float, params: Params = DEFAULT) -> DataFrame:
     """Pairs of distinct vectors nearer than ``distance``; see ``similar_pairs``."""
     pairs = similar_pairs(vectors, "canonical_id", 1 - distance, params)
-    return pairs.withColumn("distance", F.round(1 - F.col("similarity"), 9)).drop("similarity")
+    return pairs.withColumn("distance", 1 - F.col("similarity")).drop("similarity")
 
 
 def _copies(vectors: DataFrame) -> DataFrame:
@@ -47,7 +47,7 @@ def assign(vectors: DataFrame, centres: DataFrame, distance: float, params: Para
     """Nearest cluster of each vector when nearer than ``distance``."""
     base = centres.select("cluster_id", F.col("centroid").alias("embedding"))
     found = nearest_above(vectors, base, "canonical_id", "cluster_id", 1 - distance, params=params)
-    return found.select("canonical_id", "cluster_id", F.round(1 - F.col("similarity"), 9).alias("distance"))
+    return found.select("canonical_id", "cluster_id", (1 - F.col("similarity")).alias("distance"))
 
 
 def sized(membership: DataFrame) -> DataFrame:

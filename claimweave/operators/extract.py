@@ -80,17 +80,18 @@ def call_model(rows: DataFrame, model: Callable[[pd.DataFrame], pd.DataFrame], s
             out["tokens"], out["latency"] = [0], [0.0]
         return pd.DataFrame(out)
 
+    def one(row: pd.DataFrame) -> pd.DataFrame:
+        try:
+            return model(row)[names]
+        except Exception as error:  # the row's own failure is data
+            return failed(row, error)
+
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             try:
                 yield model(frame)[names]
             except Exception:
-                for i in range(len(frame)):
-                    row = frame.iloc[i : i + 1]
-                    try:
-                        yield model(row)[names]
-                    except Exception as error:  # the row's own failure is data
-                        yield failed(row, error)
+                yield pd.concat([one(frame.iloc[i : i + 1]) for i in range(len(frame))])
 
     return rows.mapInPandas(run, schema)
 

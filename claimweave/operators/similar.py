@@ -1,20 +1,25 @@
 """Similarity searches: nearest above a threshold, pairs above a threshold.
 
 Vectors: equal vectors are first folded into one row, so a group of copies costs
-nothing.  The rest meet through locality-sensitive keys in plain equi-joins, and
-every pair met is checked exactly.  Texts: pairs meet on one of their rarest
+nothing.  The rest meet in buckets of equal locality-sensitive keys, and every pair
+met is checked exactly.  Texts: pairs meet on one of their rarest
 character grams, which loses no pair.
 """
 
 from __future__ import annotations
 
+import math
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from claimweave.functions.settle import settled
 from claimweave.functions.text import content_words, negation_parity
-from claimweave.functions.vectors import direction, dot, key_plan, sign_keys, with_token_vector
+from claimweave.functions.vectors import direction, key_plan, sign_keys, with_token_vector
 from claimweave.params import DEFAULT, Params
+from claimweave.session import durable
 
 
 def embed_text(rows: DataFrame, words: Column, dims: int = 64) -> DataFrame:
@@ -28,26 +33,81 @@ def fold_copies(vectors: DataFrame, key: str) -> DataFrame:
     return rows.groupBy("v").agg(F.min(key).alias("id"), F.count(F.lit(1)).alias("copies"))
 
 
-def _keyed(vectors: DataFrame, plan: tuple[int, int], seed: int) -> DataFrame:
-    bits, tables = plan
-    return vectors.withColumn("keys", sign_keys(bits, tables, seed)("v"))
+TILE = 1024  # rows of either side that one call compares at once
 
 
-def _met(left: DataFrame, right: DataFrame, similarity: Column, extra: Column | None) -> DataFrame:
-    """Pairs that share a key and pass the check, each exactly once.
+def _matches(
+    left: DataFrame, right: DataFrame, rows: int, above: float, at_least: bool, same_table: bool, params: Params
+) -> DataFrame:
+    """Pairs (a, b, similarity) of rows (id, v, g) that share a key and pass the exact check.
 
-    A pair may share several keys; it is kept at the first one it shares, which
-    needs no shuffle to remove repeats.
+    Vectors with equal keys (and equal ``g``) meet in a bucket.  A bucket with more
+    than a tile of rows, such as a cloud of near copies, is cut into tiles of both
+    sides, so a task never holds more than one tile of each whatever the skew.  A
+    pair that shares several keys is reported at the first one only, which needs no
+    shuffle to remove repeats.
     """
-    def spread(side: DataFrame, mark: str) -> DataFrame:
-        cols = [F.col(c).alias(f"{mark}_{c}") for c in side.columns]
-        return side.select(*cols, F.posexplode("keys").alias("_table", "_key"))
+    bits, tables = key_plan(rows, above, params.miss_probability)
+    keyed = sign_keys(bits, tables, params.seed)
+
+    def spread(side: DataFrame, mark: int) -> DataFrame:
+        return side.withColumn("keys", keyed("v")).select(
+            "id", "v", "g", "keys", F.lit(mark).alias("side"), F.posexplode("keys").alias("tab", "bucket")
+        )
+
+    sides = [spread(left, 0), spread(left if same_table else right, 1)]
+    place = ["tab", "bucket", "g"]
+    # only buckets of several tiles are listed here; all others have one
+    large = [
+        s.groupBy(*place).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > TILE)
+        .select(*place, F.ceil(F.col("n") / TILE).cast("int").alias(name))
+        for s, name in zip(sides, ("cuts_0", "cuts_1"))
+    ]
+    cut = sides[0].unionByName(sides[1]).join(large[0], place, "left").join(large[1], place, "left")
+    cuts_0, cuts_1 = F.coalesce("cuts_0", F.lit(1)), F.coalesce("cuts_1", F.lit(1))
+    own = F.when(F.col("side") == 0, cuts_0).otherwise(cuts_1)
+    other = F.when(F.col("side") == 0, cuts_1).otherwise(cuts_0)
+    mine = F.pmod(F.xxhash64("id"), own).cast("int")
+    tiled = cut.select(
+        "id", "v", "g", "keys", "side", "tab", "bucket", mine.alias("_mine"), F.explode(F.sequence(F.lit(0), other - 1)).alias("_theirs")
+    ).select(
+        "id", "v", "keys", "side", "tab", "bucket", "g",
+        F.when(F.col("side") == 0, F.col("_mine")).otherwise(F.col("_theirs")).alias("i"),
+        F.when(F.col("side") == 0, F.col("_theirs")).otherwise(F.col("_mine")).alias("j"),
+    )
+
+    def compare(tile: pa.Table) -> pa.Table:
+        def matrix(name: str, part: pa.Table) -> np.ndarray:
+            flat = part[name].combine_chunks().flatten().to_numpy(zero_copy_only=False)
+            return flat.reshape(part.num_rows, -1)
+
+        side = tile["side"].to_numpy()
+        one, two = tile.filter(pa.array(side == 0)), tile.filter(pa.array(side == 1))
+        empty = pa.table({"a": pa.array([], pa.string()), "b": pa.array([], pa.string()), "similarity": pa.array([], pa.float64())})
+        if not one.num_rows or not two.num_rows:
+            return empty
+        sims = matrix("v", one) @ matrix("v", two).T
+        x, y = np.nonzero(sims > above - 1e-6)
+        value = sims[x, y]
+        rounded = np.round(value, 9)
+        ok = rounded >= above if at_least else rounded > above
+        a, b = one["id"].to_numpy()[x], two["id"].to_numpy()[y]
+        if same_table:
+            ok &= np.fromiter((p < q for p, q in zip(a, b)), bool, len(a))
+        x, y, value, a, b = x[ok], y[ok], value[ok], a[ok], b[ok]
+        if not len(x):
+            return empty
+        shared = matrix("keys", one)[x] == matrix("keys", two)[y]
+        first = shared.argmax(axis=1) == tile["tab"][0].as_py()
+        return pa.table(
+            {
+                "a": pa.array(a[first], pa.string()),
+                "b": pa.array(b[first], pa.string()),
+                "similarity": pa.array(value[first], pa.float64()),
+            }
+        )
 
-    first = F.array_position(F.zip_with("l_keys", "r_keys", lambda a, b: a == b), True) - 1
-    met = spread(left, "l").join(spread(right, "r"), ["_table", "_key"]).filter(F.col("_table") == first)
-    if extra is not None:
-        met = met.filter(extra)
-    return met.withColumn("similarity", F.round(dot(F.col("l_v"), F.col("r_v")), 9)).filter(similarity)
+    return tiled.groupBy("tab", "bucket", "g", "i", "j").applyInArrow(compare, "a string, b string, similarity double")
 
 
 def similar_pairs(vectors: DataFrame, key: str, above: float, params: Params = DEFAULT) -> DataFrame:
@@ -56,16 +116,13 @@ def similar_pairs(vectors: DataFrame, key: str, above: float, params: Params = D
     Columns a, b (smallest ids of the two vectors, a before b), copies of each,
     similarity.  Equal vectors are one row here; ``fold_copies`` names the group.
     """
-    folded = fold_copies(vectors, key)
-    plan = key_plan(folded.count(), above, params.miss_probability)
-    keyed = _keyed(folded, plan, params.seed)
-    pairs = _met(keyed, keyed, F.col("similarity") > above, F.col("l_id") < F.col("r_id"))
-    return pairs.select(
-        F.col("l_id").alias("a"),
-        F.col("r_id").alias("b"),
-        F.col("l_copies").alias("copies_a"),
-        F.col("r_copies").alias("copies_b"),
-        "similarity",
+    folded = durable(fold_copies(vectors, key).withColumn("g", F.lit("")))
+    pairs = _matches(folded.select("id", "v", "g"), None, folded.count(), above, False, True, params)
+    copies = folded.select("id", "copies")
+    return (
+        pairs.join(copies.select(F.col("id").alias("a"), F.col("copies").alias("copies_a")), "a")
+        .join(copies.select(F.col("id").alias("b"), F.col("copies").alias("copies_b")), "b")
+        .select("a", "b", "copies_a", "copies_b", "similarity")
     )
 
 
@@ -82,24 +139,23 @@ def nearest_above(
     """Nearest base vector per query with cosine above the threshold, ties to the smaller id.
 
     Queries with none do not appear.  ``same`` names a column that must be equal
-    on both sides; it becomes part of the join key.
+    on both sides; it becomes part of the grouping.  Equal queries are looked up once.
     """
-    group = [F.coalesce(F.col(same).cast("string"), F.lit(""))] if same else [F.lit("")]
-
-    def fold(side: DataFrame, key: str) -> DataFrame:
-        return settled(side, {"v": direction(F.col("embedding"))}).select(key, "v", group[0].alias("g"))
-
-    q_rows = fold(queries, query_id)
-    b = fold(base, base_id).groupBy("v", "g").agg(F.min(base_id).alias("id"))
-    q = q_rows.select("v", "g").distinct()
-    plan = key_plan(b.count(), above, params.miss_probability)
-    passed = F.col("similarity") >= above if at_least else F.col("similarity") > above
-    pairs = _met(_keyed(q, plan, params.seed), _keyed(b, plan, params.seed), passed, F.col("l_g") == F.col("r_g"))
-    best = pairs.groupBy("l_v", "l_g").agg(F.min(F.struct((-F.col("similarity")).alias("far"), F.col("r_id").alias("id"))).alias("best"))
-    found = best.select(
-        F.col("l_v").alias("v"), F.col("l_g").alias("g"), F.col("best.id").alias(base_id), (-F.col("best.far")).alias("similarity")
+    group = F.coalesce(F.col(same).cast("string"), F.lit("")) if same else F.lit("")
+
+    def directed(side: DataFrame, key: str) -> DataFrame:
+        return settled(side, {"v": direction(F.col("embedding"))}).select(F.col(key).alias("id"), "v", group.alias("g"))
+
+    asked = durable(directed(queries, query_id))
+    folded = asked.groupBy("v", "g").agg(F.min("id").alias("id"))
+    known = durable(directed(base, base_id).groupBy("v", "g").agg(F.min("id").alias("id")))
+    pairs = _matches(folded, known, known.count(), above, at_least, False, params)
+    ranked = F.struct((-F.round("similarity", 9)).alias("far"), F.col("b").alias("b"), "similarity")
+    best = pairs.groupBy("a").agg(F.min(ranked).alias("best")).select(
+        F.col("a").alias("id"), F.col("best.b").alias(base_id), F.col("best.similarity").alias("similarity")
     )
-    return q_rows.join(found, ["v", "g"]).select(query_id, base_id, "similarity")
+    found = folded.join(best, "id").select("v", "g", base_id, "similarity")
+    return asked.join(found, ["v", "g"]).select(F.col("id").alias(query_id), base_id, "similarity")
 
 
 def match_or_new(beliefs: DataFrame, nearest: DataFrame) -> DataFrame:
@@ -109,71 +165,79 @@ def match_or_new(beliefs: DataFrame, nearest: DataFrame) -> DataFrame:
 
 # --- texts -----------------------------------------------------------------------
 
-GRAM = 2
-
-
 def _allowed(length: Column, ratio: float) -> Column:
     """Most edits two texts may differ by, the longer having ``length`` characters."""
     return F.floor(length * (1.0 - ratio) + 1e-9).cast("int")
 
 
+def gram_size(ratio: float) -> int:
+    """Longest grams for which any two texts within the ratio still share one.
+
+    e edits change at most q*e of the n - q + 1 grams of a text of n characters.
+    """
+    def safe(q: int) -> bool:
+        edits = ((n, math.floor(n * (1.0 - ratio) + 1e-9)) for n in range(1, 2000))
+        return all(n - q + 1 - q * e >= 1 for n, e in edits if e)
+
+    return next(q for q in (4, 3, 2, 1) if q == 1 or safe(q))
+
+
 def fuzzy_pairs(texts: DataFrame, params: Params = DEFAULT) -> DataFrame:
     """Pairs of distinct texts with Levenshtein ratio at or above the threshold.
 
     ``texts`` has one row per distinct ``norm_text`` and its ``canonical_id``.
-    e edits change at most GRAM*e grams, so two texts within e edits of each
-    other share one of their GRAM*e + 1 rarest grams.  Joining on those alone
-    loses no pair, and a gram that very many texts hold is among the rarest of
-    almost none.  Texts that differ in negation never pair.
+    e edits change at most q*e grams of q characters, so two texts within e edits of
+    each other share one of their q*e + 1 rarest grams.  Joining on those alone loses
+    no pair, and a gram that very many texts hold is among the rarest of almost none.
+    Texts that differ in negation never pair.
     """
-    ratio = params.fuzzy_ratio
+    ratio, q = params.fuzzy_ratio, gram_size(params.fuzzy_ratio)
     words = F.split("norm_text", " ")
-    base = texts.select(
-        F.col("canonical_id").alias("id"),
-        F.col("norm_text").alias("t"),
-        F.length("norm_text").alias("n"),
-        negation_parity(words, params).alias("parity"),
-    ).filter(F.col("n") > 0)
-    # a text of one character has no gram; it can only equal itself
-    grams = F.transform(F.sequence(F.lit(1), F.col("n") - (GRAM - 1)), lambda i: F.substring(F.col("t"), i, F.lit(GRAM)))
+    base = durable(
+        texts.select(
+            F.col("canonical_id").alias("id"),
+            F.col("norm_text").alias("t"),
+            F.length("norm_text").alias("n"),
+            negation_parity(words, params).alias("parity"),
+        ).filter(F.col("n") >= q)
+    )
+    grams = F.transform(F.sequence(F.lit(1), F.col("n") - (q - 1)), lambda i: F.substring(F.col("t"), i, F.lit(q)))
     counted = (
-        base.filter(F.col("n") >= GRAM)
-        .select("id", F.explode(grams).alias("g"))
+        base.select("id", F.explode(grams).alias("g"))
         .groupBy("id", "g")
         .agg(F.count(F.lit(1)).cast("int").alias("times"))
-        # the k-th occurrence of a gram in a text counts as a gram of its own
+        # the k-th occurrence of a gram in a text counts as a gram of its own; two
+        # grams with one hash only bring a pair that the check below turns away
         .select("id", "g", F.explode(F.sequence(F.lit(1), F.col("times"))).alias("k"))
+        .select("id", F.xxhash64("g", "k").alias("gram"))
     )
-    rarity = counted.groupBy("g", "k").agg(F.count(F.lit(1)).alias("df"))
-    ranked = counted.join(rarity, ["g", "k"]).groupBy("id").agg(
-        F.array_sort(F.collect_list(F.struct("df", "g", "k"))).alias("grams")
+    rarity = counted.groupBy("gram").agg(F.count(F.lit(1)).alias("df"))
+    ranked = counted.join(rarity, "gram").groupBy("id").agg(
+        F.array_sort(F.collect_list(F.struct("df", "gram"))).alias("grams")
     )
     # the other text may be longer and so allow more edits
-    longest = F.floor(F.col("n") / ratio + 1e-9).cast("int")
+    longest = F.greatest(F.col("n"), F.floor(F.col("n") / ratio + 1e-9).cast("int"))
     need = F.array_max(
-        F.transform(
-            F.sequence(F.col("n"), F.greatest(F.col("n"), longest)),
-            lambda m: _allowed(m, ratio) * GRAM + 1 - (m - F.col("n")),
-        )
+        F.transform(F.sequence(F.col("n"), longest), lambda m: _allowed(m, ratio) * q + 1 - (m - F.col("n")))
     )
-    prefix = base.join(ranked, "id").withColumn("pre", F.slice("grams", F.lit(1), F.greatest(F.lit(1), need))).drop("grams")
+    rarest = F.transform(F.slice("grams", F.lit(1), F.greatest(F.lit(1), need)), lambda x: x["gram"])
+    prefix = durable(base.join(ranked, "id").select("id", "t", "n", "parity", rarest.alias("pre")))
 
     def spread(mark: str) -> DataFrame:
         cols = [F.col(c).alias(f"{mark}_{c}") for c in prefix.columns]
         return prefix.select(*cols, F.explode("pre").alias("_gram"), F.col("parity").alias("_parity"))
 
     n_max = F.greatest("l_n", "r_n")
-    edits = F.levenshtein(F.col("l_t"), F.col("r_t"))
     met = (
         spread("l")
         .join(spread("r"), ["_gram", "_parity"])
         .filter(F.col("l_id") < F.col("r_id"))
         .filter(n_max - F.least("l_n", "r_n") <= _allowed(n_max, ratio))
+        # a pair that shares several grams is checked at one of them
         .filter(F.array_min(F.array_intersect("l_pre", "r_pre")) == F.col("_gram"))
-        .withColumn("edits", edits)
-        .filter(F.col("edits") <= _allowed(n_max, ratio))
     )
-    return met.select(
+    checked = settled(met, {"edits": F.levenshtein(F.col("l_t"), F.col("r_t"))})
+    return checked.filter(F.col("edits") <= _allowed(n_max, ratio)).select(
         F.col("l_id").alias("a"),
         F.col("r_id").alias("b"),
         F.col("l_t").alias("text_a"),

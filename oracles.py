@@ -544,10 +544,10 @@ cluster_ctes("ea", "early", "early", "0.3")
 centroid_cte("ea_c", "ea_m", "ea_v", "ea_m ea_v")
 cte("late_v", "late", canonical_vectors("late"))
 cte("assigned", "late_v ea_c", """
-SELECT canonical_id, arg_min(cluster_id, (-s, cluster_id)) AS cluster_id, max(s) AS s FROM (
- SELECT canonical_id, cluster_id, round(list_cosine_similarity(l.v, c.v), 9) AS s FROM (SELECT DISTINCT ON (v) v FROM late_v) l, ea_c c WHERE list_cosine_similarity(l.v, c.v) > 0.7)
+SELECT canonical_id, arg_min(cluster_id, (-round(s,9), cluster_id)) AS cluster_id, max(s) AS s FROM (
+ SELECT l.v, cluster_id, list_cosine_similarity(l.v, c.v) AS s FROM (SELECT DISTINCT v FROM late_v) l, ea_c c WHERE list_cosine_similarity(l.v, c.v) > 0.7)
  x JOIN late_v USING (v) GROUP BY 1
-""".replace("SELECT canonical_id, cluster_id, round", "SELECT l.v, cluster_id, round"))
+""")
 oracle("f2_assigned", "assigned", "SELECT canonical_id, cluster_id, round(1 - s, 6) AS distance FROM assigned")
 cte("left_v", "late_v assigned", "SELECT * FROM late_v WHERE canonical_id NOT IN (SELECT canonical_id FROM assigned)")
 cluster_ctes("left", "left_v", "left_v", "0.3")
@@ -584,11 +584,11 @@ oracle("g2_custom_flags", "own_tiers", "SELECT cluster_id, ontology_level, votes
 oracle("g3_tier_distribution", "tiers", "SELECT ontology_level, count(*) AS clusters FROM tiers GROUP BY 1")
 cte("nodes", "tiers cl_c", """
 SELECT t.*, p.parent AS parent_cluster_id, p.s AS parent_similarity FROM tiers t LEFT JOIN (
- SELECT cluster_id, arg_min(parent, (-s, parent)) AS parent, max(s) AS s FROM (
-  SELECT x.cluster_id, y.cluster_id AS parent, round(list_cosine_similarity(cx.v, cy.v), 9) AS s
+ SELECT cluster_id, arg_min(parent, (-round(s,9), parent)) AS parent, max(s) AS s FROM (
+  SELECT x.cluster_id, y.cluster_id AS parent, list_cosine_similarity(cx.v, cy.v) AS s
   FROM (SELECT *, (SELECT max(t2.tier_ord) FROM tiers t2 WHERE t2.tier_ord < t1.tier_ord) AS target FROM tiers t1) x
   JOIN tiers y ON y.tier_ord = x.target JOIN cl_c cx ON cx.cluster_id = x.cluster_id JOIN cl_c cy ON cy.cluster_id = y.cluster_id)
- WHERE s >= 0.35 GROUP BY 1) p USING (cluster_id)
+ WHERE round(s,9) >= 0.35 GROUP BY 1) p USING (cluster_id)
 """)
 oracle("g4_parents", "nodes", "SELECT cluster_id, ontology_level, parent_cluster_id, round(parent_similarity,6) AS parent_similarity FROM nodes")
 cte("tree", "nodes", """tree(cluster_id, ontology_level, parent_cluster_id, depth, path) AS (
