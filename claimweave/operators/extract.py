@@ -59,6 +59,18 @@ def first_items(utterances: DataFrame, n: int = 10) -> DataFrame:
     return utterances.withColumn("item_no", F.row_number().over(w)).filter(F.col("item_no") <= n)
 
 
+def spread(utterances: DataFrame) -> DataFrame:
+    """Even out the utterances before work that is dear per row.
+
+    One transcript file may be one input task, but its utterances mean hours of
+    model time.  The number of partitions is fixed, so that adaptive execution does
+    not merge them for being small in bytes; the key is the one the answers are
+    joined back on.
+    """
+    wanted = int(utterances.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return utterances.repartition(wanted, "utterance_id")
+
+
 CALL_SCHEMA = "utterance_id string, response string, error string, tokens bigint, latency double"
 
 

@@ -52,7 +52,7 @@ class Conversations:
 
     @cached_property
     def answers(self) -> DataFrame:
-        return self.answer(self.atomic)
+        return self.answer(extract.spread(self.atomic))
 
     @cached_property
     def read(self) -> DataFrame:

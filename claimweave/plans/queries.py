@@ -415,7 +415,7 @@ def _counting_model(frame: pd.DataFrame) -> pd.DataFrame:
 
 @query
 def d3_model_calls(t: Inputs) -> DataFrame:
-    return extract.call_model(t.chain.atomic.select("utterance_id", "text"), _counting_model).select(
+    return extract.call_model(extract.spread(t.chain.atomic).select("utterance_id", "text"), _counting_model).select(
         "utterance_id", "response", "error", "tokens"
     )
 
