@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import math
 from functools import lru_cache
 
@@ -9,6 +10,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from claimweave.functions.settle import settled
 
@@ -31,9 +33,18 @@ def unit(v: Column) -> Column:
     return F.get(scaled, F.lit(0))
 
 
-def direction(v: Column) -> Column:
-    """The unit vector without its last bits, so that copies become equal."""
-    return F.transform(unit(v), lambda x: F.round(x, 12) + 0.0)
+_DIRECTION = T.StructType([T.StructField("v", T.ArrayType(T.DoubleType())), T.StructField("k", T.StringType())])
+
+
+@F.pandas_udf(_DIRECTION)
+def direction(v: pd.Series) -> pd.DataFrame:
+    """The unit vector without its last bits, and a hash of it that copies share."""
+    if not len(v):
+        return pd.DataFrame({"v": [], "k": []}, dtype=object)
+    m = np.stack(v.to_numpy()).astype(float)
+    length = np.linalg.norm(m, axis=1, keepdims=True)
+    m = np.round(m / np.where(length > 0, length, 1.0), 12) + 0.0
+    return pd.DataFrame({"v": list(m), "k": [hashlib.md5(row.tobytes()).hexdigest() for row in m]})
 
 
 def with_token_vector(rows: DataFrame, words: Column, name: str = "embedding", dims: int = 64) -> DataFrame:

@@ -6,10 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from claimweave.functions.ordered import pages
-from claimweave.functions.settle import settled
-from claimweave.functions.vectors import direction, dot, unit
+from claimweave.functions.vectors import dot, unit
 from claimweave.operators.groups import components, with_singletons
-from claimweave.operators.similar import nearest_above, similar_pairs
+from claimweave.operators.similar import directed, nearest_above, pairs_of, similar_pairs
 from claimweave.params import DEFAULT, Params
 
 
@@ -19,17 +18,13 @@ def close_pairs(vectors: DataFrame, distance: float, params: Params = DEFAULT) -
     return pairs.withColumn("distance", 1 - F.col("similarity")).drop("similarity")
 
 
-def _copies(vectors: DataFrame) -> DataFrame:
-    """canonical_id -> smallest canonical_id with the same vector."""
-    v = settled(vectors.select("canonical_id", "embedding"), {"v": direction(F.col("embedding"))})
-    return v.join(v.groupBy("v").agg(F.min("canonical_id").alias("vector_id")), "v").select("canonical_id", "vector_id")
-
-
 def link_clusters(vectors: DataFrame, distance: float, params: Params = DEFAULT) -> DataFrame:
     """(canonical_id, cluster_id): single linkage below ``distance``, over all vectors."""
-    groups = components(close_pairs(vectors, distance, params).select("a", "b"))
-    named = with_singletons(_copies(vectors), "vector_id", groups)
-    return named.select("canonical_id", F.md5("group_id").alias("cluster_id"))
+    rows = directed(vectors, "canonical_id")
+    groups = components(pairs_of(rows, 1 - distance, params).select("a", "b"))
+    copies = rows.groupBy("k").agg(F.min("id").alias("vector_id"))
+    named = with_singletons(copies, "vector_id", groups).withColumn("cluster_id", F.md5("group_id"))
+    return rows.join(named.select("k", "cluster_id"), "k").select(F.col("id").alias("canonical_id"), "cluster_id")
 
 
 def centroids(membership: DataFrame, vectors: DataFrame) -> DataFrame:

@@ -27,10 +27,17 @@ def embed_text(rows: DataFrame, words: Column, dims: int = 64) -> DataFrame:
     return with_token_vector(rows, words, "embedding", dims)
 
 
-def fold_copies(vectors: DataFrame, key: str) -> DataFrame:
-    """One row per distinct direction: smallest id and number of copies."""
-    rows = settled(vectors.select(key, "embedding"), {"v": direction(F.col("embedding"))})
-    return rows.groupBy("v").agg(F.min(key).alias("id"), F.count(F.lit(1)).alias("copies"))
+def directed(vectors: DataFrame, key: str, group: Column | None = None) -> DataFrame:
+    """(id, v, k, g): each vector at unit length with a hash that its copies share."""
+    turned = vectors.select(F.col(key).alias("id"), direction("embedding").alias("_d"), (F.lit("") if group is None else group).alias("g"))
+    return durable(turned.select("id", "_d.v", "_d.k", "g"))
+
+
+def fold_copies(rows: DataFrame) -> DataFrame:
+    """One row per distinct vector of ``directed`` rows: smallest id and number of copies."""
+    return rows.groupBy("k", "g").agg(
+        F.min("id").alias("id"), F.any_value("v").alias("v"), F.count(F.lit(1)).alias("copies")
+    )
 
 
 TILE = 1024  # rows of either side that one call compares at once
@@ -116,7 +123,12 @@ def similar_pairs(vectors: DataFrame, key: str, above: float, params: Params = D
     Columns a, b (smallest ids of the two vectors, a before b), copies of each,
     similarity.  Equal vectors are one row here; ``fold_copies`` names the group.
     """
-    folded = durable(fold_copies(vectors, key).withColumn("g", F.lit("")))
+    return pairs_of(directed(vectors, key), above, params)
+
+
+def pairs_of(rows: DataFrame, above: float, params: Params = DEFAULT) -> DataFrame:
+    """``similar_pairs`` of rows that are ``directed`` already."""
+    folded = durable(fold_copies(rows))
     pairs = _matches(folded.select("id", "v", "g"), None, folded.count(), above, False, True, params)
     copies = folded.select("id", "copies")
     return (
@@ -143,19 +155,16 @@ def nearest_above(
     """
     group = F.coalesce(F.col(same).cast("string"), F.lit("")) if same else F.lit("")
 
-    def directed(side: DataFrame, key: str) -> DataFrame:
-        return settled(side, {"v": direction(F.col("embedding"))}).select(F.col(key).alias("id"), "v", group.alias("g"))
-
-    asked = durable(directed(queries, query_id))
-    folded = asked.groupBy("v", "g").agg(F.min("id").alias("id"))
-    known = durable(directed(base, base_id).groupBy("v", "g").agg(F.min("id").alias("id")))
+    asked = directed(queries, query_id, group)
+    folded = fold_copies(asked)
+    known = durable(fold_copies(directed(base, base_id, group)))
     pairs = _matches(folded, known, known.count(), above, at_least, False, params)
     ranked = F.struct((-F.round("similarity", 9)).alias("far"), F.col("b").alias("b"), "similarity")
     best = pairs.groupBy("a").agg(F.min(ranked).alias("best")).select(
         F.col("a").alias("id"), F.col("best.b").alias(base_id), F.col("best.similarity").alias("similarity")
     )
-    found = folded.join(best, "id").select("v", "g", base_id, "similarity")
-    return asked.join(found, ["v", "g"]).select(F.col("id").alias(query_id), base_id, "similarity")
+    found = folded.join(best, "id").select("k", "g", base_id, "similarity")
+    return asked.join(found, ["k", "g"]).select(F.col("id").alias(query_id), base_id, "similarity")
 
 
 def match_or_new(beliefs: DataFrame, nearest: DataFrame) -> DataFrame:
@@ -223,25 +232,33 @@ def fuzzy_pairs(texts: DataFrame, params: Params = DEFAULT) -> DataFrame:
     rarest = F.transform(F.slice("grams", F.lit(1), F.greatest(F.lit(1), need)), lambda x: x["gram"])
     prefix = durable(base.join(ranked, "id").select("id", "t", "n", "parity", rarest.alias("pre")))
 
-    def spread(mark: str) -> DataFrame:
+    # lengths in bands that grow by the ratio: the longer text of a pair lies in the
+    # band of the shorter one or in the next
+    def band(n: Column) -> Column:
+        return F.floor(F.log(n.cast("double")) / math.log(1 / ratio) + 1e-9).cast("int") if ratio < 1 else n
+
+    def spread(mark: str, bands: Column) -> DataFrame:
         cols = [F.col(c).alias(f"{mark}_{c}") for c in prefix.columns]
-        return prefix.select(*cols, F.explode("pre").alias("_gram"), F.col("parity").alias("_parity"))
+        return prefix.select(*cols, F.explode("pre").alias("_gram"), F.col("parity").alias("_parity"), bands.alias("_bands")).select(
+            "*", F.explode("_bands").alias("_band")
+        ).drop("_bands")
 
-    n_max = F.greatest("l_n", "r_n")
+    n_max = F.col("l_n")
     met = (
-        spread("l")
-        .join(spread("r"), ["_gram", "_parity"])
-        .filter(F.col("l_id") < F.col("r_id"))
-        .filter(n_max - F.least("l_n", "r_n") <= _allowed(n_max, ratio))
+        spread("l", F.array(band(F.col("n"))))
+        .join(spread("r", F.sequence(band(F.col("n")), band(longest))), ["_gram", "_parity", "_band"])
+        .filter((F.col("l_n") > F.col("r_n")) | ((F.col("l_n") == F.col("r_n")) & (F.col("l_id") < F.col("r_id"))))
+        .filter(n_max - F.col("r_n") <= _allowed(n_max, ratio))
         # a pair that shares several grams is checked at one of them
         .filter(F.array_min(F.array_intersect("l_pre", "r_pre")) == F.col("_gram"))
     )
     checked = settled(met, {"edits": F.levenshtein(F.col("l_t"), F.col("r_t"))})
+    swap = F.col("l_id") > F.col("r_id")
     return checked.filter(F.col("edits") <= _allowed(n_max, ratio)).select(
-        F.col("l_id").alias("a"),
-        F.col("r_id").alias("b"),
-        F.col("l_t").alias("text_a"),
-        F.col("r_t").alias("text_b"),
+        F.least("l_id", "r_id").alias("a"),
+        F.greatest("l_id", "r_id").alias("b"),
+        F.when(swap, F.col("r_t")).otherwise(F.col("l_t")).alias("text_a"),
+        F.when(swap, F.col("l_t")).otherwise(F.col("r_t")).alias("text_b"),
         (1 - F.col("edits") / n_max).alias("ratio"),
     )
 
