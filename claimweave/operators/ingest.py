@@ -98,6 +98,16 @@ def episodes(utterances_or_lines: DataFrame, run_date: str, folder: str = "") ->
     )
 
 
+def number_episodes(lines: DataFrame) -> DataFrame:
+    """Add ``episode_seq``, 0, 1, 2, ... in the order of the episode ids, without gaps.
+
+    Only the distinct ids are numbered.  Callers with dates bring their own numbers.
+    """
+    ids = lines.select("episode_id").distinct()
+    ranked = numbered(ids, [], ["episode_id"], F.substring("episode_id", 1, 8), "_n")
+    return lines.join(ranked.select("episode_id", (F.col("_n") - 1).alias("episode_seq")), "episode_id")
+
+
 def line_counts(lines: DataFrame) -> DataFrame:
     """Per episode: lines read (with blank ones), accepted, rejected."""
     parsed = parse_lines(lines).groupBy("episode_id").agg(

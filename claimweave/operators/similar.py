@@ -275,12 +275,13 @@ def opposed_pairs(canonicals: DataFrame, at_least: float, params: Params = DEFAU
     share a word among the first n - ceil(s*n) + 1 rarest, so no pair is lost.
     """
     words = F.split("norm_text", " ")
-    sets = canonicals.select(
-        "canonical_id", content_words(words, params).alias("words"), negation_parity(words, params).alias("parity")
+    sets = settled(
+        canonicals.select("canonical_id", "norm_text"),
+        {"words": content_words(words, params), "parity": negation_parity(words, params)},
     ).filter(F.size("words") > 0)
-    bags = sets.groupBy("words", "parity").agg(F.count(F.lit(1)).alias("members")).withColumn(
-        "bag", F.md5(F.concat_ws("|", F.col("parity").cast("string"), F.array_join("words", " ")))
-    )
+    bag = F.md5(F.concat_ws("|", F.col("parity").cast("string"), F.array_join("words", " ")))
+    sets = durable(settled(sets, {"bag": bag}).drop("norm_text"))
+    bags = sets.groupBy("bag").agg(F.any_value("words").alias("words"), F.any_value("parity").alias("parity"))
     rarity = bags.select(F.explode("words").alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("df"))
     order = (
         bags.select("bag", F.explode("words").alias("w"))
@@ -290,9 +291,9 @@ def opposed_pairs(canonicals: DataFrame, at_least: float, params: Params = DEFAU
     )
     n = F.size("words")
     keep = n - F.ceil(n * at_least - 1e-9).cast("int") + 1
-    ready = bags.join(order, "bag").withColumn(
-        "pre", F.transform(F.slice("rare", F.lit(1), keep), lambda x: x["w"])
-    ).drop("rare", "members")
+    ready = durable(
+        bags.join(order, "bag").withColumn("pre", F.transform(F.slice("rare", F.lit(1), keep), lambda x: x["w"])).drop("rare")
+    )
 
     def spread(mark: str, parity: int) -> DataFrame:
         cols = [F.col(c).alias(f"{mark}_{c}") for c in ready.columns]
@@ -309,9 +310,7 @@ def opposed_pairs(canonicals: DataFrame, at_least: float, params: Params = DEFAU
         .filter(F.col("score") >= at_least)
         .select("l_bag", "r_bag", "score")
     )
-    members = sets.select(
-        "canonical_id", F.md5(F.concat_ws("|", F.col("parity").cast("string"), F.array_join("words", " "))).alias("bag")
-    )
+    members = sets.select("canonical_id", "bag")
     left = members.select(F.col("bag").alias("l_bag"), F.col("canonical_id").alias("x"))
     right = members.select(F.col("bag").alias("r_bag"), F.col("canonical_id").alias("y"))
     return met.join(left, "l_bag").join(right, "r_bag").select(

@@ -28,7 +28,7 @@ class Conversations:
     answer: object
     params: Params = DEFAULT
     run_date: str = "2024-01-01"
-    keep: bool = False  # write the mentions once, when several steps read them
+    keep: bool = False  # write mentions, canonicals and cells once, when several steps read them
 
     @cached_property
     def parsed(self) -> DataFrame:
@@ -78,7 +78,8 @@ class Conversations:
 
     @cached_property
     def canonicals(self) -> DataFrame:
-        return canonical.summaries(self.mentions)
+        rows = canonical.summaries(self.mentions)
+        return durable(rows) if self.keep else rows
 
     @cached_property
     def close_forms(self) -> DataFrame:
@@ -95,7 +96,8 @@ class Conversations:
 
     @cached_property
     def cells(self) -> DataFrame:
-        return matrix.weights(self.mentions)
+        rows = matrix.weights(self.mentions)
+        return durable(rows) if self.keep else rows
 
     @cached_property
     def opposed(self) -> DataFrame:

@@ -46,6 +46,12 @@ def test_split_reading_numbers_lines_like_whole_files(spark, folder):
     assert max(n for e, n, _ in got if e == "ep_0") == 40 + 13  # texts and blank lines
 
 
+def test_episodes_are_numbered_without_gaps(spark, folder):
+    write_transcripts(folder)
+    rows = ingest.number_episodes(transcripts.read_lines(spark, f"{folder}/in")).select("episode_id", "episode_seq").distinct().collect()
+    assert sorted(map(tuple, rows)) == [(f"ep_{i}", i) for i in range(5)]
+
+
 def test_stream_over_triggers_and_restart_equals_batch(spark, folder):
     write_transcripts(folder)
     lines = lambda: transcripts.stream_lines(spark, f"{folder}/in", 2)
