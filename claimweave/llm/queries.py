@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from claimweave.llm import chat, mixing, ring
+from claimweave.llm import chat, langid, mixing, packing, records, ring, tokens
 from claimweave.llm.base import table
 from claimweave.session import tune
 
@@ -22,16 +22,42 @@ def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession
     return run
 
 
+def word_bpe() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+@query
+def op1_language(spark: SparkSession, folder: str) -> DataFrame:
+    return langid.predict_documents(table(spark, folder, "documents"))
+
+
+@query
+def op2_tokens(spark: SparkSession, folder: str) -> DataFrame:
+    return tokens.count_tokens(table(spark, folder, "documents"), word_bpe())
+
+
 @query
 def op4_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return ring.shard_documents(table(spark, folder, "documents"))
 
 
+@query
+def op5_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack_documents(table(spark, folder, "documents"), word_bpe())
+
+
 @query
 def op7_chat(spark: SparkSession, folder: str) -> DataFrame:
     return chat.chat_digests(chat.with_probe(table(spark, folder, "conversations")))
 
 
+@query
+def op8_records(spark: SparkSession, folder: str) -> DataFrame:
+    return records.record_digests(table(spark, folder, "documents"), word_bpe())
+
+
 @query
 def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix_report(table(spark, folder, "documents"))
