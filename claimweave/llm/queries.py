@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from claimweave.llm import chat, langid, mixing, packing, records, ring, tokens
+from claimweave.llm import chat, langid, mixing, packing, partenum, records, ring, tokens
 from claimweave.llm.base import table
 from claimweave.session import tune
 
@@ -48,6 +48,11 @@ def op5_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(table(spark, folder, "documents"), word_bpe())
 
 
+@query
+def op6_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    return partenum.jaccard_groups(table(spark, folder, "documents"))
+
+
 @query
 def op7_chat(spark: SparkSession, folder: str) -> DataFrame:
     return chat.chat_digests(chat.with_probe(table(spark, folder, "conversations")))
