@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from claimweave.llm import chat, langid, mixing, packing, partenum, records, ring, tokens
+from claimweave.llm import chat, itq, langid, mixing, packing, partenum, projections, records, ring, tokens
 from claimweave.llm.base import table
 from claimweave.session import tune
 
@@ -38,6 +38,11 @@ def op2_tokens(spark: SparkSession, folder: str) -> DataFrame:
     return tokens.count_tokens(table(spark, folder, "documents"), word_bpe())
 
 
+@query
+def op3_near_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    return itq.near_vectors(table(spark, folder, "embeddings"))
+
+
 @query
 def op4_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return ring.shard_documents(table(spark, folder, "documents"))
@@ -66,3 +71,8 @@ def op8_records(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix_report(table(spark, folder, "documents"))
+
+
+@query
+def op10_nearest(spark: SparkSession, folder: str) -> DataFrame:
+    return projections.nearest(table(spark, folder, "embeddings"))
