@@ -64,21 +64,20 @@ def with_token_vector(rows: DataFrame, words: Column, name: str = "embedding", d
     return settled(raw, {name: unit(F.col("_raw"))}).drop("_hashed", "_raw")
 
 
-def key_plan(rows: int, similarity: float, miss: float) -> tuple[int, int]:
-    """Bits per key and number of keys for a search above ``similarity``.
+def key_plan(similarity: float, miss: float, most: int) -> tuple[int, int]:
+    """Bits per key and number of keys for a search above ``similarity``; the same at any number of rows.
 
     A random hyperplane separates two vectors with chance angle/pi, so a pair on
     the threshold shares one key of b bits with chance (1 - angle/pi)^b.  The
-    number of keys keeps the chance of sharing none below ``miss``; the number
-    of bits is the one with the least shuffled rows plus checked pairs, where moving
-    a row costs about as much as checking two thousand pairs.
+    number of keys keeps the chance of sharing none below ``miss``; keys are as long
+    as they can be with at most ``most`` of them (one bit if even that takes more).
     """
     agree = 1.0 - math.acos(max(-1.0, min(1.0, similarity))) / math.pi
 
     def keys(bits: int) -> int:
         return max(1, math.ceil(math.log(miss) / math.log1p(-min(agree**bits, 1 - 1e-12))))
 
-    bits = min(range(2, 33), key=lambda b: keys(b) * (2000.0 + rows / 2.0**b))
+    bits = max((b for b in range(1, 33) if keys(b) <= most), default=1)
     return bits, keys(bits)
 
 

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from claimweave.functions.ordered import running
+from claimweave.functions.settle import settled
 from claimweave.params import DEFAULT, Params
 
 
@@ -34,7 +35,8 @@ def cause(message: Column) -> Column:
 def attempts(log: DataFrame, params: Params = DEFAULT) -> DataFrame:
     """Cause and wait of each failed attempt; row-local.
 
-    ``exhausted`` marks a retryable failure after the last allowed retry.
+    ``exhausted`` marks a retryable failure after the last allowed retry; ``given_up``
+    those and every failure that is not tried again.
     """
     failed = ~F.col("success")
     kind = F.when(failed, cause(F.col("error")))
@@ -47,7 +49,7 @@ def attempts(log: DataFrame, params: Params = DEFAULT) -> DataFrame:
             "wait_s": F.when(retryable & (F.col("attempt") <= params.max_retries), wait).otherwise(F.lit(0.0)),
             "exhausted": F.coalesce(retryable & (F.col("attempt") > params.max_retries), F.lit(False)),
         }
-    )
+    ).withColumn("given_up", F.col("exhausted") | (F.coalesce(F.col("cause") == "non_retryable", F.lit(False))))
 
 
 def causes(classified: DataFrame) -> DataFrame:
@@ -73,44 +75,53 @@ def budget_audit(
 ) -> DataFrame:
     """For each call: earlier calls and tokens in the trailing window, limits passed, wait due.
 
-    A call only looks back one window length, so time is cut into slices of that
-    length and each row is also lent to the next slice.  A task then holds two
-    slices of one caller instead of a caller's whole history.  ``tokens`` may be
-    an estimate in place of the logged column.
+    A call counts from its own instant until one window length later, so it is
+    added at the first and taken off just after the second, and the window's content is
+    a running sum over both kinds of events.  Running sums come in chunks of time, so
+    that a caller with very many calls is spread over many tasks.  The oldest call of
+    a window is found by its number.  ``tokens`` may be an estimate in place of the
+    logged column.
     """
-    span = params.budget_window_s
-    micros = F.unix_micros("ts")
-    slice_ = F.floor(micros / (span * 1_000_000)).cast("bigint")
+    span = params.budget_window_s * 1_000_000
     log = log if tokens is None else log.withColumn("tokens", tokens)
-    lent = log.select(
-        key, "call_id", "ts", "tokens", micros.alias("_us"), slice_.alias("_own"),
-        F.explode(F.array(slice_, slice_ + 1)).alias("_slice"),
-    )
-    back = W.partitionBy(key, "_slice").orderBy("_us").rangeBetween(-span * 1_000_000, 0)
-    # calls of the same instant with this or a later id are not earlier calls
-    tie = W.partitionBy(key, "_slice", "_us").orderBy(F.desc("call_id")).rowsBetween(W.unboundedPreceding, 0)
-    one = F.lit(1)
-    rows = lent.select(
-        "*",
-        (F.count(one).over(back) - F.count(one).over(tie)).alias("prior_requests"),
-        (F.sum("tokens").over(back) - F.sum("tokens").over(tie)).cast("bigint").alias("prior_tokens"),
-        F.min("_us").over(back).alias("_first"),
-        F.min(F.when(F.col("tokens") > 0, F.col("_us"))).over(back).alias("_first_tokens"),
-    ).filter(F.col("_slice") == F.col("_own"))
+    calls = log.select(key, "call_id", "ts", "tokens", F.unix_micros("ts").alias("_us"))
+    comes = calls.withColumns({"_at": F.col("_us"), "_sign": F.lit(1)})
+    goes = calls.withColumns({"_at": F.col("_us") + span, "_sign": F.lit(-1)})
+    some = F.when(F.col("tokens") > 0, 1).otherwise(0)
+    new = F.when(F.col("_sign") > 0, 1).otherwise(0)
+    events = comes.unionByName(goes).withColumn("_last", F.col("_sign") < 0)
+    sums = {
+        "prior_requests": ("sum", F.col("_sign").cast("bigint")),
+        "prior_tokens": ("sum", F.col("_sign") * F.col("tokens")),
+        "_prior_some": ("sum", (F.col("_sign") * some).cast("bigint")),
+        "_no": ("sum", new.cast("bigint")),
+        "_some_no": ("sum", (new * some).cast("bigint")),
+    }
+    chunk = F.floor(F.col("_at") * 16 / span).cast("bigint")
+    # calls of one instant count in the order of their ids; a call leaves after all calls of an instant
+    counted = running(events, [key], ["_at", "_last", "call_id"], chunk, sums, inclusive=False).filter("_sign > 0")
     over_requests = F.col("prior_requests") >= params.budget_requests
     over_tokens = (F.col("tokens") > 0) & (F.col("prior_tokens") + F.col("tokens") > params.budget_tokens)
+    judged = settled(
+        counted,
+        {
+            "over_requests": over_requests,
+            "over_tokens": over_tokens,
+            "_oldest": F.when(over_requests, F.col("_no") - F.col("prior_requests")),
+            "_oldest_some": F.when(over_tokens, F.col("_some_no") - F.col("_prior_some")),
+        },
+    )
+    first = counted.select(key, F.col("_no").alias("_oldest"), F.col("_us").alias("_first"))
+    first_some = counted.filter("tokens > 0").select(key, F.col("_some_no").alias("_oldest_some"), F.col("_us").alias("_first_some"))
+    rows = judged.join(first, [key, "_oldest"], "left").join(first_some, [key, "_oldest_some"], "left")
 
     def due(first: Column) -> Column:
         # A tenth of a second is added to every wait.
-        return span - (F.col("_us") - first) / 1e6 + 0.1
+        return F.coalesce(params.budget_window_s - (F.col("_us") - first) / 1e6 + 0.1, F.lit(0.0))
 
-    wait = F.greatest(
-        F.when(over_requests, due(F.col("_first"))).otherwise(F.lit(0.0)),
-        F.when(over_tokens, due(F.coalesce(F.col("_first_tokens"), F.col("_us")))).otherwise(F.lit(0.0)),
-    )
     return rows.select(
-        key, "call_id", "ts", "tokens", "prior_requests", "prior_tokens",
-        over_requests.alias("over_requests"), over_tokens.alias("over_tokens"), wait.alias("wait_s"),
+        key, "call_id", "ts", "tokens", "prior_requests", "prior_tokens", "over_requests", "over_tokens",
+        F.greatest(due(F.col("_first")), due(F.col("_first_some"))).alias("wait_s"),
     )
 
 

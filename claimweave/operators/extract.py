@@ -74,36 +74,51 @@ def spread(utterances: DataFrame) -> DataFrame:
 CALL_SCHEMA = "utterance_id string, response string, error string, tokens bigint, latency double"
 
 
-def call_model(rows: DataFrame, model: Callable[[pd.DataFrame], pd.DataFrame], schema: str = CALL_SCHEMA) -> DataFrame:
-    """Run a user's callable over Arrow batches.
+def call_model(
+    rows: DataFrame, model: Callable[[pd.DataFrame], pd.DataFrame], schema: str = CALL_SCHEMA, params: Params = DEFAULT
+) -> DataFrame:
+    """Run a user's callable over batches of at most ``batch_size`` rows.
 
     ``model`` gets a frame of rows and returns a frame with the columns of
-    ``schema``.  If it fails on a batch it is tried row by row, so one bad item
-    becomes one error row and takes no others with it.
+    ``schema``.  A batch it fails on is halved until single rows are left, so one bad
+    item becomes one error row and costs its neighbours few further calls.  Every row
+    asked about has exactly one row in the result: one without an answer, or with
+    several, becomes an error row, and answers nobody asked for are left out.  The
+    result is lazy: keep it (see ``Conversations.answers``) before reading it twice.
     """
     names = [f.split()[0] for f in schema.split(", ")]
-    key = names[0]
+    # what tells rows apart: the columns asked with that come back, or the first
+    keys = [n for n in names if n in rows.columns] or names[:1]
 
-    def failed(row: pd.DataFrame, error: Exception) -> pd.DataFrame:
-        out = {n: [None] for n in names}
-        out[key] = [row[key].iloc[0]]
-        out["error"] = [str(error)]
+    def failed(asked: pd.DataFrame, error: str) -> pd.DataFrame:
+        out = {n: asked[n].tolist() if n in keys else [None] * len(asked) for n in names}
+        out["error"] = [error] * len(asked)
         if "tokens" in out:
-            out["tokens"], out["latency"] = [0], [0.0]
+            out["tokens"], out["latency"] = [0] * len(asked), [0.0] * len(asked)
         return pd.DataFrame(out)
 
-    def one(row: pd.DataFrame) -> pd.DataFrame:
+    def answered(asked: pd.DataFrame) -> list[pd.DataFrame]:
         try:
-            return model(row)[names]
-        except Exception as error:  # the row's own failure is data
-            return failed(row, error)
+            got = model(asked)[names]
+        except Exception as error:  # a single row's failure is data
+            if len(asked) == 1:
+                return [failed(asked, str(error))]
+            half = len(asked) // 2
+            return answered(asked.iloc[:half]) + answered(asked.iloc[half:])
+        ids = pd.MultiIndex.from_frame(asked[keys])
+        given = pd.MultiIndex.from_frame(got[keys])
+        several = given.duplicated(keep=False) & given.isin(ids[~ids.duplicated(keep=False)])
+        parts = [got[given.isin(ids) & ~several]]
+        if several.any():
+            parts.append(failed(asked[ids.isin(given[several])], "several answers"))
+        if not ids.isin(given).all():
+            parts.append(failed(asked[~ids.isin(given)], "no answer"))
+        return parts
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            try:
-                yield model(frame)[names]
-            except Exception:
-                yield pd.concat([one(frame.iloc[i : i + 1]) for i in range(len(frame))])
+            for i in range(0, len(frame), params.batch_size):
+                yield from answered(frame.iloc[i : i + params.batch_size])
 
     return rows.mapInPandas(run, schema)
 

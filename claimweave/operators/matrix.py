@@ -86,17 +86,22 @@ def dense_blocks(episodes: DataFrame, cells: DataFrame, params: Params = DEFAULT
     )
 
 
-def widest(cells: DataFrame, params: Params = DEFAULT) -> list[str]:
-    """Ids of the columns of the wide export: at most ``max_columns``, by total mentions, then id."""
-    top = cells.groupBy("canonical_id").agg(F.sum("frequency").alias("n")).orderBy(F.desc("n"), "canonical_id")
-    return sorted(r["canonical_id"] for r in top.limit(params.max_columns).collect())
+def csv_lines(episodes: DataFrame, cells: DataFrame, params: Params = DEFAULT) -> DataFrame:
+    """The whole matrix as lines of CSV files: (block_no, file_no, line_no, value).
 
-
-def wide(episodes: DataFrame, cells: DataFrame, ids: list[str]) -> DataFrame:
-    """One row per episode, one column per id, 0.0 where absent."""
-    kept = cells.filter(F.col("canonical_id").isin(*ids))
-    pivoted = kept.groupBy("episode_id").pivot("canonical_id", ids).agg(F.max("conviction_avg"))
-    return episodes.select("episode_id").join(pivoted, "episode_id", "left").na.fill(0.0, subset=ids)
+    Every canonical is a column of one block, 0.0 where absent; a block has
+    ``max_columns`` of them beside episode_id.  A file holds a part of the episodes
+    of one block and starts with a header, line 0.
+    """
+    blocks = dense_blocks(episodes, cells, params)
+    files = F.ceil(episodes.agg(F.countDistinct("episode_id").alias("n")).scalar() / params.csv_rows)
+    numbers = F.transform("weights", lambda w: w["conviction_avg"].cast("string"))
+    named = F.concat(F.to_csv(F.struct("episode_id")), F.lit(","), F.array_join(numbers, ","))
+    rows = blocks.select("block_no", F.pmod(F.xxhash64("episode_id"), files).cast("int").alias("file_no"), "canonical_ids", named.alias("value"))
+    heads = rows.groupBy("block_no", "file_no").agg(F.any_value("canonical_ids").alias("ids")).select(
+        "block_no", "file_no", F.lit(0).alias("line_no"), F.concat(F.lit("episode_id,"), F.array_join("ids", ",")).alias("value")
+    )
+    return rows.select("block_no", "file_no", F.lit(1).alias("line_no"), "value").unionByName(heads)
 
 
 def as_json(cells: DataFrame, params: Params = DEFAULT) -> DataFrame:

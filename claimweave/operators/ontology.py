@@ -10,8 +10,7 @@ from claimweave.functions.ordered import pages
 from claimweave.functions.settle import settled
 from claimweave.operators.similar import nearest_above
 from claimweave.params import DEFAULT, Params
-
-TIER_ORDER = list(fixed.TIERS)
+from claimweave.session import durable
 
 
 def flag_counts(flagged: DataFrame) -> DataFrame:
@@ -77,13 +76,17 @@ def parents(tiered: DataFrame, centres: DataFrame, params: Params = DEFAULT) ->
 def tree(nodes: DataFrame) -> DataFrame:
     """Depth, path from the root and number of children.
 
-    Parents lie in a higher tier, so the path has at most one node per tier and a
-    fixed number of joins reaches every root.
+    Climbs until every path has reached its root, however many tiers the rules have;
+    a node that is its own ancestor is an error.  Each step up is kept, so it is
+    one join.
     """
     up = nodes.select(F.col("cluster_id").alias("_id"), F.col("parent_cluster_id").alias("_up"))
     rows = nodes.select("cluster_id", "ontology_level", "parent_cluster_id", F.array("cluster_id").alias("path"))
     rows = rows.withColumn("_next", F.col("parent_cluster_id"))
-    for _ in range(len(TIER_ORDER) - 1):
+    rows = durable(rows)
+    while not rows.filter(F.col("_next").isNotNull()).isEmpty():
+        if not rows.filter(F.array_contains("path", F.col("_next"))).isEmpty():
+            raise ValueError("the hierarchy holds a cycle")
         rows = rows.join(up, F.col("_next") == F.col("_id"), "left").select(
             "cluster_id",
             "ontology_level",
@@ -91,6 +94,7 @@ def tree(nodes: DataFrame) -> DataFrame:
             F.when(F.col("_next").isNotNull(), F.array_prepend("path", F.col("_next"))).otherwise(F.col("path")).alias("path"),
             F.col("_up").alias("_next"),
         )
+        rows = durable(rows)
     children = nodes.filter(F.col("parent_cluster_id").isNotNull()).groupBy(
         F.col("parent_cluster_id").alias("cluster_id")
     ).agg(F.count(F.lit(1)).alias("children"))

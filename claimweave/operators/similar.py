@@ -28,8 +28,8 @@ def embed_text(rows: DataFrame, words: Column, dims: int = 64) -> DataFrame:
 
 
 def directed(vectors: DataFrame, key: str, group: Column | None = None) -> DataFrame:
-    """(id, v, k, g): each vector at unit length with a hash that its copies share."""
-    turned = vectors.select(F.col(key).alias("id"), direction("embedding").alias("_d"), (F.lit("") if group is None else group).alias("g"))
+    """(id, v, k, g): each vector at unit length with a hash that its copies share; NULL vectors are left out."""
+    turned = vectors.filter(F.col("embedding").isNotNull()).select(F.col(key).alias("id"), direction("embedding").alias("_d"), (F.lit("") if group is None else group).alias("g"))
     return durable(turned.select("id", "_d.v", "_d.k", "g"))
 
 
@@ -44,7 +44,7 @@ TILE = 1024  # rows of either side that one call compares at once
 
 
 def _matches(
-    left: DataFrame, right: DataFrame, rows: int, above: float, at_least: bool, same_table: bool, params: Params
+    left: DataFrame, right: DataFrame, above: float, at_least: bool, same_table: bool, params: Params
 ) -> DataFrame:
     """Pairs (a, b, similarity) of rows (id, v, g) that share a key and pass the exact check.
 
@@ -54,7 +54,7 @@ def _matches(
     pair that shares several keys is reported at the first one only, which needs no
     shuffle to remove repeats.
     """
-    bits, tables = key_plan(rows, above, params.miss_probability)
+    bits, tables = key_plan(above, params.miss_probability, params.search_keys)
     keyed = sign_keys(bits, tables, params.seed)
 
     def spread(side: DataFrame, mark: int) -> DataFrame:
@@ -100,7 +100,7 @@ def _matches(
         ok = rounded >= above if at_least else rounded > above
         a, b = one["id"].to_numpy()[x], two["id"].to_numpy()[y]
         if same_table:
-            ok &= np.fromiter((p < q for p, q in zip(a, b)), bool, len(a))
+            ok &= (a < b).astype(bool)
         x, y, value, a, b = x[ok], y[ok], value[ok], a[ok], b[ok]
         if not len(x):
             return empty
@@ -129,7 +129,7 @@ def similar_pairs(vectors: DataFrame, key: str, above: float, params: Params = D
 def pairs_of(rows: DataFrame, above: float, params: Params = DEFAULT) -> DataFrame:
     """``similar_pairs`` of rows that are ``directed`` already."""
     folded = durable(fold_copies(rows))
-    pairs = _matches(folded.select("id", "v", "g"), None, folded.count(), above, False, True, params)
+    pairs = _matches(folded.select("id", "v", "g"), None, above, False, True, params)
     copies = folded.select("id", "copies")
     return (
         pairs.join(copies.select(F.col("id").alias("a"), F.col("copies").alias("copies_a")), "a")
@@ -138,6 +138,14 @@ def pairs_of(rows: DataFrame, above: float, params: Params = DEFAULT) -> DataFra
     )
 
 
+def vector_members(vectors: DataFrame, key: str) -> DataFrame:
+    """(vector_id, member_id): the ids that ``similar_pairs`` folds into one, each with the smallest of them."""
+    rows = directed(vectors, key)
+    return rows.join(fold_copies(rows).select("k", "g", F.col("id").alias("vector_id")), ["k", "g"]).select(
+        "vector_id", F.col("id").alias("member_id")
+    )
+
+
 def nearest_above(
     queries: DataFrame,
     base: DataFrame,
@@ -158,7 +166,7 @@ def nearest_above(
     asked = directed(queries, query_id, group)
     folded = fold_copies(asked)
     known = durable(fold_copies(directed(base, base_id, group)))
-    pairs = _matches(folded, known, known.count(), above, at_least, False, params)
+    pairs = _matches(folded, known, above, at_least, False, params)
     ranked = F.struct((-F.round("similarity", 9)).alias("far"), F.col("b").alias("b"), "similarity")
     best = pairs.groupBy("a").agg(F.min(ranked).alias("best")).select(
         F.col("a").alias("id"), F.col("best.b").alias(base_id), F.col("best.similarity").alias("similarity")

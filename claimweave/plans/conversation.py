@@ -29,6 +29,7 @@ class Conversations:
     params: Params = DEFAULT
     run_date: str = "2024-01-01"
     keep: bool = False  # write mentions, canonicals and cells once, when several steps read them
+    stored: DataFrame | None = None  # answers of an earlier run: what they hold is not asked again
 
     @cached_property
     def parsed(self) -> DataFrame:
@@ -52,7 +53,12 @@ class Conversations:
 
     @cached_property
     def answers(self) -> DataFrame:
-        return self.answer(extract.spread(self.atomic))
+        """Asked for once and kept, before anything reads them; a stored answer is not asked for again."""
+        if self.stored is None:
+            return durable(self.answer(extract.spread(self.atomic)))
+        here = self.stored.join(self.atomic.select("utterance_id"), "utterance_id", "left_semi")
+        left = self.atomic.join(self.stored.select("utterance_id"), "utterance_id", "left_anti")
+        return durable(here.unionByName(self.answer(extract.spread(left)), allowMissingColumns=True))
 
     @cached_property
     def read(self) -> DataFrame:
@@ -123,7 +129,7 @@ def quality_events(c: Conversations, call_log: DataFrame | None = None, mismatch
     if call_log is not None:
         tried = call_ops.attempts(call_log, c.params)
         events = events.unionByName(quality.event(tried.filter("attempt > 1"), "retry"))
-        given_up = tried.filter("exhausted")
+        given_up = tried.filter("given_up")
         events = events.unionByName(quality.event(given_up, "api_error", F.col("call_id"), F.col("error")))
     if mismatched is not None:
         events = events.unionByName(quality.event(mismatched, "mismatch"))

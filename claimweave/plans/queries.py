@@ -154,6 +154,28 @@ def a3_a4_snapshot_round_trip(t: Inputs) -> DataFrame:
     return back.select("utterance_id", "episode_id", "speaker", "start_s", "end_s", F.md5("text").alias("text_md5"))
 
 
+@query
+def a3_smaller_rerun(t: Inputs) -> DataFrame:
+    """A run saved with all utterances and again, under its own name, with those of one role."""
+    folder, rows = t.scratch(), t.chain.utterances
+    snapshots.save(rows, folder, "utterances", "only", "2024-01-01 00:00:00")
+    snapshots.save(rows.filter("speaker = 'USER'"), folder, "utterances", "only", "2024-01-02 00:00:00")
+    return snapshots.load(t.spark, folder, "utterances").select("utterance_id", "episode_id", "speaker")
+
+
+@query
+def a6_purged(t: Inputs) -> DataFrame:
+    """Rows left in the files after the snapshots of the earlier half of the episodes were deleted."""
+    folder, rows = t.scratch(), durable(t.chain.utterances)
+    snapshots.save(rows, folder, "utterances", "one", "2024-01-01 00:00:00")
+    middle = t.table("conversations").agg(F.floor(F.max("conv_id") / 2)).scalar()
+    early = rows.filter(F.col("episode_seq") <= middle).select("episode_id").distinct()
+    gone = snapshots.manifest(t.spark, folder).join(early, "episode_id", "left_semi")
+    snapshots.delete(t.spark, folder, gone, "early")
+    snapshots.purge(t.spark, folder)
+    return t.spark.read.parquet(f"{folder}/data/phase=utterances").select("utterance_id", "episode_id")
+
+
 @query
 def a5_resume_points(t: Inputs) -> DataFrame:
     return snapshots.resume_points(t.manifest, t.chain.episodes)
@@ -188,7 +210,7 @@ def a8_report_round_trip(t: Inputs) -> DataFrame:
     folder, c = t.scratch(), t.chain
     events = durable(quality_events(c))
     report = quality.reports(quality.counters(events, c.episodes), created="2024-01-01 00:00:00")
-    stores.save_reports(quality.full_reports(report, quality.messages(events, PARAMS)), folder)
+    stores.save_reports(quality.full_reports(report, quality.messages(events, PARAMS)), folder, "one")
     back = stores.load_reports(t.spark, folder)
     return back.select(
         "episode_id", "page_no", "errors_count", "quality_score", "quality_grade",
@@ -196,16 +218,27 @@ def a8_report_round_trip(t: Inputs) -> DataFrame:
     )
 
 
+@query
+def a8_second_run(t: Inputs) -> DataFrame:
+    """Reports of all episodes, then of the later half by a second run, which adds a parsing error to each."""
+    folder, c = t.scratch(), t.chain
+    events = durable(quality_events(c))
+    middle = t.table("conversations").agg(F.floor(F.max("conv_id") / 2)).scalar()
+    late = c.episodes.filter(F.col("episode_seq") > middle)
+    more = late.select("episode_id", F.lit("parsing_error").alias("kind"), F.lit(0).cast("bigint").alias("at"), F.lit("again").alias("message"))
+    again = events.join(late.select("episode_id"), "episode_id", "left_semi").select("episode_id", "kind", "at", "message").unionByName(more)
+    for run, rows, episodes, at in (("one", events, c.episodes, "2024-01-01"), ("two", again, late, "2024-01-02")):
+        report = quality.reports(quality.counters(rows, episodes), created=f"{at} 00:00:00")
+        stores.save_reports(quality.full_reports(report, quality.messages(rows, PARAMS)), folder, run)
+    return stores.load_reports(t.spark, folder).select("episode_id", "page_no", "errors_count", "quality_score")
+
+
 @query
 def a9_matrix_csv(t: Inputs) -> DataFrame:
-    """Wide export written as CSV and read back in long form."""
+    """The whole matrix written as CSV files, block by block, and read back in long form."""
     folder, c = t.scratch(), t.chain
-    cells = durable(c.cells)
-    ids = matrix.widest(cells, PARAMS)
-    stores.write_csv(matrix.wide(c.episodes, cells, ids), folder)
-    back = t.spark.read.option("header", True).csv(folder, schema="episode_id string, " + ", ".join(f"`{i}` double" for i in ids))
-    long = back.unpivot(["episode_id"], ids, "canonical_id", "conviction_avg")
-    return long.select("episode_id", "canonical_id", r6("conviction_avg").alias("conviction_avg"))
+    stores.write_csv(matrix.csv_lines(c.episodes, durable(c.cells), PARAMS), folder)
+    return stores.read_csv(t.spark, folder).withColumn("conviction_avg", r6("conviction_avg"))
 
 
 @query
@@ -413,6 +446,34 @@ def _counting_model(frame: pd.DataFrame) -> pd.DataFrame:
     )
 
 
+def _short_model(frame: pd.DataFrame) -> pd.DataFrame:
+    """A model that answers some texts twice and leaves others out."""
+    out = _counting_model(frame[frame["text"].str.len() % 50 != 0])
+    size = frame.set_index("utterance_id")["text"].str.len().reindex(out["utterance_id"]).to_numpy()
+    return pd.concat([out[size % 7 != 0], out[size % 11 == 1]])
+
+
+@query
+def d3_short_answers(t: Inputs) -> DataFrame:
+    """Every utterance asked about has one row, whatever the model leaves out or doubles."""
+    return extract.call_model(extract.spread(t.chain.atomic).select("utterance_id", "text"), _short_model, params=PARAMS).select(
+        "utterance_id", "response", "error", "tokens"
+    )
+
+
+@query
+def d3_resumed(t: Inputs) -> DataFrame:
+    """Answers stored by an earlier run are not asked for again: they keep the mark they were stored with."""
+    c = t.chain
+    folder = t.scratch()
+    where = c.atomic.select("utterance_id", "episode_id", "speaker")
+    earlier = c.answers.join(where, "utterance_id").filter("speaker = 'USER'").withColumn("response", F.concat("response", F.lit(" ")))
+    snapshots.save(earlier, folder, "beliefs_raw", "first", "2024-01-01 00:00:00")
+    stored = snapshots.load(t.spark, folder, "beliefs_raw").select("utterance_id", "response")
+    again = Conversations(t.lines, tables.responses, PARAMS, RUN_DATE, stored=stored)
+    return again.answers.select("utterance_id", F.md5("response").alias("response_md5"))
+
+
 @query
 def d3_model_calls(t: Inputs) -> DataFrame:
     return extract.call_model(extract.spread(t.chain.atomic).select("utterance_id", "text"), _counting_model).select(
@@ -661,6 +722,12 @@ def f1_close_pairs(t: Inputs) -> DataFrame:
     return pairs.select("a", "b", "copies_a", "copies_b", r6("distance").alias("distance"))
 
 
+@query
+def f1_members(t: Inputs) -> DataFrame:
+    """Who stands behind each distinct vector of the close pairs: (vector_id, member_id)."""
+    return similar.vector_members(_vectors(t), "canonical_id")
+
+
 @query
 def f1_given_vectors(t: Inputs) -> DataFrame:
     """The given vectors with near copies: pairs above the match threshold."""
@@ -752,6 +819,17 @@ def f8_bisecting(t: Inputs) -> DataFrame:
     return cluster.bisecting(durable(_vectors(t)), 8, PARAMS)
 
 
+@query
+def f8_facts(t: Inputs) -> DataFrame:
+    """What is fixed about top-down clusters: every id once, at most 8 leaves, none empty, their sizes sum to all."""
+    v = durable(_vectors(t))
+    leaves = cluster.bisecting(v, 8, PARAMS)
+    sizes = leaves.groupBy("leaf").agg(F.count(F.lit(1)).alias("n"))
+    found = sizes.agg(F.sum("n").alias("members"), (F.count(F.lit(1)) <= 8).alias("few_leaves"), (F.min("n") > 0).alias("none_empty"))
+    once = leaves.agg(F.countDistinct("canonical_id").alias("ids")).scalar()
+    return found.select("members", once.alias("ids"), "few_leaves", "none_empty")
+
+
 @query
 def f9_metrics(t: Inputs) -> DataFrame:
     return cluster.metrics(_linked(t)[0], PARAMS).select(
@@ -781,12 +859,14 @@ def g2_tiers(t: Inputs) -> DataFrame:
     return _tiers(t, _linked(t)[0]).select("cluster_id", "ontology_level", "votes", "is_default")
 
 
+_OWN_TIERS = {"stated": ["q23_surface_opinion", "q24_factual_claim"], "deep": ["q16_first_principles", "q18_moral_framework"]}
+
+
 @query
 def g2_custom_flags(t: Inputs) -> DataFrame:
     """Tiers by a caller's own rules, here two tiers and some flags left out."""
     membership, _ = _linked(t)
-    rules = {"stated": ["q23_surface_opinion", "q24_factual_claim"], "deep": ["q16_first_principles", "q18_moral_framework"]}
-    tiered = ontology.tiers(membership.select("cluster_id").distinct(), _flag_counts(t, membership), rules)
+    tiered = ontology.tiers(membership.select("cluster_id").distinct(), _flag_counts(t, membership), _OWN_TIERS)
     return tiered.select("cluster_id", "ontology_level", "votes", "is_default")
 
 
@@ -814,6 +894,19 @@ def g5_tree(t: Inputs) -> DataFrame:
     return ontology.tree(_nodes(t)[0]).withColumn("path", F.array_join("path", "/"))
 
 
+# six tiers of a caller's own, each of one or two flags
+_SIX = {f"t{i}": flags for i, flags in enumerate([list(fixed.FLAGS)[k : k + 2] for k in range(0, 11, 2)])}
+
+
+@query
+def g5_custom_tree(t: Inputs) -> DataFrame:
+    """The tree over six tiers, with paths of up to six nodes."""
+    membership, v = _linked(t)
+    tiered = durable(ontology.tiers(membership.select("cluster_id").distinct(), _flag_counts(t, membership), _SIX))
+    nodes = durable(ontology.parents(tiered, cluster.centroids(membership, v), _NEAR))
+    return ontology.tree(nodes).withColumn("path", F.array_join("path", "/"))
+
+
 @query
 def g6_trace(t: Inputs) -> DataFrame:
     return ontology.trace(_linked(t)[0], t.kept.mentions).select(
@@ -830,9 +923,10 @@ def g6_node_sources(t: Inputs) -> DataFrame:
 
 @query
 def g7_default_tiers(t: Inputs) -> DataFrame:
+    """Clusters that no flag of the caller's rules speaks for; all flags are counted."""
     membership, _ = _linked(t)
-    counts = _flag_counts(t, membership).filter(F.col("flag") == "q24_factual_claim")
-    return ontology.default_count(ontology.tiers(membership.select("cluster_id").distinct(), counts))
+    tiered = ontology.tiers(membership.select("cluster_id").distinct(), _flag_counts(t, membership), _OWN_TIERS)
+    return ontology.default_count(tiered)
 
 
 @query
@@ -1043,13 +1137,13 @@ def k1_messages(t: Inputs) -> DataFrame:
 
 @query
 def k2_k3_scores(t: Inputs) -> DataFrame:
-    return quality_reports(t.chain, t.calls).select("episode_id", "quality_score", "quality_grade")
+    return quality_reports(t.chain, t.calls, _mismatched(t)).select("episode_id", "quality_score", "quality_grade")
 
 
 @query
 def k4_reports(t: Inputs) -> DataFrame:
     c = t.chain
-    events = quality_events(c, t.calls)
+    events = durable(quality_events(c, t.calls, _mismatched(t)))
     report = quality.reports(quality.counters(events, c.episodes), _run_times(t), "2024-01-01 00:00:00")
     full = quality.full_reports(report, quality.messages(events, PARAMS))
     return full.select(
@@ -1068,7 +1162,7 @@ def _run_times(t: Inputs) -> DataFrame:
 def k5_summary(t: Inputs) -> DataFrame:
     """Flagship: from transcript lines to the quality of all episodes that reached the last phases."""
     asked = t.manifest.filter("phase = 'canonical_beliefs'").select("episode_id")
-    rows = quality.summary(quality_reports(t.chain, t.calls), asked)
+    rows = quality.summary(quality_reports(t.chain, t.calls, _mismatched(t)), asked)
     return rows.withColumn("average_score", r6("average_score"))
 
 
@@ -1088,7 +1182,7 @@ def k7_progress_rows(t: Inputs) -> DataFrame:
 @query
 def k8_graded_episodes(t: Inputs) -> DataFrame:
     c = t.chain
-    return quality.graded_episodes(c.episodes, quality_reports(c, t.calls)).select("episode_id", "title", "quality_score", "quality_grade")
+    return quality.graded_episodes(c.episodes, quality_reports(c, t.calls, _mismatched(t))).select("episode_id", "title", "quality_score", "quality_grade")
 
 
 @query
@@ -1111,7 +1205,7 @@ def l1_retries(t: Inputs) -> DataFrame:
 
 @query
 def l2_attempts(t: Inputs) -> DataFrame:
-    return calls.attempts(t.calls, PARAMS).select("call_id", "item_id", "attempt", "cause", "wait_s", "exhausted")
+    return calls.attempts(t.calls, PARAMS).select("call_id", "item_id", "attempt", "cause", "wait_s", "exhausted", "given_up")
 
 
 @query
@@ -1177,6 +1271,21 @@ def m2_streamed_registry(t: Inputs) -> DataFrame:
     return stores.load_registry(t.spark, f"{folder}/registry")["canonical"].select(*_MERGED)
 
 
+@query
+def m2_second_stream(t: Inputs) -> DataFrame:
+    """A registry saved by a batch job, then two streams with checkpoints of their own, one batch played twice."""
+    folder = t.scratch()
+    old, new = t.halves(durable(t.chain.mentions))
+    stores.save_registry(registry_streams.merge_batch(stores.empty_registry(t.spark), old), f"{folder}/registry", 0)
+    for part, rows in (("one", new.filter("episode_seq % 2 = 0")), ("two", new.filter("episode_seq % 2 = 1"))):
+        rows.drop("extraction_flags").write.parquet(f"{folder}/in/{part}")
+        batch = t.spark.read.parquet(f"{folder}/in/{part}")
+        stream = t.spark.readStream.schema(batch.schema).parquet(f"{folder}/in/{part}")
+        registry_streams.registry_stream(stream, f"{folder}/registry", f"{folder}/state-{part}").awaitTermination()
+        registry_streams.write_batch(batch, 0, f"{folder}/registry", f"{folder}/state-{part}")
+    return stores.load_registry(t.spark, f"{folder}/registry")["canonical"].select(*_MERGED)
+
+
 def _event_stream(t: Inputs) -> DataFrame:
     schema = t.table("events").schema
     return t.spark.readStream.schema(schema).parquet(f"{t.folder}/events*.parquet")

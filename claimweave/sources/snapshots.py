@@ -3,8 +3,8 @@
 A snapshot of a phase is a parquet folder of its own run, with the rows spread
 over a fixed number of episode buckets (a folder per episode would drown the file
 system in small files).  The manifest row per (episode, phase) is written after the
-data, so a run that dies half-way is never seen; a repeated run overwrites its own
-folder.
+data, so a run that dies half-way is never seen; a repeated run replaces its own
+folder as a whole, whatever the session's overwrite mode.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ def save(data: DataFrame, folder: str, phase: str, run_id: str, ts: str, stats:
         raise ValueError(f"unknown phase {phase}")
     spark = data.sparkSession
     where = f"{folder}/data/phase={phase}/run_id={run_id}"
-    data.withColumn("episode_bucket", bucket()).write.mode("overwrite").partitionBy("episode_bucket").parquet(where)
+    _write_run(data, where)
     counted = spark.read.parquet(where).groupBy("episode_id").agg(F.count(F.lit(1)).alias("row_count"))
     if stats is not None:
         counted = counted.join(stats.select("episode_id", "stats"), "episode_id", "left")
@@ -41,6 +41,12 @@ def save(data: DataFrame, folder: str, phase: str, run_id: str, ts: str, stats:
     rows.write.mode("overwrite").parquet(f"{folder}/manifest/written={phase}-{run_id}")
 
 
+def _write_run(data: DataFrame, where: str) -> None:
+    rows = data.withColumn("episode_bucket", bucket())
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    writer.partitionBy("episode_bucket").parquet(where)
+
+
 def manifest(spark: SparkSession, folder: str) -> DataFrame:
     """All manifest rows, without the deleted ones; empty when nothing was saved."""
     if not _exists(spark, f"{folder}/manifest"):
@@ -55,16 +61,16 @@ def manifest(spark: SparkSession, folder: str) -> DataFrame:
 def load(spark: SparkSession, folder: str, phase: str) -> DataFrame | None:
     """Latest snapshot of each episode; None when there is none.
 
-    The runs that hold a latest snapshot prune the folders that are read;
-    unreadable files raise.
+    Only folders of runs that hold a latest snapshot are read (their names come
+    from the manifest); unreadable files raise.
     """
     last = latest(manifest(spark, folder).filter(F.col("phase") == phase)).select("episode_id", "run_id")
-    some = last.first()
-    if some is None:
+    runs = sorted(r["run_id"] for r in last.select("run_id").distinct().collect())
+    if not runs:
         return None
     where = f"{folder}/data/phase={phase}"
-    schema = spark.read.parquet(f"{where}/run_id={some['run_id']}").schema.add("run_id", "string")
-    rows = spark.read.schema(schema).parquet(where)
+    schema = spark.read.parquet(f"{where}/run_id={runs[0]}").schema.add("run_id", "string")
+    rows = spark.read.schema(schema).option("basePath", where).parquet(*[f"{where}/run_id={r}" for r in runs])
     return rows.join(last, ["episode_id", "run_id"], "left_semi").drop("run_id", "episode_bucket")
 
 
@@ -114,6 +120,35 @@ def delete(spark: SparkSession, folder: str, rows: DataFrame, mark: str) -> None
     rows.select("episode_id", "phase", "run_id").write.mode("overwrite").parquet(f"{folder}/deleted/mark={mark}")
 
 
+def purge(spark: SparkSession, folder: str) -> int:
+    """Remove the rows of hidden snapshots from the files; returns the number of runs touched.
+
+    A run whose snapshots are all hidden is unlinked; any other is written anew beside
+    itself and then renamed, so a reader finds either folder.  Marks stay, so a purge
+    that broke off can be run again.
+    """
+    if not _exists(spark, f"{folder}/deleted"):
+        return 0
+    gone = spark.read.schema("episode_id string, phase string, run_id string").parquet(f"{folder}/deleted")
+    touched = gone.select("phase", "run_id").distinct().collect()
+    for r in touched:
+        where = f"{folder}/data/phase={r['phase']}/run_id={r['run_id']}"
+        if not _exists(spark, where):
+            continue
+        hidden = gone.filter((F.col("phase") == r["phase"]) & (F.col("run_id") == r["run_id"])).select("episode_id")
+        kept = spark.read.parquet(where).drop("episode_bucket").join(hidden, "episode_id", "left_anti")
+        aside = f"{folder}/aside/{r['phase']}-{r['run_id']}"
+        some = not kept.isEmpty()
+        if some:
+            _write_run(kept, aside)
+        path = spark._jvm.org.apache.hadoop.fs.Path
+        system = path(where).getFileSystem(spark._jsc.hadoopConfiguration())
+        system.delete(path(where), True)
+        if some:
+            system.rename(path(aside), path(where))
+    return len(touched)
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path)

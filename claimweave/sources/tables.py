@@ -115,7 +115,7 @@ def calls(events: DataFrame) -> DataFrame:
     """Events as a log of model calls.
 
     The attempts of a caller follow each other in time; an item ends with a
-    success or with its fourth failure.
+    success, with a failure that is not tried again, or with its fourth failure.
     """
     failed = F.col("event_type") == "error"
     log = events.select(
@@ -140,9 +140,10 @@ def calls(events: DataFrame) -> DataFrame:
         log, ["caller"], order, day,
         {"_n": ("sum", F.lit(1).cast("bigint"))},
     )
+    ends = F.col("success") | F.coalesce(F.col("error") == "bad request", F.lit(False))
     log = running(
         log, ["caller"], order, day,
-        {"_done": ("sum", F.col("success").cast("bigint")), "_at": ("max", F.when(F.col("success"), F.col("_n")))},
+        {"_done": ("sum", ends.cast("bigint")), "_at": ("max", F.when(ends, F.col("_n")))},
         inclusive=False,
     )
     position = F.col("_n") - F.coalesce("_at", F.lit(0)) - 1

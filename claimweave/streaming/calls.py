@@ -31,11 +31,13 @@ _STATE = "us array<bigint>, ids array<bigint>, tokens array<bigint>"
 def budget_alarm(log: DataFrame, params: Params = DEFAULT, late: str = "2 minutes") -> DataFrame:
     """Calls that pass a budget, each judged by the calls of its caller in the trailing window.
 
-    The state of a caller is its calls of the last window, no longer history; an
-    idle caller is evicted once the watermark has passed its last call by a window.
-    A caller's calls are expected in order of time, give or take one micro-batch.
+    The state of a caller is its calls of the last window and of the time that a call
+    may be late, so a late call meets the window it belongs to (calls judged before
+    it came stay as they were judged).  An idle caller is evicted once the watermark
+    has passed the end of what its calls can matter to.
     """
     span = params.budget_window_s * 1_000_000
+    kept = span + int(pd.Timedelta(late).total_seconds() * 1_000_000)
 
     def judge(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
@@ -59,12 +61,12 @@ def budget_alarm(log: DataFrame, params: Params = DEFAULT, late: str = "2 minute
         place = pd.Series(range(len(rows)))
         before = total - rows["tokens"]
         rows["prior_requests"] = place - first
-        rows["prior_tokens"] = before - [before.iloc[i] for i in first]
+        rows["prior_tokens"] = before - before.to_numpy()[first]
         rows["over_requests"] = rows["prior_requests"] >= params.budget_requests
         rows["over_tokens"] = (rows["tokens"] > 0) & (rows["prior_tokens"] + rows["tokens"] > params.budget_tokens)
-        keep = rows[rows["us"] >= rows["us"].iloc[-1] - span]
+        keep = rows[rows["us"] >= rows["us"].iloc[-1] - kept]
         state.update((keep["us"].tolist(), keep["ids"].tolist(), keep["tokens"].tolist()))
-        ends = int(rows["us"].iloc[-1] + span) // 1000
+        ends = int(rows["us"].iloc[-1] + kept) // 1000
         state.setTimeoutTimestamp(max(ends, state.getCurrentWatermarkMs() + 1))
         out = rows[rows["new"].astype(bool) & (rows["over_requests"] | rows["over_tokens"])]
         yield pd.DataFrame(

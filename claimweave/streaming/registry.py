@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from claimweave.operators import canonical, registry
+from claimweave.functions.text import norm_tokens
+from claimweave.operators import canonical, registry, similar
 from claimweave.params import DEFAULT, Params
 from claimweave.sources import stores
 
@@ -29,29 +30,36 @@ def merge_batch(tables: dict[str, DataFrame], mentions: DataFrame) -> dict[str,
         "history": registry.append_history(
             tables["history"], fresh.select("canonical_id", "episode_id", F.col("episode_seq").alias("seq"))
         ),
-        "embedding": tables["embedding"],
+        "embedding": tables["embedding"].unionByName(embeddings(summary, tables["embedding"])),
     }
 
 
+def embeddings(summary: DataFrame, stored: DataFrame, params: Params = DEFAULT) -> DataFrame:
+    """Text embeddings of the canonicals that have none yet."""
+    new = registry.missing_embeddings(summary.select("canonical_id", "canonical_text"), stored)
+    return similar.embed_text(new, norm_tokens(F.col("canonical_text"), params)).select("canonical_id", "embedding")
+
+
+def write_batch(batch: DataFrame, batch_id: int, folder: str, stream: str) -> None:
+    spark = batch.sparkSession
+    if stores.has_batch(spark, folder, stream, batch_id):
+        return
+    before = stores.registry_version(spark, folder)
+    tables = stores.load_registry(spark, folder, before)
+    stores.save_registry(merge_batch(tables, batch), folder, 0 if before is None else before + 1, stream, batch_id)
+
+
 def registry_stream(mentions: DataFrame, folder: str, checkpoint: str, params: Params = DEFAULT) -> StreamingQuery:
-    """Merge each micro-batch into a new registry version, numbered by the batch.
+    """Merge each micro-batch into a new registry version on top of the newest one.
 
-    A replayed batch starts again from the version before it and overwrites its
-    own, so the result does not depend on how often a batch runs.
+    Whatever is stored stays: a registry saved by a batch job, or by another stream
+    with a checkpoint of its own, is built on.  The pointer of a version names the
+    stream (its checkpoint) and the batch, so a batch that is played again after its
+    version was finished is left out, and one that broke off starts anew.  One stream
+    at a time may write to a folder.
     """
-    def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        before = stores.registry_version(spark, folder)
-        base = None if before is None else min(before, batch_id - 1)
-        tables = stores.empty_registry(spark) if base is None or base < 0 else stores.load_registry(spark, folder, base)
-        kept = batch.persist()
-        try:
-            stores.save_registry(merge_batch(tables, kept), folder, batch_id)
-        finally:
-            kept.unpersist()
-
     return (
-        mentions.writeStream.foreachBatch(write)
+        mentions.writeStream.foreachBatch(lambda batch, batch_id: write_batch(batch, batch_id, folder, checkpoint))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

@@ -175,12 +175,13 @@ SELECT episode_id, canonical_id, min(episode_seq) AS episode_seq, avg(confidence
   greatest(0.0::double, 1 - 2*stddev_pop(confidence)) AS stability_score, true AS presence_flag FROM mentions GROUP BY 1, 2
 """)
 cte("calls", "", """
-SELECT * EXCLUDE (done, pos), caller||'-'||done||'-'||(pos//4) AS item_id, (pos%4+1)::int AS attempt FROM (
+SELECT * EXCLUDE (done, pos, ends), caller||'-'||done||'-'||(pos//4) AS item_id, (pos%4+1)::int AS attempt FROM (
  SELECT *, row_number() OVER (PARTITION BY caller, done ORDER BY ts, call_id) - 1 AS pos FROM (
   SELECT event_id AS call_id, user_id AS caller, 'ep_'||lpad(user_id::varchar,6,'0') AS episode_id, ts, floor(value*10)::bigint AS tokens, value/100 AS latency,
    event_type <> 'error' AS success,
    CASE WHEN event_type = 'error' THEN ['429 rate_limit','Request timed out','HTTP 503','bad request'][(event_id%4+1)::int] END AS error,
-   coalesce(sum((event_type <> 'error')::int) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::bigint AS done
+   event_type <> 'error' OR event_id%4 = 3 AS ends,
+   coalesce(sum((event_type <> 'error' OR event_id%4 = 3)::int) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::bigint AS done
   FROM events))
 """)
 _PHASES = "[" + ", ".join(quoted(p) for p in fixed.PHASES) + "]"
@@ -216,7 +217,7 @@ SELECT episode_id, phase, run_id FROM manifest WHERE episode_id IN (
 oracle("a7_registry_round_trip", "mentions", """
 SELECT 'canonical' AS part, count(DISTINCT canonical_id) AS n FROM mentions UNION ALL SELECT 'member', count(*) FROM mentions
 UNION ALL SELECT 'alias', count(DISTINCT lower(belief_text)) FROM mentions
-UNION ALL SELECT 'history', count(*) FROM (SELECT DISTINCT canonical_id, episode_id FROM mentions) UNION ALL SELECT 'embedding', 0
+UNION ALL SELECT 'history', count(*) FROM (SELECT DISTINCT canonical_id, episode_id FROM mentions) UNION ALL SELECT 'embedding', count(DISTINCT canonical_id) FROM mentions
 """)
 
 # quality events
@@ -229,13 +230,14 @@ UNION ALL SELECT episode_id, 'malformed', 0, NULL FROM read JOIN where_ USING (u
 cte("tried", "calls", """
 SELECT *, CASE WHEN cause IN ('rate_limit','timeout','server_error') AND attempt <= 3
   THEN least(pow(2, attempt) * CASE WHEN cause = 'rate_limit' THEN 2 ELSE 1 END, 60.0) ELSE 0.0 END::double AS wait_s,
-  coalesce(cause IN ('rate_limit','timeout','server_error') AND attempt > 3, false) AS exhausted
+  coalesce(cause IN ('rate_limit','timeout','server_error') AND attempt > 3, false) AS exhausted,
+  NOT success AND (cause = 'non_retryable' OR attempt > 3) AS given_up
 FROM (SELECT *, CASE WHEN NOT success THEN CASE error WHEN '429 rate_limit' THEN 'rate_limit' WHEN 'Request timed out' THEN 'timeout'
   WHEN 'HTTP 503' THEN 'server_error' ELSE 'non_retryable' END END AS cause FROM calls)
 """)
 cte("call_events", "base_events tried", """
 SELECT * FROM base_events UNION ALL SELECT episode_id, 'retry', 0, NULL FROM tried WHERE attempt > 1
-UNION ALL SELECT episode_id, 'api_error', call_id, error FROM tried WHERE exhausted
+UNION ALL SELECT episode_id, 'api_error', call_id, error FROM tried WHERE given_up
 """)
 
 
@@ -271,9 +273,14 @@ SELECT episode_id, 0::bigint AS page_no, errors_count, quality_score, quality_gr
  (SELECT count(*) FROM base_events b WHERE b.episode_id = s.episode_id AND kind = 'parsing_error') AS n_parsing,
  (SELECT count(*) FROM base_events b WHERE b.episode_id = s.episode_id AND kind = 'api_error') AS n_api, 0 AS n_warnings FROM base_scores s
 """)
-cte("widest", "cells", "SELECT canonical_id FROM cells GROUP BY 1 ORDER BY sum(frequency) DESC, canonical_id LIMIT 200")
-oracle("a9_matrix_csv", "episodes cells widest", """
-SELECT e.episode_id, w.canonical_id, round(coalesce(c.conviction_avg, 0.0), 6) AS conviction_avg FROM episodes e CROSS JOIN widest w
+oracle("a8_second_run", "base_counts base_events episodes middle", f"""
+SELECT episode_id, 0::bigint AS page_no, errors_count, quality_score FROM ({scored("""(
+ SELECT c.* REPLACE (errors_count + CASE WHEN episode_seq > m THEN 1 ELSE 0 END AS errors_count) FROM base_counts c JOIN episodes USING (episode_id), middle)""")})
+""")
+oracle("a3_smaller_rerun", "utts", "SELECT utterance_id, episode_id, speaker FROM utts WHERE speaker = 'USER'")
+oracle("a6_purged", "utts middle", "SELECT utterance_id, episode_id FROM utts, middle WHERE episode_seq > m")
+oracle("a9_matrix_csv", "episodes cells", """
+SELECT e.episode_id, w.canonical_id, round(coalesce(c.conviction_avg, 0.0), 6) AS conviction_avg FROM episodes e CROSS JOIN (SELECT DISTINCT canonical_id FROM cells) w
 LEFT JOIN cells c ON c.episode_id = e.episode_id AND c.canonical_id = w.canonical_id
 """)
 _CELL = "episode_id, canonical_id, round(conviction_avg,6) AS conviction_avg, frequency, round(stability_score,6) AS stability_score, presence_flag"
@@ -339,6 +346,12 @@ oracle("d3_model_calls", "sents", """
 SELECT utterance_id, CASE WHEN length(text)%50 <> 0 THEN '{"n": '||length(text)||'}' END AS response,
  CASE WHEN length(text)%50 = 0 THEN 'Request timed out' END AS error, CASE WHEN length(text)%50 = 0 THEN 0 ELSE length(text) END AS tokens FROM sents
 """)
+oracle("d3_short_answers", "sents", """
+SELECT utterance_id, CASE WHEN error IS NULL THEN '{"n": '||n||'}' END AS response, error, CASE WHEN error IS NULL THEN n ELSE 0 END AS tokens
+FROM (SELECT utterance_id, length(text) AS n, CASE WHEN length(text)%50 = 0 OR length(text)%7 = 0 AND length(text)%11 <> 1 THEN 'no answer'
+  WHEN length(text)%7 <> 0 AND length(text)%11 = 1 THEN 'several answers' END AS error FROM sents)
+""")
+oracle("d3_resumed", "answers sents", "SELECT utterance_id, md5(response||CASE WHEN speaker = 'USER' THEN ' ' ELSE '' END) AS response_md5 FROM answers JOIN sents USING (utterance_id)")
 oracle("d4_beliefs", "beliefs", """
 SELECT belief_id, utterance_id, ordinal, belief_text, confidence, md5(original_quote) AS quote_md5, array_to_string(true_flags,',') AS true_flags, len(flag_keys) AS n_flags FROM beliefs
 """)
@@ -503,6 +516,7 @@ SELECT cluster_id, list(m ORDER BY i) AS v FROM (SELECT cluster_id, i, avg(x) AS
 cluster_ctes("cl", "canonicals", "canonicals", "0.3")
 centroid_cte("cl_c", "cl_m", "cl_v", "cl_m cl_v")
 oracle("f1_close_pairs", "cl_p", "SELECT a, b, copies_a, copies_b, round(1 - s, 6) AS distance FROM cl_p")
+oracle("f1_members", "cl_v", "SELECT min(canonical_id) OVER (PARTITION BY v) AS vector_id, canonical_id AS member_id FROM cl_v")
 oracle("f1_given_vectors", "", """
 WITH v AS (SELECT lpad(vec_id::varchar,8,'0') AS id, list_transform(embedding, lambda x: x::double) AS v FROM embeddings
  UNION ALL SELECT lpad((vec_id+1000000)::varchar,8,'0'), list_transform(embedding, lambda x, i: x::double + CASE WHEN i = 1 THEN 0.05::double ELSE 0.0::double END) FROM embeddings WHERE vec_id%5 = 0
@@ -554,6 +568,7 @@ cluster_ctes("left", "left_v", "left_v", "0.3")
 oracle("f7_incremental", "ea_m assigned left_m", """
 SELECT canonical_id, cluster_id, 'kept' AS origin FROM ea_m UNION ALL SELECT canonical_id, cluster_id, 'assigned' FROM assigned UNION ALL SELECT canonical_id, cluster_id, 'formed' FROM left_m
 """)
+oracle("f8_facts", "cl_v", "SELECT count(*) AS members, count(DISTINCT canonical_id) AS ids, true AS few_leaves, true AS none_empty FROM cl_v")
 oracle("f9_metrics", "cl_m", """
 SELECT count(*) FILTER (n >= 3) AS clusters_total, round(avg(n) FILTER (n >= 3),6) AS avg_cluster_size, count(*) FILTER (n < 3) AS micro_clusters_filtered
 FROM (SELECT cluster_id, count(*) AS n FROM cl_m GROUP BY 1)
@@ -580,6 +595,8 @@ cte("tiers", "cl_m flag_counts", tiers_of(fixed.TIERS, "flag_counts"))
 oracle("g2_tiers", "tiers", "SELECT cluster_id, ontology_level, votes, is_default FROM tiers")
 cte("own_tiers", "cl_m flag_counts", tiers_of(
     {"stated": ["q23_surface_opinion", "q24_factual_claim"], "deep": ["q16_first_principles", "q18_moral_framework"]}, "flag_counts"))
+cte("six_tiers", "cl_m flag_counts", tiers_of(
+    {f"t{i}": list(fixed.FLAGS)[k : k + 2] for i, k in enumerate(range(0, 11, 2))}, "flag_counts"))
 oracle("g2_custom_flags", "own_tiers", "SELECT cluster_id, ontology_level, votes, is_default FROM own_tiers")
 oracle("g3_tier_distribution", "tiers", "SELECT ontology_level, count(*) AS clusters FROM tiers GROUP BY 1")
 cte("nodes", "tiers cl_c", """
@@ -590,6 +607,13 @@ SELECT t.*, p.parent AS parent_cluster_id, p.s AS parent_similarity FROM tiers t
   JOIN tiers y ON y.tier_ord = x.target JOIN cl_c cx ON cx.cluster_id = x.cluster_id JOIN cl_c cy ON cy.cluster_id = y.cluster_id)
  WHERE round(s,9) >= 0.35 GROUP BY 1) p USING (cluster_id)
 """)
+cte("six_nodes", "six_tiers cl_c", CTES["nodes"][1].replace("tiers", "six_tiers"))
+cte("six_tree", "six_nodes", """six_tree(cluster_id, ontology_level, parent_cluster_id, depth, path) AS (
+ SELECT cluster_id, ontology_level, parent_cluster_id, 0, cluster_id FROM six_nodes WHERE parent_cluster_id IS NULL
+ UNION ALL SELECT n.cluster_id, n.ontology_level, n.parent_cluster_id, t.depth+1, t.path||'/'||n.cluster_id FROM six_nodes n JOIN six_tree t ON n.parent_cluster_id = t.cluster_id)""")
+oracle("g5_custom_tree", "six_tree", """
+SELECT t.cluster_id, t.ontology_level, t.parent_cluster_id, t.depth, t.path, (SELECT count(*) FROM six_tree c WHERE c.parent_cluster_id = t.cluster_id) AS children FROM six_tree t
+""")
 oracle("g4_parents", "nodes", "SELECT cluster_id, ontology_level, parent_cluster_id, round(parent_similarity,6) AS parent_similarity FROM nodes")
 cte("tree", "nodes", """tree(cluster_id, ontology_level, parent_cluster_id, depth, path) AS (
  SELECT cluster_id, ontology_level, parent_cluster_id, 0, cluster_id FROM nodes WHERE parent_cluster_id IS NULL
@@ -602,8 +626,10 @@ cte("sources", "tree cl_m mentions", """
 SELECT DISTINCT node_id, utterance_id FROM (SELECT cluster_id, unnest(string_split(path,'/')) AS node_id FROM tree) JOIN cl_m USING (cluster_id) JOIN mentions USING (canonical_id)
 """)
 oracle("g6_node_sources", "sources", "SELECT node_id, count(*) AS sources, min(utterance_id) AS first_utterance FROM sources GROUP BY 1")
-oracle("g7_default_tiers", "cl_m flag_counts", """
-SELECT count(DISTINCT cluster_id) - (SELECT count(*) FROM flag_counts WHERE flag = 'q24_factual_claim') AS default_tier_assignments FROM cl_m
+oracle("g7_default_tiers", "cl_m mentions", """
+SELECT count(DISTINCT cluster_id) - count(DISTINCT cluster_id) FILTER (
+  list_has_any(true_flags, ['q23_surface_opinion','q24_factual_claim','q16_first_principles','q18_moral_framework'])) AS default_tier_assignments
+FROM cl_m JOIN mentions USING (canonical_id)
 """)
 oracle("a11_ontology_report", "sources tree", """
 SELECT node_id, ontology_level, depth, page_no, count(*) AS sources FROM (
@@ -735,20 +761,22 @@ SELECT canonical_id, (rn-1)//1000 AS page_no, string_agg(event_seq||':'||drift_t
 cte("all_events", "call_events mismatch", "SELECT episode_id, kind FROM call_events UNION ALL SELECT episode_id, 'mismatch' FROM mismatch")
 oracle("k1_counters", "episodes all_events", counters_of("all_events"))
 oracle("k1_messages", "call_events", f"SELECT episode_id, kind, 0 AS page_no, messages FROM ({messages_of('call_events')})")
-oracle("k2_k3_scores", "call_scores", "SELECT episode_id, quality_score, quality_grade FROM call_scores")
-oracle("k4_reports", "call_scores call_events run_times", f"""
+cte("all_counts", "episodes all_events", counters_of("all_events"))
+cte("all_scores", "all_counts", scored("all_counts"))
+oracle("k2_k3_scores", "all_scores", "SELECT episode_id, quality_score, quality_grade FROM all_scores")
+oracle("k4_reports", "all_scores call_events run_times", f"""
 SELECT s.episode_id, quality_score, quality_grade, errors_count, retries_count, malformed_beliefs_count, registry_mismatches_count,
  coalesce(execution_time_seconds, 0.0) AS execution_time_seconds, '2024-01-01 00:00:00' AS timestamp, 0 AS page_no,
  coalesce(p.messages, '') AS parsing_errors, coalesce(a.messages, '') AS api_errors, '' AS warnings
-FROM call_scores s LEFT JOIN run_times USING (episode_id)
+FROM all_scores s LEFT JOIN run_times USING (episode_id)
 LEFT JOIN (SELECT * FROM ({messages_of('call_events')}) WHERE kind = 'parsing_error') p ON p.episode_id = s.episode_id
 LEFT JOIN (SELECT * FROM ({messages_of('call_events')}) WHERE kind = 'api_error') a ON a.episode_id = s.episode_id
 """)
-oracle("k5_summary", "call_scores manifest", """
+oracle("k5_summary", "all_scores manifest", """
 SELECT count(*) AS total_episodes, round(avg(quality_score),6) AS average_score, sum(errors_count)::bigint AS total_errors, sum(retries_count)::bigint AS total_retries,
  count(*) FILTER (quality_grade = 'A') AS grade_a, count(*) FILTER (quality_grade = 'B') AS grade_b, count(*) FILTER (quality_grade = 'C') AS grade_c,
  count(*) FILTER (quality_grade = 'D') AS grade_d, count(*) FILTER (quality_grade = 'F') AS grade_f
-FROM call_scores WHERE episode_id IN (SELECT episode_id FROM manifest WHERE phase = 'canonical_beliefs') HAVING count(*) > 0
+FROM all_scores WHERE episode_id IN (SELECT episode_id FROM manifest WHERE phase = 'canonical_beliefs') HAVING count(*) > 0
 """)
 oracle("k6_phase_rates", "manifest", """
 SELECT episode_id, phase, (ord+1)::int AS phase_ord, row_count, round(d,6) AS duration_s, round(CASE WHEN d > 0 THEN row_count*60/d END,6) AS rows_per_minute FROM (
@@ -757,7 +785,7 @@ SELECT episode_id, phase, (ord+1)::int AS phase_ord, row_count, round(d,6) AS du
 oracle("k7_progress_rows", "mentions", """
 SELECT episode_id, belief_id, event_no FROM (SELECT episode_id, belief_id, row_number() OVER (PARTITION BY episode_id ORDER BY line_no, sentence_no, ordinal) AS event_no FROM mentions) WHERE event_no%10 = 0
 """)
-oracle("k8_graded_episodes", "call_scores", "SELECT episode_id, episode_id AS title, quality_score, quality_grade FROM call_scores")
+oracle("k8_graded_episodes", "all_scores", "SELECT episode_id, episode_id AS title, quality_score, quality_grade FROM all_scores")
 oracle("k9_line_counts", "lines parsed", """
 SELECT episode_id, max(line_no) AS lines_read, count(*) FILTER (error IS NULL) AS lines_accepted, count(*) FILTER (error IS NOT NULL) AS lines_rejected FROM parsed GROUP BY 1
 """)
@@ -766,7 +794,7 @@ SELECT episode_id, max(line_no) AS lines_read, count(*) FILTER (error IS NULL) A
 
 oracle("l1_causes", "tried", "SELECT episode_id, cause, count(*) AS failures FROM tried WHERE cause IS NOT NULL GROUP BY 1, 2")
 oracle("l1_retries", "calls", "SELECT episode_id, count(*) FILTER (attempt > 1) AS retries FROM calls GROUP BY 1")
-oracle("l2_attempts", "tried", "SELECT call_id, item_id, attempt, cause, wait_s, exhausted FROM tried")
+oracle("l2_attempts", "tried", "SELECT call_id, item_id, attempt, cause, wait_s, exhausted, given_up FROM tried")
 oracle("l2_waits", "tried", "SELECT episode_id, sum(wait_s) AS wait_s, count(*) FILTER (exhausted) AS items_exhausted FROM tried GROUP BY 1")
 
 
@@ -801,6 +829,7 @@ SELECT event_id AS call_id, user_id AS caller, ts, floor(value*10)::bigint AS to
 """)
 oracle("m1_streamed_utterances", "utts", "SELECT episode_id, line_no, speaker, start_s, end_s, md5(text) AS text_md5 FROM utts")
 oracle("m2_streamed_registry", "canonicals", f"SELECT {_MERGED} FROM canonicals")
+oracle("m2_second_stream", "canonicals", f"SELECT {_MERGED} FROM canonicals")
 oracle("m3_streamed_minutes", "simple", minutes_of(
     "simple", "WHERE date_trunc('minute', ts) + INTERVAL 1 MINUTE <= (SELECT max(ts) FROM simple) - INTERVAL 2 MINUTE"))
 oracle("m4_streamed_alarm", "audited", "SELECT call_id, prior_requests, prior_tokens, over_requests, over_tokens FROM audited WHERE over_requests OR over_tokens")

@@ -122,6 +122,45 @@ def test_model_failure_costs_one_row(spark):
     assert got == {"1": None, "2": "boom", "3": None}
 
 
+def test_every_row_asked_about_has_one_answer(spark):
+    import pandas as pd
+
+    def model(frame):
+        out = pd.DataFrame({"utterance_id": frame["utterance_id"], "response": "{}", "error": None, "tokens": 1, "latency": 0.0})
+        out = out[~out["utterance_id"].isin(["2", "5"])]
+        return pd.concat([out, out[out["utterance_id"] == "3"], out.head(1).assign(utterance_id="stranger")])
+
+    rows = spark.createDataFrame([(str(i), "t") for i in range(1, 8)], "utterance_id string, text string").coalesce(1)
+    for size in (1, 3, 10):
+        got = sorted((r["utterance_id"], r["error"]) for r in extract.call_model(rows, model, params=Params(batch_size=size)).collect())
+        assert got == [(str(i), {2: "no answer", 5: "no answer", 3: "several answers"}.get(i)) for i in range(1, 8)]
+
+
+def test_the_model_is_asked_once(spark):
+    """Rows sent to the model, over reports, cells and contradictions, and over a second run with stored answers."""
+    from claimweave.plans.conversation import Conversations, quality_reports
+
+    asked = spark.sparkContext.accumulator(0)
+    lines = spark.createDataFrame(
+        [("e1", 1, n, f"A | 00:0{n}:00 | 00:0{n}:30 | tea is {n}. It is not tea.") for n in range(1, 6)], "episode_id string, episode_seq long, line_no long, line string"
+    )
+
+    def model(frame):
+        asked.add(len(frame))
+        said = '{"beliefs": [{"belief_text": "' + frame["text"] + '", "confidence": 0.5, "extraction_flags": {"q24_factual_claim": true}}]}'
+        return frame[["utterance_id"]].assign(response=said, error=None, tokens=1, latency=0.0)
+
+    def answer(u):
+        return extract.call_model(u.select("utterance_id", "text"), model)
+
+    c = Conversations(lines, answer)
+    for df in (quality_reports(c), c.cells, c.contradictions, c.cells):
+        df.collect()
+    assert asked.value == c.atomic.count() == 10
+    again = Conversations(lines, answer, stored=c.answers)
+    assert again.beliefs.count() == c.beliefs.count() and asked.value == 10
+
+
 def test_normal_form(spark):
     p = Params(synonyms={"big": "large"})
     row = spark.range(1).select(norm_text(F.lit("  It DOESN'T look\tbig!! é"), p)).first()
@@ -221,6 +260,28 @@ def test_budget_keeps_the_entry_on_the_edge(spark):
     assert got == {1: (0, 0, 0.0), 2: (1, 10, 0.1), 3: (1, 10, 60.1), 4: (0, 0, 0.0)}
 
 
+def test_budget_of_a_caller_with_half_of_all_calls(spark):
+    import random
+
+    r = random.Random(4)
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [(1 if i % 2 else 2 + i % 40, i, t0 + dt.timedelta(seconds=r.randrange(900)), r.choice([0, 0, 5, 50])) for i in range(1200)]
+    log = spark.createDataFrame(rows, "caller bigint, call_id bigint, ts timestamp, tokens bigint")
+    p = Params(budget_requests=20, budget_tokens=400)
+    want = {}
+    for who, i, ts, n in rows:
+        past = [x for x in rows if x[0] == who and (x[2], x[1]) < (ts, i) and (ts - x[2]).total_seconds() <= 60]
+        tokens = sum(x[3] for x in past)
+        wait = 0.0
+        if len(past) >= 20:
+            wait = 60 - (ts - min(x[2] for x in past)).total_seconds() + 0.1
+        if n and tokens + n > 400:
+            wait = max(wait, 60 - (ts - min([x[2] for x in past if x[3]], default=ts)).total_seconds() + 0.1)
+        want[i] = (len(past), tokens, round(wait, 3))
+    got = {x["call_id"]: (x["prior_requests"], x["prior_tokens"], round(x["wait_s"], 3)) for x in calls.budget_audit(log, p).collect()}
+    assert got == want
+
+
 def test_reference_rules(spark):
     rows = [("1", "ep_1-a", "f.mp3#t=5", "2024-02-29", "p", 1.0), ("2", "ep 1", "f.mp3#t=5,", "2023-02-29", "", 1.1), ("3", "", "#t=5", "x", None, None)]
     df = spark.createDataFrame(rows, "id string, episode_id string, audio_uri string, date string, path string, score double")

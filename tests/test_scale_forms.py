@@ -78,11 +78,27 @@ def test_nearest_equals_brute_force(spark, monkeypatch, tile):
 def test_key_plan_meets_the_miss_probability():
     import math
 
-    for rows in (100, 10**6, 10**9):
+    for most in (16, 128, 1000):
         for t in (0.5, 0.7, 0.85):
-            bits, tables = key_plan(rows, t, 1e-3)
+            bits, tables = key_plan(t, 1e-3, most)
             agree = (1 - math.acos(t) / math.pi) ** bits
-            assert (1 - agree) ** tables <= 1e-3 * 1.001
+            assert (1 - agree) ** tables <= 1e-3 * 1.001 and tables <= most
+
+
+@pytest.mark.parametrize("n", [200, 1000, 3000])
+def test_pairs_on_the_threshold_are_found_at_any_size(spark, n):
+    """Planted pairs just above the threshold, the worst case; the other rows do not matter."""
+    r = np.random.RandomState(11)
+    base = r.standard_normal((n, 32))
+    a = base[:100] / np.linalg.norm(base[:100], axis=1, keepdims=True)
+    b = r.standard_normal(a.shape)
+    b -= (a * b).sum(1, keepdims=True) * a
+    b /= np.linalg.norm(b, axis=1, keepdims=True)
+    near = 0.851 * a + np.sqrt(1 - 0.851**2) * b
+    rows = [(f"{i:05d}", v.tolist()) for i, v in enumerate(np.concatenate([a, near, base[100:]]))] + [("none", None)]
+    df = spark.createDataFrame(rows, "id string, embedding array<double>")
+    got = {(x["a"], x["b"]) for x in similar.similar_pairs(df, "id", 0.85, Params(miss_probability=1e-4)).collect()}
+    assert {(f"{i:05d}", f"{i + 100:05d}") for i in range(100)} <= got
 
 
 def edits(a, b):
