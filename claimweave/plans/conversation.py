@@ -13,11 +13,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from claimweave.operators import calls as call_ops
-from claimweave.operators import canonical, contradict, drift, extract, ingest, matrix, quality, split
-from claimweave.operators.similar import fuzzy_pairs
+from claimweave import fixed
+from claimweave.functions.text import norm_tokens
+from claimweave.operators import canonical, cluster, contradict, drift, extract, ingest, matrix, ontology, quality, split
+from claimweave.operators.similar import embed_text, fuzzy_pairs
 from claimweave.operators.groups import components
 from claimweave.params import DEFAULT, Params
 from claimweave.session import durable
+from claimweave.sources import snapshots
 
 
 @dataclass(frozen=True)
@@ -100,6 +103,46 @@ class Conversations:
         """As ``mentions``, with forms of like spelling sharing one canonical."""
         return canonical.mentions(self.normal, self.atomic, self.fuzzy_groups)
 
+    @cached_property
+    def vectors(self) -> DataFrame:
+        """Text embedding of each canonical."""
+        rows = embed_text(self.canonicals, norm_tokens(F.col("canonical_text"), self.params))
+        return durable(rows.select("canonical_id", "embedding"))
+
+    @cached_property
+    def membership(self) -> DataFrame:
+        """(canonical_id, cluster_id) by single linkage over the text embeddings."""
+        return durable(cluster.link_clusters(self.vectors, self.params.cluster_distance, self.params))
+
+    @cached_property
+    def clusters(self) -> DataFrame:
+        return cluster.assemble(self.membership, self.canonicals)
+
+    @cached_property
+    def tiers(self) -> DataFrame:
+        """Each cluster with the tier that its beliefs' flags speak for."""
+        flagged = self.membership.join(self.mentions.select("canonical_id", "extraction_flags"), "canonical_id")
+        return ontology.tiers(self.clusters, ontology.flag_counts(flagged))
+
+    @cached_property
+    def nodes(self) -> DataFrame:
+        """Tiers with parents, ready for ``ontology.tree``."""
+        return durable(ontology.parents(durable(self.tiers), cluster.centroids(self.membership, self.vectors), self.params))
+
+    def save(self, folder: str, run_id: str, ts: str) -> None:
+        """Write the result of each phase as a snapshot, in the order of the phases."""
+        where = self.atomic.select("utterance_id", "episode_id")
+        canonicals = self.mentions.join(self.canonicals.select("canonical_id", "canonical_text"), "canonical_id")
+        first = self.canonicals.select("canonical_id", F.col("first_seen_episode").alias("episode_id"))
+        steps = {
+            "utterances": self.utterances,
+            "beliefs_raw": self.beliefs.join(where, "utterance_id"),
+            "canonical_beliefs": canonicals,
+            "clusters_updated": self.membership.join(first, "canonical_id"),
+        }
+        for phase in fixed.PHASES:
+            snapshots.save(steps[phase], folder, phase, run_id, ts)
+
     @cached_property
     def cells(self) -> DataFrame:
         rows = matrix.weights(self.mentions)

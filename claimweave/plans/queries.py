@@ -383,6 +383,32 @@ def b7_orphans(t: Inputs) -> DataFrame:
     return out
 
 
+@query
+def b7_broken_links(t: Inputs) -> DataFrame:
+    """Links of all records against what the earlier half of the episodes knows, so that every edge is broken somewhere."""
+    c = t.kept
+    old, _ = t.halves(c.mentions)
+    old = durable(old)
+    known = old.select("canonical_id").distinct()
+    membership = c.mentions.select("canonical_id", F.substring("canonical_id", 1, 4).alias("cluster_id")).distinct()
+    clusters = old.select(F.substring("canonical_id", 1, 4).alias("cluster_id")).distinct()
+    found = contradict.certain(c.opposed, PARAMS).withColumn("pair", F.concat_ws("-", "a", "b"))
+    parts = [
+        contracts.orphans("canonical-utterance", c.mentions, "belief_id", "utterance_id", old, "utterance_id"),
+        contracts.orphans("canonical-belief", canonical.members(c.mentions), "canonical_id", "belief_id", old, "belief_id"),
+        contracts.orphans("canonical-cluster", membership, "canonical_id", "cluster_id", clusters, "cluster_id"),
+        contracts.orphans("cluster-canonical", membership, "cluster_id", "canonical_id", known, "canonical_id"),
+        contracts.orphans("contradiction-a", found, "pair", "a", known, "canonical_id"),
+        contracts.orphans("contradiction-b", found, "pair", "b", known, "canonical_id"),
+        contracts.orphans("drift-canonical", drift.events(c.cells, c.episodes), "drift_id", "canonical_id", known, "canonical_id"),
+        contracts.orphans("utterance-episode", c.atomic, "utterance_id", "episode_id", old, "episode_id"),
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 @query
 def b8_repeated_ids(t: Inputs) -> DataFrame:
     c = t.chain
@@ -709,6 +735,17 @@ def e17_rebuilt_registry(t: Inputs) -> DataFrame:
     return canonical.summaries(t.chain.mentions).select(*_MERGED)
 
 
+@query
+def e17_rebuilt_from_snapshots(t: Inputs) -> DataFrame:
+    """A registry whose newest version lost a table, built anew from the stored phase."""
+    folder, mentions = t.scratch(), durable(t.chain.mentions)
+    snapshots.save(mentions, f"{folder}/phases", "canonical_beliefs", "one", "2024-01-01 00:00:00")
+    broken = {k: v for k, v in stores.empty_registry(t.spark).items() if k != "alias"}
+    stores.save_registry(broken, f"{folder}/registry", 0)
+    registry_streams.rebuild(t.spark, f"{folder}/registry", f"{folder}/phases")
+    return stores.load_registry(t.spark, f"{folder}/registry")["canonical"].select(*_MERGED)
+
+
 # --- F: clusters ----------------------------------------------------------------------
 
 
@@ -943,6 +980,12 @@ def a11_ontology_report(t: Inputs) -> DataFrame:
     return back.select("node_id", "ontology_level", "depth", "page_no", F.size("source_utterance_ids").alias("sources"))
 
 
+@query
+def g5_whole_path(t: Inputs) -> DataFrame:
+    """From lines to the tree of tiers, all on text embeddings (SQL would compare all pairs of texts)."""
+    return ontology.tree(t.kept.nodes).withColumn("path", F.array_join("path", "/"))
+
+
 # --- H: matrix --------------------------------------------------------------------------
 
 
@@ -1049,6 +1092,17 @@ def i7_timeline(t: Inputs) -> DataFrame:
     return lists.select("canonical_id", "page_no", join_list(shown).alias("events"))
 
 
+@query
+def a11_timeline_report(t: Inputs) -> DataFrame:
+    """Drift timelines written as JSON lines and read back."""
+    folder = t.scratch()
+    stores.write_json(drift.timeline(_plain_drift(t), PARAMS), folder)
+    event = "struct<event_seq:bigint,drift_type:string,start_episode:string,end_episode:string,magnitude:double>"
+    back = t.spark.read.schema(f"canonical_id string, page_no bigint, events array<{event}>").json(folder)
+    shown = F.transform("events", lambda e: F.concat_ws(":", e["event_seq"].cast("string"), e["drift_type"]))
+    return back.select("canonical_id", "page_no", join_list(shown).alias("events"))
+
+
 # --- J: contradictions --------------------------------------------------------------------
 
 

@@ -6,20 +6,37 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimweave.functions.ordered import numbered
+from claimweave.operators.contracts import bad_episode_id
 
 
 def _stem() -> Column:
     return F.regexp_extract("transcript_path", r"([^/]+?)(\.[^./]*)?$", 1)
 
 
+def check_names(spark: SparkSession, path: str) -> None:
+    """Refuse file names that make no episode id, and two files that make the same.
+
+    Only the names are listed; the contents are not read.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select(F.col("path").alias("transcript_path"))
+    named = files.select(_stem().alias("episode_id"), "transcript_path")
+    bad = named.filter(bad_episode_id(F.col("episode_id"))).first()
+    if bad:
+        raise ValueError(f"no episode id: {bad['transcript_path']}")
+    twice = named.groupBy("episode_id").agg(F.min("transcript_path").alias("a"), F.max("transcript_path").alias("b")).filter("a <> b").first()
+    if twice:
+        raise ValueError(f"one episode id for two files: {twice['a']} and {twice['b']}")
+
+
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """All transcript files under ``path``; the file stem is the episode id.
+    """All transcript files under ``path``; the file stem is the episode id, and must be one of its own.
 
     Files are read in splits, so one huge file is spread over many tasks.  The
     offset of a split is a chunk of the file's line order; lines are numbered per
     split and the counts of the earlier splits are added.
     """
-    lines = spark.read.text(path).select(
+    check_names(spark, path)
+    lines = spark.read.option("recursiveFileLookup", True).text(path).select(
         F.col("_metadata.file_path").alias("transcript_path"),
         F.col("_metadata.file_block_start").alias("_at"),
         F.monotonically_increasing_id().alias("_in_task"),
@@ -40,7 +57,8 @@ def explode_files(files: DataFrame) -> DataFrame:
 
 def read_whole_files(spark: SparkSession, path: str) -> DataFrame:
     """The same for files known to be small: no numbering pass, one file per row."""
-    files = spark.read.text(path, wholetext=True)
+    check_names(spark, path)
+    files = spark.read.option("recursiveFileLookup", True).text(path, wholetext=True)
     return explode_files(files.withColumn("transcript_path", F.col("_metadata.file_path")))
 
 

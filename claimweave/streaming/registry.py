@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from claimweave.functions.text import norm_tokens
 from claimweave.operators import canonical, registry, similar
 from claimweave.params import DEFAULT, Params
-from claimweave.sources import stores
+from claimweave.sources import snapshots, stores
 
 
 def merge_batch(tables: dict[str, DataFrame], mentions: DataFrame) -> dict[str, DataFrame]:
@@ -34,6 +34,20 @@ def merge_batch(tables: dict[str, DataFrame], mentions: DataFrame) -> dict[str,
     }
 
 
+def rebuild(spark: SparkSession, folder: str, phases: str) -> int | None:
+    """A new registry version made from the stored beliefs of all episodes alone; None if none are stored.
+
+    Takes the newest snapshots of the canonical phase, whatever state the registry is in.
+    """
+    mentions = snapshots.load(spark, phases, "canonical_beliefs")
+    if mentions is None:
+        return None
+    before = stores.registry_version(spark, folder)
+    version = 0 if before is None else before + 1
+    stores.save_registry(merge_batch(stores.empty_registry(spark), mentions), folder, version)
+    return version
+
+
 def embeddings(summary: DataFrame, stored: DataFrame, params: Params = DEFAULT) -> DataFrame:
     """Text embeddings of the canonicals that have none yet."""
     new = registry.missing_embeddings(summary.select("canonical_id", "canonical_text"), stored)

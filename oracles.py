@@ -468,6 +468,7 @@ WITH asked AS (SELECT a AS h FROM loose_forms WHERE ratio < 0.85 UNION SELECT b
 SELECT norm_hash, CASE WHEN norm_hash IN (SELECT h FROM asked) AND length(norm_text)%10 <> 0 THEN 'that '||norm_text ELSE norm_text END AS canonical_text FROM forms
 """)
 oracle("e17_rebuilt_registry", "canonicals", f"SELECT {_MERGED} FROM canonicals")
+oracle("e17_rebuilt_from_snapshots", "canonicals", f"SELECT {_MERGED} FROM canonicals")
 # nearest embedding of each later form among the earlier ones, by distinct vector
 cte("mismatch", "old_m new_m form_vectors", """
 SELECT n.belief_id, n.episode_id FROM new_m n
@@ -756,6 +757,21 @@ SELECT canonical_id, (rn-1)//1000 AS page_no, string_agg(event_seq||':'||drift_t
  SELECT *, row_number() OVER (PARTITION BY canonical_id ORDER BY event_seq, drift_type) AS rn FROM plain_drift) GROUP BY 1, 2
 """)
 
+oracle("a11_timeline_report", "plain_drift", """
+SELECT canonical_id, (rn-1)//1000 AS page_no, string_agg(event_seq||':'||drift_type, ',' ORDER BY rn) AS events FROM (
+ SELECT *, row_number() OVER (PARTITION BY canonical_id ORDER BY event_seq, drift_type) AS rn FROM plain_drift) GROUP BY 1, 2
+""")
+oracle("b7_broken_links", "mentions old_m opposed plain_drift sents", """
+SELECT 'canonical-utterance' AS edge, belief_id AS id, utterance_id AS missing FROM mentions WHERE utterance_id NOT IN (SELECT utterance_id FROM old_m)
+UNION ALL SELECT 'canonical-belief', canonical_id, belief_id FROM mentions WHERE belief_id NOT IN (SELECT belief_id FROM old_m)
+UNION ALL SELECT DISTINCT 'canonical-cluster', canonical_id, substr(canonical_id, 1, 4) FROM mentions WHERE substr(canonical_id, 1, 4) NOT IN (SELECT substr(canonical_id, 1, 4) FROM old_m)
+UNION ALL SELECT DISTINCT 'cluster-canonical', substr(canonical_id, 1, 4), canonical_id FROM mentions WHERE canonical_id NOT IN (SELECT canonical_id FROM old_m)
+UNION ALL SELECT 'contradiction-a', a||'-'||b, a FROM opposed WHERE score >= 0.7 AND a NOT IN (SELECT canonical_id FROM old_m)
+UNION ALL SELECT 'contradiction-b', a||'-'||b, b FROM opposed WHERE score >= 0.7 AND b NOT IN (SELECT canonical_id FROM old_m)
+UNION ALL SELECT 'drift-canonical', md5(concat_ws('|', canonical_id, ee, drift_type)), canonical_id FROM plain_drift WHERE canonical_id NOT IN (SELECT canonical_id FROM old_m)
+UNION ALL SELECT 'utterance-episode', utterance_id, episode_id FROM sents WHERE episode_id NOT IN (SELECT episode_id FROM old_m)
+""")
+
 # --- K ----------------------------------------------------------------------------
 
 cte("all_events", "call_events mismatch", "SELECT episode_id, kind FROM call_events UNION ALL SELECT episode_id, 'mismatch' FROM mismatch")
@@ -833,3 +849,15 @@ oracle("m2_second_stream", "canonicals", f"SELECT {_MERGED} FROM canonicals")
 oracle("m3_streamed_minutes", "simple", minutes_of(
     "simple", "WHERE date_trunc('minute', ts) + INTERVAL 1 MINUTE <= (SELECT max(ts) FROM simple) - INTERVAL 2 MINUTE"))
 oracle("m4_streamed_alarm", "audited", "SELECT call_id, prior_requests, prior_tokens, over_requests, over_tokens FROM audited WHERE over_requests OR over_tokens")
+
+# the whole path on text embeddings compares all pairs of texts: for small fixtures only
+cte("tx_v", "form_vectors", "SELECT canonical_id, v FROM form_vectors")
+cluster_ctes("tx", "canonicals", "form_vectors", "0.3")
+centroid_cte("tx_c", "tx_m", "tx_v", "tx_m tx_v")
+cte("tx_flags", "tx_m mentions", CTES["flag_counts"][1].replace("cl_m", "tx_m"))
+cte("tx_tiers", "tx_m tx_flags", tiers_of(fixed.TIERS, "tx_flags").replace("cl_m", "tx_m"))
+cte("tx_nodes", "tx_tiers tx_c", CTES["nodes"][1].replace("tiers", "tx_tiers").replace("cl_c", "tx_c").replace("0.35", "0.5"))
+cte("tx_tree", "tx_nodes", CTES["tree"][1].replace("tree", "tx_tree").replace("nodes", "tx_nodes"))
+WHOLE_PATH = compose(["tx_tree"], """
+SELECT t.cluster_id, t.ontology_level, t.parent_cluster_id, t.depth, t.path, (SELECT count(*) FROM tx_tree c WHERE c.parent_cluster_id = t.cluster_id) AS children FROM tx_tree t
+""")

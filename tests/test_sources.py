@@ -6,6 +6,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
+from claimweave import fixed
 from claimweave.operators import ingest, registry
 from claimweave.sources import snapshots, stores, transcripts
 from claimweave.streaming import registry as registry_stream
@@ -46,6 +47,32 @@ def test_split_reading_numbers_lines_like_whole_files(spark, folder):
     assert max(n for e, n, _ in got if e == "ep_0") == 40 + 13  # texts and blank lines
 
 
+def test_equal_stems_and_bad_names_are_refused(spark, folder):
+    for place in ("x", "y"):
+        Path(folder, "in", place).mkdir(parents=True)
+        Path(folder, "in", place, "ep1.txt").write_text("A | 00:00:01 | 00:00:02 | hi")
+    with pytest.raises(ValueError, match="one episode id"):
+        transcripts.read_lines(spark, f"{folder}/in")
+    assert transcripts.read_lines(spark, f"{folder}/in/x").count() == 1
+    Path(folder, "in", "x", "ep 2.txt").write_text("A | 00:00:01 | 00:00:02 | hi")
+    with pytest.raises(ValueError, match="no episode id"):
+        transcripts.read_whole_files(spark, f"{folder}/in/x")
+
+
+def test_phases_are_saved_and_the_registry_is_rebuilt_from_them(spark, folder):
+    from claimweave.plans.conversation import Conversations
+    from claimweave.sources import tables
+
+    lines = tables.transcript_lines(tables.table(spark, "/root/testdata/sf0.001", "conversations"))
+    c = Conversations(lines, tables.responses, keep=True)
+    c.save(f"{folder}/phases", "one", "2024-01-01")
+    saved = {r["phase"] for r in snapshots.manifest(spark, f"{folder}/phases").select("phase").distinct().collect()}
+    assert saved == set(fixed.PHASES)
+    assert registry_stream.rebuild(spark, f"{folder}/registry", f"{folder}/nothing") is None
+    assert registry_stream.rebuild(spark, f"{folder}/registry", f"{folder}/phases") == 0
+    assert stores.load_registry(spark, f"{folder}/registry")["canonical"].count() == c.canonicals.count()
+
+
 def test_episodes_are_numbered_without_gaps(spark, folder):
     write_transcripts(folder)
     rows = ingest.number_episodes(transcripts.read_lines(spark, f"{folder}/in")).select("episode_id", "episode_seq").distinct().collect()
