@@ -20,6 +20,16 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+# rows and bytes that one Arrow batch carries to a Python worker, so that long texts do not add up
+ARROW = {"spark.sql.execution.arrow.maxRecordsPerBatch": "4096", "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20)}
+
+
+def limited(spark: SparkSession) -> SparkSession:
+    for key, value in ARROW.items():
+        spark.conf.set(key, value)
+    return spark
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A new folder below the one that the cluster shares."""
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
@@ -28,7 +38,7 @@ def scratch(spark: SparkSession, name: str) -> str:
 def saved(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: the lineage is cut, columns can be pruned."""
     path = scratch(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
