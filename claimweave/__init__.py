@@ -1,8 +1,9 @@
 """claimweave: follow what people claim in recorded conversations, as Spark jobs.
 
-Every operator takes DataFrames and returns DataFrames.  Nothing here starts a
-query by itself except the loops that need a stopping test (``operators.groups``)
-and the explicit writers in ``sources`` and ``streaming``.
+Every operator takes DataFrames and returns DataFrames.  Searches, groups, trees and
+kept answers run Spark jobs while the plan is built, as they write intermediate
+results (``session.durable``) or need a stopping test; so do the writers in
+``sources`` and ``streaming``.  Everything else is lazy.
 """
 
 from claimweave.params import Params

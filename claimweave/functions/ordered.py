@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from claimweave.session import durable
+
 _AGG = {"sum": F.sum, "max": F.max, "min": F.min}
 
 
@@ -70,7 +72,15 @@ def blocks(c: Column | str, size: int = 4096) -> Column:
     return F.floor((F.col(c) if isinstance(c, str) else c) / size).cast("bigint")
 
 
-def id_prefix(c: Column | str, digits: int = 2) -> Column:
+def ranged(df: DataFrame, column: str, name: str = "_range") -> DataFrame:
+    """Add chunks that are ranges of ``column`` with about as many rows each, whatever its values look like.
+
+    The rows are kept, so that all readers see the same ranges.
+    """
+    return durable(df.repartitionByRange(column).withColumn(name, F.spark_partition_id()))
+
+
+def id_prefix(c: Column | str, digits: int = 3) -> Column:
     """Chunks of an order by content id; ids are spread evenly over prefixes."""
     return F.substring(c, 1, digits)
 

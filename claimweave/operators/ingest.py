@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from claimweave.functions import clock
 from claimweave.functions.ids import content_id
-from claimweave.functions.ordered import blocks, numbered, running
+from claimweave.functions.ordered import blocks, numbered, running, ranged
 from claimweave.functions.settle import settled
 from claimweave.functions.text import strip
 
@@ -103,8 +103,8 @@ def number_episodes(lines: DataFrame) -> DataFrame:
 
     Only the distinct ids are numbered.  Callers with dates bring their own numbers.
     """
-    ids = lines.select("episode_id").distinct()
-    ranked = numbered(ids, [], ["episode_id"], F.substring("episode_id", 1, 8), "_n")
+    ids = ranged(lines.select("episode_id").distinct(), "episode_id")
+    ranked = numbered(ids, [], ["episode_id"], F.col("_range"), "_n")
     return lines.join(ranked.select("episode_id", (F.col("_n") - 1).alias("episode_seq")), "episode_id")
 
 

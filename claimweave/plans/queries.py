@@ -144,6 +144,12 @@ def a2_episodes(t: Inputs) -> DataFrame:
     return e.select("episode_id", "episode_seq", "title", F.col("date").cast("string").alias("date"), "transcript_path")
 
 
+@query
+def a2_numbered_episodes(t: Inputs) -> DataFrame:
+    """Episodes numbered in the order of their ids."""
+    return ingest.number_episodes(t.lines.drop("episode_seq")).select("episode_id", "episode_seq").distinct()
+
+
 @query
 def a3_a4_snapshot_round_trip(t: Inputs) -> DataFrame:
     """Utterances saved as a phase snapshot, saved again by a second run, and loaded."""
@@ -1160,11 +1166,11 @@ def j7_counts_by_episode(t: Inputs) -> DataFrame:
 
 @query
 def j8_speaker_comparison(t: Inputs) -> DataFrame:
-    """Every speaker against every later one, by the speakers that occur."""
+    """Speakers who meet in an episode, compared over everything they said."""
     c = t.kept
-    names = c.mentions.agg(F.array_sort(F.collect_set("speaker")).alias("s"))
-    pairs = names.select("s", F.explode("s").alias("speaker_1")).select("speaker_1", F.explode("s").alias("speaker_2"))
-    return contradict.compare_speakers(c.mentions, pairs.filter("speaker_1 < speaker_2"))
+    there = c.mentions.select("episode_id", "speaker").distinct()
+    met = there.toDF("episode_id", "speaker_1").join(there.toDF("episode_id", "speaker_2"), "episode_id")
+    return contradict.compare_speakers(c.mentions, met.filter("speaker_1 < speaker_2").select("speaker_1", "speaker_2").distinct())
 
 
 @query

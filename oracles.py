@@ -202,6 +202,7 @@ oracle("a1_transcript_lines", "lines", "SELECT * FROM lines")
 oracle("a2_episodes", "episodes", """
 SELECT episode_id, episode_seq, episode_id AS title, '2024-01-01' AS date, episode_id||'.txt' AS transcript_path FROM episodes
 """)
+oracle("a2_numbered_episodes", "episodes", "SELECT episode_id, row_number() OVER (ORDER BY episode_id) - 1 AS episode_seq FROM episodes")
 oracle("a3_a4_snapshot_round_trip", "utts", "SELECT utterance_id, episode_id, speaker, start_s, end_s, md5(text||'!') AS text_md5 FROM utts")
 oracle("a5_resume_points", "manifest episodes", f"""
 SELECT episode_id, {_PHASES}[n] AS last_phase, {_PHASES}[n+1] AS next_phase
@@ -703,6 +704,7 @@ SELECT x.speaker AS speaker_1, y.speaker AS speaker_2,
  (SELECT count(*) FROM s a WHERE a.speaker = x.speaker AND a.canonical_id NOT IN (SELECT canonical_id FROM s b WHERE b.speaker = y.speaker)) AS only_1,
  (SELECT count(*) FROM s a WHERE a.speaker = y.speaker AND a.canonical_id NOT IN (SELECT canonical_id FROM s b WHERE b.speaker = x.speaker)) AS only_2
 FROM n x JOIN n y ON x.speaker < y.speaker
+WHERE EXISTS (SELECT 1 FROM mentions p JOIN mentions q USING (episode_id) WHERE p.speaker = x.speaker AND q.speaker = y.speaker)
 """)
 oracle("j8_shared_and_own", "mentions", """
 WITH s AS (SELECT DISTINCT speaker, canonical_id FROM mentions)
