@@ -85,22 +85,47 @@ class PreTokens:
 class Encoder:
     """Ids of whole texts as the library gives them, without added special tokens.
 
-    What stands between white space in a plain text is encoded by itself, once as
-    long as it is remembered; any other text is encoded as it is.
+    In a plain text, what stands between white space is encoded by itself, once as long
+    as it is remembered.  It is cut into pre-tokens here, and these go through the
+    library's model in long lines, so that its normalizer, which would change nothing,
+    is not run for each.  Any other text goes through the library as it is.
     """
 
-    REMEMBERED = 400_000
+    REMEMBERED, LINE = 500_000, 2000
 
     def __init__(self, path: str):
+        from tokenizers import Tokenizer, pre_tokenizers
+
         self.pre = PreTokens(path)
+        self.model = Tokenizer(self.pre.library.model)
+        steps = [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+        self.model.pre_tokenizer = pre_tokenizers.Sequence(steps)
+        vocab = self.pre.spec["model"]["vocab"]
+        self.ends_word = np.zeros(max(vocab.values()) + 1, bool)
+        self.ends_word[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
+        del self.pre.spec
         self._forget()
 
     def _forget(self) -> None:
         self.known: dict[str, int] = {}
         self.ids, self.starts = array("I"), array("q", [0])
 
-    def _store(self, ids: list[int]) -> int:
-        self.ids.extend(ids)
+    def _learn(self, chunks: list[str]) -> None:
+        """Store the ids of plain lower-case chunks: each pre-token ends with the one id that ends a word."""
+        for k in range(0, len(chunks), self.LINE):
+            some = chunks[k : k + self.LINE]
+            words = [_WORDS.findall(c) for c in some]
+            line = [" ".join(chain.from_iterable(words))]
+            ids = np.array(self.model.encode_batch_fast(line, add_special_tokens=False)[0].ids, np.uint32)
+            ends = np.concatenate(([0], np.flatnonzero(self.ends_word[ids]) + 1))
+            stops = ends[np.cumsum([len(w) for w in words])] + len(self.ids)
+            self.known.update(zip(some, range(len(self.starts) - 1, len(self.starts) - 1 + len(some)), strict=True))
+            self.ids.frombytes(ids.tobytes())
+            self.starts.frombytes(stops.astype(np.int64).tobytes())
+
+    def _store(self, text: str) -> int:
+        """Store the ids of any text, under no name."""
+        self.ids.extend(self.pre.library.encode(text, add_special_tokens=False).ids)
         self.starts.append(len(self.ids))
         return len(self.starts) - 2
 
@@ -114,12 +139,8 @@ class Encoder:
             for part in windows(text):
                 cut.append(part.lower().split() if self.pre.plain(part) else part)
                 owner.append(k)
-        new = list(set().union(*(c for c in cut if isinstance(c, list))) - self.known.keys())
-        for word, e in zip(new, self._library(new), strict=True):
-            self.known[word] = self._store(e)
-        odd = [c for c in cut if isinstance(c, str)]
-        ids_of_odd = iter(self._library(odd))
-        places = [[*map(self.known.__getitem__, c)] if isinstance(c, list) else [self._store(next(ids_of_odd))] for c in cut]
+        self._learn(list(set().union(*(c for c in cut if isinstance(c, list))) - self.known.keys()))
+        places = [[*map(self.known.__getitem__, c)] if isinstance(c, list) else [self._store(c)] for c in cut]
         at = np.fromiter(chain.from_iterable(places), np.int64)
         starts = np.frombuffer(self.starts, np.int64)
         sizes = starts[at + 1] - starts[at]
@@ -131,9 +152,6 @@ class Encoder:
         np.add.at(words, np.array(owner, np.int64), [len(p) for p in places])
         return flat, ends[np.concatenate(([0], np.cumsum(words)))]
 
-    def _library(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.pre.library.encode_batch_fast(texts, add_special_tokens=False)]
-
 
 class RankedMerges:
     """Byte-pair merging of many pre-tokens at once, in ragged numpy arrays.

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from claimweave.llm import chat, itq, langid, mixing, packing, partenum, projections, records, ring, tokens
-from claimweave.llm.base import table
+from claimweave.llm.base import limited, table
 from claimweave.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -16,7 +16,7 @@ ORACLES: dict[str, str] = {"op7_chat": chat.DIGEST_SQL, "op9_mixing": mixing.REP
 
 def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        return f(tune(spark), folder)
+        return f(limited(tune(spark)), folder)
 
     QUERIES[f.__name__] = run
     return run
