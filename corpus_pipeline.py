@@ -16,24 +16,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from claimweave.llm import langid, mixing, packing, partenum
-from claimweave.llm.base import saved, table
+from claimweave.llm.base import limited, saved, table
 from claimweave.llm.queries import word_bpe
 from claimweave.session import tune
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    limited(tune(spark))
     return langid.with_language(docs)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    limited(tune(spark))
     return partenum.without_near_copies(docs)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    limited(tune(spark))
     return mixing.mixed_documents(docs)
 
 
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    limited(tune(spark))
     return packing.pack_documents(docs, word_bpe())
 
 
@@ -44,7 +48,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(tune(spark), sf_dir, "documents")
+    docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = saved(stage(spark, docs, sf_dir), f"pipeline-{name}")
     return STAGES[-1][1](spark, docs, sf_dir)
