@@ -8,16 +8,20 @@ three cells.  With n > k/2 some part differs in one element at most, so two of i
 three cells are equal: for each part, each way to leave out one cell gives a
 signature, the sum of what is in the other two.  Similar sets share a signature.
 
-Two cells may be empty in many sets.  At least n - k/2 parts carry a shared
-signature, so one of those is not empty unless as many parts of a set have empty
-ones; only such sets (few, as n has some parts to spare) send theirs.
-
-Signatures are packed per task and bucket before the shuffle.  Of the sets that
-share one, each is paired with the smallest id; pairs that differ too much in size or
-in a small sketch of counts (both exact bounds) go.  Then pairs are verified on whole
-texts, in three rounds: one pair per document; pairs whose ends are not yet in one
-group; and, where a pair failed, all pairs of those under the same smallest id that
-are still in different groups.  So every link between two signature mates is either
+An empty signature would bring together sets that have nothing in common, so none is
+sent.  With n parts to spare, similar sets still share another, unless one difference
+each in the parts where two cells are empty, and two each in others, can spoil all
+parts; a set can tell that of itself.  Both sets of a pair that shares no signature are
+of that kind (few are), and such sets deal the domain once more, by another hash.
+
+Signatures are packed per task and bucket before the shuffle; a bucket holds a share
+of one band.  Of the sets that share one, each is paired with the smallest id, and with
+the hub, the set whose signatures bring it together with most others (of copies that
+were edited each in its own way, that is the one they come from).  Pairs that differ
+too much in size or in a small sketch of counts (both exact bounds) go.  Then pairs are
+verified on whole texts, in three rounds: each document with its hub; pairs whose ends
+are not yet in one group; and, where a smallest id failed, all pairs of those under it
+that are still in different groups.  So every link between two signature mates is either
 tested or its ends are in one group already, and groups are those of all links,
 though a cloud of n near copies is never turned into n*n pairs.
 """
@@ -37,11 +41,12 @@ from claimweave.operators.groups import components
 
 PERCENT = 80
 CELLS = 3
-SKETCH = 64
-BLOCK_BYTES = 2 << 20
+SKETCH = 16
+DEALS = 8
+BLOCK_BYTES = 1 << 20
 # signatures and documents that a task packs at once; signatures that a bucket should hold
-FLUSH_SIGNATURES, FLUSH_DOCS, BUCKET_SIGNATURES = 1 << 20, 60_000, 1 << 21
-UNIT, SLOTS = 256, 1 << 20
+FLUSH_SIGNATURES, FLUSH_DOCS, BUCKET_SIGNATURES = 1 << 19, 30_000, 1 << 21
+UNIT, TILE_SHINGLES, SLOTS = 256, 1 << 20, 1 << 20
 
 
 class Bands:
@@ -73,37 +78,54 @@ class Bands:
         """(k, parts): the largest difference of two sets that meet in a band, and the number of parts."""
         k = 2 * self.high(band) * (100 - self.percent) // (100 + self.percent)
         least = k // 2 + 1
-        return k, least + (least + 31) // 32 if least > 8 else least
+        return k, least + (least + 15) // 16 if least > 2 else least
 
 
 def signatures(hashes: np.ndarray, bands: Bands) -> np.ndarray:
-    """Signatures of one non-empty set in ascending order of hashes."""
-    sums = np.concatenate((np.zeros(1, U), np.cumsum(mix(hashes ^ U(0xD1B54A32D192ED03)))))
+    """Signatures of one non-empty set, given as sorted hashes."""
+    return np.concatenate([s for _, s in by_band(hashes, bands)])
+
+
+def by_band(hashes: np.ndarray, bands: Bands) -> list[tuple[int, np.ndarray]]:
     out = []
     for band in bands.bands(len(hashes)):
         k, parts = bands.parts(band)
-        tag = U((band + 1) << 40)
         if k == 0:
-            out.append(mix(sums[-1:] + tag))
+            out.append((band, mix(mix(hashes).sum(keepdims=True, dtype=U) + U((band + 1) << 40))))
             continue
-        cells = parts * CELLS
-        cell = ((hashes >> U(32)) * U(cells)) >> U(32)
-        edges = np.searchsorted(cell, np.arange(cells + 1, dtype=U))
-        inside = (sums[edges[1:]] - sums[edges[:-1]]).reshape(parts, CELLS)
-        counts = np.diff(edges).reshape(parts, CELLS)
-        left = inside.sum(1, dtype=U)[:, None] - inside
-        empty = counts.sum(1)[:, None] == counts
-        named = mix(left + mix(np.arange(cells, dtype=U) + tag).reshape(parts, CELLS))
-        if empty.any(1).sum() < parts - k // 2:
-            out.append(named[~empty])
-        else:
-            out.append(named.reshape(-1))
-    return np.unique(np.concatenate(out))
+        for deal in range(DEALS):
+            found, empty, void = dealt(hashes, band, parts, deal)
+            one = min(int((empty.any(1) & ~void).sum()), k)
+            spoilt = int(void.sum()) + one + (k - one) // 2
+            last = deal == DEALS - 1 and spoilt >= parts
+            out.append((band, found.reshape(-1) if last else found[~empty]))
+            if spoilt < parts:
+                break
+    return out
+
+
+def dealt(hashes: np.ndarray, band: int, parts: int, deal: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Signatures of one deal (parts, cells left out), which of them are empty, and which parts are."""
+    if deal:
+        hashes = np.sort(mix(hashes + U(deal)))
+    cells = parts * CELLS
+    sums = np.concatenate((np.zeros(1, U), np.cumsum(mix(hashes ^ U(0xD1B54A32D192ED03)))))
+    edges = np.searchsorted(((hashes >> U(32)) * U(cells)) >> U(32), np.arange(cells + 1, dtype=U))
+    inside = (sums[edges[1:]] - sums[edges[:-1]]).reshape(parts, CELLS)
+    counts = np.diff(edges).reshape(parts, CELLS)
+    left = inside.sum(1, dtype=U)[:, None] - inside
+    names = mix(np.arange(cells, dtype=U) + U((band + 1) << 40 | deal << 32)).reshape(parts, CELLS)
+    return mix(left + names), counts.sum(1)[:, None] == counts, counts.sum(1) == 0
 
 
 def measures(hashes: np.ndarray) -> tuple[int, bytes, bytes]:
-    """Size, a 128-bit fingerprint of the set, and the counts of 64 parts of the domain (255 stands for more)."""
-    sketch = np.minimum(np.bincount((hashes & U(SKETCH - 1)).astype(np.int64), minlength=SKETCH), 255).astype(np.uint8)
+    """Size, a 128-bit fingerprint of the set, and the counts of equal shares of the domain (255 stands for more).
+
+    The shares are a power of two and hold six elements or fewer on average, so that
+    the counts of sets with nothing in common differ by far more than similar sets can.
+    """
+    shares = max(SKETCH, 1 << max(0, (len(hashes) // 6).bit_length()))
+    sketch = np.minimum(np.bincount((hashes & U(shares - 1)).astype(np.int64), minlength=shares), 255).astype(np.uint8)
     two = [mix(hashes ^ U(seed)).sum(dtype=U) for seed in (0x5851F42D4C957F2D, 0x14057B7EF767814F)]
     return len(hashes), b"".join(int(x).to_bytes(8, "little") for x in two), sketch.tobytes()
 
@@ -121,12 +143,29 @@ def measured(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(measure, "doc_id long, n long, print binary, sketch binary")
 
 
-def sharing_pairs(docs: DataFrame, percent: int, buckets: int) -> DataFrame:
-    """Distinct (a, b), a < b: b shares a signature with a, the smallest id that has it."""
+def shares(sizes: list[tuple[int, int]], percent: int) -> dict[int, tuple[int, int]]:
+    """Band -> (first bucket, buckets), from (size, sets of that size): as many as the band's signatures take."""
+    bands, load = Bands(percent), {}
+    for n, many in sizes:
+        for band in bands.bands(n):
+            load[band] = load.get(band, 0) + many * CELLS * bands.parts(band)[1]
+    out, first = {}, 0
+    for band in sorted(load):
+        out[band] = (first, -(-load[band] // BUCKET_SIGNATURES))
+        first += out[band][1]
+    return out
+
+
+def sharing_pairs(docs: DataFrame, percent: int, places: dict[int, tuple[int, int]]) -> DataFrame:
+    """(a, b, hub, times), a < b: both share a signature, and a is the smallest id that has it or hub (a or b) its hub.
+
+    ``places`` says which buckets a band has.  hub is NULL for pairs with the smallest
+    id; times counts the buckets that found the pair.
+    """
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bands = Bands(percent)
-        waiting: list[tuple[int, np.ndarray]] = []
+        waiting: list[tuple[int, np.ndarray, np.ndarray]] = []
         held, known = 0, set()
         for batch in slices(batches, "text", BLOCK_BYTES):
             sets = shingle_sets(*utf8(batch.column(1)))
@@ -136,15 +175,16 @@ def sharing_pairs(docs: DataFrame, percent: int, buckets: int) -> DataFrame:
                 if not len(own) or same in known:
                     continue
                 known.add(same)
-                found = signatures(own, bands)
-                waiting.append((doc, found))
-                held += len(found)
+                for band, found in by_band(own, bands):
+                    first, cuts = places[band]
+                    waiting.append((doc, found, ((found >> U(32)) * U(cuts) >> U(32)).astype(np.int64) + first))
+                    held += len(found)
             known = set()
             if held > FLUSH_SIGNATURES or len(waiting) > FLUSH_DOCS:
-                yield packed(waiting, buckets)
+                yield packed(waiting)
                 waiting, held = [], 0
         if waiting:
-            yield packed(waiting, buckets)
+            yield packed(waiting)
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         docs_of, found = [], []
@@ -161,46 +201,79 @@ def sharing_pairs(docs: DataFrame, percent: int, buckets: int) -> DataFrame:
             yield stars(docs_of, found)
 
     blocks = docs.filter("doc_id IS NOT NULL").mapInArrow(pack, "bucket int, docs binary, counts binary, found binary")
-    dealt = blocks.repartition(buckets, "bucket").sortWithinPartitions("bucket")
-    return dealt.mapInArrow(meet, "a long, b long").distinct()
+    buckets = max(1, sum(n for _, n in places.values()))
+    met = blocks.repartition(buckets, "bucket").sortWithinPartitions("bucket")
+    found = met.mapInArrow(meet, "a long, b long, hub long")
+    return found.groupBy("a", "b", "hub").agg(F.count(F.lit(1)).alias("times"))
 
 
-def packed(waiting: list[tuple[int, np.ndarray]], buckets: int) -> pa.RecordBatch:
+def packed(waiting: list[tuple[int, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
     """One row per bucket: ids, how many signatures each has there, and the signatures' low 48 bits, by id.
 
-    The bucket follows from the high bits, so it adds to the 48.
+    The bucket follows from the band and the high bits, so it adds to the 48.
     """
-    counts = np.array([len(s) for _, s in waiting])
-    found = np.concatenate([s for _, s in waiting])
+    counts = np.array([len(s) for _, s, _ in waiting])
+    found, bucket = (np.concatenate([w[k] for w in waiting]) for k in (1, 2))
     doc = np.repeat(np.arange(len(waiting)), counts)
-    bucket = ((found >> U(32)) * U(buckets) >> U(32)).astype(np.int64)
     order = np.argsort(bucket, kind="stable")  # ids stay together within a bucket
     found, doc, bucket = found[order], doc[order], bucket[order]
     low = found.view(np.uint8).reshape(-1, 8)[:, :6]
-    ids = np.array([d for d, _ in waiting], np.int64)
-    edges = np.searchsorted(bucket, np.arange(buckets + 1))
+    ids = np.array([w[0] for w in waiting], np.int64)
+    edges = np.append(np.flatnonzero(np.concatenate(([True], np.diff(bucket) != 0))), len(bucket))
     rows: tuple = ([], [], [], [])
-    for k in np.flatnonzero(np.diff(edges)):
-        own = slice(edges[k], edges[k + 1])
+    for a, b in zip(edges.tolist(), edges[1:].tolist(), strict=False):
+        own = slice(a, b)
         first = np.flatnonzero(np.concatenate(([True], np.diff(doc[own]) != 0)))
-        rows[0].append(int(k))
+        rows[0].append(int(bucket[a]))
         rows[1].append(ids[doc[own][first]].tobytes())
-        rows[2].append(np.diff(np.append(first, edges[k + 1] - edges[k])).astype(np.uint32).tobytes())
+        rows[2].append(np.diff(np.append(first, b - a)).astype(np.uint32).tobytes())
         rows[3].append(low[own].tobytes())
     kinds = (pa.int32(), pa.binary(), pa.binary(), pa.binary())
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(rows, kinds, strict=True)], names=["bucket", "docs", "counts", "found"])
 
 
 def stars(docs_of: list[np.ndarray], found: list[np.ndarray]) -> pa.RecordBatch:
-    """For each signature of a bucket, its smallest id with each other id."""
+    """For each signature of a bucket, its smallest id and its hub with each other id.
+
+    The hub is the id that shares its signatures in this bucket with most others.
+    """
     doc, key = np.concatenate(docs_of), np.concatenate(found)
     order = np.argsort(key, kind="stable")
     doc, key = doc[order], key[order]
     first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
-    least = np.repeat(np.minimum.reduceat(doc, first), np.diff(np.append(first, len(doc))))
-    other = least != doc
-    pairs = np.unique(np.stack((least[other], doc[other]), 1), axis=0) if other.any() else np.zeros((0, 2), np.int64)
-    return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+    sizes = np.diff(np.append(first, len(doc)))
+    many = np.repeat(sizes > 1, sizes)  # all other signatures bring nobody together
+    doc, sizes = doc[many], sizes[sizes > 1]
+    first = np.concatenate(([0], np.cumsum(sizes)))[:-1]
+    if not len(doc):
+        none = pa.array([], pa.int64())
+        return pa.RecordBatch.from_arrays([none, none, none], names=["a", "b", "hub"])
+    ids, which = np.unique(doc, return_inverse=True)
+    place = np.empty(len(ids), np.int64)
+    # ids in the order of what they share, of equals the smaller one last
+    rank = np.lexsort((-np.arange(len(ids)), np.bincount(which, weights=np.repeat(sizes, sizes))))
+    place[rank] = np.arange(len(ids))
+    least = np.repeat(np.minimum.reduceat(which, first), sizes)
+    hub = np.repeat(rank[np.maximum.reduceat(place[which], first)], sizes)
+    out = []
+    for centre, named in ((least, False), (hub, True)):
+        other = centre != which
+        pairs = np.unique(centre[other] * len(ids) + which[other])
+        a, b = ids[pairs // len(ids)], ids[pairs % len(ids)]
+        out.append((np.minimum(a, b), np.maximum(a, b), pa.array(a, pa.int64(), mask=np.full(len(a), not named))))
+    columns = [pa.array(np.concatenate([o[k] for o in out])) for k in (0, 1)]
+    return pa.RecordBatch.from_arrays([*columns, pa.concat_arrays([o[2] for o in out])], names=["a", "b", "hub"])
+
+
+def difference(one: bytes, two: bytes) -> int:
+    """The least number of elements in which two sets with these sketches differ."""
+    a, b = (np.frombuffer(x, np.uint8).astype(np.int32) for x in (one, two))
+    if max(a.max(), b.max()) == 255:
+        return 0
+    while len(a) != len(b):
+        a, b = (a, b) if len(a) > len(b) else (b, a)
+        a = a[: len(a) // 2] + a[len(a) // 2 :]
+    return int(np.abs(a - b).sum())
 
 
 def near_enough(pairs: DataFrame, percent: int) -> DataFrame:
@@ -210,29 +283,36 @@ def near_enough(pairs: DataFrame, percent: int) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            n = batch.column(2).to_numpy() + batch.column(3).to_numpy()
-            one, two = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, SKETCH).astype(np.int16) for c in (4, 5))
-            good = np.abs(one - two).sum(1, dtype=np.int64) * (100 + percent) <= n * (100 - percent)
+            n = (batch.column(2).to_numpy() + batch.column(3).to_numpy()).tolist()
+            least = map(difference, batch.column(4).to_pylist(), batch.column(5).to_pylist())
+            good = [d * (100 + percent) <= both * (100 - percent) for d, both in zip(least, n, strict=True)]
             yield batch.select(["a", "b"]).filter(pa.array(good))
 
     least, most = F.least("na", "nb"), F.greatest("na", "nb")
     return pairs.filter(least * 100 >= most * percent).select("a", "b", "na", "nb", "sa", "sb").mapInArrow(test, "a long, b long")
 
 
+def with_texts(need: DataFrame, docs: DataFrame) -> DataFrame:
+    """``need`` with the text of each doc_id.
+
+    Texts that nothing needs are sorted out before the shuffle, by a table of hashed
+    ids with 2**20 rows at most.
+    """
+    slot = F.pmod(F.xxhash64("doc_id"), F.lit(SLOTS)).cast("int")
+    slots = need.select(slot.alias("_slot")).distinct()
+    texts = docs.withColumn("_slot", slot).join(F.broadcast(slots), "_slot", "left_semi").select("doc_id", "text")
+    return texts.join(need, "doc_id")
+
+
 def verified(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) that are linked, tested on whole texts.
 
     A unit is an id a with at most some hundreds of its partners; each text goes to the
-    units that need it, a's first.  Texts that no unit needs are sorted out before the
-    shuffle by a table of hashed ids with 2**20 rows at most.
+    units that need it, a's first.
     """
     many = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / UNIT).alias("units"))
     dealt = pairs.join(many, "a").withColumn("unit", F.pmod(F.xxhash64("b"), F.col("units")))
     need = dealt.select("a", "unit", F.col("b").alias("doc_id")).unionByName(dealt.select("a", "unit", F.col("a").alias("doc_id")).distinct())
-    need = saved(need, "jaccard-need")
-    slot = F.pmod(F.xxhash64("doc_id"), F.lit(SLOTS)).cast("int")
-    slots = need.select(slot.alias("_slot")).distinct()
-    texts = docs.withColumn("_slot", slot).join(F.broadcast(slots), "_slot", "left_semi").select("doc_id", "text")
 
     def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unit, pivot = None, None
@@ -247,10 +327,73 @@ def verified(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
                     out[1].append(doc)
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], names=["a", "b"])
 
-    ordered = texts.join(need, "doc_id").select("a", "unit", "doc_id", "text").repartition("a", "unit")
+    ordered = with_texts(saved(need, "jaccard-need"), docs).select("a", "unit", "doc_id", "text").repartition("a", "unit")
     return ordered.sortWithinPartitions("a", "unit", F.col("doc_id") != F.col("a")).mapInArrow(test, "a long, b long").distinct()
 
 
+def crossed(apart: DataFrame, mates: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between failed mates and all mates of the same smallest id that are in other groups.
+
+    ``apart`` and ``mates`` have (a, doc_id, g, n): the smallest id, the mate, its group
+    and its size; ``apart`` is part of ``mates``.  Both are cut into tiles of some hundreds
+    of documents or a million shingles; a text goes to the tiles of its line or column,
+    and what is compared there is never written as pairs.
+    """
+
+    def cuts(rows: DataFrame, name: str) -> DataFrame:
+        least = F.greatest(F.count(F.lit(1)) / UNIT, F.sum("n") / TILE_SHINGLES)
+        return rows.groupBy("a").agg(F.ceil(least).alias(name))
+
+    lines, columns = cuts(apart, "lines"), cuts(mates.join(apart.select("a").distinct(), "a", "left_semi"), "columns")
+    shape = lines.join(columns, "a")
+    zero = F.lit(0).cast("long")
+
+    def placed(rows: DataFrame, mate: bool) -> DataFrame:
+        own = F.pmod(F.xxhash64("doc_id", F.lit(int(mate))), F.col("columns" if mate else "lines"))
+        size = F.col("lines" if mate else "columns")
+        tile = lambda k: k * F.col("columns") + own if mate else own * F.col("columns") + k
+        tiles = F.transform(F.sequence(zero, size - 1), tile)
+        return rows.join(shape, "a").select("a", F.explode(tiles).alias("tile"), "doc_id", "g", F.lit(not mate).alias("failed"), "late")
+
+    late = apart.select("a", "doc_id", F.lit(True).alias("late"))
+    of_mates = mates.join(late, ["a", "doc_id"], "left").withColumn("late", F.coalesce("late", F.lit(False)))
+    need = placed(of_mates, True).unionByName(placed(apart.withColumn("late", F.lit(True)), False))
+
+    def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unit = None
+        sets, ids, groups, lates = [], [], [], []
+        flat = None
+        for batch in slices(batches, "text", BLOCK_BYTES):
+            own_sets = shingle_sets(*utf8(batch.column(6)))
+            out: tuple[list, list] = ([], [])
+            for a, tile, doc, g, failed, is_late, own in zip(*(batch.column(c).to_pylist() for c in range(6)), own_sets, strict=True):
+                if (a, tile) != unit:
+                    unit, flat = (a, tile), None
+                    sets, ids, groups, lates = [], [], [], []
+                if not failed:
+                    sets.append(own)
+                    ids.append(doc)
+                    groups.append(g)
+                    lates.append(is_late)
+                elif sets:
+                    if flat is None:
+                        flat = np.concatenate(sets)
+                        sizes = np.array([len(s) for s in sets])
+                        starts = np.concatenate(([0], np.cumsum(sizes)[:-1]))
+                        who, group, later = np.array(ids), np.array(groups), np.array(lates)
+                    at = np.minimum(np.searchsorted(own, flat), len(own) - 1)
+                    both = np.add.reduceat((own[at] == flat).astype(np.int64), starts)
+                    good = 100 * both >= percent * (len(own) + sizes - both)
+                    good &= (group != g) & (~later | (who > doc))
+                    for other in who[good].tolist():
+                        out[0].append(min(doc, other))
+                        out[1].append(max(doc, other))
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], names=["a", "b"])
+
+    rows = with_texts(saved(need, "jaccard-tiles"), docs).select("a", "tile", "doc_id", "g", "failed", "late", "text")
+    return rows.repartition("a", "tile").sortWithinPartitions("a", "tile", "failed").mapInArrow(test, "a long, b long").distinct()
+
+
 def jaccard_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row of ``docs``.
 
@@ -261,19 +404,25 @@ def jaccard_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     with nothing and has a NULL component_id.  No rows: no rows.
     """
     rows = docs.select("doc_id", text_or_empty().alias("text"))
-    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    spark = docs.sparkSession
-    # a word has some six bytes, a shingle not quite one signature
-    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // (6 * BUCKET_SIGNATURES)))
     sets = saved(measured(rows), "jaccard-sets")
     whole = sets.filter("doc_id IS NOT NULL AND n > 0")
     copies = whole.groupBy("n", "print").agg(F.min("doc_id").alias("rep"))
     # one row per document: its smallest copy speaks for it
     known = saved(whole.select("doc_id", "n", "print", "sketch").join(copies, ["n", "print"]).select("doc_id", "rep", "n", "sketch").distinct(), "jaccard-known")
     name = known.select("doc_id", "rep")
-    found = sharing_pairs(rows, percent, buckets)
+    # one row per size that occurs
+    sizes = [(r["n"], r["count"]) for r in whole.groupBy("n").count().collect()]
+    found = sharing_pairs(rows, percent, shares(sizes, percent))
     raw = found.join(name.toDF("a", "ra"), "a").join(name.toDF("b", "rb"), "b").filter("ra <> rb")
-    raw = saved(raw.select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b")).distinct(), "jaccard-raw")
+    hub = F.when(F.col("hub") == F.col("a"), F.col("ra")).when(F.col("hub") == F.col("b"), F.col("rb"))
+    raw = raw.select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b"), hub.alias("hub"), "times")
+    raw = saved(raw.groupBy("a", "b", "hub").agg(F.sum("times").alias("times")), "jaccard-raw")
+    hubs = raw.filter("hub IS NOT NULL")
+    own = F.when(F.col("hub") == F.col("a"), F.col("b")).otherwise(F.col("a"))
+    best = hubs.groupBy(own.alias("x")).agg(F.max(F.struct("times", (-F.col("hub")).alias("h")))["h"].alias("h"))
+    best = best.select(F.least("x", -F.col("h")).alias("a"), F.greatest("x", -F.col("h")).alias("b")).distinct()
+    everything = raw.select("a", "b").distinct()
+    raw = raw.filter("hub IS NULL").select("a", "b")
     spoken = known.filter("doc_id = rep")
 
     def sized(pairs: DataFrame) -> DataFrame:
@@ -288,24 +437,19 @@ def jaccard_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         both = both.withColumn("ga", F.coalesce("ga", "a")).withColumn("gb", F.coalesce("gb", "b"))
         return both.filter("ga <> gb")
 
-    near = saved(sized(raw), "jaccard-near")
-    links = saved(verified(near.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), rows, percent), "jaccard-links")
+    near = saved(sized(everything), "jaccard-near")
+    links = saved(verified(near.join(best, ["a", "b"], "left_semi"), rows, percent), "jaccard-links")
     groups = saved(components(links), "jaccard-groups")
     rest = saved(named(near, groups).select("a", "b"), "jaccard-rest")
     if not rest.isEmpty():
         links = saved(links.unionByName(verified(rest, rows, percent)), "jaccard-links")
         groups = saved(components(links), "jaccard-groups")
-    apart = saved(named(raw, groups).select("a", F.col("b").alias("x"), F.col("gb").alias("gx")), "jaccard-apart")
-    # failed mates of a against all mates of a that are in another group
-    mates = raw.join(groups.toDF("b", "gy"), "b", "left").select("a", F.col("b").alias("y"), F.coalesce("gy", "b").alias("gy"))
     small = spoken.select("doc_id", "n")
-    mates = mates.join(small.toDF("y", "ny"), "y")
-    failed = apart.join(small.toDF("x", "nx"), "x")
-    fits = (F.col("gx") != F.col("gy")) & (F.least("nx", "ny") * 100 >= F.greatest("nx", "ny") * percent)
-    crossed = failed.join(mates, "a").filter(fits).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-    left = saved(sized(crossed.join(near, ["a", "b"], "left_anti")), "jaccard-left")
-    if not left.isEmpty():
-        more = saved(verified(left, rows, percent), "jaccard-links")
+    apart = saved(named(raw, groups).select("a", F.col("b").alias("doc_id"), F.col("gb").alias("g")).join(small, "doc_id"), "jaccard-apart")
+    if not apart.isEmpty():
+        mates = raw.select("a", F.col("b").alias("doc_id")).join(groups.toDF("doc_id", "g"), "doc_id", "left")
+        mates = saved(mates.withColumn("g", F.coalesce("g", "doc_id")).join(small, "doc_id"), "jaccard-mates")
+        more = saved(crossed(apart, mates, rows, percent), "jaccard-links")
         if not more.isEmpty():
             groups = components(links.unionByName(more))
     reps = name.join(groups.toDF("rep", "group_id"), "rep", "left")

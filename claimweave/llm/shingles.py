@@ -11,7 +11,7 @@ from __future__ import annotations
 import numpy as np
 
 WORDS = 5
-WINDOW = 1 << 20
+WINDOW = 1 << 18
 U = np.uint64
 _BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
 _INVERSE = pow(_BASE, -1, 1 << 64)

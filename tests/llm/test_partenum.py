@@ -77,6 +77,39 @@ def test_one_cloud_of_near_copies_and_a_shared_passage(spark):
     compare(spark.createDataFrame(list(enumerate(texts)), DOCS))
 
 
+def test_mates_of_a_failed_pivot_are_compared(spark, monkeypatch):
+    """All documents are mates of the first, most of them not linked with it: tiles must find every group."""
+    rng = random.Random(9)
+    base = [f"w{k}" for k in range(60)]
+    texts = [" ".join(base)]
+    for _ in range(40):
+        own = [w if rng.random() < 0.7 else f"y{rng.randrange(10**6)}" for w in base]
+        for _ in range(rng.randrange(1, 6)):
+            near = list(own)
+            near[rng.randrange(60)] = f"x{rng.randrange(10**6)}"
+            texts.append(" ".join(near))
+    df = spark.createDataFrame(list(enumerate(texts)), DOCS)
+    stars = spark.createDataFrame([(0, i, None, 1) for i in range(1, len(texts))], "a long, b long, hub long, times long")
+    monkeypatch.setattr(partenum, "sharing_pairs", lambda *_: stars)
+    for unit in (256, 7):
+        monkeypatch.setattr(partenum, "UNIT", unit)
+        compare(df)
+
+
+def test_copies_that_only_their_source_links(spark):
+    """Each copy is edited in its own way, so that copies are linked with the source alone, which is not the smallest id."""
+    rng = random.Random(10)
+    base = [f"w{k}" for k in range(150)]
+    texts = []
+    for _ in range(80):
+        own = list(base)
+        for k in rng.sample(range(150), 3):
+            own[k] = f"x{rng.randrange(10**6)}"
+        texts.append(" ".join(own))
+    texts.insert(50, " ".join(base))
+    compare(spark.createDataFrame(list(enumerate(texts)), DOCS))
+
+
 def test_awkward_rows(spark, odd_docs, no_docs):
     rows = partenum.jaccard_groups(odd_docs).collect()
     assert len(rows) == odd_docs.count()
