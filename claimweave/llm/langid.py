@@ -6,7 +6,7 @@ costs an escape (its chance: kinds of bytes seen, over those and all bytes seen)
 is coded in the next shorter context, leaving out what the longer one had; below the
 empty context all bytes left are equally likely.  Statistics are frozen after the
 fit, so the cost of a byte depends on its context alone and is worked out once per
-(context, byte, language), in units of 2**-16 bits.  The language whose code of the
+language for each byte in each context that the language met, in units of 2**-16 bits.  The language whose code of the
 whole text is shortest wins.
 
 Scoring walks the contexts of all positions of a block at once in numpy; the sums
@@ -20,17 +20,19 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from claimweave.llm.base import slices, text_or_empty
 
 ORDER = 4
-# the fit is bounded: about so many documents a language, chosen by hash, and so many contexts, the most frequent
-SAMPLE_DOCS, MAX_CONTEXTS, LEAST_COUNT, MAX_LANGUAGES = 300, 12_000, 4, 64
+# the fit reads about so many documents a language, chosen by hash, and keeps each context of three bytes and more that occurs so often
+SAMPLE_DOCS, LEAST_COUNT, MAX_LANGUAGES = 300, 4, 64
 UNIT = 1 << 16
-BLOCK_BYTES, CHUNK = 1 << 20, 1 << 18
+BLOCK_BYTES, CHUNK, ROWS = 1 << 20, 1 << 18, 1 << 12
 GAP = 0xFF  # never part of UTF-8: no context reaches across it
 
 
@@ -45,14 +47,16 @@ def has_letter(text: Column) -> Column:
 @dataclass
 class Model:
     """``child[k][n * width + s]``: place among contexts of k + 1 bytes of context n of order k preceded by s, or -1;
-    ``first[k]``: number of the first context of order k; ``cost[(context * width + s), language]``."""
+    ``first[k]``: number of the first context of order k; ``own[l][context]``: the longest part of the context that
+    language l met, times width, in the numbers of l; ``cost[l][own + s]``: for the contexts that l met alone."""
 
     languages: list[str]
     symbol: np.ndarray
     width: int
     child: list[np.ndarray]
     first: list[int]
-    cost: np.ndarray
+    own: list[np.ndarray]
+    cost: list[np.ndarray]
 
     def bits(self, texts: list[bytes]) -> np.ndarray:
         """Code length of each text under each language, in units."""
@@ -63,19 +67,20 @@ class Model:
         out = np.zeros((len(texts), len(self.languages)), np.int64)
         for a in range(ORDER, len(joined), CHUNK):
             b = min(a + CHUNK, len(joined))
-            cost = self._costs(self.symbol[joined[a - ORDER : b]])
+            state, now = self._states(self.symbol[joined[a - ORDER : b]])
             first = max(0, int(np.searchsorted(begins, a, side="right")) - 1)
             last = int(np.searchsorted(begins, b, side="left"))
-            own = np.arange(first, max(last, first))
-            lo, hi = np.clip(begins[own] - a, 0, b - a), np.clip(begins[own] + sizes[own] - a, 0, b - a)
+            texts_here = np.arange(first, max(last, first))
+            lo, hi = np.clip(begins[texts_here] - a, 0, b - a), np.clip(begins[texts_here] + sizes[texts_here] - a, 0, b - a)
             some = hi > lo
             if some.any():
-                # gaps cost nothing, so a text may be summed up to where the next one starts
-                out[own[some]] += np.add.reduceat(cost, lo[some], axis=0, dtype=np.int64)
+                for lang, (own, cost) in enumerate(zip(self.own, self.cost, strict=True)):
+                    # gaps cost nothing, so a text may be summed up to where the next one starts
+                    out[texts_here[some], lang] += np.add.reduceat(cost[own[state] + now], lo[some], dtype=np.int64)
         return out
 
-    def _costs(self, symbols: np.ndarray) -> np.ndarray:
-        """Costs at positions ORDER and on."""
+    def _states(self, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The longest known context at positions ORDER and on, and the symbol there."""
         now = symbols[ORDER:]
         state = np.zeros(len(now), np.int64)
         for k, child in enumerate(self.child):
@@ -83,7 +88,7 @@ class Model:
             before = symbols[ORDER - 1 - k : len(symbols) - 1 - k]
             longer = child[np.where(alive, state - self.first[k], 0) * self.width + before]
             state = np.where(alive & (longer >= 0), longer + self.first[k + 1], state)
-        return self.cost[state * self.width + now]
+        return state, now
 
 
 def gram_counts(rows: DataFrame) -> DataFrame:
@@ -91,7 +96,7 @@ def gram_counts(rows: DataFrame) -> DataFrame:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", BLOCK_BYTES):
-            langs = np.array(batch.column(0).to_pylist())
+            langs = batch.column(0).to_pylist()
             texts = [t.encode() for t in batch.column(1).to_pylist()]
             for lang in sorted(set(langs)):
                 data = np.frombuffer(bytes([GAP]).join(t for t, x in zip(texts, langs, strict=True) if x == lang), np.uint8)
@@ -136,86 +141,108 @@ def fit(docs: DataFrame, per_language: int = SAMPLE_DOCS) -> Model | None:
     languages, rows = sample(labelled, per_language)
     if rows is None:
         return None
-    counts = gram_counts(rows.repartition(len(languages) * 4)).toArrow()
+    counts = frequent(gram_counts(rows.repartition(len(languages) * 4))).toArrow()
     if not counts.num_rows:
         return None
-    which = np.searchsorted(np.array(languages), np.array(counts.column("lang").to_pylist()))
+    which = pc.index_in(counts.column("lang"), pa.array(languages, pa.string())).to_numpy()
     return build(languages, which, *(counts.column(c).to_numpy().astype(np.int64) for c in ("size", "gram", "n")))
 
 
+def frequent(counts: DataFrame) -> DataFrame:
+    """The counts in contexts of up to two bytes, and in longer ones that occur ``LEAST_COUNT`` times in all languages together.
+
+    The shorter parts of a context occur no less often, so they stay with it.
+    """
+    total = F.sum("n").over(W.partitionBy("size", F.shiftright("gram", 8)))
+    long = F.col("size") > 3
+    rare = counts.filter(long).withColumn("_total", total).filter(F.col("_total") >= LEAST_COUNT).drop("_total")
+    return counts.filter(~long).unionByName(rare)
+
+
 def build(languages: list[str], which: np.ndarray, size: np.ndarray, gram: np.ndarray, n: np.ndarray) -> Model:
+    """The model of every context that was counted; what a language costs does not depend on the others' counts."""
+    by = np.argsort(which, kind="stable")
+    which, size, gram, n = which[by], size[by], gram[by], n[by]
     seen = np.unique(gram[size == 1])
     width = len(seen) + 2  # beside the bytes seen: any other byte, and the gap
     symbol = np.full(256, len(seen), np.int64)
     symbol[seen] = np.arange(len(seen))
     symbol[GAP] = len(seen) + 1
-    orders = [np.zeros(1, np.int64)]  # contexts of each order, as numbers in ascending order
-    least = LEAST_COUNT
-    for k in range(1, ORDER + 1):
-        context, back = np.unique(gram[size == k + 1] >> 8, return_inverse=True)
-        total = np.bincount(back, weights=n[size == k + 1], minlength=len(context))
-        keep = total >= (1 if k < 3 else least)
-        if keep.sum() > MAX_CONTEXTS:
-            keep &= total >= np.sort(total)[-MAX_CONTEXTS]
-        if k > 1:
-            keep &= np.isin(context & ((1 << 8 * (k - 1)) - 1), orders[-1])
-        orders.append(context[keep])
+    met, cost = [], []
+    for lang in range(len(languages)):
+        a, b = np.searchsorted(which, [lang, lang + 1])
+        orders, costs = _language(size[a:b], gram[a:b], n[a:b], symbol, width)
+        met.append(orders)
+        cost.append(costs)
+    orders = [np.unique(np.concatenate([m[k] for m in met])) for k in range(ORDER + 1)]
     first = [0, *np.cumsum([len(o) for o in orders]).tolist()]
-    child, suffix = [], [np.zeros(1, np.int64)]
+    child, parents = [], [np.zeros(1, np.int64)]
     for k in range(ORDER):
-        table = np.full(len(orders[k]) * width, -1, np.int32)
+        table = np.full(max(1, len(orders[k])) * width, -1, np.int32)
         parent = np.searchsorted(orders[k], orders[k + 1] & ((1 << 8 * k) - 1))
         table[parent * width + symbol[orders[k + 1] >> 8 * k]] = np.arange(len(orders[k + 1]))
         child.append(table)
-        suffix.append(parent)
-    cost = np.zeros((first[-1], width, len(languages)), np.int32)
-    for lang in range(len(languages)):
-        _cost_of(lang, orders, first, suffix, symbol, width, (which, size, gram, n), cost)
-    cost[:, width - 1] = 0  # the gap is not coded
-    return Model(languages, symbol, width, child, first, cost.reshape(-1, len(languages)))
+        parents.append(parent)
+    own = [_longest_met(orders, m, first, parents) * width for m in met]
+    return Model(languages, symbol, width, child, first, own, cost)
+
+
+def _longest_met(orders, met, first, parents) -> np.ndarray:
+    """For each context of ``orders``, the number in ``met`` of its longest part that is there."""
+    own, before = np.zeros(first[-1], np.int64), 0
+    for k in range(1, len(orders)):
+        before += len(met[k - 1])
+        here = own[first[k - 1] + parents[k]]
+        at = np.searchsorted(orders[k], met[k])
+        here[at] = before + np.arange(len(at))
+        own[first[k] : first[k + 1]] = here
+    return own
 
 
-def _cost_of(lang, orders, first, suffix, symbol, width, counted, cost) -> None:
-    """Fill in one language, from the empty context to the longest.
+def _language(size, gram, n, symbol, width) -> tuple[list[np.ndarray], np.ndarray]:
+    """The contexts of each order that a language met, and its costs there, from the empty context to the longest.
 
     ``escaped`` is what a byte costs once a context has been left: coded in the next
     shorter one without the bytes that the left one had.
     """
-    which, size, gram, n = counted
-    seen_bytes = width - 2
+    orders, costs = [], []
     counts_up = escaped_up = None
-    for k in range(len(orders)):
-        counts = np.zeros((len(orders[k]), width))
-        own = (which == lang) & (size == k + 1)
-        at = np.searchsorted(orders[k], gram[own] >> 8) if k else np.zeros(own.sum(), np.int64)
-        at = np.minimum(at, len(orders[k]) - 1) if len(orders[k]) else at
-        good = orders[k][at] == (gram[own] >> 8) if len(orders[k]) else np.zeros(own.sum(), bool)
-        np.add.at(counts, (at[good], symbol[gram[own][good] & 255]), n[own][good])
-        has = counts > 0
-        total, kinds = counts.sum(1), has.sum(1)
-        if k == 0:
-            # of 256 bytes, those not seen in the empty context; "any other byte" stands for one of them
-            escaped = np.full((1, width), np.log2(max(1, 256 - int(kinds[0]))))
-            out = np.where(has, -np.log2(np.maximum(counts, 1) / (total + kinds)[:, None]), escaped - np.log2(kinds / (total + kinds))[:, None] if total[0] else escaped)
-        else:
-            up = suffix[k]
-            above, over = counts_up[up], counts_up[up] > 0
-            rest = np.where(has, 0, above).sum(1)
-            kinds_rest = (over & ~has).sum(1)
-            whole = np.maximum(rest + kinds_rest, 1)[:, None]
-            leave = np.where(kinds_rest > 0, -np.log2(np.maximum(kinds_rest, 1) / whole[:, 0]), 0.0)[:, None]
-            escaped = np.where(over & ~has, -np.log2(np.maximum(above, 1) / whole), leave + escaped_up[up])
-            known = (total > 0)[:, None]
-            own_total = np.maximum(total + kinds, 1)[:, None]
-            coded = np.where(has, -np.log2(np.maximum(counts, 1) / own_total), -np.log2(np.maximum(kinds, 1)[:, None] / own_total) + escaped)
-            shorter = cost[first[k - 1] + up, :, lang] / UNIT
-            out = np.where(known, coded, shorter)
-            # a context this language never met changes nothing further up either
-            escaped = np.where(known, escaped, escaped_up[up])
-            counts = np.where(known, counts, above)
-        cost[first[k] : first[k + 1], :, lang] = np.round(out * UNIT)
-        counts_up, escaped_up = counts, escaped
-    assert seen_bytes <= 256
+    for k in range(ORDER + 1):
+        own = size == k + 1
+        by = np.argsort(gram[own])
+        grams, many = gram[own][by], n[own][by]
+        contexts = np.unique(grams >> 8) if k else np.zeros(1, np.int64)
+        up = np.searchsorted(orders[-1], contexts & ((1 << 8 * (k - 1)) - 1)) if k else None
+        orders.append(contexts)
+        kept_counts, kept_escaped = [], []
+        for a in range(0, len(contexts), ROWS):
+            here = contexts[a : a + ROWS]
+            lo, hi = np.searchsorted(grams >> 8, [here[0], here[-1] + 1])
+            counts = np.zeros((len(here), width))
+            np.add.at(counts, (np.searchsorted(here, grams[lo:hi] >> 8), symbol[grams[lo:hi] & 255]), many[lo:hi])
+            has = counts > 0
+            total, kinds = counts.sum(1), has.sum(1)
+            if k == 0:
+                # of 256 bytes, those not seen in the empty context; "any other byte" stands for one of them
+                escaped = np.full((1, width), np.log2(max(1, 256 - int(kinds[0]))))
+                out = np.where(has, -np.log2(np.maximum(counts, 1) / (total + kinds)[:, None]), escaped - np.log2(kinds / (total + kinds))[:, None]) if total[0] else escaped
+            else:
+                above, shorter = counts_up[up[a : a + ROWS]], escaped_up[up[a : a + ROWS]]
+                over = (above > 0) & ~has
+                rest, kinds_rest = np.where(has, 0, above).sum(1), over.sum(1)
+                whole = np.maximum(rest + kinds_rest, 1)[:, None]
+                leave = np.where(kinds_rest > 0, -np.log2(np.maximum(kinds_rest, 1) / whole[:, 0]), 0.0)[:, None]
+                escaped = np.where(over, -np.log2(np.maximum(above, 1) / whole), leave + shorter)
+                own_total = (total + kinds)[:, None]
+                out = np.where(has, -np.log2(np.maximum(counts, 1) / own_total), -np.log2(kinds[:, None] / own_total) + escaped)
+            out[:, width - 1] = 0  # the gap is not coded
+            costs.append(np.round(out * UNIT).astype(np.int32).reshape(-1))
+            if k < ORDER:
+                kept_counts.append(counts)
+                kept_escaped.append(escaped)
+        if kept_counts:
+            counts_up, escaped_up = np.concatenate(kept_counts), np.concatenate(kept_escaped)
+    return orders, np.concatenate(costs)
 
 
 def identify(df: DataFrame, model: Model | None, kept: list[str], text_col: str = "text") -> DataFrame:
@@ -229,7 +256,7 @@ def identify(df: DataFrame, model: Model | None, kept: list[str], text_col: str
     added = ["lang_pred", "score", "bits_per_byte"]
     rows = df.select(*kept, text_or_empty(text_col).alias("_bytes"), has_letter(F.col(text_col)).alias("_letter"))
     fields = [*rows.schema.fields[:-2], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("bits_per_byte", T.DoubleType())]
-    shared = df.sparkSession.sparkContext.broadcast(model)  # bounded by MAX_CONTEXTS
+    shared = df.sparkSession.sparkContext.broadcast(model)  # as large as what the sampled texts hold
     place = len(kept)
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

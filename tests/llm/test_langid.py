@@ -74,6 +74,24 @@ def test_code_lengths_equal_coding_byte_by_byte(monkeypatch):
             assert row[lang] == pytest.approx(code_length(training[lang], t.encode(), langid.ORDER), abs=0.01)
 
 
+def test_every_context_of_every_language_is_kept(monkeypatch):
+    monkeypatch.setattr(langid, "LEAST_COUNT", 1)
+    draw = np.random.default_rng(5)
+    training = [bytes(draw.integers(97, 97 + letters, 20_000).astype(np.uint8)) for letters in (26, 25)]
+    both = langid.build(["a", "b"], *counted(training))
+    assert both.first[-1] - both.first[-2] == len({t[i : i + 4] for t in training for i in range(len(t) - 4)}) > 30_000
+    text = training[0][5_000:5_400] + training[1][:400]
+    got = both.bits([text])[0]
+    assert [langid.build(["x"], *counted([t])).bits([text])[0, 0] for t in training] == got.tolist()
+    assert got[1] / langid.UNIT == pytest.approx(code_length(training[1], text, langid.ORDER), abs=0.01)
+
+
+def test_rare_long_contexts_go_by_their_count_in_all_languages(spark):
+    rows = [("a", 5, 0x6162636465, 3), ("b", 5, 0x6162636466, 1), ("a", 5, 0x7162636465, 3), ("a", 4, 0x71626364, 3), ("b", 3, 0x616263, 1)]
+    kept = langid.frequent(spark.createDataFrame(rows, "lang string, size int, gram long, n long")).collect()
+    assert sorted(tuple(r) for r in kept) == sorted(rows[i] for i in (0, 1, 4))
+
+
 def test_awkward_rows(spark, odd_docs, no_docs):
     rows = langid.predict_documents(odd_docs).collect()
     assert len(rows) == odd_docs.count()
