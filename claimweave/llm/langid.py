@@ -26,11 +26,13 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from claimweave.llm.base import slices, text_or_empty
+from claimweave.llm.base import saved, slices, text_or_empty
 
 ORDER = 4
 # the fit reads about so many documents a language, chosen by hash, and keeps each context of three bytes and more that occurs so often
-SAMPLE_DOCS, LEAST_COUNT, MAX_LANGUAGES = 300, 4, 64
+SAMPLE_DOCS, LEAST_COUNT = 300, 4
+# so many languages are fitted, broadcast and scored at once; there may be any number of such blocks
+AT_ONCE = 16
 UNIT = 1 << 16
 BLOCK_BYTES, CHUNK, ROWS = 1 << 20, 1 << 18, 1 << 12
 GAP = 0xFF  # never part of UTF-8: no context reaches across it
@@ -123,8 +125,6 @@ def gram_counts(rows: DataFrame) -> DataFrame:
 def sample(labelled: DataFrame, per_language: int = SAMPLE_DOCS) -> tuple[list[str], DataFrame | None]:
     """The languages, and about ``per_language`` whole documents of each, chosen by a hash of doc_id."""
     found = labelled.groupBy("lang").count().collect()
-    if len(found) > MAX_LANGUAGES:
-        raise ValueError(f"{len(found)} languages; at most {MAX_LANGUAGES} are fitted")
     if not found:
         return [], None
     place = F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1 << 30)) / F.lit(float(1 << 30))
@@ -132,20 +132,24 @@ def sample(labelled: DataFrame, per_language: int = SAMPLE_DOCS) -> tuple[list[s
     return sorted(r["lang"] for r in found), labelled.filter(place < share).filter("text IS NOT NULL").select("lang", "text")
 
 
-def fit(docs: DataFrame, per_language: int = SAMPLE_DOCS) -> Model | None:
-    """Learn from text and non-NULL lang of the documents that are not held out; None if there are none.
+def fit(docs: DataFrame, per_language: int = SAMPLE_DOCS) -> list[Model]:
+    """Learn from text and non-NULL lang of the documents that are not held out: models of ``AT_ONCE`` languages; none if there are none.
 
-    Counting is a Spark job; the counts brought to the driver are those of a bounded sample.
+    Counting is a Spark job; the counts brought to the driver are those of a bounded sample, and of one model at a time.
     """
     labelled = docs.select("doc_id", "lang", "text").filter("lang IS NOT NULL").filter(remainder(F.col("doc_id")) != 1)
     languages, rows = sample(labelled, per_language)
     if rows is None:
-        return None
-    counts = frequent(gram_counts(rows.repartition(len(languages) * 4))).toArrow()
-    if not counts.num_rows:
-        return None
-    which = pc.index_in(counts.column("lang"), pa.array(languages, pa.string())).to_numpy()
-    return build(languages, which, *(counts.column(c).to_numpy().astype(np.int64) for c in ("size", "gram", "n")))
+        return []
+    counts = saved(frequent(gram_counts(rows.repartition(min(len(languages), AT_ONCE) * 4))), "langid-counts")
+    models, some = [], False
+    for a in range(0, len(languages), AT_ONCE):
+        block = languages[a : a + AT_ONCE]
+        own = counts.filter(F.col("lang").isin(block)).toArrow()
+        which = pc.index_in(own.column("lang"), pa.array(block, pa.string())).to_numpy()
+        models.append(build(block, which, *(own.column(c).to_numpy().astype(np.int64) for c in ("size", "gram", "n"))))
+        some |= own.num_rows > 0
+    return models if some else []
 
 
 def frequent(counts: DataFrame) -> DataFrame:
@@ -245,7 +249,7 @@ def _language(size, gram, n, symbol, width) -> tuple[list[np.ndarray], np.ndarra
     return orders, np.concatenate(costs)
 
 
-def identify(df: DataFrame, model: Model | None, kept: list[str], text_col: str = "text") -> DataFrame:
+def identify(df: DataFrame, models: list[Model], kept: list[str], text_col: str = "text") -> DataFrame:
     """The ``kept`` columns of every row, with lang_pred (a learned language, or ``und``), score (0 to 1) and bits_per_byte.
 
     ``und`` with score 0 is the answer for a text that is NULL or has no letter, and for
@@ -256,23 +260,24 @@ def identify(df: DataFrame, model: Model | None, kept: list[str], text_col: str
     added = ["lang_pred", "score", "bits_per_byte"]
     rows = df.select(*kept, text_or_empty(text_col).alias("_bytes"), has_letter(F.col(text_col)).alias("_letter"))
     fields = [*rows.schema.fields[:-2], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("bits_per_byte", T.DoubleType())]
-    shared = df.sparkSession.sparkContext.broadcast(model)  # as large as what the sampled texts hold
+    shared = [df.sparkSession.sparkContext.broadcast(m) for m in models]  # as large as what the sampled texts hold
+    languages = np.array([x for m in models for x in m.languages], object)
     place = len(kept)
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
         for batch in slices(batches, "_bytes", BLOCK_BYTES):
             texts = [t.encode() for t in batch.column(place).to_pylist()]
             letter = np.array(batch.column(place + 1).to_pylist(), bool)
-            if model is None:
+            if not shared:
                 letter[:] = False
             names, scores, rates = np.full(len(texts), "und", object), np.zeros(len(texts)), np.full(len(texts), np.nan)
             if letter.any():
                 some = np.flatnonzero(letter)
-                bits = model.bits([texts[k] for k in some]) / UNIT
+                lettered = [texts[k] for k in some]
+                bits = np.concatenate([s.value.bits(lettered) for s in shared], 1) / UNIT
                 best = bits.argmin(1)
                 least = bits[np.arange(len(some)), best]
-                names[some] = np.array(model.languages, object)[best]
+                names[some] = languages[best]
                 scores[some] = 1 / np.exp2(-(bits - least[:, None])).sum(1)
                 rates[some] = least / np.array([len(texts[k]) for k in some])
             out = [pa.array(names.tolist(), pa.string()), pa.array(scores), pa.array(rates, from_pandas=True)]

@@ -92,6 +92,22 @@ def test_rare_long_contexts_go_by_their_count_in_all_languages(spark):
     assert sorted(tuple(r) for r in kept) == sorted(rows[i] for i in (0, 1, 4))
 
 
+def test_any_number_of_languages(spark, monkeypatch):
+    draw = np.random.default_rng(7)
+    rows = []
+    for lang in range(70):
+        words = ["".join(chr(c) for c in draw.integers(97, 123, 5)) for _ in range(12)]
+        rows += [(100 * lang + i, " ".join(draw.choice(words, 40)), f"l{lang:02}") for i in range(8)]
+    rows += [(9_000 + i, None, "l70") for i in range(8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    found = sorted(tuple(r) for r in langid.predict_documents(docs).collect())
+    lang = {r[0]: r[2] for r in rows if r[1]}
+    assert len(found) == len(rows) and any(r[1] for r in found)
+    assert all(r[2] == lang.get(r[0], "und") for r in found)
+    monkeypatch.setattr(langid, "AT_ONCE", 100)
+    assert [r[:4] for r in found] == [tuple(r)[:4] for r in langid.predict_documents(docs).orderBy("doc_id").collect()]
+
+
 def test_awkward_rows(spark, odd_docs, no_docs):
     rows = langid.predict_documents(odd_docs).collect()
     assert len(rows) == odd_docs.count()
