@@ -293,6 +293,13 @@ def predict_documents(docs: DataFrame) -> DataFrame:
 
 
 def with_language(docs: DataFrame) -> DataFrame:
-    """The documents whose language could be told, with the columns they had; those without a letter go."""
+    """The documents whose language could be told, with the columns they had; those without a letter go.
+
+    Where nothing could be learned, as no text that is not held out has a lang, every
+    document with a letter stays.
+    """
+    models = fit(docs)
+    if not models:
+        return docs.filter(has_letter(F.col("text")))
     rows = docs.select(F.struct("*").alias("_row"), F.col("text").alias("text"))
-    return identify(rows, fit(docs), ["_row"]).filter("lang_pred <> 'und'").select("_row.*")
+    return identify(rows, models, ["_row"]).filter("lang_pred <> 'und'").select("_row.*")

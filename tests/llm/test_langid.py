@@ -118,3 +118,14 @@ def test_awkward_rows(spark, odd_docs, no_docs):
     assert kept.count() == odd_docs.count() - 4
     unlabelled = odd_docs.withColumn("lang", F.lit(None).cast("string"))
     assert {r.lang_pred for r in langid.predict_documents(unlabelled).collect()} == {"und"}
+
+
+def test_stage_keeps_unlabelled_documents(spark, odd_docs, no_docs):
+    kept = sorted(langid.with_language(odd_docs).collect(), key=str)
+    for lang in (F.lit(None).cast("string"), F.when(langid.remainder(F.col("doc_id")) == 1, F.col("lang"))):
+        unlabelled = langid.with_language(odd_docs.withColumn("lang", lang))
+        assert unlabelled.columns == odd_docs.columns
+        assert sorted((r.asDict() | {"lang": 0} for r in unlabelled.collect()), key=str) == sorted((r.asDict() | {"lang": 0} for r in kept), key=str)
+    no_text = odd_docs.withColumn("text", F.when(F.col("lang").isNull() | (langid.remainder(F.col("doc_id")) == 1), F.col("text")))
+    assert langid.with_language(no_text).count() == no_text.filter(langid.has_letter(F.col("text"))).count() > 0
+    assert langid.with_language(no_docs).count() == 0
