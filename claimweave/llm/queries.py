@@ -6,12 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from claimweave.llm import chat, itq, langid, mixing, packing, partenum, projections, records, ring, tokens
+from claimweave.llm import chat, infill, itq, langid, mixing, neighbours, packing, partenum, projections, records, repair, ring, tokens
 from claimweave.llm.base import limited, table
 from claimweave.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {"op7_chat": chat.DIGEST_SQL, "op9_mixing": mixing.REPORT_SQL}
+ORACLES: dict[str, str] = {"op7_chat": chat.DIGEST_SQL, "op9_mixing": mixing.REPORT_SQL, "op11_infill": infill.DIGEST_SQL}
 
 
 def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -76,3 +76,18 @@ def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op10_nearest(spark: SparkSession, folder: str) -> DataFrame:
     return projections.nearest(table(spark, folder, "embeddings"))
+
+
+@query
+def op11_infill(spark: SparkSession, folder: str) -> DataFrame:
+    return infill.infill_digests(table(spark, folder, "documents"))
+
+
+@query
+def op12_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return repair.repair_report(table(spark, folder, "conversations"))
+
+
+@query
+def op13_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return neighbours.score_documents(table(spark, folder, "documents"), table(spark, folder, "labels"))
