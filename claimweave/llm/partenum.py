@@ -18,12 +18,14 @@ Signatures are packed per task and bucket before the shuffle; a bucket holds a s
 of one band.  Of the sets that share one, each is paired with the smallest id, and with
 the hub, the set whose signatures bring it together with most others (of copies that
 were edited each in its own way, that is the one they come from).  Pairs that differ
-too much in size or in a small sketch of counts (both exact bounds) go.  Then pairs are
+too much in size or in a sketch of parities (both exact bounds) go.  Then pairs are
 verified on whole texts, in three rounds: each document with its hub; pairs whose ends
-are not yet in one group; and, where a smallest id failed, all pairs of those under it
-that are still in different groups.  So every link between two signature mates is either
-tested or its ends are in one group already, and groups are those of all links,
-though a cloud of n near copies is never turned into n*n pairs.
+are not yet in one group; and, where a smallest id failed, those under it that are still
+in different groups.  These are first held against each other by sketch alone, in tiles
+of thousands; texts go only where a sketch leaves a partner in another group possible.
+So every link between two signature mates is either tested or its ends are in one group
+already, and groups are those of all links, though a cloud of n near copies is never
+turned into n*n pairs, and its texts are not sent to each other.
 """
 
 from __future__ import annotations
@@ -41,12 +43,14 @@ from claimweave.operators.groups import components
 
 PERCENT = 80
 CELLS = 3
-SKETCH = 16
+LEAST_BITS = 128
 DEALS = 8
 BLOCK_BYTES = 1 << 20
 # signatures and documents that a task packs at once; signatures that a bucket should hold
 FLUSH_SIGNATURES, FLUSH_DOCS, BUCKET_SIGNATURES = 1 << 19, 30_000, 1 << 21
-UNIT, TILE_SHINGLES, SLOTS = 256, 1 << 20, 1 << 20
+UNIT, SLOTS = 256, 1 << 20
+# rows and shingles of a tile, and words that a comparison inside it holds at once
+TILE_ROWS, TILE_SHINGLES, TILE_WORDS = 8192, 1 << 20, 1 << 21
 
 
 class Bands:
@@ -119,15 +123,15 @@ def dealt(hashes: np.ndarray, band: int, parts: int, deal: int) -> tuple[np.ndar
 
 
 def measures(hashes: np.ndarray) -> tuple[int, bytes, bytes]:
-    """Size, a 128-bit fingerprint of the set, and the counts of equal shares of the domain (255 stands for more).
+    """Size, a 128-bit fingerprint of the set, and a sketch: whether each share of the domain holds an odd number.
 
-    The shares are a power of two and hold six elements or fewer on average, so that
-    the counts of sets with nothing in common differ by far more than similar sets can.
+    There are two to four shares for each element, a power of two.  Two sets differ in
+    at least as many elements as their sketches do in bits.
     """
-    shares = max(SKETCH, 1 << max(0, (len(hashes) // 6).bit_length()))
-    sketch = np.minimum(np.bincount((hashes & U(shares - 1)).astype(np.int64), minlength=shares), 255).astype(np.uint8)
+    bits = max(LEAST_BITS, 1 << (2 * len(hashes)).bit_length())
+    odd = np.bincount((hashes & U(bits - 1)).astype(np.int64), minlength=bits) & 1
     two = [mix(hashes ^ U(seed)).sum(dtype=U) for seed in (0x5851F42D4C957F2D, 0x14057B7EF767814F)]
-    return len(hashes), b"".join(int(x).to_bytes(8, "little") for x in two), sketch.tobytes()
+    return len(hashes), b"".join(int(x).to_bytes(8, "little") for x in two), np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
 
 
 def measured(docs: DataFrame) -> DataFrame:
@@ -265,15 +269,50 @@ def stars(docs_of: list[np.ndarray], found: list[np.ndarray]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([*columns, pa.concat_arrays([o[2] for o in out])], names=["a", "b", "hub"])
 
 
+def folded(sketch: np.ndarray) -> np.ndarray:
+    """The sketch (along the last axis) of half as many shares."""
+    half = sketch.shape[-1] // 2
+    return sketch[..., :half] ^ sketch[..., half:]
+
+
 def difference(one: bytes, two: bytes) -> int:
     """The least number of elements in which two sets with these sketches differ."""
-    a, b = (np.frombuffer(x, np.uint8).astype(np.int32) for x in (one, two))
-    if max(a.max(), b.max()) == 255:
-        return 0
+    a, b = np.frombuffer(one, U), np.frombuffer(two, U)
     while len(a) != len(b):
-        a, b = (a, b) if len(a) > len(b) else (b, a)
-        a = a[: len(a) // 2] + a[len(a) // 2 :]
-    return int(np.abs(a - b).sum())
+        a, b = (folded(a), b) if len(a) > len(b) else (a, folded(b))
+    return int(np.bitwise_count(a ^ b).sum())
+
+
+def rivals(n: np.ndarray, group: np.ndarray, side: np.ndarray, sketches: list[bytes], percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places of pairs in different groups that sizes and sketches do not rule out, block by block.
+
+    Of two sides, pairs are across.  Sets that may be similar have sketches of one
+    length, or of which one is twice as long.
+    """
+    across = bool((side != side[0]).any())
+    lengths = np.array([len(s) for s in sketches])
+    stacks = {m: (np.flatnonzero(lengths == m), np.frombuffer(b"".join(s for s in sketches if len(s) == m), U).reshape(-1, m // 8)) for m in np.unique(lengths).tolist()}
+    for m, (place, rows) in stacks.items():
+        for other in (m, 2 * m):
+            if other not in stacks:
+                continue
+            there, those = stacks[other]
+            those = those if other == m else folded(those)
+            step = max(1, TILE_WORDS // max(1, those.size))
+            for a in range(0, len(place), step):
+                first = a if other == m else 0
+                own, at, to = rows[a : a + step], place[a : a + step], there[first:]
+                apart = np.bitwise_count(own[:, None, :] ^ those[None, first:, :]).sum(-1, dtype=np.int64)
+                na, nb = n[at][:, None], n[to][None, :]
+                good = (apart * (100 + percent) <= (na + nb) * (100 - percent)) & (np.minimum(na, nb) * 100 >= np.maximum(na, nb) * percent)
+                good &= group[at][:, None] != group[to][None, :]
+                if across:
+                    good &= side[at][:, None] != side[to][None, :]
+                if other == m:
+                    good &= np.arange(len(at))[:, None] < np.arange(len(to))[None, :]
+                i, j = np.nonzero(good)
+                if len(i):
+                    yield at[i], to[j]
 
 
 def near_enough(pairs: DataFrame, percent: int) -> DataFrame:
@@ -331,67 +370,85 @@ def verified(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     return ordered.sortWithinPartitions("a", "unit", F.col("doc_id") != F.col("a")).mapInArrow(test, "a long, b long").distinct()
 
 
-def crossed(apart: DataFrame, mates: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) between failed mates and all mates of the same smallest id that are in other groups.
+def tiled(mates: DataFrame) -> DataFrame:
+    """``mates`` (a, doc_id, g, n and more) with the tiles they go to: (a, tile, side, ...), side 0 or 1.
 
-    ``apart`` and ``mates`` have (a, doc_id, g, n): the smallest id, the mate, its group
-    and its size; ``apart`` is part of ``mates``.  Both are cut into tiles of some hundreds
-    of documents or a million shingles; a text goes to the tiles of its line or column,
-    and what is compared there is never written as pairs.
+    The mates of one smallest id are dealt into slices of half of ``TILE_ROWS`` or
+    ``TILE_SHINGLES``; every two slices meet in one tile, and each with itself.
     """
+    least = F.greatest(F.count(F.lit(1)) * 2 / TILE_ROWS, F.sum("n") * 2 / TILE_SHINGLES)
+    cuts = mates.groupBy("a").agg(F.ceil(least).alias("cuts"))
+    own = F.pmod(F.xxhash64("doc_id"), F.col("cuts"))
+    meets = F.transform(F.sequence(F.lit(0).cast("long"), F.col("cuts") - 1), lambda k: F.struct((F.least(own, k) * F.col("cuts") + F.greatest(own, k)).alias("tile"), (own > k).cast("int").alias("side")))
+    placed = mates.join(cuts, "a").withColumn("_tile", F.explode(meets))
+    return placed.select("a", "_tile.tile", "_tile.side", *[c for c in mates.columns if c != "a"])
+
+
+def by_tile(batches: Iterator[pa.RecordBatch], read) -> Iterator[tuple[int, list[tuple]]]:
+    """(a, rows) of each tile; ``read`` turns a batch of a, tile and more into rows that start with these two."""
+    tile, held = None, []
+    for batch in batches:
+        for row in read(batch):
+            if row[:2] != tile:
+                if held:
+                    yield tile[0], held
+                tile, held = row[:2], []
+            held.append(row[2:])
+    if held:
+        yield tile[0], held
+
+
+def suspects(mates: DataFrame, percent: int) -> DataFrame:
+    """The (a, doc_id) that some mate of the same a, in another group, may be linked with, by size and sketch."""
+
+    def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = by_tile(batches, lambda batch: zip(*(c.to_pylist() for c in batch.columns), strict=True))
+        for a, held in rows:
+            side, doc, g, n, sketches = (list(c) for c in zip(*held, strict=True))
+            found = np.zeros(len(doc), bool)
+            for i, j in rivals(np.array(n), np.array(g), np.array(side), sketches, percent):
+                found[i] = found[j] = True
+            own = np.array(doc, np.int64)[found]
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(own), a, np.int64)), pa.array(own)], names=["a", "doc_id"])
 
-    def cuts(rows: DataFrame, name: str) -> DataFrame:
-        least = F.greatest(F.count(F.lit(1)) / UNIT, F.sum("n") / TILE_SHINGLES)
-        return rows.groupBy("a").agg(F.ceil(least).alias(name))
+    tiles = tiled(mates).select("a", "tile", "side", "doc_id", "g", "n", "sketch").repartition("a", "tile")
+    return tiles.sortWithinPartitions("a", "tile").mapInArrow(test, "a long, doc_id long").distinct()
 
-    lines, columns = cuts(apart, "lines"), cuts(mates.join(apart.select("a").distinct(), "a", "left_semi"), "columns")
-    shape = lines.join(columns, "a")
-    zero = F.lit(0).cast("long")
 
-    def placed(rows: DataFrame, mate: bool) -> DataFrame:
-        own = F.pmod(F.xxhash64("doc_id", F.lit(int(mate))), F.col("columns" if mate else "lines"))
-        size = F.col("lines" if mate else "columns")
-        tile = lambda k: k * F.col("columns") + own if mate else own * F.col("columns") + k
-        tiles = F.transform(F.sequence(zero, size - 1), tile)
-        return rows.join(shape, "a").select("a", F.explode(tiles).alias("tile"), "doc_id", "g", F.lit(not mate).alias("failed"), "late")
+def crossed(mates: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) that join the groups of ``mates`` (a, doc_id, g, n): within a tile no more than it takes.
 
-    late = apart.select("a", "doc_id", F.lit(True).alias("late"))
-    of_mates = mates.join(late, ["a", "doc_id"], "left").withColumn("late", F.coalesce("late", F.lit(False)))
-    need = placed(of_mates, True).unionByName(placed(apart.withColumn("late", F.lit(True)), False))
+    A tile holds the sets of some thousands of documents or a million shingles; sketches
+    say which of them to compare, and what is joined already is not compared again.
+    """
 
     def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unit = None
-        sets, ids, groups, lates = [], [], [], []
-        flat = None
-        for batch in slices(batches, "text", BLOCK_BYTES):
-            own_sets = shingle_sets(*utf8(batch.column(6)))
+        def read(batch: pa.RecordBatch) -> Iterator[tuple]:
+            return zip(*(batch.column(c).to_pylist() for c in range(5)), shingle_sets(*utf8(batch.column(5))), strict=True)
+
+        for _, held in by_tile(slices(batches, "text", BLOCK_BYTES), read):
+            side, doc, g, sets = (list(c) for c in zip(*held, strict=True))
+            top = {x: x for x in g}
+
+            def root(x: int, top: dict = top) -> int:
+                while top[x] != x:
+                    top[x] = x = top[top[x]]
+                return x
+
             out: tuple[list, list] = ([], [])
-            for a, tile, doc, g, failed, is_late, own in zip(*(batch.column(c).to_pylist() for c in range(6)), own_sets, strict=True):
-                if (a, tile) != unit:
-                    unit, flat = (a, tile), None
-                    sets, ids, groups, lates = [], [], [], []
-                if not failed:
-                    sets.append(own)
-                    ids.append(doc)
-                    groups.append(g)
-                    lates.append(is_late)
-                elif sets:
-                    if flat is None:
-                        flat = np.concatenate(sets)
-                        sizes = np.array([len(s) for s in sets])
-                        starts = np.concatenate(([0], np.cumsum(sizes)[:-1]))
-                        who, group, later = np.array(ids), np.array(groups), np.array(lates)
-                    at = np.minimum(np.searchsorted(own, flat), len(own) - 1)
-                    both = np.add.reduceat((own[at] == flat).astype(np.int64), starts)
-                    good = 100 * both >= percent * (len(own) + sizes - both)
-                    good &= (group != g) & (~later | (who > doc))
-                    for other in who[good].tolist():
-                        out[0].append(min(doc, other))
-                        out[1].append(max(doc, other))
+            n = np.array([len(x) for x in sets])
+            for found in rivals(n, np.array(g), np.array(side), [measures(x)[2] for x in sets], percent):
+                for i, j in zip(*(x.tolist() for x in found), strict=True):
+                    one, two = root(g[i]), root(g[j])
+                    if one != two and linked(sets[i], sets[j], percent):
+                        top[one] = two
+                        out[0].append(min(doc[i], doc[j]))
+                        out[1].append(max(doc[i], doc[j]))
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], names=["a", "b"])
 
-    rows = with_texts(saved(need, "jaccard-tiles"), docs).select("a", "tile", "doc_id", "g", "failed", "late", "text")
-    return rows.repartition("a", "tile").sortWithinPartitions("a", "tile", "failed").mapInArrow(test, "a long, b long").distinct()
+    need = saved(tiled(mates).select("a", "tile", "side", "doc_id", "g"), "jaccard-tiles")
+    rows = with_texts(need, docs).select("a", "tile", "side", "doc_id", "g", "text")
+    return rows.repartition("a", "tile").sortWithinPartitions("a", "tile").mapInArrow(test, "a long, b long").distinct()
 
 
 def jaccard_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -444,12 +501,13 @@ def jaccard_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     if not rest.isEmpty():
         links = saved(links.unionByName(verified(rest, rows, percent)), "jaccard-links")
         groups = saved(components(links), "jaccard-groups")
-    small = spoken.select("doc_id", "n")
-    apart = saved(named(raw, groups).select("a", F.col("b").alias("doc_id"), F.col("gb").alias("g")).join(small, "doc_id"), "jaccard-apart")
-    if not apart.isEmpty():
-        mates = raw.select("a", F.col("b").alias("doc_id")).join(groups.toDF("doc_id", "g"), "doc_id", "left")
-        mates = saved(mates.withColumn("g", F.coalesce("g", "doc_id")).join(small, "doc_id"), "jaccard-mates")
-        more = saved(crossed(apart, mates, rows, percent), "jaccard-links")
+    failed = named(raw, groups).select("a").distinct()
+    mates = raw.join(failed, "a", "left_semi").select("a", F.col("b").alias("doc_id")).join(groups.toDF("doc_id", "g"), "doc_id", "left")
+    mates = mates.withColumn("g", F.coalesce("g", "doc_id")).join(spoken.select("doc_id", "n", "sketch"), "doc_id")
+    mates = saved(mates.select("a", "doc_id", "g", "n", "sketch"), "jaccard-mates")
+    if not mates.isEmpty():
+        doubtful = saved(mates.drop("sketch").join(suspects(mates, percent), ["a", "doc_id"]), "jaccard-doubt")
+        more = saved(crossed(doubtful, rows, percent), "jaccard-links")
         if not more.isEmpty():
             groups = components(links.unionByName(more))
     reps = name.join(groups.toDF("rep", "group_id"), "rep", "left")
@@ -459,7 +517,13 @@ def jaccard_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
 
 def without_near_copies(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """One document of each group stays, the one with the smallest doc_id; rows without doc_id stay.  Columns are kept."""
-    keep = jaccard_groups(docs, percent).filter("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.filter("doc_id IS NOT NULL").join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.select(docs.columns).unionByName(docs.filter("doc_id IS NULL"))
+    """One document of each group stays, the one with the smallest doc_id; rows without doc_id stay.  Columns are kept.
+
+    Rows of one doc_id are one document: of those with equal texts the least row stays,
+    different texts all stay.  No rows: no rows.
+    """
+    keep = jaccard_groups(docs, percent).filter("doc_id = component_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("_rows"))
+    kept = docs.filter("doc_id IS NOT NULL").select("doc_id", F.struct(*docs.columns).alias("_doc")).join(keep, "doc_id")
+    single = kept.filter("_rows = 1").select("_doc.*")
+    several = kept.filter("_rows > 1").groupBy("doc_id", F.md5(text_or_empty(F.col("_doc.text")).cast("binary")).alias("_text")).agg(F.min("_doc").alias("_doc"))
+    return single.unionByName(several.select("_doc.*")).unionByName(docs.filter("doc_id IS NULL"))

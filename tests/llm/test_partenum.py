@@ -143,3 +143,59 @@ def test_windows_change_no_hash(monkeypatch):
     got = shingles.word_hashes(arr, starts)
     assert (want[0] == got[0]).all() and (want[1] == got[1]).all()
     assert want[1].tolist() == [len(t.split()) for t in texts]
+
+
+def test_tiles_of_few_rows_find_every_group(spark, monkeypatch):
+    """Mates of a failed pivot over many tiles; sets of sizes on both sides of a sketch's length."""
+    rng = random.Random(11)
+    base = [f"w{k}" for k in range(80)]
+    texts = [" ".join(base)]
+    for _ in range(30):
+        own = [w if rng.random() < 0.7 else f"y{rng.randrange(10**6)}" for w in base[: rng.randrange(60, 80)]]
+        for _ in range(rng.randrange(1, 6)):
+            near = list(own)
+            near[rng.randrange(60)] = f"x{rng.randrange(10**6)}"
+            texts.append(" ".join(near))
+    df = spark.createDataFrame(list(enumerate(texts)), DOCS)
+    stars = spark.createDataFrame([(0, i, None, 1) for i in range(1, len(texts))], "a long, b long, hub long, times long")
+    monkeypatch.setattr(partenum, "sharing_pairs", lambda *_: stars)
+    monkeypatch.setattr(partenum, "TILE_ROWS", 14)
+    monkeypatch.setattr(partenum, "TILE_WORDS", 64)
+    compare(df)
+
+
+def test_sketches_never_rule_out_a_similar_pair():
+    rng = np.random.default_rng(12)
+    sets = []
+    for n in (1, 2, 5, 31, 32, 33, 63, 64, 65, 127, 130, 500):
+        for _ in range(6):
+            a = np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64))
+            drop = rng.integers(0, n // 5 + 1)
+            sets += [a, np.unique(np.concatenate((a[drop:], rng.integers(0, 1 << 63, rng.integers(0, n // 8 + 1)).astype(np.uint64))))]
+    n, sketches = np.array([len(s) for s in sets]), [partenum.measures(s)[2] for s in sets]
+    left = set()
+    for i, j in partenum.rivals(n, np.arange(len(n)), np.zeros(len(n), int), sketches, 80):
+        left |= {tuple(sorted(p)) for p in zip(i.tolist(), j.tolist(), strict=True)}
+    wanted = {(i, j) for i in range(len(sets)) for j in range(i + 1, len(sets)) if shingles.linked(sets[i], sets[j], 80)}
+    assert wanted <= left and len(left) < len(sets) ** 2 / 10
+    for i, j in wanted:
+        assert partenum.difference(sketches[i], sketches[j]) * 180 <= (n[i] + n[j]) * 20
+
+
+def test_a_cloud_of_copies_each_edited_in_its_own_way(spark):
+    rng = random.Random(13)
+    base = [f"w{k}" for k in range(80)]
+    texts = []
+    for _ in range(3000):
+        own = list(base)
+        for k in rng.sample(range(80), rng.randrange(1, 4)):
+            own[k] = f"x{rng.randrange(10**7)}"
+        texts.append(" ".join(own))
+    compare(spark.createDataFrame(list(enumerate(texts)), DOCS))
+
+
+def test_different_texts_of_one_doc_id_stay(spark):
+    one, two = (" ".join(f"{c}{k}" for k in range(30)) for c in "ab")
+    rows = [(1, one, "s", 3), (1, one, "r", 3), (1, two, "s", 3), (2, one, "s", 3), (3, two, "s", 3), (4, None, "s", 3), (4, "", "s", 3)]
+    kept = partenum.without_near_copies(spark.createDataFrame(rows, "doc_id long, text string, source string, _rows int"))
+    assert sorted((r.doc_id, r.text or "", r.source, r._rows) for r in kept.collect()) == [(1, one, "r", 3), (1, two, "s", 3), (4, "", "s", 3)]
