@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from claimweave.llm.base import saved, slices, text_or_empty
-from claimweave.llm.pretokens import Encoder
+from claimweave.llm.pretokens import encoder
 
 MAX_TOKENS, MAX_SEGMENTS, END_ID = 4096, 128, 2
 GROUP_BINS, GROUP_ROWS = 128, 100_000
@@ -36,7 +36,7 @@ def cut_pieces(df: DataFrame, path: str, size: int = MAX_TOKENS, end_id: int = E
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = Encoder(path)
+        encode = encoder(path)
         for batch in slices(batches, "text", BLOCK_BYTES):
             ids, starts = encode(batch.column(1).to_pylist())
             rows, columns = [], ([], [], [], [])

@@ -12,6 +12,7 @@ import json
 import re
 from array import array
 from functools import lru_cache
+from heapq import heappop, heappush
 from itertools import chain
 
 import numpy as np
@@ -153,13 +154,23 @@ class Encoder:
         return flat, ends[np.concatenate(([0], np.cumsum(words)))]
 
 
+@lru_cache(maxsize=1)
+def encoder(path: str) -> Encoder:
+    """The encoder of a worker, which keeps what it has learned from task to task."""
+    return Encoder(path)
+
+
 class RankedMerges:
     """Byte-pair merging of many pre-tokens at once, in ragged numpy arrays.
 
     In each round every sequence applies its own lowest-rank pair at all places,
-    left to right; sequences without a pair that has a rank are done.
+    left to right; sequences without a pair that has a rank are done.  Beyond
+    ``LONG`` symbols a sequence is worked on by itself: its places wait by rank, and a
+    round touches only those of the lowest rank and their neighbours.
     """
 
+    LONG = 1024
+
     def __init__(self, spec: dict):
         vocab = spec["model"]["vocab"]
         letters = byte_letters()
@@ -175,6 +186,13 @@ class RankedMerges:
 
     def counts(self, tokens: list[bytes]) -> np.ndarray:
         """Number of symbols that survive in each pre-token."""
+        long = [k for k, t in enumerate(tokens) if len(t) > self.LONG]
+        if long:
+            out = np.zeros(len(tokens), np.int64)
+            out[long] = [self.long_count(tokens[k]) for k in long]
+            rest = [k for k, t in enumerate(tokens) if len(t) <= self.LONG]
+            out[rest] = self.counts([tokens[k] for k in rest])
+            return out
         sizes = np.array([len(t) for t in tokens], np.int64)
         left = sizes.copy()
         raw = np.frombuffer(b"".join(tokens), np.uint8)
@@ -207,3 +225,64 @@ class RankedMerges:
             keep &= busy
             symbols, owner = symbols[keep], owner[keep]
         return left
+
+    def found(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rank of each pair of symbols (``none``: no merge), and what it makes."""
+        key = left * self.width + right
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        return np.where(self.keys[at] == key, self.ranks[at], self.none), self.made[at]
+
+    def long_count(self, token: bytes) -> int:
+        """Number of symbols that survive in one long sequence: work in proportion to its merges, not its rounds."""
+        raw = np.frombuffer(token, np.uint8)
+        n = len(raw)
+        symbols = self.inside[raw]
+        symbols[-1] = self.end[raw[-1]]
+        after, before = np.arange(1, n + 1), np.arange(-1, n - 1)  # n and -1: none
+        rank, made = np.full(n, self.none), np.zeros(n, np.int64)
+        rank[:-1], made[:-1] = self.found(symbols[:-1], symbols[1:])
+        waiting: dict[int, list[np.ndarray]] = {}
+        queue: list[int] = []
+
+        def wait(places: np.ndarray) -> None:
+            places = places[rank[places] < self.none]
+            order = np.argsort(rank[places], kind="stable")
+            places = places[order]
+            own = rank[places]
+            cuts = np.flatnonzero(np.diff(own)) + 1
+            for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(places)], strict=True):
+                if b > a:
+                    r = int(own[a])
+                    if r not in waiting:
+                        waiting[r] = []
+                        heappush(queue, r)
+                    waiting[r].append(places[a:b])
+
+        wait(np.arange(n))
+        left = n
+        while queue:
+            r = heappop(queue)
+            places = np.unique(np.concatenate(waiting.pop(r)))
+            places = places[rank[places] == r]
+            if not len(places):
+                continue
+            # overlapping places are runs of one repeated symbol: every second one is taken
+            follows = np.concatenate(([False], after[places[:-1]] == places[1:]))
+            at = np.arange(len(places))
+            began = np.maximum.accumulate(np.where(follows, 0, at))
+            places = places[(at - began) % 2 == 0]
+            gone = after[places]
+            symbols[places] = made[places]
+            rank[gone] = self.none
+            after[places] = after[gone]
+            inner = after[places] < n
+            before[after[places][inner]] = places[inner]
+            left -= len(places)
+            # pairs that changed: each merged symbol with the next one, and the one before it with it
+            changed = np.unique(np.concatenate((places, before[places][before[places] >= 0])))
+            last = after[changed] >= n
+            rank[changed[last]] = self.none
+            changed = changed[~last]
+            rank[changed], made[changed] = self.found(symbols[changed], symbols[after[changed]])
+            wait(changed)
+        return left

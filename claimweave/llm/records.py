@@ -28,7 +28,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from claimweave.llm.base import scratch, slices, text_or_empty
-from claimweave.llm.pretokens import Encoder
+from claimweave.llm.pretokens import encoder
 
 END_ID = 1
 BLOCK_BYTES, READ_BYTES = 4 << 20, 8 << 20
@@ -37,7 +37,7 @@ HEAD, NULL_ID, WIDE = struct.Struct("<Bq"), 1, 2
 INDEX = np.dtype([("offset", "<u8"), ("n_ids", "<u8")])
 
 
-def masked(data: bytes) -> int:
+def masked(data: bytes | memoryview) -> int:
     crc = zlib.crc32(data)
     return (((crc >> 15) | (crc << 17)) + MASK) & 0xFFFFFFFF
 
@@ -47,12 +47,12 @@ def frame(payload: bytes) -> bytes:
     return b"".join((length, struct.pack("<I", masked(length)), payload, struct.pack("<I", masked(payload))))
 
 
-def unframe(data: memoryview) -> bytes:
-    """Payload of the record that ``data`` starts with; damage is an error."""
+def unframe(data: memoryview) -> memoryview:
+    """Payload of the record that ``data`` starts with, not copied; damage is an error."""
     (n,) = struct.unpack_from("<Q", data, 0)
-    if struct.unpack_from("<I", data, 8)[0] != masked(bytes(data[:8])) or len(data) < n + 16:
+    if struct.unpack_from("<I", data, 8)[0] != masked(data[:8]) or len(data) < n + 16:
         raise ValueError("damaged record length")
-    payload = bytes(data[12 : 12 + n])
+    payload = data[12 : 12 + n]
     if struct.unpack_from("<I", data, 12 + n)[0] != masked(payload):
         raise ValueError("damaged record")
     return payload
@@ -64,7 +64,7 @@ def payload_of(doc_id: int | None, ids: np.ndarray) -> bytes:
     return head + ids.astype("<u4" if wide else "<u2").tobytes()
 
 
-def parse(payload: bytes) -> tuple[int | None, np.ndarray]:
+def parse(payload: bytes | memoryview) -> tuple[int | None, np.ndarray]:
     flags, doc_id = HEAD.unpack_from(payload)
     ids = np.frombuffer(payload, "<u4" if flags & WIDE else "<u2", offset=HEAD.size).astype("<u4")
     return None if flags & NULL_ID else doc_id, ids
@@ -78,13 +78,14 @@ def place(folder: str) -> tuple[fs.FileSystem, str]:
 def write_records(df: DataFrame, folder: str, path: str, end_id: int = END_ID) -> DataFrame:
     """Write the ids of all texts, each with ``end_id`` appended; returns the manifest (part, records, ids).
 
-    Records are in the order of (doc_id, text), NULL first, within and across files;
-    part numbers ascend with doc_id.  NULL text is empty.  Repeated rows are records of
-    their own; no rows give an empty manifest.  The manifest is written beside the files.
+    Records are in the order of doc_id, NULL first, and of a hash of the text, within and
+    across files; part numbers ascend with doc_id.  One doc_id, and copies of one row, may
+    fill many files.  NULL text is empty.  Repeated rows are records of their own; no rows
+    give an empty manifest.  The manifest is written beside the files.
     """
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = Encoder(path)
+        encode = encoder(path)
         store, root = place(folder)
         part, attempt = TaskContext.get().partitionId(), uuid.uuid4().hex
         names = {kind: f"{root}/part-{part:06d}.{kind}" for kind in ("rec", "idx")}
@@ -94,12 +95,13 @@ def write_records(df: DataFrame, folder: str, path: str, end_id: int = END_ID) -
                 store.create_dir(root, recursive=True)
                 out = store.open_output_stream(f"{names['rec']}.{attempt}")
             ids, starts = encode(batch.column(1).to_pylist())
+            records = []
             for k, doc_id in enumerate(batch.column(0).to_pylist()):
                 own = np.append(ids[starts[k] : starts[k + 1]], np.uint32(end_id))
-                record = frame(payload_of(doc_id, own))
-                out.write(record)
+                records.append(frame(payload_of(doc_id, own)))
                 index.append((at, len(own)))
-                at, ids_written = at + len(record), ids_written + len(own)
+                at, ids_written = at + len(records[-1]), ids_written + len(own)
+            out.write(b"".join(records))
         if out is None:
             return
         out.close()
@@ -110,7 +112,9 @@ def write_records(df: DataFrame, folder: str, path: str, end_id: int = END_ID) -
         yield pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int64()), "records": pa.array([len(index)], pa.int64()), "ids": pa.array([ids_written], pa.int64())})
 
     rows = df.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
-    ordered = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    rows = rows.withColumns({"_hash": F.xxhash64("text"), "_copy": F.monotonically_increasing_id()})
+    order = ["doc_id", "_hash", "_copy"]
+    ordered = rows.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text")
     manifest = ordered.mapInArrow(write, "part long, records long, ids long")
     manifest.write.parquet(f"{folder.rstrip('/')}/manifest")
     return df.sparkSession.read.schema("part long, records long, ids long").parquet(f"{folder.rstrip('/')}/manifest")
@@ -119,8 +123,9 @@ def write_records(df: DataFrame, folder: str, path: str, end_id: int = END_ID) -
 def read_records(spark: SparkSession, folder: str) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) of every record, read from the files; start counts the ids before it.
 
-    One row of the manifest per file is summed up in order; files are read apart, by
-    their index, a few megabytes at a time, and every checksum is tested.
+    One row of the manifest per file is summed up in order; there are as many tasks as
+    files, which are read by their index, a few megabytes at a time, and every checksum is
+    tested.
     """
     manifest = spark.read.schema("part long, records long, ids long").parquet(f"{folder.rstrip('/')}/manifest")
     before = W.partitionBy(F.lit(0)).orderBy("part").rowsBetween(W.unboundedPreceding, -1)
@@ -138,7 +143,7 @@ def read_records(spark: SparkSession, folder: str) -> DataFrame:
                 with store.open_input_file(f"{name}.rec") as f:
                     yield from _read_file(f, index, start)
 
-    return files.repartition("part").mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return files.repartition(max(1, manifest.count()), "part").mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def _read_file(f: pa.NativeFile, index: np.ndarray, start: int) -> Iterator[pa.RecordBatch]:

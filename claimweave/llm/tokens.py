@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -48,6 +49,12 @@ class Counter:
         return out
 
 
+@lru_cache(maxsize=1)
+def counter_of(path: str) -> Counter:
+    """The counter of a worker, which keeps what it has learned from task to task."""
+    return Counter(path)
+
+
 def count_tokens(df: DataFrame, path: str, limit: int = 2048, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_bytes, n_tokens, over_limit) of every row.
 
@@ -59,7 +66,7 @@ def count_tokens(df: DataFrame, path: str, limit: int = 2048, id_col: str = "doc
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = Counter(path)
+        counter = counter_of(path)
         for batch in slices(batches, "text", BLOCK_BYTES):
             tokens = pa.array(counter(batch.column(2).to_pylist()), pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), tokens], names=["id", "n_bytes", "n_tokens"])

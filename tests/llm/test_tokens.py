@@ -1,3 +1,5 @@
+import random
+import time
 import zlib
 from collections import defaultdict
 
@@ -152,3 +154,44 @@ def test_damage_is_noticed_and_records_can_be_read_singly(spark):
         with pytest.raises(ValueError):
             records.unframe(memoryview(bytes(bad)))
     assert records.parse(records.payload_of(None, np.array([70000], np.uint32)))[1].tolist() == [70000]
+
+
+@pytest.mark.parametrize("letters", ["abcdefghijklmnopqrstuvwxyz", "a", "ab", "é漢ßäx"])
+def test_long_words_without_white_space(letters, monkeypatch):
+    rng = random.Random(len(letters))
+    counter, library = tokens.Counter(PATH), pretokens.tokenizer(PATH)
+    words = ["".join(rng.choice(letters) for _ in range(n)) for n in (1, 2, 3, 40, 1023, 1024, 1025, 3000)]
+    want = [len(library.encode(w, add_special_tokens=False).ids) for w in words]
+    assert counter(words) == want
+    monkeypatch.setattr(pretokens.RankedMerges, "LONG", 2)
+    assert tokens.Counter(PATH)(words) == want
+
+
+def test_a_word_of_a_megabyte():
+    rng = random.Random(0)
+    word = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(1_000_000))
+    counter = tokens.Counter(PATH)
+    start = time.time()
+    assert counter([word]) == [len(pretokens.tokenizer(PATH).encode(word, add_special_tokens=False).ids)]
+    assert time.time() - start < 30
+
+
+def test_records_of_one_doc_id_fill_many_files_that_many_tasks_read(spark):
+    """Most rows have one doc_id and one text; files are read in as many tasks as there are files."""
+    rows = [(5, "the same text")] * 300 + [(5, f"another {k}") for k in range(100)] + [(k, "x") for k in range(20)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    folder = scratch(spark, "records-test")
+    conf = "spark.sql.adaptive.coalescePartitions.enabled"
+    old = spark.conf.get(conf)
+    spark.conf.set(conf, "false")
+    try:
+        manifest = records.write_records(df, folder, PATH)
+        sizes = [r.records for r in manifest.collect()]
+        assert len(sizes) > 4 and max(sizes) < 200
+    finally:
+        spark.conf.set(conf, old)
+    read = records.read_records(spark, folder)
+    assert read.rdd.getNumPartitions() == len(sizes)
+    found = sorted((r.start, r.doc_id, r.n_tokens) for r in read.collect())
+    assert [d for _, d, _ in found] == sorted(d for d, _ in rows)
+    assert all(a[0] + a[2] == b[0] for a, b in zip(found, found[1:], strict=False))
