@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from claimweave.llm.base import saved
-from claimweave.llm.vectors import directions, matrix, usable, usual_length
+from claimweave.llm.vectors import directions, lengths, matrix, usable
 from claimweave.operators.groups import components
 
 COSINE = 0.95
@@ -66,13 +66,10 @@ class Codes:
         return np.stack([home ^ f for f in flips], 2)
 
 
-def fit(nodes: DataFrame, dim: int) -> Codes | None:
-    """Learn from about ``SAMPLE`` vectors chosen by hash; None without any."""
-    n = nodes.count()
-    if not n:
-        return None
+def fit(nodes: DataFrame) -> Codes:
+    """Learn from about ``SAMPLE`` of the given vectors, one at least, chosen by hash."""
     place = F.pmod(F.xxhash64("node", F.lit("itq")), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    some = nodes.filter(place < SAMPLE / n).select("embedding").toArrow()
+    some = nodes.filter(place < SAMPLE / nodes.count()).select("embedding").toArrow()
     if not some.num_rows:
         some = nodes.limit(1).select("embedding").toArrow()
     return Codes(directions(matrix(some.column(0).combine_chunks())))
@@ -220,31 +217,36 @@ def links(nodes: DataFrame, codes: Codes, cosine: float) -> DataFrame:
     return dealt.mapInArrow(run, "node long, n long, root long")
 
 
+def grouped(nodes: DataFrame, cosine: float) -> DataFrame:
+    """(node, n_other, group_id, embedding, copies) of ``nodes``, all of one length."""
+    seen = saved(links(nodes, fit(nodes), cosine), "itq-links")
+    sums = seen.groupBy("node").agg(F.sum("n").alias("n_other"))
+    groups = components(seen.filter("root IS NOT NULL").select(F.col("node").alias("a"), F.col("root").alias("b")))
+    found = nodes.join(sums, "node", "left").join(groups.toDF("node", "group_id"), "node", "left")
+    return found.select("node", F.coalesce("n_other", F.lit(0)).alias("n_other"), F.coalesce("group_id", "node").alias("group_id"), "embedding", "copies")
+
+
 def near_vectors(df: DataFrame, cosine: float = COSINE) -> DataFrame:
     """(vec_id, n_links, component_id, kept) of every row of ``df`` (vec_id, embedding).
 
     n_links counts the other rows linked directly, component_id is the smallest vec_id
-    reachable, kept says whether that is the row's own.  Vectors that are NULL, zero, of
-    an unusual length, or hold NULL or non-finite components are linked with nothing, as
-    are rows without vec_id.  Equal vectors are linked; rows that repeat a vec_id with
-    another vector share its links.  Other columns are not read; no rows: no rows.
+    reachable, kept says whether that is the row's own.  Vectors that are NULL, zero, or
+    hold NULL or non-finite components are linked with nothing, as are rows without
+    vec_id.  Only vectors of one length have a cosine: each length is searched by itself,
+    with codes of its own, in a run of jobs.  Equal vectors are linked; rows that repeat a
+    vec_id with another vector of that length share its links.  Other columns are not read; no rows: no
+    rows.
 
     Reported links are exact; a pair may be missed if it meets in no bucket.
     """
     rows = df.select("vec_id", "embedding")
     good = rows.filter(usable(F.col("embedding")) & F.col("vec_id").isNotNull())
-    dim = usual_length(good, "embedding")
-    nodes = good.filter(F.size("embedding") == dim).groupBy("embedding").agg(F.min("vec_id").alias("node"), F.count(F.lit(1)).alias("copies"))
+    # a vec_id that is repeated at another length is a node of each
+    nodes = good.groupBy("embedding").agg(F.min("vec_id").alias("node"), F.count(F.lit(1)).alias("copies"))
     nodes = saved(nodes, "itq-nodes")
-    codes = fit(nodes, dim)
-    if codes is None:
-        found = nodes.select("node", F.lit(0).cast("long").alias("n_other"), F.col("node").alias("group_id"), "embedding", "copies")
-    else:
-        seen = saved(links(nodes, codes, cosine), "itq-links")
-        sums = seen.groupBy("node").agg(F.sum("n").alias("n_other"))
-        groups = components(seen.filter("root IS NOT NULL").select(F.col("node").alias("a"), F.col("root").alias("b")))
-        found = nodes.join(sums, "node", "left").join(groups.toDF("node", "group_id"), "node", "left")
-        found = saved(found.select("node", F.coalesce("n_other", F.lit(0)).alias("n_other"), F.coalesce("group_id", "node").alias("group_id"), "embedding", "copies"), "itq-found")
+    found = nodes.select("node", F.lit(0).cast("long").alias("n_other"), F.col("node").alias("group_id"), "embedding", "copies").limit(0)
+    for length in lengths(nodes, "embedding"):
+        found = found.unionByName(saved(grouped(nodes.filter(F.size("embedding") == length), cosine), "itq-found"))
     named = rows.withColumn("_good", F.col("vec_id").isNotNull()).join(found.withColumn("_good", F.lit(True)), ["embedding", "_good"], "left")
     component = F.coalesce("group_id", "vec_id")
     return named.select(

@@ -27,7 +27,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from claimweave.llm.base import saved
-from claimweave.llm.vectors import matrix, usable, usual_length
+from claimweave.llm.vectors import lengths, matrix, usable
 
 TOP, EVERY = 20, 20
 DIMENSIONS, SEED, SURE = 8, 31, 0.97
@@ -103,12 +103,10 @@ class Plan:
         return np.maximum((x * x).sum(1) + self.longest**2 - 2 * score, 0)
 
 
-def fit(rows: DataFrame, dim: int) -> Plan | None:
-    """Plan from about ``SAMPLE`` candidates chosen by hash; None without any."""
+def fit(rows: DataFrame, dim: int) -> Plan:
+    """Plan from about ``SAMPLE`` candidates chosen by hash; there must be some."""
     norm = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double")))
     n, longest = rows.agg(F.count(F.lit(1)), F.max(norm)).first()
-    if not n:
-        return None
     plan = Plan(np.random.default_rng(SEED).normal(size=(dim + 1, DIMENSIONS)), float(longest), 0, np.zeros(0, np.int64), np.zeros(0))
     levels = min(MOST_LEVELS, max(0, math.ceil(math.log2(n / CELL_ROWS))))
     place = F.pmod(F.xxhash64("vec_id", F.lit("cells")), F.lit(1 << 30)) / F.lit(float(1 << 30))
@@ -239,18 +237,25 @@ def nearest(df: DataFrame, every: int = EVERY, top: int = TOP) -> DataFrame:
     """(query_id, rank, vec_id, score): for each vec_id divisible by ``every``, its ``top`` largest inner products.
 
     Candidates are all rows with another vec_id; ties go to the smaller vec_id.  Vectors
-    that are NULL, zero, of an unusual length, or hold NULL or non-finite components take
-    no part, nor do rows without vec_id.  A row that repeats vec_id and vector is a
-    candidate and a query once.  Other columns are not read; no rows: no rows.  Scores are
-    exact; which rows are found is a matter of chance (``SURE`` for each).
+    that are NULL, zero, or hold NULL or non-finite components take no part, nor do rows
+    without vec_id.  Only vectors of one length have a product: each length is searched by
+    itself, in a run of jobs; a vec_id with vectors of several lengths gets one list of
+    all.  A row that repeats vec_id and vector is a candidate and a query once.  Other
+    columns are not read; no rows: no rows.  Scores are exact; which rows are found is a
+    matter of chance (``SURE`` for each).
     """
     rows = df.select("vec_id", "embedding").filter(usable(F.col("embedding")) & F.col("vec_id").isNotNull())
-    dim = usual_length(rows, "embedding")
-    rows = saved(rows.filter(F.size("embedding") == dim).dropDuplicates(["vec_id", "embedding"]), "ann-rows")
-    spark = df.sparkSession
+    rows = saved(rows.dropDuplicates(["vec_id", "embedding"]), "ann-rows")
+    found = df.sparkSession.createDataFrame([], "query_id long, vec_id array<long>, score array<double>")
+    for length in lengths(rows, "embedding"):
+        found = found.unionByName(searched(rows.filter(F.size("embedding") == length), length, every, top))
+    return best_of(found, top)
+
+
+def searched(rows: DataFrame, dim: int, every: int, top: int) -> DataFrame:
+    """(query_id, vec_id, score) lists that hold the nearest of each query, for vectors of one length."""
+    spark = rows.sparkSession
     plan = fit(rows, dim)
-    if plan is None:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     shared = spark.sparkContext.broadcast(plan)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -279,4 +284,4 @@ def nearest(df: DataFrame, every: int = EVERY, top: int = TOP) -> DataFrame:
     two = found_in_cells(visits(then, plan, chunks, False), held, plan, top)
     again = one.groupBy("query_id").agg(F.collect_list(F.struct("vec_id", "score")).alias("c"))  # at most top each
     lists = again.select("query_id", F.col("c.vec_id").alias("vec_id"), F.col("c.score").alias("score"))
-    return best_of(lists.unionByName(two), top)
+    return lists.unionByName(two)

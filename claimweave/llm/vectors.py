@@ -1,4 +1,4 @@
-"""Vectors that can be compared: not NULL, not zero, all components finite, of the usual length."""
+"""Vectors that can be compared: not NULL, not zero, all components finite; those of one length with each other."""
 
 from __future__ import annotations
 
@@ -13,10 +13,9 @@ def usable(v: Column) -> Column:
     return F.coalesce(v.isNotNull() & finite & F.exists(v, lambda x: x != 0), F.lit(False))
 
 
-def usual_length(df: DataFrame, vector: str) -> int:
-    """The most frequent number of components (the smaller of equals), 0 without rows."""
-    row = df.groupBy(F.size(vector).alias("d")).count().orderBy(F.desc("count"), "d").first()
-    return row["d"] if row else 0
+def lengths(df: DataFrame, vector: str) -> list[int]:
+    """The numbers of components that occur, ascending."""
+    return sorted(r["d"] for r in df.select(F.size(vector).alias("d")).distinct().collect())
 
 
 def matrix(column: pa.Array) -> np.ndarray:

@@ -149,3 +149,17 @@ def test_few_candidates(spark):
     assert sorted({r.vec_id for r in rows}) == [7, 8, 9, 10, 11, 12, 20, 40]
     one = projections.nearest(frame(spark, [(0, [1, 2, 3])])).count()
     assert one == 0
+
+
+def test_vectors_of_two_lengths(spark):
+    """A rare length is searched like the usual one."""
+    rng = np.random.default_rng(8)
+    rows = [(k, rng.normal(size=8).tolist()) for k in range(100)]
+    rows += [(200, rows[3][1]), (201, [2 * x for x in rows[4][1]]), (210, [1.0, 2.0]), (211, [1.0, 2.0]), (212, [2.0, 4.1]), (220, [2.0, -1.0]), (240, [5.0])]
+    found = {r.vec_id: (r.n_links, r.component_id) for r in itq.near_vectors(frame(spark, rows)).collect()}
+    assert len(found) == len(rows)
+    assert [found[k] for k in (3, 200, 4, 201)] == [(1, 3), (1, 3), (1, 4), (1, 4)]
+    assert [found[k] for k in (210, 211, 212, 220, 240)] == [(2, 210), (2, 210), (2, 210), (0, 220), (0, 240)]
+    near = {(r.query_id, r["rank"]): (r.vec_id, r.score) for r in projections.nearest(frame(spark, rows)).collect()}
+    assert [near.get((220, k)) for k in range(1, 5)] == [(210, 0.0), (211, 0.0), (212, pytest.approx(-0.1)), None]
+    assert (240, 1) not in near and (0, 20) in near and (0, 101) not in near
