@@ -17,6 +17,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from claimweave.functions.settle import settled
+
 # control string -> code; the backslash is escaped first and restored last
 CODES = [("\\", "\\b"), ("### ", "\\h"), ("<|turn|>", "\\s"), ("</turn>", "\\t")]
 OPEN, COLON, NEXT, CLOSE = "### ", ": ", "<|turn|>", "</turn>\n"
@@ -52,36 +54,44 @@ def role_of(shown: Column) -> Column:
     return other
 
 
-def _blocks(turns: Column) -> Column:
-    """Adjacent turns of one role as (role, texts)."""
+def _opens(turns: Column) -> Column:
+    """Places, from 1, of turns whose role is not that of the turn before."""
+    role = lambda i: F.element_at(turns, i)["role"]
+    return F.filter(F.sequence(F.lit(1), F.size(turns)), lambda i: (i == 1) | (role(F.greatest(i - 1, F.lit(1))) != role(i)))
+
+
+def _blocks(turns: Column, opens: Column) -> Column:
+    """Adjacent turns of one role as (role, texts): slices between the places where the role changes."""
+    n = F.size(turns)
+    ends = F.concat(F.slice(opens, F.lit(2), n), F.array(n + 1))
+
+    def block(start: Column, end: Column) -> Column:
+        return F.struct(F.element_at(turns, start)["role"].alias("role"), F.transform(F.slice(turns, start, end - start), lambda t: t["text"]).alias("texts"))
+
+    return F.zip_with(opens, ends, block)
+
+
+def _texts(blocks: Column) -> Column:
+    """Of each text: (length of what stands before it, its own, of what follows, whether it is masked)."""
+
+    def sizes(b: Column) -> Column:
+        head = len(OPEN) + len(COLON) + F.char_length(label(b["role"]))
 
-    def add(done: Column, turn: Column) -> Column:
-        last = F.element_at(done, -1)
-        same = (F.size(done) > 0) & (F.try_element_at(done, F.lit(-1))["role"] == turn["role"])
-        longer = F.struct(last["role"].alias("role"), F.concat(last["texts"], F.array(turn["text"])).alias("texts"))
-        fresh = F.array(F.struct(turn["role"].alias("role"), F.array(turn["text"]).alias("texts")))
-        return F.when(same, F.concat(F.slice(done, F.lit(1), F.size(done) - 1), F.array(longer))).otherwise(F.concat(done, fresh))
+        def one(t: Column, k: Column) -> Column:
+            before = F.when(k == 0, head).otherwise(0).cast("bigint")
+            after = F.when(k == F.size(b["texts"]) - 1, len(CLOSE)).otherwise(len(NEXT)).cast("bigint")
+            return F.struct(before.alias("before"), F.char_length(t).cast("bigint").alias("n"), after.alias("after"), (b["role"] == "assistant").alias("masked"))
 
-    start = F.from_json(F.lit("[]"), "array<struct<role:string,texts:array<string>>>")
-    return F.aggregate(turns, start, add)
+        return F.transform(b["texts"], one)
 
+    return F.flatten(F.transform(blocks, sizes))
 
-def _spans(blocks: Column) -> Column:
-    """Places of the escaped assistant texts in the formatted string."""
-    start = F.struct(F.lit(0).cast("bigint").alias("at"), F.from_json(F.lit("[]"), SPAN).alias("spans"))
 
-    def text(state: Column, t: Column, masked: Column) -> Column:
-        n = F.char_length(t).cast("bigint")
-        one = F.array(F.struct(state["at"].alias("start"), n.alias("length")))
-        spans = F.when(masked, F.concat(state["spans"], one)).otherwise(state["spans"])
-        return F.struct((state["at"] + n + len(NEXT)).alias("at"), spans.alias("spans"))
+STRETCH = 64  # lengths are summed by stretches first, so that no place is found by summing all before it
 
-    def block(state: Column, b: Column) -> Column:
-        head = F.struct((state["at"] + len(OPEN) + len(COLON) + F.char_length(label(b["role"]))).alias("at"), state["spans"].alias("spans"))
-        through = F.aggregate(b["texts"], head, lambda s, t: text(s, t, b["role"] == "assistant"))
-        return F.struct((through["at"] - len(NEXT) + len(CLOSE)).alias("at"), through["spans"].alias("spans"))
 
-    return F.aggregate(blocks, start, block)["spans"]
+def _sum(some: Column) -> Column:
+    return F.aggregate(some, F.lit(0).cast("bigint"), lambda a, x: a + x)
 
 
 def format_chats(turns: DataFrame) -> DataFrame:
@@ -90,16 +100,30 @@ def format_chats(turns: DataFrame) -> DataFrame:
     Turns are taken in the order of (turn, role, text), NULL first; repeated rows are
     turns of their own.  NULL text and NULL role count as empty.  A NULL conv_id is a
     conversation like any other.  No rows: no rows.  A conversation is one row, so
-    all its turns meet in one task.
+    all its turns meet in one task; the work there grows with its turns.
     """
     row = F.struct("turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
     collected = turns.groupBy("conv_id").agg(F.sort_array(F.collect_list(row)).alias("_turns"))
     escaped = F.transform("_turns", lambda t: F.struct(t["role"].alias("role"), escape(t["text"]).alias("text")))
-    merged = collected.select("conv_id", _blocks(escaped).alias("_blocks"))
+    # what a step reads more than once is settled before it
+    steps = settled(collected.select("conv_id", escaped.alias("_turns")), {"_opens": _opens(F.col("_turns"))})
+    steps = settled(steps.select("conv_id", _blocks(F.col("_turns"), F.col("_opens")).alias("_b")), {"_blocks": F.col("_b")}).drop("_b")
+    steps = settled(steps, {"_texts": _texts(F.col("_blocks"))})
+    steps = settled(steps, {"_sizes": F.transform("_texts", lambda t: t["before"] + t["n"] + t["after"])})
+    stretches = F.sequence(F.lit(0), F.floor((F.size("_sizes") - 1) / STRETCH).cast("int"))
+    steps = settled(steps, {"_sums": F.transform(stretches, lambda k: _sum(F.slice("_sizes", k * STRETCH + 1, F.lit(STRETCH))))})
+    steps = settled(steps, {"_before": F.transform("_sums", lambda _, k: _sum(F.slice("_sums", F.lit(1), k)))})
+
+    def span(t: Column, k: Column) -> Column:
+        stretch = F.floor(k / STRETCH).cast("int")
+        start = F.element_at("_before", stretch + 1) + _sum(F.slice("_sizes", stretch * STRETCH + 1, k % STRETCH)) + t["before"]
+        return F.when(t["masked"], F.struct(start.alias("start"), t["n"].alias("length")))
+
     strings = F.transform(
         "_blocks", lambda b: F.concat(F.lit(OPEN), label(b["role"]), F.lit(COLON), F.array_join(b["texts"], NEXT), F.lit(CLOSE))
     )
-    return merged.select("conv_id", F.array_join(strings, "").alias("formatted"), _spans(F.col("_blocks")).alias("loss_spans"))
+    spans = F.filter(F.transform("_texts", span), lambda s: s.isNotNull()).cast(SPAN)
+    return steps.select("conv_id", F.array_join(strings, "").alias("formatted"), spans.alias("loss_spans"))
 
 
 def read_chats(formatted: Column) -> Column:
@@ -114,13 +138,28 @@ def read_chats(formatted: Column) -> Column:
     return F.flatten(F.transform(blocks, turns))
 
 
+PIECE = 4096  # code points that are passed over at most to reach a place
+
+
+def under_mask(chats: DataFrame) -> DataFrame:
+    """``chats`` (with formatted and loss_spans) and _loss, all text under the mask; the string is cut first, as places are counted in code points."""
+    many = F.floor(F.char_length("formatted") / PIECE).cast("int")
+    cut = F.transform(F.sequence(F.lit(0), many), lambda k: F.col("formatted").substr(k * PIECE + 1, F.lit(PIECE)))
+    pieces = settled(chats, {"_pieces": cut})
+
+    def text(span: Column) -> Column:
+        first, last = (F.floor(at / PIECE).cast("int") for at in (span["start"], span["start"] + span["length"]))
+        own = F.array_join(F.slice("_pieces", first + 1, last - first + 1), "")
+        return unescape(own.substr((span["start"] % PIECE + 1).cast("int"), span["length"].cast("int")))
+
+    return pieces.withColumn("_loss", F.array_join(F.transform("loss_spans", text), "")).drop("_pieces")
+
+
 def chat_digests(turns: DataFrame) -> DataFrame:
     """What can be read back from the formatted conversations."""
     lines = F.transform("_read", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
-    masked = F.transform("loss_spans", lambda s: unescape(F.col("formatted").substr((s["start"] + 1).cast("int"), s["length"].cast("int"))))
-    read = format_chats(turns).select(
-        "conv_id", "formatted", read_chats(F.col("formatted")).alias("_read"), F.array_join(masked, "").alias("_loss")
-    )
+    chats = settled(format_chats(turns).withColumnRenamed("formatted", "_f").withColumnRenamed("loss_spans", "_s"), {"formatted": F.col("_f"), "loss_spans": F.col("_s")})
+    read = under_mask(chats.drop("_f", "_s")).select("conv_id", "formatted", read_chats(F.col("formatted")).alias("_read"), "_loss")
     return read.select(
         "conv_id",
         F.size("_read").cast("long").alias("n_turns"),

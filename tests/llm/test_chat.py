@@ -1,6 +1,8 @@
 import hashlib
+import time
 
 from claimweave.llm import chat
+from pyspark.sql import functions as F
 
 TURNS = "conv_id long, turn long, role string, text string, formatted string, loss_spans int"
 
@@ -39,3 +41,18 @@ def test_no_rows(spark):
     empty = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
     assert chat.chat_digests(empty).count() == 0
     assert [r.conv_id for r in chat.chat_digests(chat.with_probe(empty)).collect()] == [-7]
+
+
+def test_a_long_conversation_grows_in_proportion(spark):
+    """20,000 turns of one conversation; a fold that rebuilds its state takes minutes for them."""
+    n = 20_000
+    role = F.when(F.col("id") % 3 == 0, "user").otherwise("assistant")
+    rows = spark.range(n).select(F.lit(1).alias("conv_id"), F.col("id").alias("turn"), role.alias("role"), F.concat(F.lit("tëxt "), F.col("id")).alias("text"))
+    start = time.time()
+    found = chat.chat_digests(rows).first()
+    assert time.time() - start < 60
+    loss = "".join(f"tëxt {k}" for k in range(n) if k % 3)
+    turns = "".join(f"{'assistant' if k % 3 else 'user'}\ntëxt {k}\n" for k in range(n))
+    assert (found.n_turns, found.loss_chars) == (n, len(loss))
+    assert found.loss_sha256 == hashlib.sha256(loss.encode()).hexdigest()
+    assert found.turns_sha256 == hashlib.sha256(turns.encode()).hexdigest()
