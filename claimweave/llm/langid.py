@@ -132,7 +132,7 @@ def sample(labelled: DataFrame, per_language: int = SAMPLE_DOCS) -> tuple[list[s
     return sorted(r["lang"] for r in found), labelled.filter(place < share).filter("text IS NOT NULL").select("lang", "text")
 
 
-def fit(docs: DataFrame, per_language: int = SAMPLE_DOCS) -> list[Model]:
+def fit(docs: DataFrame, per_language: int = SAMPLE_DOCS, least_count: int | None = None) -> list[Model]:
     """Learn from text and non-NULL lang of the documents that are not held out: models of ``AT_ONCE`` languages; none if there are none.
 
     Counting is a Spark job; the counts brought to the driver are those of a bounded sample, and of one model at a time.
@@ -141,7 +141,7 @@ def fit(docs: DataFrame, per_language: int = SAMPLE_DOCS) -> list[Model]:
     languages, rows = sample(labelled, per_language)
     if rows is None:
         return []
-    counts = saved(frequent(gram_counts(rows.repartition(min(len(languages), AT_ONCE) * 4))), "langid-counts")
+    counts = saved(frequent(gram_counts(rows.repartition(min(len(languages), AT_ONCE) * 4)), least_count), "langid-counts")
     models, some = [], False
     for a in range(0, len(languages), AT_ONCE):
         block = languages[a : a + AT_ONCE]
@@ -152,14 +152,14 @@ def fit(docs: DataFrame, per_language: int = SAMPLE_DOCS) -> list[Model]:
     return models if some else []
 
 
-def frequent(counts: DataFrame) -> DataFrame:
-    """The counts in contexts of up to two bytes, and in longer ones that occur ``LEAST_COUNT`` times in all languages together.
+def frequent(counts: DataFrame, least_count: int | None = None) -> DataFrame:
+    """The counts in contexts of up to two bytes, and in longer ones that occur ``least_count`` times (``LEAST_COUNT``) in all languages together.
 
     The shorter parts of a context occur no less often, so they stay with it.
     """
     total = F.sum("n").over(W.partitionBy("size", F.shiftright("gram", 8)))
     long = F.col("size") > 3
-    rare = counts.filter(long).withColumn("_total", total).filter(F.col("_total") >= LEAST_COUNT).drop("_total")
+    rare = counts.filter(long).withColumn("_total", total).filter(F.col("_total") >= (LEAST_COUNT if least_count is None else least_count)).drop("_total")
     return counts.filter(~long).unionByName(rare)
 
 
@@ -286,9 +286,13 @@ def identify(df: DataFrame, models: list[Model], kept: list[str], text_col: str
     return rows.mapInArrow(predict, T.StructType(fields))
 
 
-def predict_documents(docs: DataFrame) -> DataFrame:
-    """doc_id, held_out, lang_pred, score, bits_per_byte of every document, by a model of those not held out."""
-    found = identify(docs.select("doc_id", "text", (remainder(F.col("doc_id")) == 1).alias("held_out")), fit(docs), ["doc_id", "held_out"])
+def predict_documents(docs: DataFrame, least_count: int | None = None) -> DataFrame:
+    """doc_id, held_out, lang_pred, score, bits_per_byte of every document, by a model of those not held out.
+
+    A NULL doc_id counts as an empty string in the choice of held-out rows; repeated rows
+    are predicted each, alike.  ``least_count``: see ``frequent``; 1 keeps every context.
+    """
+    found = identify(docs.select("doc_id", "text", (remainder(F.col("doc_id")) == 1).alias("held_out")), fit(docs, least_count=least_count), ["doc_id", "held_out"])
     return found.select("doc_id", "held_out", "lang_pred", "score", "bits_per_byte")
 
 
