@@ -1,10 +1,8 @@
-"""Vector expressions and locality-sensitive keys."""
+"""Vector expressions."""
 
 from __future__ import annotations
 
 import hashlib
-import math
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -62,40 +60,3 @@ def with_token_vector(rows: DataFrame, words: Column, name: str = "embedding", d
     )
     raw = settled(hashed, {"_raw": places})
     return settled(raw, {name: unit(F.col("_raw"))}).drop("_hashed", "_raw")
-
-
-def key_plan(similarity: float, miss: float, most: int) -> tuple[int, int]:
-    """Bits per key and number of keys for a search above ``similarity``; the same at any number of rows.
-
-    A random hyperplane separates two vectors with chance angle/pi, so a pair on
-    the threshold shares one key of b bits with chance (1 - angle/pi)^b.  The
-    number of keys keeps the chance of sharing none below ``miss``; keys are as long
-    as they can be with at most ``most`` of them (one bit if even that takes more).
-    """
-    agree = 1.0 - math.acos(max(-1.0, min(1.0, similarity))) / math.pi
-
-    def keys(bits: int) -> int:
-        return max(1, math.ceil(math.log(miss) / math.log1p(-min(agree**bits, 1 - 1e-12))))
-
-    bits = max((b for b in range(1, 33) if keys(b) <= most), default=1)
-    return bits, keys(bits)
-
-
-@lru_cache(maxsize=4)
-def _planes(dims: int, count: int, seed: int) -> np.ndarray:
-    return np.random.RandomState(seed).standard_normal((dims, count))
-
-
-def sign_keys(bits: int, tables: int, seed: int):
-    """Pandas UDF: array of ``tables`` keys, each made of ``bits`` hyperplane signs."""
-    weights = 1 << np.arange(bits, dtype=np.int64)
-
-    @F.pandas_udf("array<bigint>")
-    def keys(v: pd.Series) -> pd.Series:
-        if not len(v):
-            return pd.Series([], dtype=object)
-        m = np.stack(v.to_numpy()).astype(float)
-        signs = (m @ _planes(m.shape[1], bits * tables, seed) > 0).reshape(len(m), tables, bits)
-        return pd.Series(list((signs * weights).sum(axis=2)))
-
-    return keys

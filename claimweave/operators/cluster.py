@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from claimweave.functions.ordered import pages
 from claimweave.functions.vectors import dot, unit
 from claimweave.operators.groups import components, with_singletons
-from claimweave.operators.similar import directed, nearest_above, pairs_of, similar_pairs
+from claimweave.operators.similar import directed, links_of, nearest_above, similar_pairs
 from claimweave.params import DEFAULT, Params
 
 
@@ -19,9 +19,9 @@ def close_pairs(vectors: DataFrame, distance: float, params: Params = DEFAULT) -
 
 
 def link_clusters(vectors: DataFrame, distance: float, params: Params = DEFAULT) -> DataFrame:
-    """(canonical_id, cluster_id): single linkage below ``distance``, over all vectors."""
+    """(canonical_id, cluster_id): single linkage below ``distance``, over all vectors; a zero vector is a cluster of its own."""
     rows = directed(vectors, "canonical_id")
-    groups = components(pairs_of(rows, 1 - distance, params).select("a", "b"))
+    groups = components(links_of(rows, 1 - distance, params))
     copies = rows.groupBy("k").agg(F.min("id").alias("vector_id"))
     named = with_singletons(copies, "vector_id", groups).withColumn("cluster_id", F.md5("group_id"))
     return rows.join(named.select("k", "cluster_id"), "k").select(F.col("id").alias("canonical_id"), "cluster_id")

@@ -1,8 +1,7 @@
 """Similarity searches: nearest above a threshold, pairs above a threshold.
 
 Vectors: equal vectors are first folded into one row, so a group of copies costs
-nothing.  The rest meet in buckets of equal locality-sensitive keys, and every pair
-met is checked exactly.  Texts: pairs meet on one of their rarest
+nothing.  The rest meet in cells (``cells.py``), exactly.  Texts: pairs meet on one of their rarest
 character grams, which loses no pair.
 """
 
@@ -10,14 +9,13 @@ from __future__ import annotations
 
 import math
 
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from claimweave.functions.settle import settled
 from claimweave.functions.text import content_words, negation_parity
-from claimweave.functions.vectors import direction, key_plan, sign_keys, with_token_vector
+from claimweave.functions.vectors import direction, with_token_vector
+from claimweave.operators.cells import joined, meet
 from claimweave.params import DEFAULT, Params
 from claimweave.session import durable
 
@@ -28,9 +26,13 @@ def embed_text(rows: DataFrame, words: Column, dims: int = 64) -> DataFrame:
 
 
 def directed(vectors: DataFrame, key: str, group: Column | None = None) -> DataFrame:
-    """(id, v, k, g): each vector at unit length with a hash that its copies share; NULL vectors are left out."""
+    """(id, v, k, g): each vector at unit length with a hash that its copies share; NULL vectors are left out.
+
+    A zero vector has no direction, so it is nobody's copy: its hash is its own.
+    """
     turned = vectors.filter(F.col("embedding").isNotNull()).select(F.col(key).alias("id"), direction("embedding").alias("_d"), (F.lit("") if group is None else group).alias("g"))
-    return durable(turned.select("id", "_d.v", "_d.k", "g"))
+    none = F.forall("_d.v", lambda x: x == 0)
+    return durable(turned.select("id", "_d.v", F.when(none, F.concat(F.lit("zero "), "id")).otherwise(F.col("_d.k")).alias("k"), "g"))
 
 
 def fold_copies(rows: DataFrame) -> DataFrame:
@@ -40,83 +42,6 @@ def fold_copies(rows: DataFrame) -> DataFrame:
     )
 
 
-TILE = 1024  # rows of either side that one call compares at once
-
-
-def _matches(
-    left: DataFrame, right: DataFrame, above: float, at_least: bool, same_table: bool, params: Params
-) -> DataFrame:
-    """Pairs (a, b, similarity) of rows (id, v, g) that share a key and pass the exact check.
-
-    Vectors with equal keys (and equal ``g``) meet in a bucket.  A bucket with more
-    than a tile of rows, such as a cloud of near copies, is cut into tiles of both
-    sides, so a task never holds more than one tile of each whatever the skew.  A
-    pair that shares several keys is reported at the first one only, which needs no
-    shuffle to remove repeats.
-    """
-    bits, tables = key_plan(above, params.miss_probability, params.search_keys)
-    keyed = sign_keys(bits, tables, params.seed)
-
-    def spread(side: DataFrame, mark: int) -> DataFrame:
-        return side.withColumn("keys", keyed("v")).select(
-            "id", "v", "g", "keys", F.lit(mark).alias("side"), F.posexplode("keys").alias("tab", "bucket")
-        )
-
-    sides = [spread(left, 0), spread(left if same_table else right, 1)]
-    place = ["tab", "bucket", "g"]
-    # only buckets of several tiles are listed here; all others have one
-    large = [
-        s.groupBy(*place).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > TILE)
-        .select(*place, F.ceil(F.col("n") / TILE).cast("int").alias(name))
-        for s, name in zip(sides, ("cuts_0", "cuts_1"))
-    ]
-    cut = sides[0].unionByName(sides[1]).join(large[0], place, "left").join(large[1], place, "left")
-    cuts_0, cuts_1 = F.coalesce("cuts_0", F.lit(1)), F.coalesce("cuts_1", F.lit(1))
-    own = F.when(F.col("side") == 0, cuts_0).otherwise(cuts_1)
-    other = F.when(F.col("side") == 0, cuts_1).otherwise(cuts_0)
-    mine = F.pmod(F.xxhash64("id"), own).cast("int")
-    tiled = cut.select(
-        "id", "v", "g", "keys", "side", "tab", "bucket", mine.alias("_mine"), F.explode(F.sequence(F.lit(0), other - 1)).alias("_theirs")
-    ).select(
-        "id", "v", "keys", "side", "tab", "bucket", "g",
-        F.when(F.col("side") == 0, F.col("_mine")).otherwise(F.col("_theirs")).alias("i"),
-        F.when(F.col("side") == 0, F.col("_theirs")).otherwise(F.col("_mine")).alias("j"),
-    )
-
-    def compare(tile: pa.Table) -> pa.Table:
-        def matrix(name: str, part: pa.Table) -> np.ndarray:
-            flat = part[name].combine_chunks().flatten().to_numpy(zero_copy_only=False)
-            return flat.reshape(part.num_rows, -1)
-
-        side = tile["side"].to_numpy()
-        one, two = tile.filter(pa.array(side == 0)), tile.filter(pa.array(side == 1))
-        empty = pa.table({"a": pa.array([], pa.string()), "b": pa.array([], pa.string()), "similarity": pa.array([], pa.float64())})
-        if not one.num_rows or not two.num_rows:
-            return empty
-        sims = matrix("v", one) @ matrix("v", two).T
-        x, y = np.nonzero(sims > above - 1e-6)
-        value = sims[x, y]
-        rounded = np.round(value, 9)
-        ok = rounded >= above if at_least else rounded > above
-        a, b = one["id"].to_numpy()[x], two["id"].to_numpy()[y]
-        if same_table:
-            ok &= (a < b).astype(bool)
-        x, y, value, a, b = x[ok], y[ok], value[ok], a[ok], b[ok]
-        if not len(x):
-            return empty
-        shared = matrix("keys", one)[x] == matrix("keys", two)[y]
-        first = shared.argmax(axis=1) == tile["tab"][0].as_py()
-        return pa.table(
-            {
-                "a": pa.array(a[first], pa.string()),
-                "b": pa.array(b[first], pa.string()),
-                "similarity": pa.array(value[first], pa.float64()),
-            }
-        )
-
-    return tiled.groupBy("tab", "bucket", "g", "i", "j").applyInArrow(compare, "a string, b string, similarity double")
-
-
 def similar_pairs(vectors: DataFrame, key: str, above: float, params: Params = DEFAULT) -> DataFrame:
     """Pairs of distinct vectors with cosine strictly above ``above``.
 
@@ -129,7 +54,7 @@ def similar_pairs(vectors: DataFrame, key: str, above: float, params: Params = D
 def pairs_of(rows: DataFrame, above: float, params: Params = DEFAULT) -> DataFrame:
     """``similar_pairs`` of rows that are ``directed`` already."""
     folded = durable(fold_copies(rows))
-    pairs = _matches(folded.select("id", "v", "g"), None, above, False, True, params)
+    pairs = meet(folded, None, above, seed=params.seed)
     copies = folded.select("id", "copies")
     return (
         pairs.join(copies.select(F.col("id").alias("a"), F.col("copies").alias("copies_a")), "a")
@@ -138,6 +63,11 @@ def pairs_of(rows: DataFrame, above: float, params: Params = DEFAULT) -> DataFra
     )
 
 
+def links_of(rows: DataFrame, above: float, params: Params = DEFAULT) -> DataFrame:
+    """Links (a, b) that join the same ids as ``pairs_of`` does, some for each id however many pairs there are."""
+    return joined(meet(durable(fold_copies(rows)), None, above, answer="forest", seed=params.seed))
+
+
 def vector_members(vectors: DataFrame, key: str) -> DataFrame:
     """(vector_id, member_id): the ids that ``similar_pairs`` folds into one, each with the smallest of them."""
     rows = directed(vectors, key)
@@ -166,7 +96,7 @@ def nearest_above(
     asked = directed(queries, query_id, group)
     folded = fold_copies(asked)
     known = durable(fold_copies(directed(base, base_id, group)))
-    pairs = _matches(folded, known, above, at_least, False, params)
+    pairs = meet(folded, known, above, at_least, "best", params.seed)
     ranked = F.struct((-F.round("similarity", 9)).alias("far"), F.col("b").alias("b"), "similarity")
     best = pairs.groupBy("a").agg(F.min(ranked).alias("best")).select(
         F.col("a").alias("id"), F.col("best.b").alias(base_id), F.col("best.similarity").alias("similarity")

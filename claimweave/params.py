@@ -39,10 +39,7 @@ class Params:
     csv_rows: int = 100_000             # about so many lines in one file of a block
     page_size: int = 1000               # longest array in one output row
 
-    # locality-sensitive keys: chance that a pair lying exactly on the
-    # threshold shares no key, and the seed of the hyperplanes
-    miss_probability: float = 1e-6
-    search_keys: int = 128              # most keys of a vector; more make longer keys and smaller buckets
+    # choice of sampled rows
     seed: int = 17
 
 

@@ -918,7 +918,7 @@ def g3_tier_distribution(t: Inputs) -> DataFrame:
     return ontology.distribution(_tiers(t, _linked(t)[0]))
 
 
-_NEAR = Params(synonyms=PARAMS.synonyms, parent_similarity=0.35, miss_probability=1e-9)
+_NEAR = Params(synonyms=PARAMS.synonyms, parent_similarity=0.35)
 
 
 def _nodes(t: Inputs) -> tuple[DataFrame, DataFrame]:

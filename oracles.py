@@ -501,11 +501,12 @@ def cluster_ctes(p: str, src: str, needs: str, distance: str) -> None:
     """Vectors, distinct vectors, pairs, components and membership, all with a prefix."""
     if f"{p}_v" not in CTES:
         cte(f"{p}_v", needs, canonical_vectors(src))
-    cte(f"{p}_d", f"{p}_v", f"SELECT v, min(canonical_id) AS id, count(*) AS copies FROM {p}_v GROUP BY 1")
+    cte(f"{p}_d", f"{p}_v", f"""SELECT v, min(canonical_id) AS id, count(*) AS copies, any_value(list_dot_product(v, v)) > 0 AS directed
+ FROM {p}_v GROUP BY v, CASE WHEN list_dot_product(v, v) = 0 THEN canonical_id END""")
     cte(f"{p}_p", f"{p}_d", f"""SELECT x.id AS a, y.id AS b, x.copies AS copies_a, y.copies AS copies_b, list_cosine_similarity(x.v, y.v) AS s
- FROM {p}_d x JOIN {p}_d y ON x.id < y.id WHERE list_cosine_similarity(x.v, y.v) > 1 - {distance}::double""")
+ FROM (SELECT * FROM {p}_d WHERE directed) x JOIN (SELECT * FROM {p}_d WHERE directed) y ON x.id < y.id WHERE list_cosine_similarity(x.v, y.v) > 1 - {distance}::double""")
     component_ctes(p, f"{p}_p", f"{p}_p")
-    cte(f"{p}_m", f"{p}_v {p}_d {p}_cc", f"""SELECT v.canonical_id, md5(coalesce(c.label, d.id)) AS cluster_id FROM {p}_v v JOIN {p}_d d USING (v) LEFT JOIN {p}_cc c ON c.id = d.id""")
+    cte(f"{p}_m", f"{p}_v {p}_d {p}_cc", f"""SELECT v.canonical_id, md5(coalesce(c.label, d.id)) AS cluster_id FROM {p}_v v JOIN {p}_d d ON d.v = v.v AND (directed OR d.id = v.canonical_id) LEFT JOIN {p}_cc c ON c.id = d.id""")
 
 
 def centroid_cte(name: str, membership: str, vectors: str, needs: str) -> None:
@@ -607,7 +608,7 @@ SELECT t.*, p.parent AS parent_cluster_id, p.s AS parent_similarity FROM tiers t
   SELECT x.cluster_id, y.cluster_id AS parent, list_cosine_similarity(cx.v, cy.v) AS s
   FROM (SELECT *, (SELECT max(t2.tier_ord) FROM tiers t2 WHERE t2.tier_ord < t1.tier_ord) AS target FROM tiers t1) x
   JOIN tiers y ON y.tier_ord = x.target JOIN cl_c cx ON cx.cluster_id = x.cluster_id JOIN cl_c cy ON cy.cluster_id = y.cluster_id)
- WHERE round(s,9) >= 0.35 GROUP BY 1) p USING (cluster_id)
+ WHERE round(s,9) >= 0.35 AND NOT isnan(s) GROUP BY 1) p USING (cluster_id)
 """)
 cte("six_nodes", "six_tiers cl_c", CTES["nodes"][1].replace("tiers", "six_tiers"))
 cte("six_tree", "six_nodes", """six_tree(cluster_id, ontology_level, parent_cluster_id, depth, path) AS (
@@ -852,7 +853,7 @@ oracle("m3_streamed_minutes", "simple", minutes_of(
     "simple", "WHERE date_trunc('minute', ts) + INTERVAL 1 MINUTE <= (SELECT max(ts) FROM simple) - INTERVAL 2 MINUTE"))
 oracle("m4_streamed_alarm", "audited", "SELECT call_id, prior_requests, prior_tokens, over_requests, over_tokens FROM audited WHERE over_requests OR over_tokens")
 
-# the whole path on text embeddings compares all pairs of texts: for small fixtures only
+# the whole path on text embeddings, which compares all pairs of texts
 cte("tx_v", "form_vectors", "SELECT canonical_id, v FROM form_vectors")
 cluster_ctes("tx", "canonicals", "form_vectors", "0.3")
 centroid_cte("tx_c", "tx_m", "tx_v", "tx_m tx_v")
@@ -860,6 +861,6 @@ cte("tx_flags", "tx_m mentions", CTES["flag_counts"][1].replace("cl_m", "tx_m"))
 cte("tx_tiers", "tx_m tx_flags", tiers_of(fixed.TIERS, "tx_flags").replace("cl_m", "tx_m"))
 cte("tx_nodes", "tx_tiers tx_c", CTES["nodes"][1].replace("tiers", "tx_tiers").replace("cl_c", "tx_c").replace("0.35", "0.5"))
 cte("tx_tree", "tx_nodes", CTES["tree"][1].replace("tree", "tx_tree").replace("nodes", "tx_nodes"))
-WHOLE_PATH = compose(["tx_tree"], """
+oracle("g5_whole_path", "tx_tree", """
 SELECT t.cluster_id, t.ontology_level, t.parent_cluster_id, t.depth, t.path, (SELECT count(*) FROM tx_tree c WHERE c.parent_cluster_id = t.cluster_id) AS children FROM tx_tree t
 """)

@@ -8,8 +8,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from claimweave.functions import ordered
-from claimweave.functions.vectors import key_plan
-from claimweave.operators import cluster, groups, matrix, similar
+from claimweave.operators import cells, cluster, groups, matrix, similar
 from claimweave.params import Params
 
 
@@ -46,7 +45,7 @@ def cloud(n=240, dims=16, seed=3):
 
 @pytest.mark.parametrize("tile", [7, 1024])
 def test_similar_pairs_equal_all_pairs(spark, monkeypatch, tile):
-    monkeypatch.setattr(similar, "TILE", tile)
+    monkeypatch.setattr(cells, "TILE", tile)
     v = cloud()
     ids = [f"{i:04d}" for i in range(len(v))]
     df = spark.createDataFrame([(i, x.tolist()) for i, x in zip(ids, v)], "id string, embedding array<double>")
@@ -64,7 +63,7 @@ def test_similar_pairs_equal_all_pairs(spark, monkeypatch, tile):
 
 @pytest.mark.parametrize("tile", [9, 1024])
 def test_nearest_equals_brute_force(spark, monkeypatch, tile):
-    monkeypatch.setattr(similar, "TILE", tile)
+    monkeypatch.setattr(cells, "TILE", tile)
     v = cloud()
     u = v / np.linalg.norm(v, axis=1, keepdims=True)
     df = spark.createDataFrame([(f"{i:04d}", x.tolist()) for i, x in enumerate(v)], "id string, embedding array<double>")
@@ -75,16 +74,6 @@ def test_nearest_equals_brute_force(spark, monkeypatch, tile):
     assert got == want
 
 
-def test_key_plan_meets_the_miss_probability():
-    import math
-
-    for most in (16, 128, 1000):
-        for t in (0.5, 0.7, 0.85):
-            bits, tables = key_plan(t, 1e-3, most)
-            agree = (1 - math.acos(t) / math.pi) ** bits
-            assert (1 - agree) ** tables <= 1e-3 * 1.001 and tables <= most
-
-
 @pytest.mark.parametrize("n", [200, 1000, 3000])
 def test_pairs_on_the_threshold_are_found_at_any_size(spark, n):
     """Planted pairs just above the threshold, the worst case; the other rows do not matter."""
@@ -97,10 +86,74 @@ def test_pairs_on_the_threshold_are_found_at_any_size(spark, n):
     near = 0.851 * a + np.sqrt(1 - 0.851**2) * b
     rows = [(f"{i:05d}", v.tolist()) for i, v in enumerate(np.concatenate([a, near, base[100:]]))] + [("none", None)]
     df = spark.createDataFrame(rows, "id string, embedding array<double>")
-    got = {(x["a"], x["b"]) for x in similar.similar_pairs(df, "id", 0.85, Params(miss_probability=1e-4)).collect()}
+    got = {(x["a"], x["b"]) for x in similar.similar_pairs(df, "id", 0.85).collect()}
     assert {(f"{i:05d}", f"{i + 100:05d}") for i in range(100)} <= got
 
 
+def clustered(n, dims=128, each=50, spread=0.01, seed=21):
+    """Rows in clusters of ``each`` around directions of their own."""
+    r = np.random.RandomState(seed)
+    middle = np.repeat(r.standard_normal((n // each, dims)), each, axis=0)
+    return middle / np.linalg.norm(middle, axis=1, keepdims=True) + spread * r.standard_normal((n, dims))
+
+
+def directions(spark, v):
+    u = v / np.linalg.norm(v, axis=1, keepdims=True)
+    return u, spark.createDataFrame([(f"{i:06d}", x.tolist(), "") for i, x in enumerate(u)], "id string, v array<double>, g string")
+
+
+@pytest.mark.parametrize("above", [0.35, 0.7, 0.95])
+@pytest.mark.parametrize("kind", ["none", "clusters"])
+def test_cells_lose_no_pair(spark, monkeypatch, above, kind):
+    """Many small cells: all pairs, the same groups by forests, and the best of each, against one matrix."""
+    monkeypatch.setattr(cells, "BLOCK_ROWS", 20)
+    monkeypatch.setattr(cells, "TILE", 16)
+    v = clustered(400, 8) if kind == "clusters" else np.random.RandomState(4).standard_normal((400, 8))
+    u, df = directions(spark, np.concatenate([v, np.zeros((2, 8))])[:400])
+    s = np.round(u @ u.T, 9)
+    want = {(f"{i:06d}", f"{j:06d}") for i in range(400) for j in range(i + 1, 400) if s[i, j] > above}
+    found = cells.meet(df, None, above).collect()
+    assert {(r["a"], r["b"]) for r in found} == want and len(found) == len(want)
+    links = cells.joined(cells.meet(df, None, above, answer="forest"))
+    both = [{r["id"]: r["group_id"] for r in groups.components(x).collect()} for x in (links, spark.createDataFrame([*want, ("z", "z")], "a string, b string"))]
+    assert both[0] == both[1]
+    one, two = df.filter("id < '000150'"), df.filter("id >= '000150'")
+    best = cells.meet(one, two, above, True, "best").groupBy("a").agg(F.min(F.struct((-F.round("similarity", 9)).alias("s"), "b")).alias("m")).collect()
+    part = s[:150, 150:]
+    assert {r["a"]: r["m"]["b"] for r in best} == {f"{i:06d}": f"{150 + int(part[i].argmax()):06d}" for i in range(150) if part[i].max() >= above}
+
+
+def test_comparisons_follow_the_neighbourhood_not_the_number_of_rows(spark, monkeypatch):
+    """Rows in clusters: as many comparisons a row at 1,000, 4,000 and 16,000 rows."""
+    monkeypatch.setattr(cells, "BLOCK_ROWS", 250)
+    each = {}
+    for above in (0.7, 0.35):
+        for n in (1000, 4000, 16000):
+            _, df = directions(spark, clustered(n))
+            sizes = cells.tiled(cells.placed(df, None, above, 17)).groupBy("block", "i", "j").pivot("side", [0, 1]).count()
+            each[above, n] = sizes.select(F.sum(F.col("0") * F.col("1"))).first()[0] / n
+        assert each[above, 16000] <= 2.2 * each[above, 1000], each
+
+
+def test_a_cloud_of_near_copies_gives_few_links(spark):
+    r = np.random.RandomState(6)
+    _, df = directions(spark, np.ones(16) + 0.05 * r.standard_normal((20_000, 16)))
+    links = cells.joined(cells.meet(df, None, 0.7, answer="forest")).cache()
+    assert links.count() <= 20_000 * 20
+    assert groups.components(links).agg(F.count(F.lit(1)), F.count_distinct("group_id")).first() == (20_000, 1)
+
+
+def test_zero_vectors_are_linked_with_nothing(spark):
+    rows = [("a", [0.0, 0.0]), ("b", [0.0, 0.0]), ("c", [1.0, 0.0]), ("d", [2.0, 0.1]), ("e", None), ("f", [3.0, 0.0])]
+    df = spark.createDataFrame(rows, "canonical_id string, embedding array<double>")
+    found = {r["canonical_id"]: r["cluster_id"] for r in cluster.link_clusters(df, 0.3).collect()}
+    assert len({found[k] for k in "abc"}) == 3 and found["c"] == found["d"] == found["f"] and "e" not in found
+    members = {(r["vector_id"], r["member_id"]) for r in similar.vector_members(df, "canonical_id").collect()}
+    assert members == {("a", "a"), ("b", "b"), ("c", "c"), ("d", "d"), ("c", "f")}
+    near = similar.nearest_above(df.withColumnRenamed("canonical_id", "q"), df.withColumnRenamed("canonical_id", "k"), "q", "k", -1.0, True)
+    assert {r["q"]: r["k"] for r in near.collect()} == {"c": "c", "d": "d", "f": "c"}
+
+
 def edits(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
