@@ -3,8 +3,12 @@
 A snapshot of a phase is a parquet folder of its own run, with the rows spread
 over a fixed number of episode buckets (a folder per episode would drown the file
 system in small files).  The manifest row per (episode, phase) is written after the
-data, so a run that dies half-way is never seen; a repeated run replaces its own
-folder as a whole, whatever the session's overwrite mode.
+data, so a run that dies half-way is never seen.
+
+A run's folder holds numbered versions.  The one in force is the highest that is
+complete, as its ``_SUCCESS`` file says, which is written last and at once: so a
+repeated run or a purge writes the next version, whereby it takes over, and removes
+older ones after that.  Whatever stops it in between, one whole version is in force.
 """
 
 from __future__ import annotations
@@ -28,8 +32,8 @@ def save(data: DataFrame, folder: str, phase: str, run_id: str, ts: str, stats:
         raise ValueError(f"unknown phase {phase}")
     spark = data.sparkSession
     where = f"{folder}/data/phase={phase}/run_id={run_id}"
-    _write_run(data, where)
-    counted = spark.read.parquet(where).groupBy("episode_id").agg(F.count(F.lit(1)).alias("row_count"))
+    _replace(data, where)
+    counted = spark.read.parquet(_in_force(spark, where)).groupBy("episode_id").agg(F.count(F.lit(1)).alias("row_count"))
     if stats is not None:
         counted = counted.join(stats.select("episode_id", "stats"), "episode_id", "left")
     else:
@@ -47,6 +51,43 @@ def _write_run(data: DataFrame, where: str) -> None:
     writer.partitionBy("episode_bucket").parquet(where)
 
 
+def _versions(spark: SparkSession, where: str) -> list[tuple[int, bool]]:
+    """(number, complete) of the versions of a run, ascending."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    system = path(where).getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(path(where)):
+        return []
+    names = [str(x.getPath().getName()) for x in system.listStatus(path(where))]
+    numbers = sorted(int(n.removeprefix("version=")) for n in names if n.startswith("version="))
+    return [(n, system.exists(path(f"{where}/version={n}/_SUCCESS"))) for n in numbers]
+
+
+def _in_force(spark: SparkSession, where: str) -> str | None:
+    """Folder of the highest complete version of a run; None when there is none."""
+    whole = [n for n, complete in _versions(spark, where) if complete]
+    return f"{where}/version={whole[-1]}" if whole else None
+
+
+def _replace(data: DataFrame, where: str) -> None:
+    """Write ``data`` as the next version of a run, then remove the others; ``data`` may be read from the one in force."""
+    spark = data.sparkSession
+    _write_run(data, f"{where}/version={max([n for n, _ in _versions(spark, where)], default=0) + 1}")
+    _tidy(spark, where)
+
+
+def _tidy(spark: SparkSession, where: str) -> None:
+    """Remove all versions but the one in force."""
+    force = _in_force(spark, where)
+    for n, _ in _versions(spark, where):
+        if force and f"{where}/version={n}" != force:
+            _remove(spark, f"{where}/version={n}")
+
+
+def _remove(spark: SparkSession, where: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(where)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def manifest(spark: SparkSession, folder: str) -> DataFrame:
     """All manifest rows, without the deleted ones; empty when nothing was saved."""
     if not _exists(spark, f"{folder}/manifest"):
@@ -69,9 +110,12 @@ def load(spark: SparkSession, folder: str, phase: str) -> DataFrame | None:
     if not runs:
         return None
     where = f"{folder}/data/phase={phase}"
-    schema = spark.read.parquet(f"{where}/run_id={runs[0]}").schema.add("run_id", "string")
-    rows = spark.read.schema(schema).option("basePath", where).parquet(*[f"{where}/run_id={r}" for r in runs])
-    return rows.join(last, ["episode_id", "run_id"], "left_semi").drop("run_id", "episode_bucket")
+    paths = {r: _in_force(spark, f"{where}/run_id={r}") for r in runs}
+    if lost := [r for r, path in paths.items() if path is None]:
+        raise FileNotFoundError(f"phase {phase} has no complete version of runs {lost}")
+    schema = spark.read.parquet(paths[runs[0]]).schema.add("run_id", "string").add("version", "integer")
+    rows = spark.read.schema(schema).option("basePath", where).parquet(*paths.values())
+    return rows.join(last, ["episode_id", "run_id"], "left_semi").drop("run_id", "version", "episode_bucket")
 
 
 def latest(rows: DataFrame) -> DataFrame:
@@ -121,31 +165,29 @@ def delete(spark: SparkSession, folder: str, rows: DataFrame, mark: str) -> None
 
 
 def purge(spark: SparkSession, folder: str) -> int:
-    """Remove the rows of hidden snapshots from the files; returns the number of runs touched.
+    """Remove the rows of hidden snapshots from the files; returns the number of runs with hidden snapshots.
 
-    A run whose snapshots are all hidden is unlinked; any other is written anew beside
-    itself and then renamed, so a reader finds either folder.  Marks stay, so a purge
-    that broke off can be run again.
+    A run without any snapshot left is unlinked.  Any other that still holds hidden rows
+    gets a new version without them.  A purge that was stopped has lost nothing: until the
+    new version is complete the old one is in force, and the next purge finishes the work.
     """
     if not _exists(spark, f"{folder}/deleted"):
         return 0
     gone = spark.read.schema("episode_id string, phase string, run_id string").parquet(f"{folder}/deleted")
-    touched = gone.select("phase", "run_id").distinct().collect()
+    alive = manifest(spark, folder).select("phase", "run_id", F.lit(True).alias("alive")).distinct()
+    touched = gone.select("phase", "run_id").distinct().join(alive, ["phase", "run_id"], "left").collect()  # a row for each run
     for r in touched:
         where = f"{folder}/data/phase={r['phase']}/run_id={r['run_id']}"
-        if not _exists(spark, where):
-            continue
-        hidden = gone.filter((F.col("phase") == r["phase"]) & (F.col("run_id") == r["run_id"])).select("episode_id")
-        kept = spark.read.parquet(where).drop("episode_bucket").join(hidden, "episode_id", "left_anti")
-        aside = f"{folder}/aside/{r['phase']}-{r['run_id']}"
-        some = not kept.isEmpty()
-        if some:
-            _write_run(kept, aside)
-        path = spark._jvm.org.apache.hadoop.fs.Path
-        system = path(where).getFileSystem(spark._jsc.hadoopConfiguration())
-        system.delete(path(where), True)
-        if some:
-            system.rename(path(aside), path(where))
+        force = _in_force(spark, where)
+        if not r["alive"]:
+            _remove(spark, where)
+        elif force:
+            hidden = gone.filter((F.col("phase") == r["phase"]) & (F.col("run_id") == r["run_id"])).select("episode_id").distinct()
+            rows = spark.read.parquet(force).drop("episode_bucket")
+            if rows.join(hidden, "episode_id", "left_semi").isEmpty():
+                _tidy(spark, where)
+            else:
+                _replace(rows.join(hidden, "episode_id", "left_anti"), where)
     return len(touched)
 
 

@@ -145,3 +145,49 @@ def test_registry_lookups(spark):
 
 def test_reports_of_unknown_episode_are_empty(spark, folder):
     assert stores.load_reports(spark, f"{folder}/none", "x").count() == 0
+
+
+@pytest.mark.parametrize("stop", ["before the data", "half of the data", "before old versions go", "none"])
+def test_a_purge_that_stops_loses_nothing(spark, folder, monkeypatch, stop):
+    """Wherever a purge stops, kept rows can be read; the next one finishes it."""
+    rows = spark.createDataFrame([("a", 1), ("b", 2), ("c", 3)], "episode_id string, x bigint")
+    for run in ("001", "002"):
+        snapshots.save(rows, folder, "utterances", run, f"2024-01-0{run[-1]}")
+    snapshots.save(rows, folder, "utterances", "002", "2024-01-02")  # a repeated run takes over
+    m = snapshots.manifest(spark, folder)
+    snapshots.delete(spark, folder, m.filter("run_id = '001' OR episode_id = 'b'"), "x")
+
+    def kept():
+        return sorted(map(tuple, snapshots.load(spark, folder, "utterances").select("episode_id", "x").collect()))
+
+    real_write, real_tidy = snapshots._write_run, snapshots._tidy
+
+    def write(data, where):
+        if stop == "half of the data":
+            real_write(data, where)
+            snapshots._remove(data.sparkSession, f"{where}/_SUCCESS")
+        if stop in ("before the data", "half of the data"):
+            raise InterruptedError
+        real_write(data, where)
+
+    def tidy(session, where):
+        if stop == "before old versions go":
+            raise InterruptedError
+        real_tidy(session, where)
+
+    monkeypatch.setattr(snapshots, "_write_run", write)
+    monkeypatch.setattr(snapshots, "_tidy", tidy)
+    if stop == "none":
+        snapshots.purge(spark, folder)
+    else:
+        with pytest.raises(InterruptedError):
+            snapshots.purge(spark, folder)
+    assert kept() == [("a", 1), ("c", 3)]
+    monkeypatch.setattr(snapshots, "_write_run", real_write)
+    monkeypatch.setattr(snapshots, "_tidy", real_tidy)
+    assert snapshots.purge(spark, folder) == 2
+    assert kept() == [("a", 1), ("c", 3)]
+    left = spark.read.option("recursiveFileLookup", "true").parquet(f"{folder}/data")
+    assert sorted(r["x"] for r in left.collect()) == [1, 3]
+    snapshots.purge(spark, folder)
+    assert kept() == [("a", 1), ("c", 3)]
