@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,6 +11,7 @@ from claimweave.functions.ids import content_id
 from claimweave.functions.ordered import pages
 from claimweave.operators.similar import opposed_pairs
 from claimweave.params import DEFAULT, Params
+from claimweave.session import durable
 
 
 def candidates(canonicals: DataFrame, params: Params = DEFAULT) -> DataFrame:
@@ -124,6 +127,58 @@ def compare_speakers(mentions: DataFrame, requests: DataFrame) -> DataFrame:
     )
 
 
+# a claim with more holders is counted by blocks of speakers; speakers and claims of a block
+HEAVY, BLOCK_SPEAKERS, BLOCK_CLAIMS = 64, 512, 1024
+
+
+def claims_of(mentions: DataFrame) -> DataFrame:
+    """(speaker, claims): how many canonicals each speaker holds."""
+    return mentions.groupBy("speaker").agg(F.count_distinct("canonical_id").alias("claims"))
+
+
+def overlaps(mentions: DataFrame, heavy: int = HEAVY) -> DataFrame:
+    """All pairs of speakers who share a canonical, whether they ever meet or not, with ``compare_speakers``' counts.
+
+    The product of the table of speakers and claims with itself.  A claim with few holders
+    gives its pairs by a join.  One with many would give the square of them, so these
+    claims are cut into blocks, as are their holders, and a task takes the matrix product
+    of two blocks.  What two speakers do not share follows from ``claims_of``; pairs that
+    share nothing have no row.
+    """
+    held = durable(mentions.select("speaker", "canonical_id").distinct())
+    sizes = held.groupBy("canonical_id").agg(F.count(F.lit(1)).alias("holders"))
+    light = held.join(sizes.filter(F.col("holders") <= heavy), "canonical_id").select("canonical_id", "speaker")
+    few = light.toDF("canonical_id", "speaker_1").join(light.toDF("canonical_id", "speaker_2"), "canonical_id").filter("speaker_1 < speaker_2")
+    few = few.groupBy("speaker_1", "speaker_2").agg(F.count(F.lit(1)).alias("n"))
+    many = durable(held.join(sizes.filter(F.col("holders") > heavy), "canonical_id").select("speaker", "canonical_id"))
+    total = many.agg(F.count_distinct("speaker").alias("s"), F.count_distinct("canonical_id").alias("c")).first()
+    cuts = max(1, -(-total["s"] // BLOCK_SPEAKERS))
+    zero = F.lit(0).cast("long")
+    own = F.pmod(F.xxhash64("speaker"), F.lit(cuts)).cast("long")
+    meets = F.transform(F.sequence(zero, F.lit(cuts - 1).cast("long")), lambda k: F.struct(F.least(own, k).alias("i"), F.greatest(own, k).alias("j"), (own > k).alias("right")))
+    tiles = many.select("speaker", "canonical_id", F.pmod(F.xxhash64("canonical_id"), F.lit(max(1, -(-total["c"] // BLOCK_CLAIMS)))).alias("slice"), F.inline(meets))
+
+    def product(tile: pa.Table) -> pa.Table:
+        speakers, row = np.unique(tile["speaker"].to_numpy(zero_copy_only=False).astype(str), return_inverse=True)
+        claims, column = np.unique(tile["canonical_id"].to_numpy(zero_copy_only=False).astype(str), return_inverse=True)
+        table = np.zeros((len(speakers), len(claims)), np.float32)
+        table[row, column] = 1
+        shared = table @ table.T
+        if tile["i"][0] != tile["j"][0]:
+            right = np.zeros(len(speakers), bool)
+            right[row] = tile["right"].to_numpy(zero_copy_only=False)
+            shared *= right[:, None] != right[None, :]
+        a, b = np.nonzero(np.triu(shared, 1))
+        n = shared[a, b].astype(np.int64)
+        return pa.table({"speaker_1": pa.array(speakers[a].tolist(), pa.string()), "speaker_2": pa.array(speakers[b].tolist(), pa.string()), "n": pa.array(n)})
+
+    blocks = tiles.groupBy("slice", "i", "j").applyInArrow(product, "speaker_1 string, speaker_2 string, n long")
+    shared = few.unionByName(blocks).groupBy("speaker_1", "speaker_2").agg(F.sum("n").alias("shared"))
+    counts = claims_of(held)
+    both = shared.join(counts.toDF("speaker_1", "_1"), "speaker_1").join(counts.toDF("speaker_2", "_2"), "speaker_2")
+    return both.select("speaker_1", "speaker_2", "shared", (F.col("_1") - F.col("shared")).alias("only_1"), (F.col("_2") - F.col("shared")).alias("only_2"))
+
+
 def shared_claims(mentions: DataFrame, one: str, two: str) -> DataFrame:
     """Canonicals that both of two speakers hold."""
     held = mentions.select("speaker", "canonical_id")

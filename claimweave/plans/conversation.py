@@ -19,7 +19,7 @@ from claimweave.operators import canonical, cluster, contradict, drift, extract,
 from claimweave.operators.similar import embed_text, fuzzy_pairs
 from claimweave.operators.groups import components
 from claimweave.params import DEFAULT, Params
-from claimweave.session import durable
+from claimweave.session import durable, written
 from claimweave.sources import snapshots
 
 
@@ -31,7 +31,7 @@ class Conversations:
     answer: object
     params: Params = DEFAULT
     run_date: str = "2024-01-01"
-    keep: bool = False  # write mentions, canonicals and cells once, when several steps read them
+    keep: bool = False  # write sentences, claims, mentions, canonicals and cells once, when several steps read them
     stored: DataFrame | None = None  # answers of an earlier run: what they hold is not asked again
 
     @cached_property
@@ -52,20 +52,22 @@ class Conversations:
 
     @cached_property
     def atomic(self) -> DataFrame:
-        return split.split_sentences(self.utterances)
+        rows = split.split_sentences(self.utterances)
+        return written(rows) if self.keep else rows
 
     @cached_property
     def answers(self) -> DataFrame:
         """Asked for once and kept, before anything reads them; a stored answer is not asked for again."""
         if self.stored is None:
-            return durable(self.answer(extract.spread(self.atomic)))
+            return written(self.answer(extract.spread(self.atomic)))
         here = self.stored.join(self.atomic.select("utterance_id"), "utterance_id", "left_semi")
         left = self.atomic.join(self.stored.select("utterance_id"), "utterance_id", "left_anti")
-        return durable(here.unionByName(self.answer(extract.spread(left)), allowMissingColumns=True))
+        return written(here.unionByName(self.answer(extract.spread(left)), allowMissingColumns=True))
 
     @cached_property
     def read(self) -> DataFrame:
-        return extract.parse_beliefs(self.answers, self.atomic)
+        rows = extract.parse_beliefs(self.answers, self.atomic)
+        return written(rows) if self.keep else rows
 
     @cached_property
     def beliefs(self) -> DataFrame:
@@ -165,10 +167,11 @@ def quality_events(c: Conversations, call_log: DataFrame | None = None, mismatch
     """Everything that costs an episode points, from every step."""
     where = c.atomic.select("utterance_id", "episode_id", "line_no")
     events = quality.event(c.rejects, "parsing_error", F.col("line_no"), F.col("error"))
-    failed = extract.failures(c.answers).join(where, "utterance_id")
-    events = events.unionByName(quality.event(failed, "api_error", F.col("line_no"), F.col("message")))
-    bad = extract.malformed(c.read).join(where, "utterance_id")
-    events = events.unionByName(quality.event(bad, "malformed"))
+    failed = extract.failures(c.answers).select("utterance_id", F.lit("api_error").alias("kind"), "message")
+    bad = extract.malformed(c.read).select("utterance_id", F.lit("malformed").alias("kind"), F.lit(None).cast("string").alias("message"))
+    told = failed.unionByName(bad).join(where, "utterance_id")
+    at = F.when(F.col("kind") == "api_error", F.col("line_no")).otherwise(0).cast("bigint")
+    events = events.unionByName(told.select("episode_id", "kind", at.alias("at"), "message"))
     if call_log is not None:
         tried = call_ops.attempts(call_log, c.params)
         events = events.unionByName(quality.event(tried.filter("attempt > 1"), "retry"))

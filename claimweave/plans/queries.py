@@ -717,17 +717,25 @@ def _rephrasing_model(frame: pd.DataFrame) -> pd.DataFrame:
 
 
 def _mismatched(t: Inputs) -> DataFrame:
-    """Later beliefs whose text names another canonical than their nearest embedding."""
+    """Later beliefs whose text names another canonical than their nearest embedding.
+
+    Only a text that the earlier half has as an alias can do so: such texts alone are
+    embedded, each once, and looked up.
+    """
     old, new = t.halves(t.kept.mentions)
     stored = canonical.summaries(old)
     base = similar.embed_text(stored, norm_tokens(F.col("canonical_text"), PARAMS)).select("canonical_id", "embedding")
-    asked = similar.embed_text(new.select("belief_id", "belief_text"), norm_tokens(F.col("belief_text"), PARAMS))
-    near = similar.nearest_above(asked, base, "belief_id", "canonical_id", PARAMS.match_similarity, params=PARAMS)
     aliases = registry.latest(
         registry.alias_rows(old.select("belief_text", "canonical_id", "episode_seq"), "belief_text", F.col("episode_seq")),
         ["alias_text"], "seq",
     )
-    return registry.mismatches(registry.find_by_text(new, aliases), near)
+    found = durable(
+        registry.find_by_text(new.select("belief_id", "episode_id", "belief_text"), aliases).filter("alias_canonical_id IS NOT NULL")
+    )
+    texts = found.select("belief_text").distinct()
+    asked = similar.embed_text(texts, norm_tokens(F.col("belief_text"), PARAMS))
+    near = similar.nearest_above(asked, base, "belief_text", "canonical_id", PARAMS.match_similarity, params=PARAMS)
+    return registry.mismatches(found, found.select("belief_id", "belief_text").join(near, "belief_text"))
 
 
 @query
@@ -1166,11 +1174,14 @@ def j7_counts_by_episode(t: Inputs) -> DataFrame:
 
 @query
 def j8_speaker_comparison(t: Inputs) -> DataFrame:
-    """Speakers who meet in an episode, compared over everything they said."""
-    c = t.kept
-    there = c.mentions.select("episode_id", "speaker").distinct()
-    met = there.toDF("episode_id", "speaker_1").join(there.toDF("episode_id", "speaker_2"), "episode_id")
-    return contradict.compare_speakers(c.mentions, met.filter("speaker_1 < speaker_2").select("speaker_1", "speaker_2").distinct())
+    """All speakers who share a claim, compared over everything they said."""
+    return contradict.overlaps(t.kept.mentions)
+
+
+@query
+def j8_speaker_claims(t: Inputs) -> DataFrame:
+    """What speakers hold: with the pairs that share something, it says what all other pairs differ in."""
+    return contradict.claims_of(t.chain.mentions)
 
 
 @query
@@ -1185,24 +1196,24 @@ def j8_shared_and_own(t: Inputs) -> DataFrame:
 
 @query
 def k1_counters(t: Inputs) -> DataFrame:
-    c = t.chain
+    c = t.kept
     return quality.counters(quality_events(c, t.calls, _mismatched(t)), c.episodes)
 
 
 @query
 def k1_messages(t: Inputs) -> DataFrame:
-    rows = quality.messages(quality_events(t.chain, t.calls), PARAMS)
+    rows = quality.messages(quality_events(t.kept, t.calls), PARAMS)
     return rows.select("episode_id", "kind", "page_no", F.array_join("messages", ";").alias("messages"))
 
 
 @query
 def k2_k3_scores(t: Inputs) -> DataFrame:
-    return quality_reports(t.chain, t.calls, _mismatched(t)).select("episode_id", "quality_score", "quality_grade")
+    return quality_reports(t.kept, t.calls, _mismatched(t)).select("episode_id", "quality_score", "quality_grade")
 
 
 @query
 def k4_reports(t: Inputs) -> DataFrame:
-    c = t.chain
+    c = t.kept
     events = durable(quality_events(c, t.calls, _mismatched(t)))
     report = quality.reports(quality.counters(events, c.episodes), _run_times(t), "2024-01-01 00:00:00")
     full = quality.full_reports(report, quality.messages(events, PARAMS))
@@ -1222,7 +1233,7 @@ def _run_times(t: Inputs) -> DataFrame:
 def k5_summary(t: Inputs) -> DataFrame:
     """Flagship: from transcript lines to the quality of all episodes that reached the last phases."""
     asked = t.manifest.filter("phase = 'canonical_beliefs'").select("episode_id")
-    rows = quality.summary(quality_reports(t.chain, t.calls, _mismatched(t)), asked)
+    rows = quality.summary(quality_reports(t.kept, t.calls, _mismatched(t)), asked)
     return rows.withColumn("average_score", r6("average_score"))
 
 
@@ -1241,7 +1252,7 @@ def k7_progress_rows(t: Inputs) -> DataFrame:
 
 @query
 def k8_graded_episodes(t: Inputs) -> DataFrame:
-    c = t.chain
+    c = t.kept
     return quality.graded_episodes(c.episodes, quality_reports(c, t.calls, _mismatched(t))).select("episode_id", "title", "quality_score", "quality_grade")
 
 

@@ -700,13 +700,14 @@ SELECT least(speaker_a, speaker_b) AS speaker_1, greatest(speaker_a, speaker_b)
 oracle("j7_counts_by_episode", "held", "SELECT episode_id, count(*) AS contradictions FROM held GROUP BY 1")
 oracle("j8_speaker_comparison", "mentions", """
 WITH s AS (SELECT DISTINCT speaker, canonical_id FROM mentions), n AS (SELECT DISTINCT speaker FROM s)
+SELECT * FROM (
 SELECT x.speaker AS speaker_1, y.speaker AS speaker_2,
  (SELECT count(*) FROM s a JOIN s b USING (canonical_id) WHERE a.speaker = x.speaker AND b.speaker = y.speaker) AS shared,
  (SELECT count(*) FROM s a WHERE a.speaker = x.speaker AND a.canonical_id NOT IN (SELECT canonical_id FROM s b WHERE b.speaker = y.speaker)) AS only_1,
  (SELECT count(*) FROM s a WHERE a.speaker = y.speaker AND a.canonical_id NOT IN (SELECT canonical_id FROM s b WHERE b.speaker = x.speaker)) AS only_2
-FROM n x JOIN n y ON x.speaker < y.speaker
-WHERE EXISTS (SELECT 1 FROM mentions p JOIN mentions q USING (episode_id) WHERE p.speaker = x.speaker AND q.speaker = y.speaker)
+FROM n x JOIN n y ON x.speaker < y.speaker) WHERE shared > 0
 """)
+oracle("j8_speaker_claims", "mentions", "SELECT speaker, count(DISTINCT canonical_id) AS claims FROM mentions GROUP BY 1")
 oracle("j8_shared_and_own", "mentions", """
 WITH s AS (SELECT DISTINCT speaker, canonical_id FROM mentions)
 SELECT canonical_id, CASE WHEN canonical_id IN (SELECT canonical_id FROM s WHERE speaker = 'ASSISTANT') THEN 'both' ELSE 'USER' END AS held_by FROM s WHERE speaker = 'USER'

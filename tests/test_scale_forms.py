@@ -8,7 +8,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from claimweave.functions import ordered
-from claimweave.operators import cells, cluster, groups, matrix, similar
+from claimweave.operators import cells, cluster, contradict, groups, matrix, similar
 from claimweave.params import Params
 
 
@@ -252,3 +252,20 @@ def test_dense_blocks_are_bounded(spark):
     rows = matrix.dense_blocks(eps, cells, Params(max_columns=4)).collect()
     assert sorted((r["episode_id"], len(r["weights"])) for r in rows) == [("e", 2), ("e", 4), ("e", 4), ("f", 2), ("f", 4), ("f", 4)]
     assert all(w["presence_flag"] == (r["episode_id"] == "e") for r in rows for w in r["weights"])
+
+
+@pytest.mark.parametrize("heavy", [0, 2, 1000])
+def test_overlaps_of_speakers_equal_sets(spark, monkeypatch, heavy):
+    """Claims held by few and by most; speakers who share nothing have no row."""
+    monkeypatch.setattr(contradict, "BLOCK_SPEAKERS", 7)
+    monkeypatch.setattr(contradict, "BLOCK_CLAIMS", 5)
+    r = random.Random(14)
+    held = {f"s{i:02d}": {f"c{r.randrange(40)}" for _ in range(r.randrange(8))} | ({"all"} if i % 3 else set()) for i in range(30)}
+    rows = [(s, c) for s, cs in held.items() for c in cs for _ in range(2)]
+    df = spark.createDataFrame(rows, "speaker string, canonical_id string")
+    got = {(x["speaker_1"], x["speaker_2"]): (x["shared"], x["only_1"], x["only_2"]) for x in contradict.overlaps(df, heavy).collect()}
+    names = sorted(held)
+    want = {(a, b): (len(held[a] & held[b]), len(held[a] - held[b]), len(held[b] - held[a])) for a in names for b in names if a < b and held[a] & held[b]}
+    assert got == want
+    few = contradict.compare_speakers(df, spark.createDataFrame(list(want)[:9], "speaker_1 string, speaker_2 string")).collect()
+    assert {(x["speaker_1"], x["speaker_2"]): (x["shared"], x["only_1"], x["only_2"]) for x in few} == {k: want[k] for k in list(want)[:9]}
