@@ -99,10 +99,10 @@ def nearest_above(
     pairs = meet(folded, known, above, at_least, "best", params.seed)
     ranked = F.struct((-F.round("similarity", 9)).alias("far"), F.col("b").alias("b"), "similarity")
     best = pairs.groupBy("a").agg(F.min(ranked).alias("best")).select(
-        F.col("a").alias("id"), F.col("best.b").alias(base_id), F.col("best.similarity").alias("similarity")
+        F.col("a").alias("id"), F.col("best.b").alias("_near"), F.col("best.similarity").alias("similarity")
     )
-    found = folded.join(best, "id").select("k", "g", base_id, "similarity")
-    return asked.join(found, ["k", "g"]).select(F.col("id").alias(query_id), base_id, "similarity")
+    found = folded.join(best, "id").select("k", "g", "_near", "similarity")
+    return asked.join(found, ["k", "g"]).select(F.col("id").alias(query_id), F.col("_near").alias(base_id), "similarity")
 
 
 def match_or_new(beliefs: DataFrame, nearest: DataFrame) -> DataFrame:
