@@ -12,10 +12,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.window import WindowSpec
 
 from claimweave.session import durable
 
-_AGG = {"sum": F.sum, "max": F.max, "min": F.min}
+_AGG = {"sum": F.sum, "max": F.max, "min": F.min, "later_min": F.min}
 
 
 def _merge(kind: str, local: Column, carry: Column) -> Column:
@@ -37,19 +38,31 @@ def running(
     """Add running sums, maxima or minima.
 
     ``chunk`` must never fall as the order rises.  ``outputs`` maps a new column
-    to (``sum`` | ``max`` | ``min``, expression).
+    to (``sum`` | ``max`` | ``min`` | ``later_min``, expression); the last is the least value
+    of the rows that follow.
     """
     rows = df.withColumn("_chunk", chunk)
     part = [*keys, "_chunk"]
-    near = W.partitionBy(*part).orderBy(*order).rowsBetween(W.unboundedPreceding, 0 if inclusive else -1)
-    far = W.partitionBy(*keys).orderBy("_chunk").rowsBetween(W.unboundedPreceding, -1)
+
+    def frames(kind: str) -> tuple[WindowSpec, WindowSpec]:
+        def along(column: str) -> Column:
+            return F.col(column).desc() if kind == "later_min" else F.col(column).asc()
+
+        near = W.partitionBy(*part).orderBy(*[along(o) for o in order])
+        far = W.partitionBy(*keys).orderBy(along("_chunk"))
+        return (
+            near.rowsBetween(W.unboundedPreceding, 0 if inclusive else -1),
+            far.rowsBetween(W.unboundedPreceding, -1),
+        )
 
     totals = rows.groupBy(*part).agg(*[_AGG[kind](e).alias(f"_t_{name}") for name, (kind, e) in outputs.items()])
     carried = totals.select(
         *[F.col(k).alias(f"_k_{k}") for k in part],
-        *[_AGG[kind](f"_t_{name}").over(far).alias(f"_c_{name}") for name, (kind, _) in outputs.items()],
+        *[_AGG[kind](f"_t_{name}").over(frames(kind)[1]).alias(f"_c_{name}") for name, (kind, _) in outputs.items()],
+    )
+    scanned = rows.select(
+        "*", *[_AGG[kind](e).over(frames(kind)[0]).alias(f"_n_{name}") for name, (kind, e) in outputs.items()]
     )
-    scanned = rows.select("*", *[_AGG[kind](e).over(near).alias(f"_n_{name}") for name, (kind, e) in outputs.items()])
     same = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in part]
     return scanned.join(carried, same, "left").select(
         *df.columns,

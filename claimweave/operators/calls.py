@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from claimweave.functions.ordered import running
-from claimweave.functions.settle import settled
 from claimweave.params import DEFAULT, Params
 
 
@@ -75,53 +74,42 @@ def budget_audit(
 ) -> DataFrame:
     """For each call: earlier calls and tokens in the trailing window, limits passed, wait due.
 
-    A call counts from its own instant until one window length later, so it is
-    added at the first and taken off just after the second, and the window's content is
-    a running sum over both kinds of events.  Running sums come in chunks of time, so
-    that a caller with very many calls is spread over many tasks.  The oldest call of
-    a window is found by its number.  ``tokens`` may be an estimate in place of the
-    logged column.
+    A call counts from its own instant until one window length later, so it comes
+    at the first and goes just after the second, and the window's content is
+    a running sum over both kinds of events.  The oldest call of a window is the one
+    that goes next, so the same scan finds it from the other end.  Running values come in
+    chunks of time, so that a caller with very many calls is spread over many tasks.
+    ``tokens`` may be an estimate in place of the logged column.
     """
     span = params.budget_window_s * 1_000_000
     log = log if tokens is None else log.withColumn("tokens", tokens)
-    calls = log.select(key, "call_id", "ts", "tokens", F.unix_micros("ts").alias("_us"))
-    comes = calls.withColumns({"_at": F.col("_us"), "_sign": F.lit(1)})
-    goes = calls.withColumns({"_at": F.col("_us") + span, "_sign": F.lit(-1)})
-    some = F.when(F.col("tokens") > 0, 1).otherwise(0)
-    new = F.when(F.col("_sign") > 0, 1).otherwise(0)
-    events = comes.unionByName(goes).withColumn("_last", F.col("_sign") < 0)
-    sums = {
-        "prior_requests": ("sum", F.col("_sign").cast("bigint")),
-        "prior_tokens": ("sum", F.col("_sign") * F.col("tokens")),
-        "_prior_some": ("sum", (F.col("_sign") * some).cast("bigint")),
-        "_no": ("sum", new.cast("bigint")),
-        "_some_no": ("sum", (new * some).cast("bigint")),
+    us = F.unix_micros("ts")
+    both = F.array(
+        F.struct(us.alias("_at"), F.lit(False).alias("_last")), F.struct((us + span).alias("_at"), F.lit(True).alias("_last"))
+    )
+    events = log.select(key, "call_id", "ts", "tokens", F.inline(both))
+    some = F.col("tokens") > 0
+    sign = F.when(F.col("_last"), F.lit(-1)).otherwise(1)
+    values = {
+        "prior_requests": ("sum", sign.cast("bigint")),
+        "prior_tokens": ("sum", sign * F.col("tokens")),
+        "_next": ("later_min", F.when(F.col("_last"), F.col("_at"))),
+        "_next_some": ("later_min", F.when(F.col("_last") & some, F.col("_at"))),
     }
     chunk = F.floor(F.col("_at") * 16 / span).cast("bigint")
     # calls of one instant count in the order of their ids; a call leaves after all calls of an instant
-    counted = running(events, [key], ["_at", "_last", "call_id"], chunk, sums, inclusive=False).filter("_sign > 0")
+    rows = running(events, [key], ["_at", "_last", "call_id"], chunk, values, inclusive=False).filter(~F.col("_last"))
     over_requests = F.col("prior_requests") >= params.budget_requests
-    over_tokens = (F.col("tokens") > 0) & (F.col("prior_tokens") + F.col("tokens") > params.budget_tokens)
-    judged = settled(
-        counted,
-        {
-            "over_requests": over_requests,
-            "over_tokens": over_tokens,
-            "_oldest": F.when(over_requests, F.col("_no") - F.col("prior_requests")),
-            "_oldest_some": F.when(over_tokens, F.col("_some_no") - F.col("_prior_some")),
-        },
-    )
-    first = counted.select(key, F.col("_no").alias("_oldest"), F.col("_us").alias("_first"))
-    first_some = counted.filter("tokens > 0").select(key, F.col("_some_no").alias("_oldest_some"), F.col("_us").alias("_first_some"))
-    rows = judged.join(first, [key, "_oldest"], "left").join(first_some, [key, "_oldest_some"], "left")
+    over_tokens = some & (F.col("prior_tokens") + F.col("tokens") > params.budget_tokens)
 
-    def due(first: Column) -> Column:
+    def due(over: Column, goes: Column) -> Column:
         # A tenth of a second is added to every wait.
-        return F.coalesce(params.budget_window_s - (F.col("_us") - first) / 1e6 + 0.1, F.lit(0.0))
+        return F.when(F.coalesce(over, F.lit(False)), (goes - F.col("_at")) / 1e6 + 0.1).otherwise(F.lit(0.0))
 
     return rows.select(
-        key, "call_id", "ts", "tokens", "prior_requests", "prior_tokens", "over_requests", "over_tokens",
-        F.greatest(due(F.col("_first")), due(F.col("_first_some"))).alias("wait_s"),
+        key, "call_id", "ts", "tokens", "prior_requests", "prior_tokens",
+        over_requests.alias("over_requests"), over_tokens.alias("over_tokens"),
+        F.greatest(due(over_requests, F.col("_next")), due(over_tokens, F.col("_next_some"))).alias("wait_s"),
     )
 
 

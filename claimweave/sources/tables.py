@@ -10,6 +10,7 @@ carries; they never choose which rows are read.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from claimweave import fixed
@@ -134,23 +135,18 @@ def calls(events: DataFrame) -> DataFrame:
             ),
         ).alias("error"),
     )
-    day = F.col("ts").cast("date")
-    order = ["ts", "call_id"]
-    log = running(
-        log, ["caller"], order, day,
-        {"_n": ("sum", F.lit(1).cast("bigint"))},
-    )
     ends = F.col("success") | F.coalesce(F.col("error") == "bad request", F.lit(False))
     log = running(
-        log, ["caller"], order, day,
-        {"_done": ("sum", ends.cast("bigint")), "_at": ("max", F.when(ends, F.col("_n")))},
+        log, ["caller"], ["ts", "call_id"], F.col("ts").cast("date"),
+        {"_n": ("sum", F.lit(1).cast("bigint")), "_done": ("sum", ends.cast("bigint"))},
         inclusive=False,
     )
-    position = F.col("_n") - F.coalesce("_at", F.lit(0)) - 1
-    return log.withColumn(
+    # one run of failures, up to the call that ends it, is a group
+    position = F.col("_n") - F.min("_n").over(W.partitionBy("caller", "_done"))
+    return log.withColumn("_at", position).withColumn(
         "item_id",
-        F.concat_ws("-", F.col("caller").cast("string"), F.col("_done").cast("string"), F.floor(position / 4).cast("string")),
-    ).withColumn("attempt", (position % 4 + 1).cast("int")).drop("_n", "_done", "_at")
+        F.concat_ws("-", F.col("caller").cast("string"), F.col("_done").cast("string"), F.floor(F.col("_at") / 4).cast("string")),
+    ).withColumn("attempt", (F.col("_at") % 4 + 1).cast("int")).drop("_n", "_done", "_at")
 
 
 def vectors_with_copies(embeddings: DataFrame) -> DataFrame:
