@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -81,15 +83,15 @@ def cached_embeddings(ids: DataFrame, cache: DataFrame, made: DataFrame) -> Data
     )
 
 
-def merge_canonicals(current: DataFrame, new: DataFrame) -> DataFrame:
-    """Fold the summaries of new canonicals into the stored ones.
+def merge_canonicals(*parts: DataFrame) -> DataFrame:
+    """Fold summaries of canonicals, the stored ones first, into one row for each.
 
-    Both carry canonical_id, canonical_text, mentions, first_seq, first_seen_episode,
-    last_seq, last_seen_episode.  A union and one aggregate do what a full outer
-    join would, and combine before the shuffle.  The stored text is kept.
+    All carry canonical_id, canonical_text, mentions, first_seq, first_seen_episode,
+    last_seq, last_seen_episode.  A union and one aggregate do what full outer
+    joins would, and combine before the shuffle.  The text stored first is kept.
     """
-    both = current.withColumn("_gen", F.lit(0)).unionByName(new.withColumn("_gen", F.lit(1)))
-    return both.groupBy("canonical_id").agg(
+    rows = [part.withColumn("_gen", F.lit(i)) for i, part in enumerate(parts)]
+    return reduce(DataFrame.unionByName, rows).groupBy("canonical_id").agg(
         F.min_by("canonical_text", F.struct("_gen", "canonical_text")).alias("canonical_text"),
         F.sum("mentions").alias("mentions"),
         F.min("first_seq").alias("first_seq"),
@@ -99,6 +101,23 @@ def merge_canonicals(current: DataFrame, new: DataFrame) -> DataFrame:
     )
 
 
+def merge_tables(parts: list[dict[str, DataFrame]]) -> dict[str, DataFrame]:
+    """One registry out of parts, the oldest first: a base and what later batches add to it."""
+    if len(parts) == 1:
+        return parts[0]
+
+    def all_of(name: str) -> DataFrame:
+        return reduce(DataFrame.unionByName, [part[name] for part in parts])
+
+    return {
+        "canonical": merge_canonicals(*[part["canonical"] for part in parts]),
+        "member": all_of("member"),
+        "alias": latest(all_of("alias"), ["alias_text"], "seq"),
+        "history": append_history(parts[0]["history"].limit(0), all_of("history")),
+        "embedding": all_of("embedding"),
+    }
+
+
 def merge_members(current: DataFrame, new: DataFrame) -> DataFrame:
     """Members are keyed by belief id, so merging twice changes nothing."""
     return current.unionByName(new).dropDuplicates(["canonical_id", "belief_id"])

@@ -9,31 +9,37 @@ from pyspark.sql.streaming import StreamingQuery
 from claimweave.functions.text import norm_tokens
 from claimweave.operators import canonical, registry, similar
 from claimweave.params import DEFAULT, Params
+from claimweave.session import durable
 from claimweave.sources import snapshots, stores
 
 
-def merge_batch(tables: dict[str, DataFrame], mentions: DataFrame) -> dict[str, DataFrame]:
-    """Registry after adding mentions (see ``canonical.mentions``).
+def added(tables: dict[str, DataFrame], mentions: DataFrame) -> dict[str, DataFrame]:
+    """What mentions (see ``canonical.mentions``) add to a registry, as tables of their own.
 
     Beliefs already stored are left out first, so a replayed batch adds nothing.
     The sequence of aliases and history is the episode number.
     """
-    fresh = mentions.join(tables["member"].select("canonical_id", "belief_id"), ["canonical_id", "belief_id"], "left_anti")
+    stored = tables["member"].select("canonical_id", "belief_id")
+    fresh = durable(mentions.join(stored, ["canonical_id", "belief_id"], "left_anti"))
     summary = canonical.summaries(fresh).drop("norm_text")
     names = registry.alias_rows(
         fresh.select(F.col("belief_text"), "canonical_id", "episode_seq"), "belief_text", F.col("episode_seq")
     )
+    seen = fresh.select("canonical_id", "episode_id", F.col("episode_seq").alias("seq"))
     return {
-        "canonical": registry.merge_canonicals(tables["canonical"], summary),
-        "member": tables["member"].unionByName(canonical.members(fresh)),
-        "alias": registry.upsert_aliases(tables["alias"], names),
-        "history": registry.append_history(
-            tables["history"], fresh.select("canonical_id", "episode_id", F.col("episode_seq").alias("seq"))
-        ),
-        "embedding": tables["embedding"].unionByName(embeddings(summary, tables["embedding"])),
+        "canonical": summary.select(tables["canonical"].columns),
+        "member": canonical.members(fresh),
+        "alias": registry.latest(names, ["alias_text"], "seq"),
+        "history": registry.append_history(seen.limit(0), seen),
+        "embedding": embeddings(summary, tables["embedding"]),
     }
 
 
+def merge_batch(tables: dict[str, DataFrame], mentions: DataFrame) -> dict[str, DataFrame]:
+    """Registry after adding mentions."""
+    return registry.merge_tables([tables, added(tables, mentions)])
+
+
 def rebuild(spark: SparkSession, folder: str, phases: str) -> int | None:
     """A new registry version made from the stored beliefs of all episodes alone; None if none are stored.
 
@@ -56,15 +62,12 @@ def embeddings(summary: DataFrame, stored: DataFrame, params: Params = DEFAULT)
 
 def write_batch(batch: DataFrame, batch_id: int, folder: str, stream: str) -> None:
     spark = batch.sparkSession
-    if stores.has_batch(spark, folder, stream, batch_id):
-        return
-    before = stores.registry_version(spark, folder)
-    tables = stores.load_registry(spark, folder, before)
-    stores.save_registry(merge_batch(tables, batch), folder, 0 if before is None else before + 1, stream, batch_id)
+    if not stores.has_batch(spark, folder, stream, batch_id):
+        stores.add_to_registry(spark, added(stores.load_registry(spark, folder), batch), folder, stream, batch_id)
 
 
 def registry_stream(mentions: DataFrame, folder: str, checkpoint: str, params: Params = DEFAULT) -> StreamingQuery:
-    """Merge each micro-batch into a new registry version on top of the newest one.
+    """Add each micro-batch to the newest registry version: what is written follows the batch, not the registry.
 
     Whatever is stored stays: a registry saved by a batch job, or by another stream
     with a checkpoint of its own, is built on.  The pointer of a version names the

@@ -135,6 +135,26 @@ def test_registry_merge_is_idempotent_and_half_versions_are_unseen(spark, folder
     assert stores.load_registry(spark, folder + "/nothing")["alias"].count() == 0
 
 
+def test_what_a_batch_writes_follows_the_batch(spark, folder):
+    """Parts shrink by half at least, together they are the registry of one merge, and replays add nothing."""
+    rows = [(f"b{i}", f"u{i}", f"T{i % 9}", "q", "t", f"c{i % 9}", f"e{i // 4}", i // 4, "S") for i in range(76)]
+    batches = [rows[:64], *[rows[i : i + 4] for i in range(64, 76, 4)]]
+    for i, batch in enumerate(batches):
+        registry_stream.write_batch(spark.createDataFrame(batch, MENTIONS), i, folder, "one")
+        version = stores.registry_version(spark, folder)
+        sizes = [size for _, size in stores.registry_parts(spark, folder, version)]
+        assert all(a > 2 * b for a, b in zip(sizes, sizes[1:])) and sizes[0] == 64 and sum(sizes) == 64 + 4 * i
+        written = [spark.read.parquet(f"{folder}/version={version}/{name}").count() for name in stores.REGISTRY]
+        assert i == 0 or max(written) <= 20
+    registry_stream.write_batch(spark.createDataFrame(batches[2], MENTIONS), 2, folder, "one")
+    assert stores.registry_version(spark, folder) == version
+    registry_stream.write_batch(spark.createDataFrame(batches[2], MENTIONS), 0, folder, "two")
+    got = stores.load_registry(spark, folder)
+    want = registry_stream.merge_batch(stores.empty_registry(spark), spark.createDataFrame(rows, MENTIONS))
+    for name in want:
+        assert sorted(map(str, got[name].collect())) == sorted(map(str, want[name].select(got[name].columns).collect())), name
+
+
 def test_registry_lookups(spark):
     alias = spark.createDataFrame([("x", "c1", 1)], "alias_text string, canonical_id string, seq bigint")
     newer = registry.upsert_aliases(alias, spark.createDataFrame([("x", "c2", 2), ("y", "c3", 0)], alias.schema))
