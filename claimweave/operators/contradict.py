@@ -93,9 +93,43 @@ def episode_lists(places: DataFrame, params: Params = DEFAULT) -> DataFrame:
     return pages(keyed, ["contradiction_id"], "_at", params.page_size, {"episode_ids": F.col("episode_id")})
 
 
-def counts_by_type(found: DataFrame) -> DataFrame:
-    return found.groupBy("type").agg(
-        F.count(F.lit(1)).alias("contradictions"), F.count_if("is_reversal").alias("reversals")
+def pair_counts(pairs: DataFrame, mentions: DataFrame) -> DataFrame:
+    """One row per pair of claims: its speakers on either side, and its contradictions counted by type.
+
+    Counts ``contradictions`` without listing them.  Two claims with m and n holders
+    contradict m * n times; within a speaker as often as one holds both, and for that
+    the holders of the side that has fewer are looked up among those of the other.
+    """
+    held = stances(mentions)
+    sizes = held.groupBy("canonical_id").agg(F.count(F.lit(1)).alias("n"))
+    sized = pairs.join(sizes.toDF("a", "speakers_a"), "a").join(sizes.toDF("b", "speakers_b"), "b")
+    least = F.when(F.col("speakers_a") <= F.col("speakers_b"), F.struct(F.col("a").alias("few"), F.col("b").alias("many")))
+    asked = sized.select("a", "b", F.inline(F.array(least.otherwise(F.struct(F.col("b").alias("few"), F.col("a").alias("many"))))))
+    few = asked.join(held.toDF("few", "speaker", "few_first", "few_last"), "few")
+    both = few.join(held.toDF("many", "speaker", "many_first", "many_last"), ["many", "speaker"])
+    differ = F.least("few_first", "many_first") != F.greatest("few_last", "many_last")
+    within = both.groupBy("a", "b").agg(F.count(F.lit(1)).alias("_within"), F.count_if(differ).alias("_reversals"))
+    n = F.coalesce("_within", F.lit(0))
+    return sized.join(within, ["a", "b"], "left").select(
+        F.col("a").alias("belief_a_id"),
+        F.col("b").alias("belief_b_id"),
+        F.col("score").alias("opposition_score"),
+        "speakers_a",
+        "speakers_b",
+        n.alias("within_speaker"),
+        (F.col("speakers_a") * F.col("speakers_b") - n).alias("cross_speaker"),
+        F.coalesce("_reversals", F.lit(0)).alias("reversals"),
+    )
+
+
+def counts_by_type(counted: DataFrame) -> DataFrame:
+    """From ``pair_counts``; a type that does not occur has no row."""
+    kinds = F.array(
+        F.struct(F.lit("within_speaker").alias("type"), F.col("within_speaker").alias("n"), F.col("reversals").alias("r")),
+        F.struct(F.lit("cross_speaker").alias("type"), F.col("cross_speaker").alias("n"), F.lit(0).cast("bigint").alias("r")),
+    )
+    return counted.select(F.inline(kinds)).filter("n > 0").groupBy("type").agg(
+        F.sum("n").alias("contradictions"), F.sum("r").alias("reversals")
     )
 
 
@@ -105,8 +139,23 @@ def counts_by_speakers(found: DataFrame) -> DataFrame:
     ).agg(F.count(F.lit(1)).alias("contradictions"))
 
 
-def counts_by_episode(places: DataFrame) -> DataFrame:
-    return places.groupBy("episode_id").agg(F.count(F.lit(1)).alias("contradictions"))
+def counts_by_episode(counted: DataFrame, mentions: DataFrame) -> DataFrame:
+    """Contradictions of which either side is held in the episode, from ``pair_counts`` and without listing them.
+
+    With x of the m speakers of one side and y of the n of the other heard in an
+    episode, these are x * n + m * y - x * y.
+    """
+    heard = mentions.groupBy("canonical_id", "episode_id").agg(F.count_distinct("speaker").alias("heard"))
+    ends = F.array(
+        F.struct(F.col("belief_a_id").alias("canonical_id"), F.lit(1).alias("_a"), F.lit(0).alias("_b")),
+        F.struct(F.col("belief_b_id").alias("canonical_id"), F.lit(0).alias("_a"), F.lit(1).alias("_b")),
+    )
+    pair = ["belief_a_id", "belief_b_id", "speakers_a", "speakers_b"]
+    there = counted.select(*pair, F.inline(ends)).join(heard, "canonical_id").groupBy(*pair, "episode_id").agg(
+        F.sum(F.col("heard") * F.col("_a")).alias("x"), F.sum(F.col("heard") * F.col("_b")).alias("y")
+    )
+    n = F.col("x") * F.col("speakers_b") + F.col("speakers_a") * F.col("y") - F.col("x") * F.col("y")
+    return there.groupBy("episode_id").agg(F.sum(n).alias("contradictions"))
 
 
 def compare_speakers(mentions: DataFrame, requests: DataFrame) -> DataFrame:

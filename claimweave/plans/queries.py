@@ -1135,6 +1135,16 @@ def j4_j5_contradictions(t: Inputs) -> DataFrame:
     return t.kept.contradictions.withColumn("opposition_score", r6("opposition_score"))
 
 
+def _pair_counts(c: Conversations) -> DataFrame:
+    return contradict.pair_counts(contradict.certain(c.opposed, PARAMS), c.mentions)
+
+
+@query
+def j4_pair_counts(t: Inputs) -> DataFrame:
+    """One row per pair of claims that oppose each other, however many speakers hold them."""
+    return _pair_counts(t.kept).withColumn("opposition_score", r6("opposition_score"))
+
+
 @query
 def j4_episode_lists(t: Inputs) -> DataFrame:
     c = t.kept
@@ -1158,7 +1168,7 @@ def j6_verified(t: Inputs) -> DataFrame:
 
 @query
 def j7_counts_by_type(t: Inputs) -> DataFrame:
-    return contradict.counts_by_type(t.kept.contradictions)
+    return contradict.counts_by_type(_pair_counts(t.kept))
 
 
 @query
@@ -1169,7 +1179,7 @@ def j7_counts_by_speakers(t: Inputs) -> DataFrame:
 @query
 def j7_counts_by_episode(t: Inputs) -> DataFrame:
     c = t.kept
-    return contradict.counts_by_episode(contradict.where_held(c.contradictions, c.mentions))
+    return contradict.counts_by_episode(_pair_counts(c), c.mentions)
 
 
 @query
@@ -1386,9 +1396,16 @@ def m3_streamed_minutes(t: Inputs) -> DataFrame:
 
 @query
 def m4_streamed_alarm(t: Inputs) -> DataFrame:
-    """Calls over budget, found with state per caller."""
-    folder = t.scratch()
-    rows = call_streams.budget_alarm(_simple_calls(_event_stream(t)), PARAMS)
+    """Calls over budget, found with state per caller and slice of time in five micro-batches, one for each stretch of time."""
+    folder, events = t.scratch(), t.table("events")
+    at = F.unix_micros(F.col("ts").cast("timestamp"))
+    cuts = events.agg(F.percentile_approx(at, [0.2, 0.4, 0.6, 0.8])).first()[0] or []
+    bounds = [None, *sorted(set(cuts)), None]
+    for low, high in zip(bounds, bounds[1:]):  # files of a stream come in the order they were written
+        above = F.lit(True) if low is None else at > low
+        events.filter(above & (F.lit(True) if high is None else at <= high)).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+    stream = t.spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
+    rows = call_streams.budget_alarm(_simple_calls(stream), PARAMS)
     run = rows.writeStream.format("parquet").option("path", f"{folder}/out").option(
         "checkpointLocation", f"{folder}/state"
     ).trigger(availableNow=True).start()

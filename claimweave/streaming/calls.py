@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,64 +26,69 @@ ALARM = (
     "caller bigint, call_id bigint, ts timestamp, prior_requests bigint, prior_tokens bigint, "
     "over_requests boolean, over_tokens boolean"
 )
+SLICE_WINDOWS = 4  # window lengths in one slice of time
 _STATE = "us array<bigint>, ids array<bigint>, tokens array<bigint>"
 
 
 def budget_alarm(log: DataFrame, params: Params = DEFAULT, late: str = "2 minutes") -> DataFrame:
     """Calls that pass a budget, each judged by the calls of its caller in the trailing window.
 
-    The state of a caller is its calls of the last window and of the time that a call
-    may be late, so a late call meets the window it belongs to (calls judged before
-    it came stay as they were judged).  An idle caller is evicted once the watermark
-    has passed the end of what its calls can matter to.
+    Time is cut into slices of a few window lengths.  A call is judged in its own slice and,
+    in the last window length of it, told to the next, whose windows reach back to it.  So a
+    slice needs no other one: the state is keyed by caller and slice, and the calls of a busy
+    caller are dealt to as many keys as they cover slices.  A late call meets the slice it
+    belongs to (calls judged before it came stay as they were judged).  A slice is evicted once
+    the watermark has passed its end; calls behind the watermark, or without a time, are left out.
     """
     span = params.budget_window_s * 1_000_000
-    kept = span + int(pd.Timedelta(late).total_seconds() * 1_000_000)
+    length = SLICE_WINDOWS * span
+    at, next_at = F.unix_micros("ts"), F.unix_micros("ts") + span
+    own, told = (F.floor(x / length).cast("bigint") for x in (at, next_at))
+    here = F.struct(own.alias("slice"), F.lit(True).alias("own"))
+    slices = F.when(own == told, F.array(here)).otherwise(F.array(here, F.struct(told.alias("slice"), F.lit(False).alias("own"))))
 
     def judge(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
             state.remove()
             return
-        past = pd.DataFrame(dict(zip(("us", "ids", "tokens"), state.get))) if state.exists else None
-        new = pd.concat(list(frames))
-        new = pd.DataFrame(
-            {
-                "us": new["ts"].astype("datetime64[us]").astype("int64"),
-                "ids": new["call_id"],
-                "tokens": new["tokens"],
-                "ts": new["ts"],
-                "new": True,
-            }
-        )
-        rows = new if past is None else pd.concat([past.assign(new=False, ts=pd.NaT), new])
-        rows = rows.sort_values(["us", "ids"], ignore_index=True)
-        first = rows["us"].searchsorted(rows["us"] - span, side="left")
-        total = rows["tokens"].cumsum()
-        place = pd.Series(range(len(rows)))
-        before = total - rows["tokens"]
-        rows["prior_requests"] = place - first
-        rows["prior_tokens"] = before - before.to_numpy()[first]
-        rows["over_requests"] = rows["prior_requests"] >= params.budget_requests
-        rows["over_tokens"] = (rows["tokens"] > 0) & (rows["prior_tokens"] + rows["tokens"] > params.budget_tokens)
-        keep = rows[rows["us"] >= rows["us"].iloc[-1] - kept]
-        state.update((keep["us"].tolist(), keep["ids"].tolist(), keep["tokens"].tolist()))
-        ends = int(rows["us"].iloc[-1] + kept) // 1000
+        behind = pd.Timestamp(max(state.getCurrentWatermarkMs(), 0), unit="ms")
+        come = [f[f["ts"] > behind] for f in frames]
+        if not state.exists and not any(map(len, come)):
+            return
+        us, ids, tokens = (np.array(x, np.int64) for x in (state.get if state.exists else ((), (), ())))
+        judged = np.concatenate([np.zeros(len(us), bool), *[f["own"] for f in come]]).astype(bool)
+        us = np.concatenate([us, *[f["ts"].to_numpy("datetime64[us]").astype(np.int64) for f in come]])
+        ids = np.concatenate([ids, *[f["call_id"] for f in come]])
+        tokens = np.concatenate([tokens, *[f["tokens"] for f in come]])
+        order = np.lexsort((ids, us))
+        us, ids, tokens, judged = us[order], ids[order], tokens[order], judged[order]
+        state.update((us.tolist(), ids.tolist(), tokens.tolist()))
+        ends = (int(key[1]) + 1) * length // 1000
         state.setTimeoutTimestamp(max(ends, state.getCurrentWatermarkMs() + 1))
-        out = rows[rows["new"].astype(bool) & (rows["over_requests"] | rows["over_tokens"])]
-        yield pd.DataFrame(
-            {
-                "caller": key[0],
-                "call_id": out["ids"],
-                "ts": pd.to_datetime(out["us"], unit="us"),
-                "prior_requests": out["prior_requests"],
-                "prior_tokens": out["prior_tokens"],
-                "over_requests": out["over_requests"],
-                "over_tokens": out["over_tokens"],
-            }
-        )
+        at = np.flatnonzero(judged)
+        first = us.searchsorted(us[at] - span, side="left")
+        before = np.cumsum(tokens) - tokens
+        requests, spent = at - first, before[at] - before[first]
+        over_requests = requests >= params.budget_requests
+        over_tokens = (tokens[at] > 0) & (spent + tokens[at] > params.budget_tokens)
+        out = over_requests | over_tokens
+        if out.any():
+            yield pd.DataFrame(
+                {
+                    "caller": key[0],
+                    "call_id": ids[at][out],
+                    "ts": us[at][out].astype("datetime64[us]"),
+                    "prior_requests": requests[out],
+                    "prior_tokens": spent[out],
+                    "over_requests": over_requests[out],
+                    "over_tokens": over_tokens[out],
+                }
+            )
 
     return (
         log.withWatermark("ts", late)
-        .groupBy("caller")
+        .filter(F.col("ts").isNotNull())
+        .select("caller", "call_id", "ts", "tokens", F.inline(slices))
+        .groupBy("caller", "slice")
         .applyInPandasWithState(judge, ALARM, _STATE, "append", GroupStateTimeout.EventTimeTimeout)
     )

@@ -678,6 +678,11 @@ FROM (SELECT o.a, o.b, o.score, x.speaker AS spk_a, y.speaker AS spk_b, bool_or(
  FROM opposed o JOIN mentions x ON x.canonical_id = o.a JOIN mentions y ON y.canonical_id = o.b WHERE o.score >= 0.7 GROUP BY 1, 2, 3, 4, 5)
 """)
 oracle("j4_j5_contradictions", "found", "SELECT * REPLACE (round(opposition_score,6) AS opposition_score) FROM found")
+oracle("j4_pair_counts", "found", """
+SELECT belief_a_id, belief_b_id, round(any_value(opposition_score),6) AS opposition_score, count(DISTINCT speaker_a) AS speakers_a, count(DISTINCT speaker_b) AS speakers_b,
+ count(*) FILTER (type = 'within_speaker') AS within_speaker, count(*) FILTER (type = 'cross_speaker') AS cross_speaker, count(*) FILTER (is_reversal) AS reversals
+FROM found GROUP BY 1, 2
+""")
 cte("held", "found mentions", """
 SELECT contradiction_id, episode_id FROM found JOIN mentions ON canonical_id = belief_a_id AND speaker = speaker_a
 UNION SELECT contradiction_id, episode_id FROM found JOIN mentions ON canonical_id = belief_b_id AND speaker = speaker_b

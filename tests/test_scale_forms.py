@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from claimweave.functions import ordered
 from claimweave.operators import cells, cluster, contradict, groups, matrix, similar
 from claimweave.params import Params
+from claimweave.streaming import calls as call_streams
 
 
 def test_chunked_running_values_equal_plain_windows(spark):
@@ -18,11 +19,12 @@ def test_chunked_running_values_equal_plain_windows(spark):
         F.when(F.col("id") % 3 < 2, "hot").otherwise((F.col("id") % 7).cast("string")).alias("k"), F.col("id").alias("o"),
         F.when(F.col("id") % 5 == 0, F.col("id") % 11).alias("x"),
     )
-    spec = {"n": ("sum", F.lit(1)), "top": ("max", F.col("x")), "low": ("min", F.col("x"))}
+    spec = {"n": ("sum", F.lit(1)), "top": ("max", F.col("x")), "low": ("min", F.col("x")), "next": ("later_min", F.col("x"))}
     for inclusive in (True, False):
         w = W.partitionBy("k").orderBy("o").rowsBetween(W.unboundedPreceding, 0 if inclusive else -1)
+        rest = W.partitionBy("k").orderBy("o").rowsBetween(0 if inclusive else 1, W.unboundedFollowing)
         got = ordered.running(df, ["k"], ["o"], ordered.blocks("o", 64), spec, inclusive)
-        want = df.select("k", "o", "x", F.coalesce(F.sum(F.lit(1)).over(w), F.lit(0)).alias("n"), F.max("x").over(w).alias("top"), F.min("x").over(w).alias("low"))
+        want = df.select("k", "o", "x", F.coalesce(F.sum(F.lit(1)).over(w), F.lit(0)).alias("n"), F.max("x").over(w).alias("top"), F.min("x").over(w).alias("low"), F.min("x").over(rest).alias("next"))
         assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr)
 
 
@@ -269,3 +271,64 @@ def test_overlaps_of_speakers_equal_sets(spark, monkeypatch, heavy):
     assert got == want
     few = contradict.compare_speakers(df, spark.createDataFrame(list(want)[:9], "speaker_1 string, speaker_2 string")).collect()
     assert {(x["speaker_1"], x["speaker_2"]): (x["shared"], x["only_1"], x["only_2"]) for x in few} == {k: want[k] for k in list(want)[:9]}
+
+
+def test_many_speakers_on_both_sides_are_one_row(spark):
+    """1,000 by 1,000 speakers, 100 of whom hold both claims: counted by pair, without the million contradictions."""
+    sides = spark.range(1000).select(F.lit("a").alias("canonical_id"), F.col("id"), (F.col("id") % 2).alias("episode_seq")).unionByName(
+        spark.range(900, 1900).select(F.lit("b").alias("canonical_id"), F.col("id"), F.lit(0).cast("bigint").alias("episode_seq"))
+    )
+    mentions = sides.select(
+        "canonical_id", F.col("id").cast("string").alias("speaker"), "episode_seq", F.concat(F.lit("e"), "episode_seq").alias("episode_id")
+    )
+    pairs = spark.createDataFrame([("a", "b", 0.9)], "a string, b string, score double")
+    counted = contradict.pair_counts(pairs, mentions)
+    assert list(map(tuple, counted.collect())) == [("a", "b", 0.9, 1000, 1000, 100, 999_900, 50)]
+    by_type = {r["type"]: (r["contradictions"], r["reversals"]) for r in contradict.counts_by_type(counted).collect()}
+    listed = contradict.contradictions(pairs, mentions).groupBy("type").agg(F.count("*").alias("n"), F.count_if("is_reversal").alias("r"))
+    assert by_type == {r["type"]: (r["n"], r["r"]) for r in listed.collect()}
+    by_episode = {r["episode_id"]: r["contradictions"] for r in contradict.counts_by_episode(counted, mentions).collect()}
+    # e0: all of one side and half of the other; e1: half of one side with all of the other
+    assert by_episode == {"e0": 1_000_000, "e1": 500_000}
+
+
+def test_alarm_over_five_batches_with_late_calls_and_eviction(spark, tmp_path):
+    """A call is judged by what has come by then; one behind the watermark is left out, old slices are forgotten."""
+    start, schema = 1_700_000_000, "call_id bigint, caller bigint, ts timestamp, tokens bigint"
+    rng = np.random.default_rng(5)
+    batches, no = [], 0
+    for b in range(5):
+        rows = []
+        for _ in range(60):
+            rows.append((no, 1 if rng.random() < 0.5 else int(rng.integers(2, 6)), start + 300 * b + int(rng.integers(0, 300)), int(rng.integers(0, 9))))
+            no += 1
+        if b:
+            rows += [(no, 1, start + 300 * b - 60, 5), (no + 1, 1, start + 300 * b - 290, 5)]  # late, and too late
+            no += 2
+        batches.append(rows)
+    for rows in batches:
+        spark.createDataFrame(rows, "call_id bigint, caller bigint, s bigint, tokens bigint").select(
+            "call_id", "caller", F.timestamp_seconds("s").alias("ts"), "tokens"
+        ).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    params = Params(budget_window_s=60, budget_requests=5, budget_tokens=30)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    run = call_streams.budget_alarm(stream, params).writeStream.format("parquet").option("path", str(tmp_path / "out")).option(
+        "checkpointLocation", str(tmp_path / "state")
+    ).trigger(availableNow=True).start()
+    run.awaitTermination()
+
+    want, come, newest, slices = [], [], None, set()
+    for rows in batches:
+        rows = [r for r in rows if newest is None or r[2] > newest - 120]
+        come += rows
+        newest = max(r[2] for r in rows)
+        slices |= {(r[1], (r[2] + k) // 240) for r in rows for k in (0, 60)}
+        for i, caller, at, tokens in rows:
+            before = [r for r in come if r[1] == caller and at - 60 <= r[2] and (r[2], r[0]) < (at, i)]
+            spent = sum(r[3] for r in before)
+            if len(before) >= 5 or (tokens > 0 and spent + tokens > 30):
+                want.append((i, len(before), spent))
+    got = spark.read.parquet(str(tmp_path / "out")).select("call_id", "prior_requests", "prior_tokens").collect()
+    assert len(want) > 20 and sorted(map(tuple, got)) == sorted(want)
+    left = run.lastProgress["stateOperators"][0]["numRowsTotal"]
+    assert left <= sum((s + 1) * 240 >= newest - 120 for _, s in slices) < len(slices) / 2
