@@ -369,6 +369,58 @@ def b6_result_contracts(t: Inputs) -> DataFrame:
     return out.agg(F.count(F.lit(1)).alias("violations"))
 
 
+@query
+def b6_broken_records(t: Inputs) -> DataFrame:
+    """Records of every result entity made from all documents, each rule broken in some of them: violations by rule."""
+    rows = t.table("documents").select(F.col("doc_id").alias("id"))
+
+    def unless(every: int, rest: int, good: object, bad: object) -> Column:
+        def value(x: object) -> Column:
+            return x if isinstance(x, Column) else F.lit(x)
+
+        return F.when(F.col("id") % every == rest, value(bad)).otherwise(value(good))
+
+    episodes = rows.select(
+        "id", unless(7, 1, F.concat(F.lit("ep_"), F.col("id").cast("string")), "no id!").alias("episode_id"),
+        unless(11, 2, "2024-02-29", "2023-02-29").alias("date"), unless(13, 3, "a/b.txt", "").alias("transcript_path"),
+        unless(17, 4, unless(17, 5, 80.0, None), 101.0).alias("quality_score"), unless(19, 6, "B", "E").alias("quality_grade"),
+    )
+    clusters = rows.select("id", unless(13, 3, F.col("id") % 5 + 1, 0).alias("members")).select(
+        "id", "members", unless(11, 2, F.col("members"), F.col("members") + 1).alias("size"),
+        unless(7, 1, "core", unless(2, 0, "nothing", None)).alias("ontology_level"),
+    )
+    weights = rows.select(
+        "id", unless(7, 1, unless(7, 2, unless(7, 3, 0.5, None), float("nan")), 1.5).alias("conviction_avg"),
+        unless(11, 2, 3, -1).alias("frequency"), unless(13, 3, 1.0, -0.1).alias("stability_score"),
+    )
+    events = rows.select(
+        "id", unless(7, 1, fixed.DRIFT_KINDS[0], "odd").alias("drift_type"), unless(11, 2, 0.0, 2.0).alias("magnitude"),
+        unless(13, 3, F.array(F.lit("a"), F.lit("b")), F.array(F.lit("a"))).alias("episode_range"),
+    )
+    opposed = rows.select(
+        "id", unless(7, 1, 0.9, None).alias("opposition_score"),
+        unless(11, 2, unless(2, 0, "cross_speaker", "within_speaker"), "unlike").alias("type"), unless(13, 3, False, True).alias("is_reversal"),
+    )
+    reports = rows.select(
+        "id", unless(7, 1, 100.0, -1.0).alias("quality_score"), unless(11, 2, "F", None).alias("quality_grade"),
+        unless(13, 3, 0, -1).alias("errors_count"), unless(17, 4, 0, -1).alias("retries_count"),
+        unless(19, 5, 0, -1).alias("malformed_beliefs_count"), unless(23, 6, 0, -1).alias("registry_mismatches_count"),
+        unless(29, 7, 1.5, -0.5).alias("execution_time_seconds"),
+    )
+    found = [
+        contracts.violations(episodes, "episode", "id", contracts.episode_rules()),
+        contracts.violations(clusters, "cluster", "id", contracts.cluster_rules()),
+        contracts.violations(weights, "weight", "id", contracts.weight_rules()),
+        contracts.violations(events, "drift", "id", contracts.drift_rules()),
+        contracts.violations(opposed, "contradiction", "id", contracts.contradiction_rules()),
+        contracts.violations(reports, "report", "id", contracts.report_rules()),
+    ]
+    out = found[0]
+    for more in found[1:]:
+        out = out.unionByName(more)
+    return out.groupBy("entity", "rule").agg(F.count(F.lit(1)).alias("violations"))
+
+
 @query
 def b7_orphans(t: Inputs) -> DataFrame:
     """References that lead nowhere: sentences are no lines, and not every caller is an episode."""

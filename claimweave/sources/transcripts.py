@@ -36,14 +36,21 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     split and the counts of the earlier splits are added.
     """
     check_names(spark, path)
-    lines = spark.read.option("recursiveFileLookup", True).text(path).select(
-        F.col("_metadata.file_path").alias("transcript_path"),
-        F.col("_metadata.file_block_start").alias("_at"),
-        F.monotonically_increasing_id().alias("_in_task"),
-        F.col("value").alias("line"),
-    )
-    return numbered(lines, ["transcript_path"], ["_in_task"], F.col("_at"), "line_no").select(
-        _stem().alias("episode_id"), "transcript_path", "line_no", "line"
+    return number_lines(_lines(spark.read.option("recursiveFileLookup", True).text(path)))
+
+
+def _lines(read: DataFrame) -> DataFrame:
+    """Lines of files with the offset of the split that each was read in."""
+    path = F.col("_metadata.file_path").alias("transcript_path")
+    named = read.select(path, F.col("_metadata.file_block_start").alias("_at"), F.col("value").alias("line"))
+    return named.select(_stem().alias("episode_id"), "*")
+
+
+def number_lines(lines: DataFrame) -> DataFrame:
+    """Number the lines of ``_lines`` by file; not for the plan of a stream, but for its batches."""
+    placed = lines.withColumn("_in_task", F.monotonically_increasing_id())
+    return numbered(placed, ["transcript_path"], ["_in_task"], F.col("_at"), "line_no").select(
+        "episode_id", "transcript_path", "line_no", "line"
     )
 
 
@@ -63,11 +70,9 @@ def read_whole_files(spark: SparkSession, path: str) -> DataFrame:
 
 
 def stream_lines(spark: SparkSession, path: str, files_per_trigger: int = 1000) -> DataFrame:
-    """Newly arriving files as a stream of numbered lines."""
-    files = (
-        spark.readStream.format("text")
-        .option("wholetext", True)
-        .option("maxFilesPerTrigger", files_per_trigger)
-        .load(path)
-    )
-    return explode_files(files.withColumn("transcript_path", F.col("_metadata.file_path")))
+    """Lines of newly arriving files, for ``ingest_stream``.
+
+    A file comes whole in one trigger, but in splits, so that a huge one is read by many
+    tasks; its lines are numbered within the trigger.
+    """
+    return _lines(spark.readStream.format("text").option("maxFilesPerTrigger", files_per_trigger).load(path))

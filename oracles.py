@@ -323,6 +323,20 @@ SELECT 'belief', belief_id, unnest(list_filter([
   CASE WHEN confidence IS NULL OR confidence < 0 OR confidence > 1 THEN 'confidence' END, CASE WHEN len(true_flags) = 0 THEN 'extraction_flags' END], lambda x: x IS NOT NULL)) FROM read
 """)
 oracle("b6_result_contracts", "", "SELECT 0::bigint AS violations")
+oracle("b6_broken_records", "", """
+WITH d AS (SELECT doc_id AS id FROM documents), broken AS (
+ SELECT 'episode' AS entity, unnest([CASE WHEN id%7=1 THEN 'episode_id' END, CASE WHEN id%11=2 THEN 'date' END, CASE WHEN id%13=3 THEN 'transcript_path' END,
+  CASE WHEN id%17=4 THEN 'quality_score' END, CASE WHEN id%19=6 THEN 'quality_grade' END]) AS rule FROM d
+ UNION ALL SELECT 'cluster', unnest([CASE WHEN id%7=1 THEN 'ontology_level' END, CASE WHEN id%11=2 THEN 'size' END, CASE WHEN id%13=3 THEN 'members' END]) FROM d
+ UNION ALL SELECT 'weight', unnest([CASE WHEN id%7 IN (1,2,3) THEN 'conviction_avg' END, CASE WHEN id%11=2 THEN 'frequency' END, CASE WHEN id%13=3 THEN 'stability_score' END]) FROM d
+ UNION ALL SELECT 'drift', unnest([CASE WHEN id%7=1 THEN 'drift_type' END, CASE WHEN id%11=2 THEN 'magnitude' END, CASE WHEN id%13=3 THEN 'episode_range' END]) FROM d
+ UNION ALL SELECT 'contradiction', unnest([CASE WHEN id%7=1 THEN 'opposition_score' END, CASE WHEN id%11=2 THEN 'type' END,
+  CASE WHEN id%13=3 AND (id%11=2 OR id%2=1) THEN 'is_reversal' END]) FROM d
+ UNION ALL SELECT 'report', unnest([CASE WHEN id%7=1 THEN 'quality_score' END, CASE WHEN id%11=2 THEN 'quality_grade' END, CASE WHEN id%13=3 THEN 'errors_count' END,
+  CASE WHEN id%17=4 THEN 'retries_count' END, CASE WHEN id%19=5 THEN 'malformed_beliefs_count' END, CASE WHEN id%23=6 THEN 'registry_mismatches_count' END,
+  CASE WHEN id%29=7 THEN 'execution_time_seconds' END]) FROM d)
+SELECT entity, rule, count(*) AS violations FROM broken WHERE rule IS NOT NULL GROUP BY 1, 2
+""")
 oracle("b7_orphans", "beliefs utts calls episodes", """
 SELECT 'belief-line' AS edge, belief_id AS id, utterance_id AS missing FROM beliefs WHERE utterance_id NOT IN (SELECT utterance_id FROM utts)
 UNION ALL SELECT 'call-episode', call_id::varchar, episode_id FROM calls WHERE episode_id NOT IN (SELECT episode_id FROM episodes)

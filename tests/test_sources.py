@@ -155,6 +155,28 @@ def test_what_a_batch_writes_follows_the_batch(spark, folder):
         assert sorted(map(str, got[name].collect())) == sorted(map(str, want[name].select(got[name].columns).collect())), name
 
 
+def test_a_long_streamed_file_is_read_by_many_tasks(spark, folder):
+    """Splits of 4,000 bytes, one file of several hundred thousand: every line has its number, over two triggers."""
+    Path(folder, "in").mkdir()
+    texts = {"long": [f"S{i % 3} | 00:00:00 | 00:00:01 | word {i}" for i in range(9000)], "short": ["A | 00:00:00 | 00:00:01 | hi"] * 3}
+    for name, lines in texts.items():
+        Path(folder, "in", f"{name}.txt").write_text("\n".join(lines) + "\n")
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        for k, v in zip(kept, ("4000", "1")):
+            spark.conf.set(k, v)
+        assert spark.read.text(f"{folder}/in").rdd.getNumPartitions() > 50
+        lines = transcripts.stream_lines(spark, f"{folder}/in", 1)
+        transcript_stream.ingest_stream(lines, f"{folder}/out", f"{folder}/state").awaitTermination()
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+    rows = spark.read.parquet(f"{folder}/out/utterances").select("episode_id", "line_no", "text", "batch").collect()
+    assert len({r["batch"] for r in rows}) == 2
+    got = {(r["episode_id"], r["line_no"], r["text"]) for r in rows}
+    assert len(rows) == 9003 and got == {(n, i, x.split(" | ")[3]) for n, xs in texts.items() for i, x in enumerate(xs, 1)}
+
+
 def test_registry_lookups(spark):
     alias = spark.createDataFrame([("x", "c1", 1)], "alias_text string, canonical_id string, seq bigint")
     newer = registry.upsert_aliases(alias, spark.createDataFrame([("x", "c2", 2), ("y", "c3", 0)], alias.schema))
