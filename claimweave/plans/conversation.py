@@ -132,18 +132,17 @@ class Conversations:
         return durable(ontology.parents(durable(self.tiers), cluster.centroids(self.membership, self.vectors), self.params))
 
     def save(self, folder: str, run_id: str, ts: str) -> None:
-        """Write the result of each phase as a snapshot, in the order of the phases."""
-        where = self.atomic.select("utterance_id", "episode_id")
-        canonicals = self.mentions.join(self.canonicals.select("canonical_id", "canonical_text"), "canonical_id")
-        first = self.canonicals.select("canonical_id", F.col("first_seen_episode").alias("episode_id"))
+        """Write the result of each phase as a snapshot, before the next phase starts; what breaks off keeps those before it."""
         steps = {
-            "utterances": self.utterances,
-            "beliefs_raw": self.beliefs.join(where, "utterance_id"),
-            "canonical_beliefs": canonicals,
-            "clusters_updated": self.membership.join(first, "canonical_id"),
+            "utterances": lambda: self.utterances,
+            "beliefs_raw": lambda: self.beliefs.join(self.atomic.select("utterance_id", "episode_id"), "utterance_id"),
+            "canonical_beliefs": lambda: self.mentions.join(self.canonicals.select("canonical_id", "canonical_text"), "canonical_id"),
+            "clusters_updated": lambda: self.membership.join(
+                self.canonicals.select("canonical_id", F.col("first_seen_episode").alias("episode_id")), "canonical_id"
+            ),
         }
         for phase in fixed.PHASES:
-            snapshots.save(steps[phase], folder, phase, run_id, ts)
+            snapshots.save(steps[phase](), folder, phase, run_id, ts)
 
     @cached_property
     def cells(self) -> DataFrame:

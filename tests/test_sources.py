@@ -73,6 +73,26 @@ def test_phases_are_saved_and_the_registry_is_rebuilt_from_them(spark, folder):
     assert stores.load_registry(spark, f"{folder}/registry")["canonical"].count() == c.canonicals.count()
 
 
+@pytest.mark.parametrize("phase, kept", [("model", 1), ("clusters", 3)])
+def test_a_run_that_breaks_off_keeps_the_phases_before(spark, folder, monkeypatch, phase, kept):
+    from claimweave.plans import conversation
+    from claimweave.sources import tables
+
+    def breaks(*_):
+        raise InterruptedError
+
+    if phase == "clusters":
+        monkeypatch.setattr(conversation.cluster, "link_clusters", breaks)
+    lines = tables.transcript_lines(tables.table(spark, "/root/testdata/sf0.001", "conversations"))
+    c = conversation.Conversations(lines, breaks if phase == "model" else tables.responses, keep=True)
+    with pytest.raises(InterruptedError):
+        c.save(folder, "one", "2024-01-01")
+    m = snapshots.manifest(spark, folder)
+    assert {r["phase"] for r in m.select("phase").distinct().collect()} == set(fixed.PHASES[:kept])
+    following = {r["next_phase"] for r in snapshots.resume_points(m, c.episodes).collect()}
+    assert fixed.PHASES[kept] in following
+
+
 def test_episodes_are_numbered_without_gaps(spark, folder):
     write_transcripts(folder)
     rows = ingest.number_episodes(transcripts.read_lines(spark, f"{folder}/in")).select("episode_id", "episode_seq").distinct().collect()
