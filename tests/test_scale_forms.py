@@ -217,6 +217,33 @@ def test_opposed_pairs_lose_nothing(spark, at_least):
     assert {(x["a"], x["b"]) for x in got} == want and len(got) == len(want)
 
 
+@pytest.mark.parametrize("at_least", [0.3, 0.5, 0.9])
+def test_opposed_pairs_of_sets_of_all_sizes(spark, at_least):
+    """Sets of 1 to 60 words and parts of them, so that pairs lie in all classes of sizes."""
+    r = random.Random(3)
+    sets = []
+    for n in [1, 2, 2, 3, 4, 6, 7, 8, 9, 10, 11, 14, 20, 26, 34, 45, 60]:
+        words = [f"w{r.randrange(90):02d}" for _ in range(n)]
+        for _ in range(6):
+            sets.append((["not"] if r.random() < 0.5 else []) + [w for w in words if r.random() < r.choice([0.5, 0.8, 1.0])] + [f"w{r.randrange(90)}"])
+    rows = [(f"{i:03d}", " ".join(x)) for i, x in enumerate(sets)]
+    parts = [("not" in x, set(x) - {"not"}) for x in sets]
+    want = {
+        (rows[i][0], rows[j][0]) for i, (p, s) in enumerate(parts) for j, (q, u) in enumerate(parts)
+        if i < j and p != q and round(len(s & u) / len(s | u), 9) >= at_least
+    }
+    got = similar.opposed_pairs(spark.createDataFrame(rows, "canonical_id string, norm_text string"), at_least).collect()
+    assert {(x["a"], x["b"]) for x in got} == want and len(got) == len(want) and want
+
+
+def test_claims_that_share_one_frequent_word_do_not_meet(spark):
+    """Sets of two words must share both for an overlap of a half: no key of theirs is shared by those with one in common."""
+    rows = spark.range(300).select(F.array(F.lit("the"), F.concat(F.lit("w"), F.col("id").cast("string"))).alias("rare"))
+    keys = rows.select(F.explode(similar._meeting_keys(F.col("rare"), 0.5, True)).alias("k"), "rare")
+    twice = keys.groupBy("k").count().filter("count > 1").count()
+    assert twice <= 1  # the one for sets of the frequent word alone
+
+
 def test_components_equal_union_find(spark):
     r = random.Random(2)
     n = 300
