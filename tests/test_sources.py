@@ -253,3 +253,22 @@ def test_a_purge_that_stops_loses_nothing(spark, folder, monkeypatch, stop):
     assert sorted(r["x"] for r in left.collect()) == [1, 3]
     snapshots.purge(spark, folder)
     assert kept() == [("a", 1), ("c", 3)]
+
+
+def test_triggers_of_streamed_transcripts_do_not_grow_with_the_files(spark, monkeypatch):
+    from claimweave.plans import queries
+
+    class Stop(Exception):
+        pass
+
+    def stopped(spark, path, files_per_trigger):
+        raise Stop(files_per_trigger)
+
+    monkeypatch.setattr(queries.transcripts, "stream_lines", stopped)
+    for n, many in ((3, 50), (1100, 55)):
+        given = queries.Inputs(spark, "")
+        rows = spark.range(n).select(F.col("id").alias("conv_id"), F.lit(0).cast("long").alias("turn"), F.lit("user").alias("role"), F.lit("Hi.").alias("text"))
+        monkeypatch.setattr(queries.Inputs, "table", lambda self, name, rows=rows: rows)
+        with pytest.raises(Stop) as stop:
+            queries.QUERIES["m1_streamed_utterances"].__closure__[0].cell_contents(given)
+        assert stop.value.args == (many,)
