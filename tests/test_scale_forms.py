@@ -145,6 +145,24 @@ def test_a_cloud_of_near_copies_gives_few_links(spark):
     assert groups.components(links).agg(F.count(F.lit(1)), F.count_distinct("group_id")).first() == (20_000, 1)
 
 
+def test_rows_travel_once_for_each_tile_and_tiles_grow_with_the_rows(spark):
+    """Rows without structure: a row is copied TILES times at most, where tiles of 1,024 rows would need 20 copies and more."""
+    _, df = directions(spark, np.random.RandomState(8).standard_normal((20_000, 4)))
+    sides = cells.tiled(cells.placed(df, None, 0.0, 17), cells.tile_rows(20_000)).groupBy("side").count().collect()
+    assert max(r["count"] for r in sides) <= 20_000 * cells.TILES
+    assert cells.tile_rows(10_000_000) == cells.BLOCK_ROWS
+
+
+def test_a_tile_thins_its_links_as_it_goes(spark, monkeypatch):
+    """A cloud whose pairs are far more than a task may hold."""
+    monkeypatch.setattr(cells, "LINKS", 1000)
+    r = np.random.RandomState(6)
+    _, df = directions(spark, np.ones(8) + 0.05 * r.standard_normal((3000, 8)))
+    links = cells.meet(df, None, 0.7, answer="forest").collect()
+    assert len(links) <= 3000 * 2 * 9
+    assert groups.components(spark.createDataFrame([(x["a"], x["b"]) for x in links], "a string, b string")).agg(F.count_distinct("group_id")).first()[0] == 1
+
+
 def test_zero_vectors_are_linked_with_nothing(spark):
     rows = [("a", [0.0, 0.0]), ("b", [0.0, 0.0]), ("c", [1.0, 0.0]), ("d", [2.0, 0.1]), ("e", None), ("f", [3.0, 0.0])]
     df = spark.createDataFrame(rows, "canonical_id string, embedding array<double>")
@@ -283,6 +301,18 @@ def test_dense_blocks_are_bounded(spark):
     assert all(w["presence_flag"] == (r["episode_id"] == "e") for r in rows for w in r["weights"])
 
 
+def test_the_grid_of_the_dense_matrix_is_never_broadcast(spark):
+    """Its rows are episodes times blocks, which the planner takes for as few as the episodes."""
+    cells = spark.range(50).select(
+        F.lit("e").alias("episode_id"), F.md5(F.col("id").cast("string")).alias("canonical_id"), F.lit(0.5).alias("conviction_avg"),
+        F.lit(1).cast("bigint").alias("frequency"), F.lit(1.0).alias("stability_score"), F.lit(True).alias("presence_flag"),
+    )
+    rows = matrix.dense_blocks(spark.createDataFrame([("e",), ("f",)], "episode_id string"), cells, Params(max_columns=4))
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    above = plan[: plan.index("Generate explode")]
+    assert above.count("strategy=merge") == 2
+
+
 @pytest.mark.parametrize("heavy", [0, 2, 1000])
 def test_overlaps_of_speakers_equal_sets(spark, monkeypatch, heavy):
     """Claims held by few and by most; speakers who share nothing have no row."""
