@@ -1,6 +1,7 @@
 """The forms built for scale against plain ones: windows, all pairs, union-find."""
 
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -389,3 +390,38 @@ def test_alarm_over_five_batches_with_late_calls_and_eviction(spark, tmp_path):
     assert len(want) > 20 and sorted(map(tuple, got)) == sorted(want)
     left = run.lastProgress["stateOperators"][0]["numRowsTotal"]
     assert left <= sum((s + 1) * 240 >= newest - 120 for _, s in slices) < len(slices) / 2
+
+
+def test_short_texts_meet_on_what_few_others_have(spark):
+    """Claims of two words share grams with very many others; hardly any two that are far apart are compared."""
+    pick = random.Random(5)
+    words = ["".join(pick.choices("abdeinorstu", k=pick.randint(2, 9))) + end for end in ("tion", "ing", "ed") for _ in range(40)]
+    texts = sorted({f"{pick.choice(words)} {pick.choice(words)}" for _ in range(1500)} | {"ab", "abc", "not abc", "not abd"})
+    texts += [t[:-1] for t in texts[::7] if len(t) > 3] + [f"x{t}" for t in texts[::11]]
+    rows = [(f"{k:05d}", t) for k, t in enumerate(sorted(set(texts)))]
+    found = similar.fuzzy_pairs(spark.createDataFrame(rows, "canonical_id string, norm_text string")).collect()
+
+    def negations(t: str) -> int:
+        return sum(w in ("not", "no", "never", "none", "cannot") for w in t.split(" ")) % 2
+
+    def edits(a: str, b: str) -> int:
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            before, row[0] = row[0], i
+            for j, y in enumerate(b, 1):
+                before, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, before + (x != y))
+        return row[-1]
+
+    want = set()
+    for k, (a, s) in enumerate(rows):
+        for b, t in rows[k + 1 :]:
+            most = int(max(len(s), len(t)) * 0.15 + 1e-9)
+            if min(len(s), len(t)) >= 3 and abs(len(s) - len(t)) <= most and negations(s) == negations(t):
+                shared = sum((Counter(s) & Counter(t)).values())
+                if max(len(s), len(t)) - shared <= most and edits(s, t) <= most:
+                    want.add((a, b))
+    assert {(r["a"], r["b"]) for r in found} == want and len(found) == len(want) > 100
+    assert {len(dict(rows)[a]) * 15 // 100 for a, _ in want} >= {1, 2, 3}
+
+    base = spark.createDataFrame([(a, t, len(t), negations(t)) for a, t in rows], "id string, t string, n int, parity int")
+    assert similar._met_on_rest(base, 0.85).count() < 3 * len(want)
