@@ -425,3 +425,44 @@ def test_short_texts_meet_on_what_few_others_have(spark):
 
     base = spark.createDataFrame([(a, t, len(t), negations(t)) for a, t in rows], "id string, t string, n int, parity int")
     assert similar._met_on_rest(base, 0.85).count() < 3 * len(want)
+
+
+def test_certain_pairs_are_searched_at_their_own_threshold(spark, monkeypatch):
+    from claimweave.plans.conversation import Conversations
+
+    searched = []
+    real = contradict.opposed_pairs
+    monkeypatch.setattr(contradict, "opposed_pairs", lambda rows, at_least, params: searched.append(at_least) or real(rows, at_least, params))
+    texts = ["a b c d e f g", "not a b c d e f g", "not a b c d e f h", "a b c", "not a b x", "not a b c x", "a", "not a"]
+    c = Conversations(None, None, keep=True)
+    c.__dict__["canonicals"] = spark.createDataFrame([(f"{k}", t) for k, t in enumerate(texts)], "canonical_id string, norm_text string")
+    some, all_ = sorted(map(tuple, c.certain.collect())), sorted(map(tuple, c.opposed.collect()))
+    assert searched == [0.7, 0.5] and some == [r for r in all_ if r[2] >= 0.7] and 0 < len(some) < len(all_)
+
+
+def test_answers_in_order_are_taken_as_they_are(spark):
+    import pandas as pd
+
+    from claimweave.operators import extract
+
+    asked = pd.DataFrame({"a": ["1", "2", None], "b": [1, 2, 3]})
+    assert extract.echoes(asked, asked.copy(), ["a", "b"])
+    assert not extract.echoes(asked, asked.iloc[::-1], ["a", "b"]) and not extract.echoes(asked, asked.iloc[:2], ["a", "b"])
+    rows = spark.createDataFrame([(f"{k}",) for k in range(95)], "utterance_id string").repartition(1)
+
+    def model(frame):
+        return frame.assign(response="r", error=None, tokens=1, latency=float(len(frame)))
+
+    out = extract.call_model(rows, model)
+    assert sorted(r["latency"] for r in out.collect()) == [5.0] * 5 + [10.0] * 90
+    assert out.mapInPandas(lambda frames: (pd.DataFrame({"n": [len(f)]}) for f in frames), "n long").collect()[0]["n"] == 95
+
+
+def test_strip_trims_every_white_space(spark):
+    from claimweave.functions.text import strip
+    from pyspark.sql import functions as F
+
+    edges = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
+    rows = [(f"{chr(c)}a {chr(c)} b{chr(c)}\n{chr(c)}",) for c in [*range(1, 0x3100), 0xFEFF]] + [("",), (" \n",), (None,), ("x\r\n",)]
+    got = spark.createDataFrame(rows, "t string").select(strip(F.col("t")).alias("x"), F.regexp_replace("t", edges, "").alias("y"))
+    assert got.filter("NOT x <=> y").count() == 0
