@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from claimweave.llm.base import saved, slices, text_or_empty
-from claimweave.llm.pretokens import encoder
+from claimweave.llm.pretokens import Encoder, encoder
 
 MAX_TOKENS, MAX_SEGMENTS, END_ID = 4096, 128, 2
 GROUP_BINS, GROUP_ROWS = 128, 100_000
@@ -28,16 +28,24 @@ BLOCK_BYTES = 4 << 20
 PIECES = "start long, length long, ids_crc32 long, doc_tokens long"
 
 
-def cut_pieces(df: DataFrame, path: str, size: int = MAX_TOKENS, end_id: int = END_ID) -> DataFrame:
+def cut_pieces(
+    df: DataFrame,
+    path: str,
+    size: int = MAX_TOKENS,
+    end_id: int = END_ID,
+    block_bytes: int = BLOCK_BYTES,
+    remembered: int = Encoder.REMEMBERED,
+) -> DataFrame:
     """(doc_id, start, length, ids_crc32, doc_tokens): each document's ids and an end id, cut every ``size`` ids.
 
     NULL text is empty: one piece that holds the end id.  Repeated rows give repeated
-    pieces; no rows give none.
+    pieces; no rows give none.  A worker's memory follows from the texts it encodes at
+    once, ``block_bytes``, and the words it remembers; neither changes a result.
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(path)
-        for batch in slices(batches, "text", BLOCK_BYTES):
+        encode = encoder(path, remembered)
+        for batch in slices(batches, "text", block_bytes):
             ids, starts = encode(batch.column(1).to_pylist())
             rows, columns = [], ([], [], [], [])
             for k in range(batch.num_rows):
@@ -113,10 +121,12 @@ def pack(
     return dealt.groupBy("_group").applyInArrow(place, f"{fields}, sequence_id long, offset long")
 
 
-def pack_documents(docs: DataFrame, path: str) -> DataFrame:
+def pack_documents(
+    docs: DataFrame, path: str, block_bytes: int = BLOCK_BYTES, remembered: int = Encoder.REMEMBERED
+) -> DataFrame:
     """Pieces of all documents in sequences of at most 4096 tokens, 128 pieces and 4096 loss-bearing tokens.
 
     In plain documents every token bears loss but the first of a piece, which nothing precedes.
     """
-    pieces = saved(cut_pieces(docs, path), "pieces").withColumn("loss_tokens", F.col("length") - 1)
+    pieces = saved(cut_pieces(docs, path, block_bytes=block_bytes, remembered=remembered), "pieces").withColumn("loss_tokens", F.col("length") - 1)
     return pack(pieces, ["doc_id", "start", "ids_crc32"], "length", "loss_tokens")

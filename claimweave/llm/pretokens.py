@@ -94,9 +94,10 @@ class Encoder:
 
     REMEMBERED, LINE = 500_000, 2000
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, remembered: int = REMEMBERED):
         from tokenizers import Tokenizer, pre_tokenizers
 
+        self.remembered = remembered
         self.pre = PreTokens(path)
         self.model = Tokenizer(self.pre.library.model)
         steps = [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
@@ -132,7 +133,7 @@ class Encoder:
 
     def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in one array, and where each text starts (one more entry at the end)."""
-        if len(self.starts) > self.REMEMBERED:
+        if len(self.starts) > self.remembered:
             self._forget()
         cut: list[list[str] | str] = []
         owner = []
@@ -155,9 +156,9 @@ class Encoder:
 
 
 @lru_cache(maxsize=1)
-def encoder(path: str) -> Encoder:
+def encoder(path: str, remembered: int = Encoder.REMEMBERED) -> Encoder:
     """The encoder of a worker, which keeps what it has learned from task to task."""
-    return Encoder(path)
+    return Encoder(path, remembered)
 
 
 class RankedMerges:

@@ -20,6 +20,9 @@ from claimweave.llm.base import limited, saved, table
 from claimweave.llm.queries import word_bpe
 from claimweave.session import tune
 
+# the workers of the last stage still hold memory of those before it: texts encoded at once, words remembered
+BLOCK_BYTES, REMEMBERED = 1 << 20, 200_000
+
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     limited(tune(spark))
@@ -38,7 +41,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     limited(tune(spark))
-    return packing.pack_documents(docs, word_bpe())
+    return packing.pack_documents(docs, word_bpe(), BLOCK_BYTES, REMEMBERED)
 
 
 STAGES = [("language", language), ("near_copies", near_copies), ("mix", mix), ("sequences", sequences)]

@@ -65,3 +65,19 @@ def test_awkward_documents(spark, odd_docs, no_docs):
             assert out.columns == docs.columns
             docs = out
         assert corpus_pipeline.STAGES[-1][1](spark, docs, FOLDER).count() >= docs.count()
+
+
+def test_the_last_stage_holds_less_and_packs_the_same(spark, odd_docs, monkeypatch):
+    import corpus_pipeline
+    from claimweave.llm import packing, pretokens
+    from claimweave.llm.queries import word_bpe
+
+    assert pretokens.encoder(word_bpe(), 3).remembered == 3
+    held = []
+    real = packing.cut_pieces
+    monkeypatch.setattr(packing, "cut_pieces", lambda *a, **k: held.append(k) or real(*a, **k))
+    docs = odd_docs.select("doc_id", "text", "lang", "source", "n_chars")
+    small = packing.pack_documents(docs, word_bpe(), 64, 3)
+    assert sorted(map(repr, small.collect())) == sorted(map(repr, packing.pack_documents(docs, word_bpe()).collect()))
+    corpus_pipeline.sequences(spark, docs, "")
+    assert held[2] == {"block_bytes": 1 << 20, "remembered": 200_000}
