@@ -4,6 +4,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -154,6 +155,49 @@ def test_rows_travel_once_for_each_tile_and_tiles_grow_with_the_rows(spark):
     assert cells.tile_rows(10_000_000) == cells.BLOCK_ROWS
 
 
+def test_a_million_rows_are_cut_into_no_more_tiles_than_a_hundred_thousand(spark, monkeypatch):
+    """Copies of a row stay as many while rows grow; blocks hold whole tiles."""
+    assert cells.tile_rows(1_000_000) * cells.TILES >= 1_000_000
+    monkeypatch.setattr(cells, "BLOCK_ROWS", 900)
+    monkeypatch.setattr(cells, "TILE", 64)
+    _, df = directions(spark, np.random.RandomState(8).standard_normal((4000, 4)))
+    size = cells.tile_rows(4000)
+    cuts = cells.tiled(cells.placed(df, None, -1.0, 17), size).filter("side = 1").groupBy("block").agg(F.max("j").alias("j"), F.count_distinct("id").alias("n")).collect()
+    assert sum(r["n"] for r in cuts) == 4000 and max(r["n"] for r in cuts) <= size and all(r["j"] == 0 for r in cuts)
+
+
+def test_cells_are_measured_in_slices(spark, monkeypatch):
+    """A batch of Spark against all centres would be a table of 10,000 by 4,096 numbers."""
+    plain, most = cells.angles, cells.ROWS
+
+    def few(x, centres):
+        assert len(x) <= most
+        return plain(x, centres)
+
+    monkeypatch.setattr(cells, "angles", few)
+    monkeypatch.setattr(cells, "BLOCK_ROWS", 500)
+    _, df = directions(spark, clustered(2000, 8))
+    assert cells.placed(df.coalesce(1), None, 0.9, 17).filter("side = 1").count() == 2000
+
+
+def test_a_task_of_joined_knows_few_ids_at_once(spark, monkeypatch):
+    """What is forgotten costs links and joins the same ids; a forest of all 300 would be 290 links."""
+    monkeypatch.setattr(cells, "NAMES", 20)
+    pairs = [(f"{10 * g + i:04d}", f"{10 * g + j:04d}") for i in range(10) for j in range(i + 1, 10) for g in range(30)]
+    df = spark.createDataFrame(pairs, "a string, b string").coalesce(1)
+    links = cells.joined(df)
+    assert 270 < links.count() <= len(pairs)
+    assert groups.components(links).agg(F.count(F.lit(1)), F.count_distinct("group_id")).first() == (300, 30)
+
+
+def test_a_tile_of_ids_that_are_null_or_met_twice(spark):
+    """Ids count by their order, NULL after all others; a tile without one of its sides has no answer."""
+    ids, place = cells.places(pa.chunked_array([["b", None, "a"], ["é", "b", "z"]], pa.string()))
+    assert ids.to_pylist() == ["a", "b", "z", "é", None] and place.tolist() == [1, 4, 0, 3, 1, 2]
+    parts = [np.ones((2, 3)), np.full((1, 3), 2.0), np.full((2, 3), 3.0)]
+    assert cells.stacked(parts)[:, 0].tolist() == [1, 1, 2, 3, 3] and cells.stacked([]).shape == (0, 0)
+
+
 def test_a_tile_thins_its_links_as_it_goes(spark, monkeypatch):
     """A cloud whose pairs are far more than a task may hold."""
     monkeypatch.setattr(cells, "LINKS", 1000)
