@@ -97,6 +97,19 @@ def test_belief_rules_leave_siblings_alone(spark, change, problem):
     assert rows[0]["belief_text"] == "x"
 
 
+def test_a_response_is_read_in_one_cast(spark):
+    """Kinds of values and missing ones are told apart, and no type of a whole response is made out."""
+    listed = [{}, None, 3, [GOOD], {**GOOD, "original_quote": {"a": 1}}, {**GOOD, "extraction_flags": None}, {**GOOD, "confidence": True}]
+    a, u = answer(spark, json.dumps({"beliefs": listed}))
+    parsed = extract.parse_beliefs(a, u)
+    rows = parsed.orderBy("ordinal").collect()
+    assert [r["problem"] for r in rows] == ["belief_text", "element", "element", "element", "original_quote", "extraction_flags", None]
+    assert [r["original_quote"] for r in rows] == ["the text"] * 4 + [None, "q", "q"]
+    assert [r["extraction_flags"] for r in rows][:6] == [{}] * 4 + [GOOD["extraction_flags"], None]
+    plan = parsed._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.lower().count("schemaofvariant.") == 2 and plan.count("try_variant_get(") == 4
+
+
 def test_default_quote_is_the_utterance(spark):
     a, u = answer(spark, json.dumps({"beliefs": [{k: v for k, v in GOOD.items() if k != "original_quote"}]}))
     assert extract.parse_beliefs(a, u).first()["original_quote"] == "the text"

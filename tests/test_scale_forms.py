@@ -510,3 +510,23 @@ def test_strip_trims_every_white_space(spark):
     rows = [(f"{chr(c)}a {chr(c)} b{chr(c)}\n{chr(c)}",) for c in [*range(1, 0x3100), 0xFEFF]] + [("",), (" \n",), (None,), ("x\r\n",)]
     got = spark.createDataFrame(rows, "t string").select(strip(F.col("t")).alias("x"), F.regexp_replace("t", edges, "").alias("y"))
     assert got.filter("NOT x <=> y").count() == 0
+
+
+def test_opposed_pairs_look_only_for_sizes_that_the_other_side_has(spark, monkeypatch):
+    """Sets of one or two words need no order of rarity; a longer one that meets them does, and no pair is lost."""
+    asked, ordered = [], []
+    real, needs = similar._meeting_keys, similar._needs_order
+    monkeypatch.setattr(similar, "_meeting_keys", lambda rare, s, first, own, met: asked.append(list(met)) or real(rare, s, first, own, met))
+    monkeypatch.setattr(similar, "_needs_order", lambda n, own, s, met: ordered.append(list(met)) or needs(n, own, s, met))
+    rows = [("1", "a b"), ("2", "not b a"), ("3", "not a"), ("4", "c"), ("5", "d e"), ("6", "not f g h i j"), ("7", "j i h g f k"), ("8", "f z")]
+    df = spark.createDataFrame(rows, "canonical_id string, norm_text string")
+    got = {(r["a"], r["b"]): r["score"] for r in similar.opposed_pairs(df, 0.5).collect()}
+    assert got == {("1", "2"): 1.0, ("1", "3"): 0.5, ("6", "7"): round(5 / 6, 9)}
+    assert asked == ordered == [[1, 2, 5], [1, 2, 6]]
+    assert similar.opposed_pairs(df.filter("canonical_id IN ('1', '4')"), 0.5).count() == 0
+
+
+def test_short_sets_need_no_order(spark):
+    sets = spark.range(1, 9).select(F.col("id").cast("int").alias("n")).select("n", similar._size_class(F.col("n")).alias("own"))
+    got = sets.select("n", similar._needs_order(F.col("n"), F.col("own"), 0.5, [1, 2]).alias("x")).orderBy("n").collect()
+    assert [r["x"] for r in got][:2] == [False, False]
