@@ -3,6 +3,8 @@
 import random
 from collections import Counter
 
+import check
+import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -65,6 +67,38 @@ def test_similar_pairs_equal_all_pairs(spark, monkeypatch, tile):
     assert {r["copies_a"] for r in got if r["a"] == ids[80]} <= {20}
 
 
+@pytest.mark.parametrize("listed", [3, 1024])
+def test_every_pair_has_those_between_copies(spark, monkeypatch, listed):
+    """Copies, also at other lengths and under one id, ids that repeat or are NULL, and rows without a direction."""
+    monkeypatch.setattr(similar, "COPIES", listed)
+    v = cloud(n=90)
+    v[40:44] *= 3.0
+    ids = [f"{i:04d}" for i in range(len(v))]
+    ids[7], ids[45], ids[35] = ids[6], ids[44], None
+    rows = [(i, x.tolist()) for i, x in zip(ids, v)] + [("none", None), ("zero", [0.0] * 16), ("nought", [0.0] * 16)]
+    u = v / np.linalg.norm(v, axis=1, keepdims=True)
+    s = np.round(u @ u.T, 9)
+    order = [(i, j) for i in range(len(v)) for j in range(len(v)) if ids[i] and ids[j] and ids[i] < ids[j] and s[i, j] > 0.7]
+    df = spark.createDataFrame(rows, "id string, embedding array<double>")
+    got = [(r["a"], r["b"], round(r["similarity"], 6)) for r in similar.every_pair(df, "id", 0.7).collect()]
+    assert sorted(got) == sorted((ids[i], ids[j], round(s[i, j], 6)) for i, j in order)
+    assert similar.every_pair(df, "id", 1.0).isEmpty()
+
+
+def test_given_vectors_with_exact_copies_agree_with_sql(spark, tmp_path):
+    import __spark_entry__ as entry
+
+    r = np.random.RandomState(2)
+    base = r.standard_normal((12, 8))
+    rows = [(i, base[i % 12 if i < 30 else 0].tolist()) for i in range(40)]
+    spark.createDataFrame(rows, "vec_id bigint, embedding array<float>").write.parquet(f"{tmp_path}/embeddings.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM read_parquet('{tmp_path}/embeddings.parquet/*.parquet')")
+    want = check.rows_of(["a", "b", "similarity"], con.execute(entry.oracle_sql()["f1_given_vectors"]).fetchall())
+    got = check.rows_of(["a", "b", "similarity"], entry.queries()["f1_given_vectors"](spark, str(tmp_path)).collect())
+    assert got == want and len(got) > 100
+
+
 @pytest.mark.parametrize("tile", [9, 1024])
 def test_nearest_equals_brute_force(spark, monkeypatch, tile):
     monkeypatch.setattr(cells, "TILE", tile)
