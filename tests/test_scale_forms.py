@@ -470,6 +470,35 @@ def test_alarm_over_five_batches_with_late_calls_and_eviction(spark, tmp_path):
     assert left <= sum((s + 1) * 240 >= newest - 120 for _, s in slices) < len(slices) / 2
 
 
+def test_alarm_keeps_few_states_for_many_callers(spark, tmp_path, monkeypatch):
+    """Callers that share a state are judged apart, that without a number too; tokens may be NULL."""
+    monkeypatch.setattr(call_streams, "CALLERS", 3)
+    rng = np.random.default_rng(8)
+    rows = [
+        (no, [None, -5, *range(0, 40)][int(rng.integers(0, 42))], 1_700_000_000 + int(rng.integers(0, 480)), None if no % 9 == 0 else int(rng.integers(0, 9)))
+        for no in range(1500)
+    ]
+    spark.createDataFrame(rows, "call_id bigint, caller bigint, s bigint, tokens bigint").select(
+        "call_id", "caller", F.timestamp_seconds("s").alias("ts"), "tokens"
+    ).repartition(3).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema("call_id bigint, caller bigint, ts timestamp, tokens bigint").parquet(str(tmp_path / "in"))
+    params = Params(budget_window_s=60, budget_requests=6, budget_tokens=15)
+    run = call_streams.budget_alarm(stream, params, late="1 hour").writeStream.format("parquet").option("path", str(tmp_path / "out")).option(
+        "checkpointLocation", str(tmp_path / "state")
+    ).trigger(availableNow=True).start()
+    run.awaitTermination()
+    want = []
+    for i, caller, at, tokens in rows:
+        before = [r for r in rows if r[1] == caller and at - 60 <= r[2] and (r[2], r[0]) < (at, i)]
+        spent = sum(r[3] or 0 for r in before)
+        over_requests, over_tokens = len(before) >= 6, None if tokens is None else tokens > 0 and spent + tokens > 15
+        if over_requests or over_tokens:
+            want.append((i, caller, len(before), spent, over_requests, over_tokens))
+    got = spark.read.parquet(str(tmp_path / "out")).select("call_id", "caller", "prior_requests", "prior_tokens", "over_requests", "over_tokens").collect()
+    assert len(want) > 100 and sorted(map(tuple, got)) == sorted(want)
+    assert run.lastProgress["stateOperators"][0]["numRowsTotal"] <= 3 * 4
+
+
 def test_short_texts_meet_on_what_few_others_have(spark):
     """Claims of two words share grams with very many others; hardly any two that are far apart are compared."""
     pick = random.Random(5)
