@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from claimweave.functions import ordered
+from claimweave.functions import ordered, vectors
 from claimweave.operators import cells, cluster, contradict, groups, matrix, similar
 from claimweave.params import Params
 from claimweave.streaming import calls as call_streams
@@ -200,6 +200,55 @@ def test_a_million_rows_are_cut_into_no_more_tiles_than_a_hundred_thousand(spark
     assert sum(r["n"] for r in cuts) == 4000 and max(r["n"] for r in cuts) <= size and all(r["j"] == 0 for r in cuts)
 
 
+@pytest.mark.parametrize("blocks", [300, 100_000])
+def test_rows_that_meet_each_other_travel_to_half_the_tiles(spark, monkeypatch, blocks):
+    """Only tiles on and above the diagonal, in one block or several; every pair is in one of them, once."""
+    monkeypatch.setattr(cells, "BLOCK_ROWS", blocks)
+    monkeypatch.setattr(cells, "TILE", 32)
+    _, df = directions(spark, np.random.RandomState(8).standard_normal((900, 4)))
+    size = cells.tile_rows(900) if blocks > 900 else 64
+    rows = cells.tiled(cells.placed(df, None, -1.0, 17), size, True).select("id", "side", "own", "block", "i", "j").collect()
+    tiles = {}
+    for r in rows:
+        assert not r["own"] or r["i"] <= r["j"]
+        tiles.setdefault((r["own"], r["block"], r["i"], r["j"]), ([], []))[r["side"]].append(r["id"])
+    met = Counter()
+    for (own, _, i, j), (one, two) in tiles.items():
+        met.update(frozenset((a, b)) for a in one for b in (one if own and i == j else two) if not (own and i == j) or a < b)
+    assert len(met) == 900 * 899 // 2 and set(met.values()) == {1}
+    if blocks > 900:
+        assert len(rows) <= 900 * cells.TILES
+
+
+def test_packed_vectors_keep_twelve_places(spark):
+    u, df = directions(spark, np.random.RandomState(8).standard_normal((300, 24)))
+    column = pa.array(vectors.pack(u), pa.binary())
+    assert np.abs(cells.matrix(column) - u).max() <= vectors.STEP and np.abs(cells.matrix(column.slice(7, 5)) - u[7:12]).max() <= vectors.STEP
+    assert {len(x) for x in vectors.pack(u)} == {24 * 6}
+    edge = np.array([[1.0, -1.0, 0.0, 2.0**-25, 1 - 2.0**-25, 1e-12]])
+    assert np.abs(vectors.whole(*vectors.unpack(pa.array(vectors.pack(edge), pa.binary()))) - edge).max() <= vectors.STEP
+
+
+def test_centroids_and_names_of_clusters_with_copies(spark):
+    """Copies count each time, travel once; a member without a vector counts for nothing, nor can one without a text give a name."""
+    r = np.random.RandomState(4)
+    v = r.standard_normal((60, 6))
+    v[10:40] = v[10]
+    rows = [(f"{i:03d}", f"c{i % 3 if i != 10 else 0}", x.tolist() if i != 5 else None) for i, x in enumerate(v)]
+    df = spark.createDataFrame(rows, "canonical_id string, cluster_id string, embedding array<double>").repartition(4)
+    member, given = df.select("canonical_id", "cluster_id"), df.select("canonical_id", "embedding")
+    u = v / np.linalg.norm(v, axis=1, keepdims=True)
+    of = {c: [i for i, x in enumerate(rows) if x[1] == c and x[2]] for c in ("c0", "c1", "c2")}
+    want = {c: u[i].mean(0) for c, i in of.items()}
+    plan = cluster.centroids(member, given)
+    got = {x["cluster_id"]: x["centroid"] for x in plan.collect()}
+    assert got.keys() == want.keys() and all(np.allclose(got[c], want[c], atol=1e-12) for c in want)
+    texts = member.filter("canonical_id <> '011'").select("canonical_id", F.concat(F.lit("text "), "canonical_id").alias("canonical_text"))
+    near = {c: min((i for i in of[c] if i != 11), key=lambda i: (-round(float(u[i] @ want[c] / np.linalg.norm(want[c])), 9), i)) for c in want}
+    named = {x["cluster_id"]: x["name"] for x in cluster.names(member, given, texts, plan).collect()}
+    assert named == {c: f"text {i:03d}" for c, i in near.items()}
+
+
 def test_cells_are_measured_in_slices(spark, monkeypatch):
     """A batch of Spark against all centres would be a table of 10,000 by 4,096 numbers."""
     plain, most = cells.angles, cells.ROWS
