@@ -519,6 +519,36 @@ def test_alarm_over_five_batches_with_late_calls_and_eviction(spark, tmp_path):
     assert left <= sum((s + 1) * 240 >= newest - 120 for _, s in slices) < len(slices) / 2
 
 
+@pytest.mark.parametrize("ratio", [0.8, 0.85])
+def test_texts_of_some_edits_meet_on_pieces(spark, ratio):
+    """Edits anywhere in texts that allow three to five of them; texts that only share grams do not meet."""
+    pick = random.Random(9)
+    letters = "abdeinorstu"
+    texts = set()
+    for _ in range(70):
+        t = "".join(pick.choices(letters, k=pick.randint(13, 38)))
+        texts.add(t)
+        for _ in range(4):
+            u = list(t)
+            for _ in range(pick.randint(1, 5)):
+                at = pick.randrange(len(u))
+                u[at : at + 1] = pick.choice([[], [pick.choice(letters)], [u[at], pick.choice(letters)]])
+            texts.add("".join(u))
+    rows = [(f"{k:04d}", t) for k, t in enumerate(sorted(texts))]
+    most, own, _ = similar.pieces(ratio)
+    assert most == 5 and {e for _, e, *_ in own} == {3, 4, 5} and similar.pieces(0.99)[1] == []
+
+    def allowed(n):
+        return int(n * (1 - ratio) + 1e-9)
+
+    want = {(a, b) for a, t in rows for b, u in rows if a < b and abs(len(t) - len(u)) <= allowed(max(len(t), len(u))) and edits(t, u) <= allowed(max(len(t), len(u)))}
+    df = spark.createDataFrame(rows, "canonical_id string, norm_text string")
+    got = [(r["a"], r["b"]) for r in similar.fuzzy_pairs(df, Params(fuzzy_ratio=ratio)).collect()]
+    assert len(want) > 50 and set(got) == want and len(got) == len(want)
+    base = df.select(F.col("canonical_id").alias("id"), F.col("norm_text").alias("t"), F.length("norm_text").alias("n"), F.lit(0).alias("parity"))
+    assert similar._met_on_pieces(base, ratio).count() < 10 * len(want)
+
+
 def test_alarm_keeps_few_states_for_many_callers(spark, tmp_path, monkeypatch):
     """Callers that share a state are judged apart, that without a number too; tokens may be NULL."""
     monkeypatch.setattr(call_streams, "CALLERS", 3)
